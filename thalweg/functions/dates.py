@@ -21,9 +21,8 @@ def as_date(value) -> Column:
     """A date column from a column, a ``datetime.date`` or an ISO string."""
     if isinstance(value, Column):
         return value
-    if isinstance(value, str):
-        value = dt.date.fromisoformat(value)
-    return F.lit(value)
+    text = value if isinstance(value, str) else dt.date.isoformat(value)
+    return F.lit(text).cast("date")
 
 
 def day_range(begin, end) -> Column:
