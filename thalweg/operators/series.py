@@ -243,6 +243,19 @@ def history_then_forecast(history: DataFrame, forecast: DataFrame) -> DataFrame:
     return dedup_keep_last(both, ("location", "date"), ("source_rank",)).drop("source_rank")
 
 
+def year_over_year(levels: DataFrame, year: int) -> DataFrame:
+    """Every level of ``year - 1`` beside the one of the same day in ``year``, or NULL.
+
+    29 February has no such day in most years and is left out there.
+    """
+    rows = levels.select("location", "date", LEVEL)
+    later = F.add_months("date", 12)
+    before = rows.filter((F.year("date") == year - 1) & (F.dayofmonth(later) == F.dayofmonth("date")))
+    before = before.select("location", later.alias("date"), F.col(LEVEL).alias("previous"))
+    now = rows.filter(F.year("date") == year).select("location", "date", F.col(LEVEL).alias("current"))
+    return before.join(now, ["location", "date"], "left")
+
+
 def placeholder_rows(levels: DataFrame, locations: DataFrame, as_of) -> DataFrame:
     """Add a zero level on the reference day for every location, so that day outlives inner joins."""
     day = as_date(as_of)

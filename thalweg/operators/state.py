@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,11 +118,12 @@ class SnapshotTable:
         return found or 0
 
     def _pointer_frame(self) -> DataFrame:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.pointers)
-        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        try:
+            return self.spark.read.schema("version long").parquet(self.pointers)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], "version long")
-        return self.spark.read.schema("version long").parquet(self.pointers)
 
     def read(self) -> DataFrame:
         current = self.version()
