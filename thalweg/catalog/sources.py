@@ -199,8 +199,8 @@ JOIN stations ON p.location = station_name
 LEFT JOIN (SELECT * FROM levels WHERE year(date) = 2001) c ON c.location = p.location AND month(c.date) = month(p.date) AND day(c.date) = day(p.date)"""
 
 
-@query("gauge_chart_json", oracle("levels stations", CHART_SQL))
-def gauge_chart_json(spark, sf):
+def chart_payloads(spark, sf):
+    """One chart answer per station: 2001 as a list, 2000 as a map by date text."""
     text = F.col("level__m").cast("string")
     entry = F.struct(text.alias("readingValue"), F.lit(None).cast("string").alias("longtermMean"), F.date_format("date", "dd-MM-yyyy").alias("dateOfReadingStr"))
     rows = fx.levels(spark, sf, "2000-01-01", "2001-12-31").select("location", F.year("date").alias("y"), "date", entry.alias("e"))
@@ -217,7 +217,12 @@ def gauge_chart_json(spark, sf):
         ).alias("indicator"),
     )
     doc = F.to_json(F.struct("gaugeReadingList", "indicator", F.struct(F.col("before").alias("gaugeReadingList")).alias("previous_year")))
-    return payloads.gauge_chart(lists.join(dim, "location").select("location", doc.alias("payload")))
+    return lists.join(dim, "location").select("location", doc.alias("payload"))
+
+
+@query("gauge_chart_json", oracle("levels stations", CHART_SQL))
+def gauge_chart_json(spark, sf):
+    return payloads.gauge_chart(chart_payloads(spark, sf))
 
 
 @query(
@@ -275,9 +280,12 @@ def json_records(spark, sf):
     return rows.select("station_id", F.col("dateOfReadingStr").alias("reading_date"), F.col("readingValue").alias("reading"))
 
 
-@query("map_array_json", oracle("edges_up edges_wx", "SELECT station, 'upstream' AS role, pos, location FROM edges_up UNION ALL SELECT station, 'weather', pos, location FROM edges_wx"))
+@query(
+    "map_array_json",
+    oracle("levels", "SELECT location, CASE WHEN year(date) = 2001 THEN 'current' ELSE 'previous' END AS list, date, level__m AS reading FROM levels WHERE year(date) >= 2000"),
+)
 def map_array_json(spark, sf):
-    return station_mapping_edges(spark, sf)
+    return payloads.chart_entries(chart_payloads(spark, sf))
 
 
 @query(

@@ -90,23 +90,30 @@ def _level_parts(pairs: DataFrame, levels: DataFrame, lags: Sequence[int]) -> Da
 
 
 def _weather_parts(pairs: DataFrame, history: DataFrame, forecast: DataFrame, lags: Sequence[int], today) -> DataFrame:
-    """(location, as_of, shifted precipitation ...).  A location without any row gives NULLs."""
+    """(location, as_of, shifted precipitation ...).
+
+    History serves the days up to yesterday, the forecast those from the reference day.  A location
+    without a single row in one of the two, where it is needed, gives NULLs.
+    """
     top, low = max(lags), min(lags)
     now = F.col("as_of") if today is None else as_date(today)
     ahead = F.date_sub("as_of", low) >= now
-    usable = ~ahead | (F.col("date") < now)
     past = history.select("location", "date", F.struct(*[F.coalesce(c, F.lit(0.0)).alias(c) for c in RAIN]).alias("_h"))
     coming = forecast.select("location", "date", F.struct(*RAIN).alias("_f"))
     cells = _cells(pairs, -top, -low).join(past, ["location", "date"], "left").join(coming, ["location", "date"], "left")
-    chosen = F.when(ahead & (F.col("date") >= F.col("as_of")) & F.col("_f").isNotNull(), F.col("_f")).when(usable, F.col("_h"))
-    cells = cells.withColumn("_v", chosen)
+    cells = cells.withColumns(
+        {
+            "_h": F.when(~ahead | (F.col("date") < now), F.col("_h")),
+            "_f": F.when(ahead & (F.col("date") >= F.col("as_of")), F.col("_f")),
+        }
+    ).withColumn("_v", F.coalesce("_f", "_h"))
     grouped = cells.groupBy("location", "as_of").agg(
         F.sort_array(F.collect_list(F.struct("date", *[F.col(f"_v.{c}").alias(c) for c in RAIN]))).alias("c"),
-        F.count("_v").alias("found"),
+        F.count("_h").alias("past"),
+        F.count("_f").alias("coming"),
     )
-    values = {
-        series.shift_name(n, c): F.when(F.col("found") > 0, _carried(F.col("c"), c, top - n, F.lit(0.0))) for n in lags for c in RAIN
-    }
+    served = ((F.col("past") > 0) | (F.date_sub("as_of", top) >= now)) & ((F.col("coming") > 0) | ~ahead)
+    values = {series.shift_name(n, c): F.when(served, _carried(F.col("c"), c, top - n, F.lit(0.0))) for n in lags for c in RAIN}
     return grouped.select("location", "as_of", *[e.alias(n) for n, e in values.items()])
 
 

@@ -90,6 +90,15 @@ def gauge_chart(payloads: DataFrame, keys: Sequence[str] = ("location",), column
     )
 
 
+def chart_entries(payloads: DataFrame, keys: Sequence[str] = ("location",), column: str = "payload") -> DataFrame:
+    """Every entry of a chart answer, of the array and of the map: (keys, list, date, reading)."""
+    parsed = payloads.select(*keys, F.from_json(column, CHART_SCHEMA).alias("p"))
+    lists = {"current": F.col("p.gaugeReadingList"), "previous": F.map_values("p.previous_year.gaugeReadingList")}
+    tagged = F.array(*[F.struct(F.lit(n).alias("list"), e.alias("entries")) for n, e in lists.items()])
+    each = parsed.select(*keys, F.inline(tagged)).select(*keys, "list", F.explode("entries").alias("e"))
+    return each.select(*keys, "list", parse_date("e.dateOfReadingStr", "dash").alias("date"), numeric_or_null("e.readingValue").alias("reading"))
+
+
 def _cells(row: Column) -> Column:
     """Texts of the cells of a table row."""
     raw = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1))
