@@ -26,11 +26,13 @@ def _unfold(payloads: DataFrame, keys: Sequence[str], block: str, measures: Sequ
     parsed = payloads.select(*keys, F.from_json(column, _block_schema(block, measures)).alias("p"))
     at = F.col(f"p.{block}")
     axis = F.when(at["end"] > at["start"], F.sequence(at["start"], at["end"] - at["interval"], at["interval"]))
+    # A measure the answer lacks is NULL throughout.
+    values = [F.coalesce(at[m], F.array().cast("array<double>")).alias(m) for m in measures]
     rows = parsed.select(
         *keys,
         F.col("p.latitude").alias("forecast_latitude"),
         F.col("p.longitude").alias("forecast_longitude"),
-        F.inline(F.arrays_zip(axis.alias("at"), *[at[m].alias(m) for m in measures])),
+        F.inline(F.arrays_zip(axis.alias("at"), *values)),
     )
     stamped = rows.filter(F.col("at").isNotNull()).withColumn("ts", F.timestamp_seconds("at"))
     return stamped.select(*keys, "ts", "forecast_latitude", "forecast_longitude", *[nan_to_null(F.col(m)).alias(m) for m in measures])
