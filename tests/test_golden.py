@@ -103,11 +103,16 @@ EXPECTED = {
 }
 
 
+def named(row):
+    names = features.feature_names(["S1", "S2"], ["W1", "W2"], [3, 1], [3, 1, 0, -1])
+    return dict(zip(names, row["features"], strict=True))
+
+
 def test_inference_frame_two_upstream_two_weather(spark):
     matrix = features.feature_matrix(*two_sources(spark), [3, 1], [3, 1, 0, -1], 1, infer=True)
     rows = matrix.collect()
     assert len(rows) == 1 and rows[0]["date"] == D and rows[0]["level__m"] == 0.0
-    assert rows[0]["features"] == pytest.approx(EXPECTED)
+    assert named(rows[0]) == pytest.approx(EXPECTED)
 
 
 def test_bulk_inference_gives_the_single_day_frame(spark):
@@ -117,8 +122,8 @@ def test_bulk_inference_gives_the_single_day_frame(spark):
     wanted = spark.createDataFrame([("S1", D)], "station string, as_of date")
     history, forecast = rain.filter(F.col("date") < F.lit(D)), rain.filter(F.col("date") >= F.lit(D))
     rows = inference.inference_features(mapping, wanted, levels, history, forecast, [3, 1], [3, 1, 0, -1]).collect()
-    assert len(rows) == 1 and rows[0]["level__m"] == 0.0
-    assert rows[0]["features"] == pytest.approx(EXPECTED)
+    assert len(rows) == 1 and rows[0]["level__m"] == 0.0 and rows[0]["lag01__level__m"] == 1.2
+    assert named(rows[0]) == pytest.approx(EXPECTED)
 
 
 def test_bulk_inference_equals_the_composition_day_by_day(spark, sf):
@@ -146,6 +151,12 @@ def test_bulk_inference_equals_the_composition_day_by_day(spark, sf):
         assert got == singles[key]
 
 
+def test_index_names_agree(spark):
+    mapping = two_sources(spark)[0]
+    row = features.feature_index(mapping, [3, 1], [3, 1, 0, -1]).first()
+    assert row["names"] == features.feature_names(["S1", "S2"], ["W1", "W2"], [3, 1], [3, 1, 0, -1])
+
+
 def test_inference_levels_bounds_and_placeholder(spark):
     rows = [(p, at(-n), 10.0 * k + n) for k, p in enumerate(("loc1", "loc2")) for n in (1, 2, 3, 4)]
     levels = spark.createDataFrame(rows, LEVELS)

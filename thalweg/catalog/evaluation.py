@@ -21,17 +21,19 @@ TEST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY location ORDER
 EVAL = "SELECT location, date, pred_y, y AS test_y, level__m, level__m + pred_y AS abs_pred_y, level__m + y AS abs_test_y FROM test"
 
 
+NAMES = features.level_names(LAGS)
+
+
 def feats(spark, sf):
-    """Level lags as a feature map with the target, for every day a station has them."""
+    """Level lags as features with the target, for every day a station has them."""
     lagged = series.target_difference(series.station_lags(fx.levels(spark, sf), LAGS), 1)
-    names = [series.shift_name(n, series.LEVEL) for n in LAGS]
-    packed = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*names))
-    return lagged.filter(F.col(names[-1]).isNotNull()).select("location", "date", series.LEVEL, packed.alias("features"), "y")
+    rows = lagged.filter(F.col(NAMES[-1]).isNotNull())
+    return rows.select("location", "date", series.LEVEL, features.LAG1, F.array(*NAMES).alias("features"), "y")
 
 
 def evaluated(spark, sf, base=series.LEVEL):
     _, test = evaluation.time_split(feats(spark, sf), SPLIT, 30)
-    scored = test.withColumn("pred_y", evaluation.linear_score(F.col("features"), WEIGHTS, INTERCEPT))
+    scored = test.withColumn("pred_y", evaluation.linear_score(NAMES, WEIGHTS, INTERCEPT))
     return evaluation.eval_frame(scored, base)
 
 
@@ -123,7 +125,7 @@ def error_describe(spark, sf):
 @query("predict_level", with_eval("SELECT location, date, lag01 + pred_y AS level_m FROM feats WHERE date = DATE '2001-06-30'"))
 def predict_level(spark, sf):
     rows = feats(spark, sf).filter(F.col("date") == "2001-06-30")
-    scored = models.linear_predictor(WEIGHTS, INTERCEPT)(rows)
+    scored = models.linear_predictor(NAMES, WEIGHTS, INTERCEPT)(rows)
     return evaluation.predict_level(scored).select("location", "date", "level_m")
 
 

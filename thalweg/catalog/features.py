@@ -45,11 +45,12 @@ JOIN l ON l.location = f.station AND l.date = f.date""",
     ),
 )
 def join_upstream_levels(spark, sf):
+    """Own rows and upstream rows of every station gathered by day, under the names of the features."""
     mapping, levels = fx.station_mapping(spark, sf), fx.levels(spark, sf)
-    ups = features.upstream_rows(levels, features.edges(mapping, "upstream_stations"), UP)
-    own = levels.join(mapping.select("station", "location"), "location").select("station", "date", "level__m", F.array().cast("array<struct<name:string,value:double>>").alias("parts"))
-    joined = features.join_on_date([own, ups], features.source_counts(mapping, weather=False))
-    return joined.select("station", "date", F.explode("features").alias("feature", "value"))
+    joined = features.join_on_date([features.level_rows(levels, features.level_edges(mapping), UP)], features.source_counts(mapping, weather=False))
+    no_weather = mapping.withColumn("weather_locations", F.array().cast("array<string>"))
+    tall = features.lengthen(joined.withColumnRenamed("station", "location"), features.feature_index(no_weather, UP, WX))
+    return tall.withColumnRenamed("location", "station").filter(~F.startswith("feature", F.lit("lag")))
 
 
 @query(
@@ -65,9 +66,11 @@ WHERE year(f.date) = 2000 AND n = (SELECT count(*) FROM edges_wx e WHERE e.stati
 )
 def join_weather_locations(spark, sf):
     mapping = fx.station_mapping(spark, sf)
-    rows = features.weather_rows(fx.rain_filled(spark, sf), features.edges(mapping, "weather_locations"), WX)
-    joined = features.join_on_date([rows], features.source_counts(mapping, reference=False, upstream=False))
-    return joined.filter(F.year("date") == 2000).select("station", "date", F.explode("features").alias("feature", "value"))
+    rows = features.weather_rows(fx.rain_filled(spark, sf), features.weather_edges(mapping), WX)
+    joined = features.join_on_date([rows], features.source_counts(mapping, reference=False, upstream=False)).filter(F.year("date") == 2000)
+    names = features.feature_index(mapping.withColumn("upstream_stations", F.array().cast("array<string>")), UP, WX)
+    only = names.withColumn("names", F.slice("names", len(UP) + 1, F.size("names")))
+    return features.lengthen(joined.withColumnRenamed("station", "location"), only).withColumnRenamed("location", "station")
 
 
 @query(
@@ -143,7 +146,7 @@ def feature_matrix(spark, sf):
         "location", "date", "level__m", "y", "month", "dayofyear",
         *[F.round(c, 9).alias(c) for c in ("month_sin", "month_cos", "dayofyear_sin", "dayofyear_cos")],
         F.size("features").alias("n_features"),
-        *[F.col("features")[c].alias(c) for c in ("lag01__level__m", "lag03__level__m")],
+        F.col("features")[0].alias("lag01__level__m"), F.col("features")[1].alias("lag03__level__m"),
     )
 
 
@@ -158,7 +161,8 @@ JOIN ({lengthen_sql(UP_NAMES, 'up')} UNION ALL {lengthen_sql(WX_NAMES, 'wx')}
     oracle("levels rain_filled edges_up edges_wx", LONG + " WHERE year(k.date) = 1999", **lagged(rain="rain_filled"), **matrix_sql(2)),
 )
 def feature_matrix_long(spark, sf):
-    return features.lengthen(small_matrix(spark, sf, 2).filter(F.year("date") == 1999))
+    index = features.feature_index(fx.station_mapping(spark, sf), UP, WX)
+    return features.lengthen(small_matrix(spark, sf, 2).filter(F.year("date") == 1999), index)
 
 
 @query(
@@ -180,7 +184,8 @@ FROM (SELECT location, feature, corr(y, value) AS c FROM tall GROUP BY ALL)""",
     ),
 )
 def feature_target_corr(spark, sf):
-    corr = features.feature_target_corr(small_matrix(spark, sf, 1))
+    index = features.feature_index(fx.station_mapping(spark, sf), UP, WX)
+    corr = features.feature_target_corr(small_matrix(spark, sf, 1), index)
     return corr.withColumn("corr", F.round("corr", 6))
 
 

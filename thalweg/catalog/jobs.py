@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from thalweg import fixtures as fx
 from thalweg.catalog import evaluation as ev
-from thalweg.catalog.features import ENCODED, N_FEATURES, UP, WX, lagged, matrix_sql
+from thalweg.catalog.features import UP, WX, lagged, matrix_sql
 from thalweg.catalog.registry import query
 from thalweg.catalog.tables import AS_OF, oracle
 from thalweg.operators import features, models, state
@@ -87,12 +87,13 @@ WHERE CAST(d AS DATE) NOT IN (SELECT date FROM kept)""",
     ),
 )
 def analyze_features(spark, sf):
-    m = features.feature_matrix(fx.station_mapping(spark, sf), fx.levels(spark, sf), fx.rain_filled(spark, sf), UP, WX, 1)
-    return training.analyze_features(m)["missing_dates"]
+    mapping = fx.station_mapping(spark, sf)
+    m = features.feature_matrix(mapping, fx.levels(spark, sf), fx.rain_filled(spark, sf), UP, WX, 1)
+    return training.analyze_features(m, features.feature_index(mapping, UP, WX))["missing_dates"]
 
 
-STAND_IN = models.linear_predictor(ev.WEIGHTS, ev.INTERCEPT)
 XLAGS, XWX = [1, 3, 7], [7, 1, 0, -6]
+STAND_IN = models.linear_predictor(features.level_names(XLAGS), ev.WEIGHTS, ev.INTERCEPT)
 
 
 def days_grid(spark, sf, days=31):

@@ -5,7 +5,7 @@ An evaluation covers one location's series, so exact percentiles see at most one
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from thalweg.functions.dates import as_date
 from thalweg.functions.numbers import level_weight
 from thalweg.operators import series
 
-LAG1 = "lag01__level__m"
+LAG1 = series.shift_name(1, series.LEVEL)
 
 
 def time_split(matrix: DataFrame, split_date, buffer: int) -> tuple[DataFrame, DataFrame]:
@@ -46,11 +46,11 @@ def split_report(matrix: DataFrame, split_date, buffer: int) -> DataFrame:
     return out.withColumns({"train_share": F.col("train_rows") / F.col("rows"), "test_share": F.col("test_rows") / F.col("rows")})
 
 
-def linear_score(features: Column, coefficients: Mapping[str, float], intercept: float = 0.0) -> Column:
-    """A fixed linear model over the feature map."""
+def linear_score(names: Sequence[str], coefficients: Mapping[str, float], intercept: float = 0.0) -> Column:
+    """A fixed linear model over the features; ``names`` gives the order of the array."""
     total = F.lit(float(intercept))
     for name, weight in coefficients.items():
-        total = total + F.lit(float(weight)) * features[name]
+        total = total + F.lit(float(weight)) * F.col("features")[list(names).index(name)]
     return total
 
 
@@ -61,7 +61,7 @@ def eval_frame(scored: DataFrame, base: str = series.LEVEL) -> DataFrame:
     is the level aimed at; with ``base='lag01'`` they are added to the level the difference is taken
     from.  The error is the same either way, the level weights are not.  Rows with a NULL are left out.
     """
-    start = F.col("features")[LAG1] if base == "lag01" else F.col(base)
+    start = F.col(LAG1) if base == "lag01" else F.col(base)
     rows = scored.filter(F.col("y").isNotNull() & F.col("pred_y").isNotNull() & F.col(series.LEVEL).isNotNull())
     return rows.select(
         "location",
@@ -139,7 +139,7 @@ def score_report(evaluated: DataFrame, stations: DataFrame) -> DataFrame:
 
 def predict_level(scored: DataFrame) -> DataFrame:
     """``level_m`` = the last known level plus the predicted difference."""
-    return scored.withColumn("level_m", F.col("features")[LAG1] + F.col("y"))
+    return scored.withColumn("level_m", F.col(LAG1) + F.col("y"))
 
 
 def require_predictions(predictions: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
 """Feature tables: a station's lags beside those of its upstream stations and its weather.
 
-Stations differ in the columns they have, so the canonical form holds each row's features in one
-map and serves all stations in a single plan; ``widen`` turns one station's rows into columns.
+Stations differ in the columns they have.  The canonical form keeps a row's features as one array of
+doubles, in an order the station mapping fixes: the station's own lags, then those of each upstream
+station, then the shifts of each weather location.  So all stations are served by one plan, rows
+carry no names through shuffles or files, and models take the array as it is.  ``feature_index``
+gives the names; ``widen`` and ``lengthen`` turn the array into columns or rows.
 
 The plan shifts every series once (one window each for levels and weather), joins the shifted rows
-with the edges of the station mapping, and gathers them by (station, date).  The number of shuffles
-does not depend on how many locations feed a station.
+with the edges of the mapping, and gathers them by (station, date).  The number of shuffles does
+not depend on how many locations feed a station.
 """
 
 from __future__ import annotations
@@ -23,6 +26,10 @@ from thalweg.operators import series
 STATION_LAGS = (1, 3, 7, 14, 30)
 WEATHER_LAGS = (1, 3, 7, 14, 30, 0, -2, -6)
 DATE_FEATURES = ("month", "dayofyear", "month_sin", "month_cos", "dayofyear_sin", "dayofyear_cos")
+LAG1 = series.shift_name(1, series.LEVEL)
+
+# The place of a source within a row: the station itself, upstream levels, weather.
+OWN, UPSTREAM, WEATHER = 0, 1, 2
 
 
 def edges(mapping: DataFrame, column: str) -> DataFrame:
@@ -30,52 +37,71 @@ def edges(mapping: DataFrame, column: str) -> DataFrame:
     return mapping.select("station", F.posexplode(column).alias("pos", "location"))
 
 
+def level_names(lags: Sequence[int]) -> list[str]:
+    return [series.shift_name(n, series.LEVEL) for n in lags]
+
+
+def rain_names(lags: Sequence[int]) -> list[str]:
+    return [series.shift_name(n, c) for n in lags for c in series.RAIN]
+
+
 def feature_names(upstream: Iterable[str], weather: Iterable[str], station_lags=STATION_LAGS, weather_lags=WEATHER_LAGS) -> list[str]:
-    """The columns of a station's wide frame between ``level__m`` and the date features."""
-    names = [series.shift_name(n, series.LEVEL) for n in station_lags]
-    names += [f"{normalise_name(u)}__{series.shift_name(n, series.LEVEL)}" for u in upstream for n in station_lags]
-    names += [f"{normalise_name(w)}__{series.shift_name(n, c)}" for w in weather for n in weather_lags for c in series.RAIN]
+    """The names of a station's features, in the order of the array."""
+    names = level_names(station_lags)
+    names += [f"{normalise_name(u)}__{n}" for u in upstream for n in level_names(station_lags)]
+    names += [f"{normalise_name(w)}__{n}" for w in weather for n in rain_names(weather_lags)]
     return names
 
 
-def _named(columns: Sequence[str], prefix: Column | None = None) -> Column:
-    """An array of (name, value) structs, one for each column."""
-    def one(c):
-        name = F.lit(c) if prefix is None else F.concat(prefix, F.lit("__" + c))
-        return F.struct(name.alias("name"), F.col(c).alias("value"))
+def feature_index(mapping: DataFrame, station_lags=STATION_LAGS, weather_lags=WEATHER_LAGS) -> DataFrame:
+    """(location, names) with the same names for every station of a mapping."""
+    own, rain = (F.array(*[F.lit(n) for n in names]) for names in (level_names(station_lags), rain_names(weather_lags)))
 
-    return F.array(*[one(c) for c in columns])
+    def prefixed(column, names):
+        per = F.transform(column, lambda place: F.transform(names, lambda n: F.concat(normalise_name(place), F.lit("__"), n)))
+        return F.flatten(per)
+
+    names = F.concat(own, prefixed("upstream_stations", own), prefixed("weather_locations", rain))
+    return mapping.select(F.col("station").alias("location"), names.alias("names"))
 
 
 def _numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(series.by_day()))
 
 
-def upstream_rows(levels: DataFrame, edges_up: DataFrame, lags: Sequence[int] = STATION_LAGS) -> DataFrame:
-    """(station, date, parts): the lags of every upstream station, less its first max(lag) rows."""
+def level_edges(mapping: DataFrame) -> DataFrame:
+    """(station, location, role, pos): each station itself and its upstream stations."""
+    own = mapping.select("station", "location", F.lit(OWN).alias("role"), F.lit(0).alias("pos"))
+    return own.unionByName(edges(mapping, "upstream_stations").withColumn("role", F.lit(UPSTREAM)))
+
+
+def weather_edges(mapping: DataFrame) -> DataFrame:
+    return edges(mapping, "weather_locations").withColumn("role", F.lit(WEATHER))
+
+
+def level_rows(levels: DataFrame, places: DataFrame, lags: Sequence[int] = STATION_LAGS) -> DataFrame:
+    """(station, date, role, pos, level__m, lag01__level__m, values): lags for every edge.
+
+    Upstream series lose their first max(lag) rows, the station's own does not.  The level and lag
+    1 are set on the station's own rows.
+    """
+    names = level_names(lags)
     lagged = _numbered(series.station_lags(levels, lags))
-    usable = lagged.filter(F.col("_rn") > max(lags))
-    joined = usable.join(edges_up.select("station", "location"), "location")
-    names = [series.shift_name(n, series.LEVEL) for n in lags]
-    return joined.select("station", "date", _named(names, normalise_name(F.col("location"))).alias("parts"))
+    first = F.col(LAG1) if 1 in lags else F.lit(None).cast("double")
+    packed = lagged.select("location", "date", "_rn", series.LEVEL, first.alias(LAG1), F.array(*names).alias("values"))
+    joined = packed.join(places, "location").filter((F.col("role") == OWN) | (F.col("_rn") > max(lags)))
+    mine = lambda c: F.when(F.col("role") == OWN, F.col(c)).alias(c)
+    return joined.select("station", "date", "role", "pos", mine(series.LEVEL), mine(LAG1), "values")
 
 
-def weather_rows(weather: DataFrame, edges_wx: DataFrame, lags: Sequence[int] = WEATHER_LAGS) -> DataFrame:
-    """(station, date, parts) for weather.  The first location of a station is not cut, the others
-    lose max(lag) rows; with no positive lag nothing is cut."""
+def weather_rows(weather: DataFrame, places: DataFrame, lags: Sequence[int] = WEATHER_LAGS) -> DataFrame:
+    """(station, date, role, pos, values) for weather.  The first location of a station is not cut,
+    the others lose max(lag) rows; with no positive lag nothing is cut."""
     moved = _numbered(series.weather_shifts(weather, lags))
+    packed = moved.select("location", "date", "_rn", F.array(*rain_names(lags)).alias("values"))
     cut = max(max(lags), 0)
-    joined = moved.join(edges_wx, "location").filter((F.col("pos") == 0) | (F.col("_rn") > cut))
-    names = [series.shift_name(n, c) for n in lags for c in series.RAIN]
-    return joined.select("station", "date", _named(names, normalise_name(F.col("location"))).alias("parts"))
-
-
-def reference_rows(levels: DataFrame, stations: DataFrame, lags: Sequence[int] = STATION_LAGS) -> DataFrame:
-    """(station, date, level__m, parts): the station's own level and lags, uncut."""
-    lagged = series.station_lags(levels, lags)
-    names = [series.shift_name(n, series.LEVEL) for n in lags]
-    own = lagged.join(stations.select("station", "location"), "location")
-    return own.select("station", "date", series.LEVEL, _named(names).alias("parts"))
+    joined = packed.join(places, "location").filter((F.col("pos") == 0) | (F.col("_rn") > cut))
+    return joined.select("station", "date", "role", "pos", "values")
 
 
 def join_on_date(frames: Sequence[DataFrame], expected: DataFrame) -> DataFrame:
@@ -87,16 +113,16 @@ def join_on_date(frames: Sequence[DataFrame], expected: DataFrame) -> DataFrame:
     """
     tall = None
     for frame in frames:
-        level = F.col(series.LEVEL) if series.LEVEL in frame.columns else F.lit(None).cast("double")
-        part = frame.select("station", "date", level.alias(series.LEVEL), "parts")
+        held = {c: F.col(c) if c in frame.columns else F.lit(None).cast("double") for c in (series.LEVEL, LAG1)}
+        part = frame.select("station", "date", *[e.alias(c) for c, e in held.items()], F.struct("role", "pos", "values").alias("part"))
         tall = part if tall is None else tall.unionByName(part)
     grouped = tall.groupBy("station", "date").agg(
         F.max(series.LEVEL).alias(series.LEVEL),
-        F.flatten(F.collect_list("parts")).alias("parts"),
-        F.count("*").alias("_n"),
+        F.max(LAG1).alias(LAG1),
+        F.sort_array(F.collect_list("part")).alias("parts"),
     )
-    complete = grouped.join(expected, "station").filter(F.col("_n") == F.col("sources"))
-    return complete.select("station", "date", series.LEVEL, F.map_from_entries("parts").alias("features"))
+    complete = grouped.join(expected, "station").filter(F.size("parts") == F.col("sources"))
+    return complete.select("station", "date", series.LEVEL, LAG1, F.flatten("parts.values").alias("features"))
 
 
 def source_counts(mapping: DataFrame, reference: bool = True, upstream: bool = True, weather: bool = True) -> DataFrame:
@@ -106,11 +132,11 @@ def source_counts(mapping: DataFrame, reference: bool = True, upstream: bool = T
         n = n + F.size("upstream_stations")
     if weather:
         n = n + F.size("weather_locations")
-    return mapping.select("station", n.cast("long").alias("sources"))
+    return mapping.select("station", n.alias("sources"))
 
 
-def _has_null(features: Column) -> Column:
-    return F.exists(F.map_values(features), lambda v: v.isNull())
+def complete_features() -> Column:
+    return ~F.exists("features", lambda v: v.isNull())
 
 
 def feature_matrix(
@@ -122,7 +148,7 @@ def feature_matrix(
     forecast_days: int = 1,
     infer: bool = False,
 ) -> DataFrame:
-    """(location, date, level__m, features, date features[, y]) for every station of the mapping.
+    """(location, date, level__m, lag01__level__m, features, date features[, y]) for all stations.
 
     For training, ``level__m`` is the level ``forecast_days - 1`` joined rows ahead and ``y`` its
     difference to ``lag01__level__m``, so lag 1 has to be among the station lags.  Rows with a
@@ -132,22 +158,21 @@ def feature_matrix(
     if not infer and 1 not in station_lags:
         raise ValueError("the target is a difference to lag 1: add 1 to station_lags")
     joined = join_on_date(
-        [
-            reference_rows(levels, mapping, station_lags),
-            upstream_rows(levels, edges(mapping, "upstream_stations"), station_lags),
-            weather_rows(weather, edges(mapping, "weather_locations"), weather_lags),
-        ],
+        [level_rows(levels, level_edges(mapping), station_lags), weather_rows(weather, weather_edges(mapping), weather_lags)],
         source_counts(mapping),
     )
+    full = complete_features()
     if not infer:
-        lag1 = F.col("features")[series.shift_name(1, series.LEVEL)]
-        joined = series.target_difference(joined.withColumn("_lag1", lag1), forecast_days, key="station", lag="_lag1").drop("_lag1")
-    full = ~_has_null(F.col("features"))
-    if not infer:
-        full = full & F.col(series.LEVEL).isNotNull() & F.col("y").isNotNull()
-    kept = joined.filter(full).withColumns(circular_encoding("date"))
-    tail = [] if infer else ["y"]
-    return kept.select(F.col("station").alias("location"), "date", series.LEVEL, "features", *DATE_FEATURES, *tail)
+        joined = series.target_difference(joined, forecast_days, key="station")
+        full = full & F.col("y").isNotNull()
+    return with_dates(joined.filter(full))
+
+
+def with_dates(rows: DataFrame) -> DataFrame:
+    """Joined rows with the date features, under the names of the matrix."""
+    tail = [c for c in ("y",) if c in rows.columns]
+    encoded = rows.withColumns(circular_encoding("date"))
+    return encoded.select(F.col("station").alias("location"), "date", series.LEVEL, LAG1, "features", *DATE_FEATURES, *tail)
 
 
 def empty_sources(mapping: DataFrame, levels: DataFrame, weather: DataFrame) -> DataFrame:
@@ -177,25 +202,23 @@ def require_sources(mapping: DataFrame, levels: DataFrame, weather: DataFrame) -
         raise ValueError(f"station {row['station']}: no data for {row['role']} location {row['location']}")
 
 
-def widen(matrix: DataFrame, names: Sequence[str], prefix_location: bool = True) -> DataFrame:
-    """One column per feature name; for rows that all have those features."""
-    head = ["location", "date", series.LEVEL] if prefix_location else ["date", series.LEVEL]
+def widen(matrix: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One column per feature, for the rows of one station (``names`` from ``feature_names``)."""
     tail = [c for c in (*DATE_FEATURES, "y") if c in matrix.columns]
-    return matrix.select(*head, *[F.col("features")[n].alias(n) for n in names], *tail)
+    return matrix.select("location", "date", series.LEVEL, *[F.col("features")[i].alias(n) for i, n in enumerate(names)], *tail)
 
 
-def lengthen(matrix: DataFrame) -> DataFrame:
-    """(location, date, feature, value): the long form."""
-    return matrix.select("location", "date", F.explode("features").alias("feature", "value"))
+def lengthen(matrix: DataFrame, index: DataFrame) -> DataFrame:
+    """(location, date, feature, value): the long form, with the names of ``feature_index``."""
+    named = matrix.select("location", "date", "features").join(index, "location")
+    return named.select("location", "date", F.inline(F.arrays_zip(F.col("names").alias("feature"), F.col("features").alias("value"))))
 
 
-def feature_vector(matrix: DataFrame, include_dates: bool = True) -> Column:
-    """The features as an array of doubles ordered by name, then the date features."""
-    by_name = F.array_sort(F.map_entries("features"))
-    values = F.transform(by_name, lambda e: e["value"])
+def feature_vector(include_dates: bool = True) -> Column:
+    """The model input: the features, then the date features."""
     if not include_dates:
-        return values
-    return F.concat(values, F.array(*[F.col(c).cast("double") for c in DATE_FEATURES]))
+        return F.col("features")
+    return F.concat("features", F.array(*[F.col(c).cast("double") for c in DATE_FEATURES]))
 
 
 def completeness(mapping: DataFrame, column: str, data: DataFrame, begin, end) -> DataFrame:
@@ -219,11 +242,17 @@ def completeness(mapping: DataFrame, column: str, data: DataFrame, begin, end) -
     return counted.withColumn("complete", F.col("found") >= F.col("expected"))
 
 
-def feature_target_corr(matrix: DataFrame) -> DataFrame:
-    """(location, feature, corr) of every feature with ``y`` over a location's rows."""
-    dates = F.create_map(*[x for c in (*DATE_FEATURES, series.LEVEL) for x in (F.lit(c), F.col(c).cast("double"))])
-    tall = matrix.select("location", "y", F.explode(F.map_concat("features", dates)).alias("feature", "value"))
-    return tall.groupBy("location", "feature").agg(pearson("y", "value").alias("corr"))
+def feature_target_corr(matrix: DataFrame, index: DataFrame) -> DataFrame:
+    """(location, feature, corr) of every feature, date feature and the level with ``y``.
+
+    Rows are spread by position and reduced on the map side; names join the few results.
+    """
+    extra = [*DATE_FEATURES, series.LEVEL]
+    values = F.concat("features", F.array(*[F.col(c).cast("double") for c in extra]))
+    tall = matrix.select("location", "y", F.posexplode(values).alias("pos", "value"))
+    corr = tall.groupBy("location", "pos").agg(pearson("y", "value").alias("corr"))
+    names = index.select("location", F.concat("names", F.array(*[F.lit(c) for c in extra])).alias("names"))
+    return corr.join(names, "location").select("location", F.col("names")[F.col("pos")].alias("feature"), "corr")
 
 
 def corr_table(corr: DataFrame, locations: Sequence[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thalweg.functions.dates import fourier_terms
+from thalweg.operators.evaluation import linear_score
 from thalweg.operators.features import feature_vector
 
 KEYS = ("location", "forecast_days")
@@ -26,8 +27,8 @@ COEFFICIENTS = "location string, forecast_days int, rows long, intercept double,
 
 
 def with_vector(rows: DataFrame) -> DataFrame:
-    """Features and date features as one ML vector, in name order."""
-    return rows.withColumn("x", array_to_vector(feature_vector(rows)))
+    """Features and date features as one ML vector."""
+    return rows.withColumn("x", array_to_vector(feature_vector()))
 
 
 # --- tree ensembles
@@ -77,7 +78,7 @@ def boosted_predict(model: GBTRegressionModel, rows: DataFrame) -> DataFrame:
 def with_design(rows: DataFrame, order: int = 10) -> DataFrame:
     """Features, date features and yearly terms as one array."""
     yearly = F.array(*fourier_terms("date", order).values())
-    return rows.withColumn("x", F.concat(feature_vector(rows), yearly))
+    return rows.withColumn("x", F.concat(feature_vector(), yearly))
 
 
 def _cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,7 +93,7 @@ def _cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _solver(ridge: float):
-    def solve(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum(np.vstack(pdf["g"].to_numpy()), axis=0)
         size = int(round(len(total) ** 0.5))
         g = total.reshape(size, size)
@@ -196,8 +197,6 @@ def additive_predictor(coefficients: DataFrame, order: int = 10) -> Callable[[Da
     return lambda rows: additive_predict(coefficients, rows, order)
 
 
-def linear_predictor(coefficients: dict[str, float], intercept: float = 0.0) -> Callable[[DataFrame], DataFrame]:
-    """A fixed linear model, for checks."""
-    from thalweg.operators.evaluation import linear_score
-
-    return lambda rows: rows.drop("y").withColumn("y", linear_score(F.col("features"), coefficients, intercept))
+def linear_predictor(names: Sequence[str], coefficients: dict[str, float], intercept: float = 0.0) -> Callable[[DataFrame], DataFrame]:
+    """A fixed linear model over features in the order of ``names``; for checks."""
+    return lambda rows: rows.drop("y").withColumn("y", linear_score(names, coefficients, intercept))

@@ -12,8 +12,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.functions.dates import as_date, circular_encoding
-from thalweg.functions.text import model_name, normalise_name
+from thalweg.functions.dates import as_date
+from thalweg.functions.text import model_name
 from thalweg.operators import evaluation, features, quality, series
 from thalweg.operators.features import STATION_LAGS, WEATHER_LAGS
 from thalweg.operators.series import LEVEL, RAIN
@@ -76,7 +76,7 @@ def _carried(cells: Column, field: str, position: int, leading: Column) -> Colum
 
 
 def _level_parts(pairs: DataFrame, levels: DataFrame, lags: Sequence[int]) -> DataFrame:
-    """(location, as_of, lagNN__level__m ...): the filled window's values at the lags.
+    """(location, as_of, lag01__level__m, values): the filled window's values at the lags.
 
     A window has max(lag) cells, so a group's array is as short as the longest lag.
     """
@@ -84,13 +84,12 @@ def _level_parts(pairs: DataFrame, levels: DataFrame, lags: Sequence[int]) -> Da
     cells = _cells(pairs, -span, -1).join(levels.select("location", "date", LEVEL), ["location", "date"], "left")
     grouped = cells.groupBy("location", "as_of").agg(F.sort_array(F.collect_list(F.struct("date", LEVEL))).alias("c"))
     first = F.try_element_at(F.filter("c", lambda x: x[LEVEL].isNotNull()), F.lit(1))[LEVEL]
-    return grouped.select(
-        "location", "as_of", *[_carried(F.col("c"), LEVEL, span - n, first).alias(series.shift_name(n, LEVEL)) for n in lags]
-    )
+    at = lambda n: _carried(F.col("c"), LEVEL, span - n, first)
+    return grouped.select("location", "as_of", at(1).alias(features.LAG1), F.array(*[at(n) for n in lags]).alias("values"))
 
 
 def _weather_parts(pairs: DataFrame, history: DataFrame, forecast: DataFrame, lags: Sequence[int], today) -> DataFrame:
-    """(location, as_of, shifted precipitation ...).
+    """(location, as_of, values): the shifted precipitation.
 
     History serves the days up to yesterday, the forecast those from the reference day.  A location
     without a single row in one of the two, where it is needed, gives NULLs.
@@ -113,8 +112,8 @@ def _weather_parts(pairs: DataFrame, history: DataFrame, forecast: DataFrame, la
         F.count("_f").alias("coming"),
     )
     served = ((F.col("past") > 0) | (F.date_sub("as_of", top) >= now)) & ((F.col("coming") > 0) | ~ahead)
-    values = {series.shift_name(n, c): F.when(served, _carried(F.col("c"), c, top - n, F.lit(0.0))) for n in lags for c in RAIN}
-    return grouped.select("location", "as_of", *[e.alias(n) for n, e in values.items()])
+    values = [F.when(served, _carried(F.col("c"), c, top - n, F.lit(0.0))) for n in lags for c in RAIN]
+    return grouped.select("location", "as_of", F.array(*values).alias("values"))
 
 
 def inference_features(
@@ -130,25 +129,18 @@ def inference_features(
     """Feature rows for (station, as_of) pairs, as ``feature_matrix(infer=True)`` would give for the
     filled inputs of each single day.  Pairs with an empty source give no row."""
     pairs = wanted.select("station", "as_of").distinct()
-    up, wx = features.edges(mapping, "upstream_stations"), features.edges(mapping, "weather_locations")
-    own = mapping.select("station", "location")
-    spots = lambda e: pairs.join(e.select("station", "location"), "station")
-    level_spots, weather_spots = spots(up.select("station", "location").unionByName(own)), spots(wx)
+    level_spots = pairs.join(features.level_edges(mapping), "station")
+    weather_spots = pairs.join(features.weather_edges(mapping), "station")
     lagged = _level_parts(level_spots.select("location", "as_of").distinct(), levels, station_lags)
     moved = _weather_parts(weather_spots.select("location", "as_of").distinct(), history, forecast, weather_lags, today)
-    level_names = [series.shift_name(n, LEVEL) for n in station_lags]
-    rain_names = [series.shift_name(n, c) for n in weather_lags for c in RAIN]
-    prefix = normalise_name(F.col("location"))
-
-    def parts(rows, names, head=None):
-        return rows.select("station", F.col("as_of").alias("date"), features._named(names, head).alias("parts"))
-
-    reference = parts(lagged.join(spots(own), ["location", "as_of"]), level_names).withColumn(LEVEL, F.lit(0.0))
-    upstream = parts(lagged.join(spots(up), ["location", "as_of"]), level_names, prefix)
-    weather = parts(moved.join(spots(wx), ["location", "as_of"]), rain_names, prefix)
-    joined = features.join_on_date([reference, upstream, weather], features.source_counts(mapping))
-    full = joined.filter(~features._has_null(F.col("features"))).withColumns(circular_encoding("date"))
-    return full.select(F.col("station").alias("location"), "date", LEVEL, "features", *features.DATE_FEATURES)
+
+    def rows(values, spots, *held):
+        return values.join(spots, ["location", "as_of"]).select("station", F.col("as_of").alias("date"), "role", "pos", *held, "values")
+
+    own = lambda e, name: F.when(F.col("role") == features.OWN, e).alias(name)
+    level_part = rows(lagged, level_spots, own(F.lit(0.0), LEVEL), own(F.col(features.LAG1), features.LAG1))
+    joined = features.join_on_date([level_part, rows(moved, weather_spots)], features.source_counts(mapping))
+    return features.with_dates(joined.filter(features.complete_features()))
 
 
 def infer_batch(

@@ -67,12 +67,12 @@ def training_matrix(mapping: DataFrame, levels: DataFrame, weather: DataFrame, c
     return reduce(DataFrame.unionByName, parts)
 
 
-def analyze_features(matrix: DataFrame) -> dict[str, DataFrame]:
+def analyze_features(matrix: DataFrame, index: DataFrame) -> dict[str, DataFrame]:
     """Days no station has a row for, and the correlation of every feature with the target."""
     days = matrix.agg(F.array_sort(F.collect_set("date")).alias("d"))
     span = F.sequence(F.element_at("d", 1), F.element_at("d", -1))
     gaps = days.filter(F.size("d") > 0).select(F.explode(F.array_except(span, F.col("d"))).alias("date"))
-    return {"missing_dates": gaps, "corr": features.feature_target_corr(matrix)}
+    return {"missing_dates": gaps, "corr": features.feature_target_corr(matrix, index)}
 
 
 @dataclass
