@@ -58,6 +58,15 @@ def test_training_frames(small, weather_lags, horizon, expected):
         check_dates(r)
 
 
+def test_several_horizons_are_each_the_single_one(small):
+    mapping, levels, rain = small
+    both = features.training_matrix(mapping, levels, rain, [1, 2], [1], [0])
+    for h in (1, 2):
+        single = features.feature_matrix(mapping, levels, rain, [1], [0], h)
+        some = both.filter(both.forecast_days == h).drop("forecast_days")
+        assert sorted(map(str, some.collect())) == sorted(map(str, single.collect())) != []
+
+
 def test_column_names(small):
     names = features.feature_names(["S1"], ["W 1"], [1], [1, 0, -1])
     assert names[:2] == ["lag01__level__m", "s1__lag01__level__m"]

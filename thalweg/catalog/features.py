@@ -47,7 +47,7 @@ JOIN l ON l.location = f.station AND l.date = f.date""",
 def join_upstream_levels(spark, sf):
     """Own rows and upstream rows of every station gathered by day, under the names of the features."""
     mapping, levels = fx.station_mapping(spark, sf), fx.levels(spark, sf)
-    joined = features.join_on_date([features.level_rows(levels, features.level_edges(mapping), UP)], features.source_counts(mapping, weather=False))
+    joined = features.join_on_date([features.level_rows(levels, features.sources(mapping, weather=False), UP)])
     no_weather = mapping.withColumn("weather_locations", F.array().cast("array<string>"))
     tall = features.lengthen(joined.withColumnRenamed("station", "location"), features.feature_index(no_weather, UP, WX))
     return tall.withColumnRenamed("location", "station").filter(~F.startswith("feature", F.lit("lag")))
@@ -66,8 +66,8 @@ WHERE year(f.date) = 2000 AND n = (SELECT count(*) FROM edges_wx e WHERE e.stati
 )
 def join_weather_locations(spark, sf):
     mapping = fx.station_mapping(spark, sf)
-    rows = features.weather_rows(fx.rain_filled(spark, sf), features.weather_edges(mapping), WX)
-    joined = features.join_on_date([rows], features.source_counts(mapping, reference=False, upstream=False)).filter(F.year("date") == 2000)
+    rows = features.weather_rows(fx.rain_filled(spark, sf), features.sources(mapping, reference=False, upstream=False), WX)
+    joined = features.join_on_date([rows]).filter(F.year("date") == 2000)
     names = features.feature_index(mapping.withColumn("upstream_stations", F.array().cast("array<string>")), UP, WX)
     only = names.withColumn("names", F.slice("names", len(UP) + 1, F.size("names")))
     return features.lengthen(joined.withColumnRenamed("station", "location"), only).withColumnRenamed("location", "station")

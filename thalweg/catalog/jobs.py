@@ -266,7 +266,7 @@ def gbt_train_infer(spark, sf):
 def seasonal_regression(spark, sf):
     """Every station and horizon fitted in one job; the predictions for the days after the split."""
     mapping, levels, weather, _ = training_inputs(spark, sf)
-    m = training.training_matrix(mapping, levels, weather, config("Prophet_001", (1, 7)))
+    m = materialise(training.training_matrix(mapping, levels, weather, config("Prophet_001", (1, 7))), "matrix")
     fitted = models.fit_additive(m.filter("date < '2000-01-01'"))
     scored = models.additive_predict(fitted, m.filter("date >= '2000-01-01'"))
     return scored.select("location", "date", "forecast_days", F.round("y", 6).alias("y"))
@@ -284,7 +284,7 @@ def model_registry(spark, sf):
 def persist_load_model(spark, sf):
     """A stored model predicts what the one in memory does: (predictions, differing predictions)."""
     mapping, levels, weather, _ = training_inputs(spark, sf)
-    m = training.training_matrix(mapping, levels, weather, config("Prophet_001"))
+    m = materialise(training.training_matrix(mapping, levels, weather, config("Prophet_001")), "matrix")
     fitted = models.fit_additive(m.filter("date < '2000-01-01'"))
     path = models.model_path(fresh_path(spark, "models"), "all", 0, "Prophet_001")
     models.save_additive(fitted, path)

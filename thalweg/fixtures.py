@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from thalweg.functions.dates import as_date
 from thalweg.operators import risk, series
@@ -19,8 +20,15 @@ AS_OF = dt.date(2001, 7, 1)
 BEGIN, END = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A stored table.  Its schema is read from the files once, as that takes a job of its own."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _bounded(df: DataFrame, ts: str, begin, end) -> DataFrame:
@@ -33,42 +41,48 @@ def _bounded(df: DataFrame, ts: str, begin, end) -> DataFrame:
 
 
 def river(spark, sf_dir, begin=None, end=None) -> DataFrame:
-    """(location_name, date, level_m): a gappy daily series per region."""
+    """(location_name, date, level_m): a gappy daily series per region.
+
+    Orders are brought to a region's number and summed; names join the sums.
+    """
     orders = _bounded(table(spark, sf_dir, "orders"), "o_orderdate", begin, end)
-    nation = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    places = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     daily = (
         orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("date"), cents.alias("cents"))
-        .join(places, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(F.col("r_name").alias("location_name"), "date")
+        .join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy("n_regionkey", "date")
         .agg(F.sum("cents").alias("cents"), F.count("*").alias("n"))
     )
-    return daily.select("location_name", "date", (F.col("cents").cast("double") / F.col("n").cast("double") / F.lit(1e7)).alias("level_m"))
+    named = daily.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    level = F.col("cents").cast("double") / F.col("n").cast("double") / F.lit(1e7)
+    return named.select(F.col("r_name").alias("location_name"), "date", level.alias("level_m"))
 
 
-def _weather(spark, sf_dir, place: str, begin, end) -> DataFrame:
-    items = _bounded(table(spark, sf_dir, "lineitem"), "l_shipdate", begin, end)
-    suppliers = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return (
-        items.select("l_suppkey", "l_quantity", F.col("l_shipdate").cast("date").alias("date"))
-        .join(suppliers.select("s_suppkey", place), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy(F.col(place).alias("location_name"), "date")
-        .agg(
-            F.sum("l_quantity").alias("precipitation_sum"),
-            F.least(F.lit(24), F.count("*")).cast("double").alias("precipitation_hours"),
-        )
+def _rain(items: DataFrame, place: str) -> DataFrame:
+    return items.groupBy(place, "date").agg(
+        F.sum("l_quantity").alias("precipitation_sum"), F.least(F.lit(24), F.count("*")).cast("double").alias("precipitation_hours")
     )
 
 
+def _shipped(spark, sf_dir, begin, end) -> DataFrame:
+    items = _bounded(table(spark, sf_dir, "lineitem"), "l_shipdate", begin, end)
+    return items.select("l_suppkey", "l_quantity", F.col("l_shipdate").cast("date").alias("date"))
+
+
 def weather(spark, sf_dir, begin=None, end=None) -> DataFrame:
     """(location_name, date, precipitation_sum, precipitation_hours) per supplier nation."""
-    return _weather(spark, sf_dir, "n_name", begin, end)
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    daily = _rain(_shipped(spark, sf_dir, begin, end).join(supplier, F.col("l_suppkey") == F.col("s_suppkey")), "s_nationkey")
+    names = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("location_name"))
+    return daily.join(names, F.col("s_nationkey") == F.col("n_nationkey")).select("location_name", "date", *series.RAIN)
 
 
 def fleet(spark, sf_dir, begin=None, end=None) -> DataFrame:
     """The same per supplier: the number of series grows with the data."""
-    return _weather(spark, sf_dir, "s_name", begin, end)
+    daily = _rain(_shipped(spark, sf_dir, begin, end), "l_suppkey")
+    names = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("location_name"))
+    return daily.join(names, F.col("l_suppkey") == F.col("s_suppkey")).select("location_name", "date", *series.RAIN)
 
 
 def levels(spark, sf_dir, begin=None, end=None) -> DataFrame:
@@ -100,9 +114,9 @@ def station_mapping(spark, sf_dir) -> DataFrame:
     region = table(spark, sf_dir, "region")
     n = 5  # the regions of the schema
     upstream = region.select(((F.col("r_regionkey") + n - 1) % n).alias("k"), F.col("r_name").alias("next_name"))
-    nation = table(spark, sf_dir, "nation")
-    supplied = nation.join(table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey")).distinct(), "n_nationkey", "left_semi")
-    places = supplied.groupBy(F.col("n_regionkey").alias("k")).agg(F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("places"))
+    supplied = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey"))
+    nation = table(spark, sf_dir, "nation").join(supplied, "n_nationkey", "left_semi")
+    places = nation.groupBy(F.col("n_regionkey").alias("k")).agg(F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("places"))
     named = region.select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("station"))
     return (
         named.join(upstream, "k")

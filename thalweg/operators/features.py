@@ -69,18 +69,35 @@ def _numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(series.by_day()))
 
 
-def level_edges(mapping: DataFrame) -> DataFrame:
-    """(station, location, role, pos): each station itself and its upstream stations."""
-    own = mapping.select("station", "location", F.lit(OWN).alias("role"), F.lit(0).alias("pos"))
-    return own.unionByName(edges(mapping, "upstream_stations").withColumn("role", F.lit(UPSTREAM)))
+def sources(mapping: DataFrame, reference: bool = True, upstream: bool = True, weather: bool = True) -> DataFrame:
+    """(station, location, role, pos, n_sources): one row per source of every station.
+
+    ``n_sources`` is how many rows a complete day of the station is made of.
+    """
+    def listed(column, role):
+        return F.transform(column, lambda x, i: F.struct(x.alias("location"), F.lit(role).alias("role"), i.alias("pos")))
+
+    wanted = []
+    if reference:
+        wanted.append(listed(F.array("location"), OWN))
+    if upstream:
+        wanted.append(listed("upstream_stations", UPSTREAM))
+    if weather:
+        wanted.append(listed("weather_locations", WEATHER))
+    all_of = mapping.select("station", F.concat(*wanted).alias("s"))
+    return all_of.select("station", F.size("s").alias("n_sources"), F.inline("s"))
+
+
+def level_sources(places: DataFrame) -> DataFrame:
+    return places.filter(F.col("role") != WEATHER)
 
 
-def weather_edges(mapping: DataFrame) -> DataFrame:
-    return edges(mapping, "weather_locations").withColumn("role", F.lit(WEATHER))
+def weather_sources(places: DataFrame) -> DataFrame:
+    return places.filter(F.col("role") == WEATHER)
 
 
 def level_rows(levels: DataFrame, places: DataFrame, lags: Sequence[int] = STATION_LAGS) -> DataFrame:
-    """(station, date, role, pos, level__m, lag01__level__m, values): lags for every edge.
+    """(station, date, role, pos, n_sources, level__m, lag01__level__m, values): lags by source.
 
     Upstream series lose their first max(lag) rows, the station's own does not.  The level and lag
     1 are set on the station's own rows.
@@ -91,54 +108,55 @@ def level_rows(levels: DataFrame, places: DataFrame, lags: Sequence[int] = STATI
     packed = lagged.select("location", "date", "_rn", series.LEVEL, first.alias(LAG1), F.array(*names).alias("values"))
     joined = packed.join(places, "location").filter((F.col("role") == OWN) | (F.col("_rn") > max(lags)))
     mine = lambda c: F.when(F.col("role") == OWN, F.col(c)).alias(c)
-    return joined.select("station", "date", "role", "pos", mine(series.LEVEL), mine(LAG1), "values")
+    return joined.select("station", "date", "role", "pos", "n_sources", mine(series.LEVEL), mine(LAG1), "values")
 
 
 def weather_rows(weather: DataFrame, places: DataFrame, lags: Sequence[int] = WEATHER_LAGS) -> DataFrame:
-    """(station, date, role, pos, values) for weather.  The first location of a station is not cut,
+    """(station, date, role, pos, n_sources, values) for weather.  The first location of a station is not cut,
     the others lose max(lag) rows; with no positive lag nothing is cut."""
     moved = _numbered(series.weather_shifts(weather, lags))
     packed = moved.select("location", "date", "_rn", F.array(*rain_names(lags)).alias("values"))
     cut = max(max(lags), 0)
     joined = packed.join(places, "location").filter((F.col("pos") == 0) | (F.col("_rn") > cut))
-    return joined.select("station", "date", "role", "pos", "values")
+    return joined.select("station", "date", "role", "pos", "n_sources", "values")
 
 
-def join_on_date(frames: Sequence[DataFrame], expected: DataFrame) -> DataFrame:
+def join_on_date(frames: Sequence[DataFrame]) -> DataFrame:
     """Inner join of any number of sources on (station, date) as one grouping.
 
-    ``expected`` (station, sources) says how many rows a complete day has; days with fewer are
-    dropped, which is what a chain of inner joins would leave.  A group holds one row per source of
-    the station, a number fixed by the mapping.
+    Days with fewer than ``n_sources`` rows are dropped, which is what a chain of inner joins would
+    leave.  A group holds one row per source of the station, a number fixed by the mapping.
     """
     tall = None
     for frame in frames:
         held = {c: F.col(c) if c in frame.columns else F.lit(None).cast("double") for c in (series.LEVEL, LAG1)}
-        part = frame.select("station", "date", *[e.alias(c) for c, e in held.items()], F.struct("role", "pos", "values").alias("part"))
-        tall = part if tall is None else tall.unionByName(part)
+        part = F.struct("role", "pos", "values").alias("part")
+        rows = frame.select("station", "date", "n_sources", *[e.alias(c) for c, e in held.items()], part)
+        tall = rows if tall is None else tall.unionByName(rows)
     grouped = tall.groupBy("station", "date").agg(
+        F.max("n_sources").alias("n_sources"),
         F.max(series.LEVEL).alias(series.LEVEL),
         F.max(LAG1).alias(LAG1),
         F.sort_array(F.collect_list("part")).alias("parts"),
     )
-    complete = grouped.join(expected, "station").filter(F.size("parts") == F.col("sources"))
+    complete = grouped.filter(F.size("parts") == F.col("n_sources"))
     return complete.select("station", "date", series.LEVEL, LAG1, F.flatten("parts.values").alias("features"))
 
 
-def source_counts(mapping: DataFrame, reference: bool = True, upstream: bool = True, weather: bool = True) -> DataFrame:
-    """How many rows a complete (station, date) is made of."""
-    n = F.lit(int(reference))
-    if upstream:
-        n = n + F.size("upstream_stations")
-    if weather:
-        n = n + F.size("weather_locations")
-    return mapping.select("station", n.alias("sources"))
-
-
 def complete_features() -> Column:
     return ~F.exists("features", lambda v: v.isNull())
 
 
+def joined_rows(
+    mapping: DataFrame, levels: DataFrame, weather: DataFrame, station_lags: Sequence[int] = STATION_LAGS, weather_lags: Sequence[int] = WEATHER_LAGS
+) -> DataFrame:
+    """(station, date, level__m, lag01__level__m, features): days on which all sources are present."""
+    places = sources(mapping)
+    return join_on_date(
+        [level_rows(levels, level_sources(places), station_lags), weather_rows(weather, weather_sources(places), weather_lags)]
+    )
+
+
 def feature_matrix(
     mapping: DataFrame,
     levels: DataFrame,
@@ -155,22 +173,41 @@ def feature_matrix(
     missing value are dropped; for inference the level may be missing.  Levels and weather must be
     series.  Stations for which a source is empty give no rows: ``empty_sources`` names them.
     """
-    if not infer and 1 not in station_lags:
+    if infer:
+        joined = joined_rows(mapping, levels, weather, station_lags, weather_lags)
+        return with_dates(joined.filter(complete_features()))
+    _require_lag1(station_lags)
+    joined = joined_rows(mapping, levels, weather, station_lags, weather_lags)
+    aimed = series.target_difference(joined, forecast_days, key="station")
+    return with_dates(aimed.filter(complete_features() & F.col("y").isNotNull()))
+
+
+def training_matrix(
+    mapping: DataFrame,
+    levels: DataFrame,
+    weather: DataFrame,
+    horizons: Sequence[int],
+    station_lags: Sequence[int] = STATION_LAGS,
+    weather_lags: Sequence[int] = WEATHER_LAGS,
+) -> DataFrame:
+    """``feature_matrix`` for several horizons, marked with ``forecast_days``.
+
+    The sources are joined once; one window finds the targets of all horizons.
+    """
+    _require_lag1(station_lags)
+    joined = joined_rows(mapping, levels, weather, station_lags, weather_lags)
+    aimed = series.target_differences(joined, horizons, key="station")
+    return with_dates(aimed.filter(complete_features() & F.col("y").isNotNull()))
+
+
+def _require_lag1(station_lags: Sequence[int]) -> None:
+    if 1 not in station_lags:
         raise ValueError("the target is a difference to lag 1: add 1 to station_lags")
-    joined = join_on_date(
-        [level_rows(levels, level_edges(mapping), station_lags), weather_rows(weather, weather_edges(mapping), weather_lags)],
-        source_counts(mapping),
-    )
-    full = complete_features()
-    if not infer:
-        joined = series.target_difference(joined, forecast_days, key="station")
-        full = full & F.col("y").isNotNull()
-    return with_dates(joined.filter(full))
 
 
 def with_dates(rows: DataFrame) -> DataFrame:
     """Joined rows with the date features, under the names of the matrix."""
-    tail = [c for c in ("y",) if c in rows.columns]
+    tail = [c for c in ("y", "forecast_days") if c in rows.columns]
     encoded = rows.withColumns(circular_encoding("date"))
     return encoded.select(F.col("station").alias("location"), "date", series.LEVEL, LAG1, "features", *DATE_FEATURES, *tail)
 

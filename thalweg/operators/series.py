@@ -278,3 +278,14 @@ def target_difference(
         )
         df = ahead.filter(F.col("_left").isNotNull()).drop("_left")
     return df.withColumn("y", F.col(LEVEL) - F.col(lag))
+
+
+def target_differences(df: DataFrame, horizons: Sequence[int], key: str = "location", date: str = "date", lag: str = "lag01__level__m") -> DataFrame:
+    """``target_difference`` for several horizons at once: a row per horizon, under ``forecast_days``."""
+    w = by_day(key, date)
+    aims = {f"_aim{h}": F.lead(F.struct(F.col(LEVEL)), h - 1).over(w) if h > 1 else F.struct(F.col(LEVEL)) for h in horizons}
+    choices = F.array(*[F.struct(F.lit(h).alias("forecast_days"), F.col(f"_aim{h}").alias("aim")) for h in horizons])
+    rest = [c for c in df.columns if c != LEVEL]
+    spread = df.withColumns(aims).select(*rest, F.inline(F.filter(choices, lambda c: c["aim"].isNotNull())))
+    level = F.col(f"aim.{LEVEL}")
+    return spread.select(*rest, "forecast_days", level.alias(LEVEL), (level - F.col(lag)).alias("y"))

@@ -129,17 +129,18 @@ def inference_features(
     """Feature rows for (station, as_of) pairs, as ``feature_matrix(infer=True)`` would give for the
     filled inputs of each single day.  Pairs with an empty source give no row."""
     pairs = wanted.select("station", "as_of").distinct()
-    level_spots = pairs.join(features.level_edges(mapping), "station")
-    weather_spots = pairs.join(features.weather_edges(mapping), "station")
+    places = features.sources(mapping)
+    level_spots = pairs.join(features.level_sources(places), "station")
+    weather_spots = pairs.join(features.weather_sources(places), "station")
     lagged = _level_parts(level_spots.select("location", "as_of").distinct(), levels, station_lags)
     moved = _weather_parts(weather_spots.select("location", "as_of").distinct(), history, forecast, weather_lags, today)
 
     def rows(values, spots, *held):
-        return values.join(spots, ["location", "as_of"]).select("station", F.col("as_of").alias("date"), "role", "pos", *held, "values")
+        return values.join(spots, ["location", "as_of"]).select("station", F.col("as_of").alias("date"), "role", "pos", "n_sources", *held, "values")
 
     own = lambda e, name: F.when(F.col("role") == features.OWN, e).alias(name)
     level_part = rows(lagged, level_spots, own(F.lit(0.0), LEVEL), own(F.col(features.LAG1), features.LAG1))
-    joined = features.join_on_date([level_part, rows(moved, weather_spots)], features.source_counts(mapping))
+    joined = features.join_on_date([level_part, rows(moved, weather_spots)])
     return features.with_dates(joined.filter(features.complete_features()))
 
 

@@ -60,11 +60,7 @@ def require_sizes(levels: DataFrame, weather: DataFrame, config: ForecastConfig)
 
 def training_matrix(mapping: DataFrame, levels: DataFrame, weather: DataFrame, config: ForecastConfig) -> DataFrame:
     """Feature rows of all stations for every horizon, marked with ``forecast_days``."""
-    parts = [
-        features.feature_matrix(mapping, levels, weather, config.station_lags, config.weather_lags, h).withColumn("forecast_days", F.lit(h))
-        for h in config.horizons
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return features.training_matrix(mapping, levels, weather, config.horizons, config.station_lags, config.weather_lags)
 
 
 def analyze_features(matrix: DataFrame, index: DataFrame) -> dict[str, DataFrame]:

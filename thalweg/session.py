@@ -37,6 +37,8 @@ def local_session(cores: int = 8, app: str = "thalweg", memory: str = "12g") ->
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Recording the Python line of every column costs more than building the plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
