@@ -247,16 +247,35 @@ def one_station(spark, sf, station="ASIA"):
     return m.filter("date < '2000-01-01'"), m.filter("date >= '2000-01-01'")
 
 
-@query("rf_train_infer")
-def rf_train_infer(spark, sf):
-    """A forest on one station's history, and its predictions with their spread for the rest."""
+def tree_sizes(spark, model, rows):
+    """(tree, depth, nodes) of an ensemble beside the number of rows it was fitted on."""
+    sizes = F.array(*[F.struct(F.lit(i).alias("tree"), F.lit(t.depth).alias("depth"), F.lit(t.numNodes).alias("nodes")) for i, t in enumerate(model.trees)])
+    return rows.groupBy("location").agg(F.count("*").alias("rows")).select("location", "rows", F.inline(sizes))
+
+
+@query("rf_train")
+def rf_train(spark, sf):
+    """A forest on one station's history: the size of its trees."""
+    train, _ = one_station(spark, sf)
+    return tree_sizes(spark, models.fit_forest(train, trees=10), train)
+
+
+@query("rf_infer")
+def rf_infer(spark, sf):
+    """A forest's predictions, with the spread of its trees, for the days after the split."""
     train, test = one_station(spark, sf)
-    model = models.fit_forest(train, trees=20)
+    model = models.fit_forest(train, trees=10)
     return models.forest_predict(model, test).select("location", "date", F.round("y", 6).alias("y"), F.round("y_var", 6).alias("y_var"))
 
 
-@query("gbt_train_infer")
-def gbt_train_infer(spark, sf):
+@query("gbt_train")
+def gbt_train(spark, sf):
+    train, _ = one_station(spark, sf, "EUROPE")
+    return tree_sizes(spark, models.fit_boosted(train, rounds=10), train)
+
+
+@query("gbt_infer")
+def gbt_infer(spark, sf):
     train, test = one_station(spark, sf, "EUROPE")
     model = models.fit_boosted(train, rounds=10)
     return models.boosted_predict(model, test).select("location", "date", F.round("y", 6).alias("y"))
@@ -351,7 +370,7 @@ def landing(spark, sf):
 def stream_readings_ingest(spark, sf):
     folder, schema = landing(spark, sf)
     path = fresh_path(spark, "ingested")
-    streams.ingest_readings(streams.read_landing(spark, folder, schema, 1), path, fresh_path(spark, "ckpt")).awaitTermination()
+    streams.ingest_readings(streams.read_landing(spark, folder, schema, 1), path, ("location", "event_id")).awaitTermination()
     return streams.read_ingested(spark, path, schema).drop("ts")
 
 
@@ -363,7 +382,7 @@ def stream_risk_alerts(spark, sf):
     river = fx.river(spark, sf)
     folder, path = fresh_path(spark, "predicted"), fresh_path(spark, "alerts")
     river.write.parquet(folder)
-    streams.stream_alerts(streams.read_landing(spark, folder, river.schema), fx.stations(spark, sf), path, fresh_path(spark, "ckpt")).awaitTermination()
+    streams.stream_alerts(streams.read_landing(spark, folder, river.schema), fx.stations(spark, sf), path).awaitTermination()
     return spark.read.schema("location_name string, date date, level_m double, risk_level string").parquet(path)
 
 
@@ -377,5 +396,5 @@ def stream_daily_rollup(spark, sf):
     for begin, end in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")):
         part = rows.filter((F.col("ts") >= F.lit(begin).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp")))
         part.coalesce(1).write.mode("append").parquet(folder)
-    streams.stream_daily_rollup(streams.read_landing(spark, folder, rows.schema, 1), path, fresh_path(spark, "ckpt")).awaitTermination()
+    streams.stream_daily_rollup(streams.read_landing(spark, folder, rows.schema, 1), path).awaitTermination()
     return streams.read_rollup(spark, path).withColumn("total", F.round("total", 4))

@@ -79,10 +79,14 @@ def insert_ignore(old: DataFrame, new: DataFrame, keys: Sequence[str] = READING_
 
 
 def conflict_report(old: DataFrame, new: DataFrame, value: str = "level_m", keys: Sequence[str] = WEATHER_KEY) -> DataFrame:
-    """Keys both sides have with different values, NULL counting as a value."""
-    a = old.select(*keys, F.col(value).alias("existing"))
+    """New rows whose key the table has with a different value, NULL counting as a value.
+
+    A key the table holds several times is compared by its greatest value, so copies on both sides
+    do not multiply.
+    """
+    a = dedup_keep_last(old.select(*keys, F.col(value).alias("existing")), keys, ())
     b = new.select(*keys, F.col(value).alias("incoming"))
-    return a.join(b, list(keys)).filter(~F.col("existing").eqNullSafe(F.col("incoming")))
+    return b.join(a, list(keys)).filter(~F.col("existing").eqNullSafe(F.col("incoming")))
 
 
 def delete_older_duplicates(df: DataFrame, keys: Sequence[str] = PREDICTION_KEY, id_col: str = "id") -> DataFrame:

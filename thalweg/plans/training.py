@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ class ForecastConfig:
     split_date: str = "2023-10-01"
     model_type: str = "XGBoost_001"
     fit_options: dict = field(default_factory=dict)
+    parallel_fits: int = 4
 
     @property
     def buffer(self) -> int:
@@ -103,15 +106,19 @@ def load_models(spark, root: str, kind: str, keys: Sequence[tuple[str, int]] = (
 
 
 def _fit(train: DataFrame, config: ForecastConfig, stations: Sequence[str]):
+    """One model for all, or one per station and horizon, a few of them fitted at a time."""
     entry = models.model_kind(config.model_type)
     if not entry.per_station:
         fitted = entry.fit(train, **config.fit_options)
         return materialise(fitted, "coefficients")
-    return {
-        (s, h): entry.fit(train.filter((F.col("location") == s) & (F.col("forecast_days") == h)), **config.fit_options)
-        for s in stations
-        for h in config.horizons
-    }
+    keys = [(s, h) for s in stations for h in config.horizons]
+
+    def one(key):
+        mine = train.filter((F.col("location") == key[0]) & (F.col("forecast_days") == key[1]))
+        return entry.fit(mine, **config.fit_options)
+
+    with ThreadPool(min(config.parallel_fits, len(keys))) as pool:
+        return dict(zip(keys, pool.map(inheritable_thread_target(train.sparkSession)(one), keys), strict=True))
 
 
 def build_models(

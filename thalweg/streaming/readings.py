@@ -1,7 +1,8 @@
 """The incremental steps as Structured Streaming jobs.
 
 A micro-batch writes its own folder ``batch=N`` and overwrites it when it is run again, so a
-restarted query leaves every row once.  Checkpoints belong in the shared folder.
+restarted query leaves every row once.  The checkpoint lies inside the output folder: batch numbers
+mean something only together with it.
 """
 
 from __future__ import annotations
@@ -37,37 +38,44 @@ def _batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], full)
 
 
-def ingest_readings(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = ("location", "event_id"), ts: str = "ts", delay: str = "2 days") -> StreamingQuery:
+def _start(writer, path: str) -> StreamingQuery:
+    """Work through what has landed, then stop."""
+    return writer.option("checkpointLocation", f"{path}/_checkpoint").trigger(availableNow=True).start()
+
+
+def ingest_readings(stream: DataFrame, path: str, keys: Sequence[str] = ("location", "ts"), ts: str = "ts", delay: str = "2 days") -> StreamingQuery:
     """Append readings that are not in the table yet.
 
     Repeats within the watermark are dropped in state.  What gets past it is checked against the
-    table, of which only rows as young as the batch's oldest are read.
+    table; where the time stamp is part of the key, only rows as young as the batch's oldest are read.
     """
     schema = stream.schema
     fresh = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        oldest = batch.agg(F.min(ts)).first()[0]
-        if oldest is None:
-            return
-        known = _batches(spark, path, schema).filter((F.col("batch") != batch_id) & (F.col(ts) >= F.lit(oldest)))
-        new = batch.join(known.select(*keys), list(keys), "left_anti").select(*schema.names)
-        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch = batch.persist()  # read twice: without this the state would be gone through twice
+        try:
+            known = _batches(batch.sparkSession, path, schema).filter(F.col("batch") != batch_id)
+            if ts in keys:
+                known = known.filter(F.col(ts) >= F.lit(batch.agg(F.min(ts)).first()[0]))
+            new = batch.join(known.select(*keys), list(keys), "left_anti").select(*schema.names)
+            new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
-    return fresh.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _start(fresh.writeStream.foreachBatch(write), path)
 
 
 def read_ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return _batches(spark, path, schema).drop("batch")
 
 
-def stream_alerts(stream: DataFrame, stations: DataFrame, path: str, checkpoint: str, band: str = "full") -> StreamingQuery:
+def stream_alerts(stream: DataFrame, stations: DataFrame, path: str, band: str = "full") -> StreamingQuery:
     """Classify predictions as they arrive and keep those of one band; a join with a static table."""
     bounds = stations.select(F.col("station_name").alias("location_name"), "moderate", "high", "full_level")
     rows = stream.join(bounds, "location_name").withColumn("risk_level", risk_band("level_m")).filter(F.col("risk_level") == band)
     out = rows.select("location_name", "date", "level_m", "risk_level")
-    return out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _start(out.writeStream.format("parquet").option("path", path), path)
 
 
 ROLLUP = T.StructType(
@@ -88,16 +96,14 @@ def daily_rollup(readings: DataFrame, ts: str = "ts", value: str = "value") -> D
     return grouped.select("location", F.col("w.start").cast("date").alias("date"), "n", "total", "highest")
 
 
-def stream_daily_rollup(stream: DataFrame, path: str, checkpoint: str, ts: str = "ts", delay: str = "2 days") -> StreamingQuery:
+def stream_daily_rollup(stream: DataFrame, path: str, ts: str = "ts", delay: str = "2 days") -> StreamingQuery:
     """Maintain the daily rollup: every batch writes the days it changed, the latest batch counts."""
     rolled = daily_rollup(stream.withWatermark(ts, delay), ts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return (
-        rolled.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return _start(rolled.writeStream.outputMode("update").foreachBatch(write), path)
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
