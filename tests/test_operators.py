@@ -122,6 +122,30 @@ def test_snapshot_table_versions(spark):
     assert store.version() == 2 and rows_of(store.read()) == [("a", at(0), 2.0)]
 
 
+def test_period_table_touches_only_the_months_of_a_batch(spark):
+    schema = spark.createDataFrame([], "location_name string, date date, level_m double").schema
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    store = state.PeriodTable(spark, fresh_path(spark, "monthly"), schema)
+    assert store.read().count() == 0
+    first = [("a", at(0), 1.0), ("a", at(40), 2.0), ("b", at(75), 3.0)]
+    assert store.merge(make(first), state.upsert_latest) == 3
+    before = {f for f in store.read().inputFiles() if "2020-02" not in f}
+    change = make([("a", at(40), 9.0), ("c", at(41), 4.0)])
+    for _ in range(2):
+        assert store.merge(change, state.upsert_latest) == 1
+    assert rows_of(store.read()) == sorted([("a", at(0), 1.0), ("a", at(40), 9.0), ("b", at(75), 3.0), ("c", at(41), 4.0)])
+    assert {f for f in store.read().inputFiles() if "2020-02" not in f} == before
+    assert rows_of(store.read(at(1), at(41))) == [("a", at(40), 9.0), ("c", at(41), 4.0)]
+    assert store.merge(make([]), state.upsert_latest) == 0
+
+
+def test_series_check(spark):
+    df = spark.createDataFrame([("a", at(0)), ("a", at(1))], "location string, date date")
+    assert quality.require_unique(df) is df
+    with pytest.raises(ValueError, match="2 rows for"):
+        quality.require_unique(df.unionByName(df.limit(1)))
+
+
 def test_conform(spark):
     df = spark.createDataFrame([("2020-01-01", "a", "1.5")], "date string, location string, level__m string")
     assert conform(df, STATION_SERIES).schema == STATION_SERIES
@@ -147,41 +171,41 @@ def test_conform_modelling_frame(spark):
 
 def test_chart_skips_leap_day_and_takes_last_reading(spark):
     doc = """{"gaugeReadingList": [
-        {"readingValue": "2.08", "longtermMean": null, "dateOfReadingStr": "01-01-2025"},
-        {"readingValue": "2.50", "longtermMean": "1.0", "dateOfReadingStr": "01-01-2025"}],
-      "indicator": {"moderateRiskLevelVal": "4.50", "highRiskLevelVal": "5.00", "bankFullVal": "6.00"},
+        {"readingValue": "3.11", "longtermMean": null, "dateOfReadingStr": "01-01-2025"},
+        {"readingValue": "3.25", "longtermMean": "1.0", "dateOfReadingStr": "01-01-2025"}],
+      "indicator": {"moderateRiskLevelVal": "4.00", "highRiskLevelVal": "4.60", "bankFullVal": "5.20"},
       "previous_year": {"gaugeReadingList": {
-        "01-01-2024": {"readingValue": "2.18", "dateOfReadingStr": "01-01-2024"},
+        "01-01-2024": {"readingValue": "1.75", "dateOfReadingStr": "01-01-2024"},
         "02-01-2024": {"readingValue": "x", "dateOfReadingStr": "02-01-2024"},
         "29-02-2024": {"readingValue": "3.00", "dateOfReadingStr": "29-02-2024"}}}}"""
     df = spark.createDataFrame([("a", doc)], "location string, payload string")
     got = rows_of(payloads.gauge_chart(df).drop("bankfull", "highfloodrisk", "moderatefloodrisk").fillna(-1.0))
-    assert got == [("a", dt.date(2025, 1, 1), 1.0, 2.18, 2.5), ("a", dt.date(2025, 1, 2), -1.0, -1.0, -1.0)]
+    assert got == [("a", dt.date(2025, 1, 1), 1.0, 1.75, 3.25), ("a", dt.date(2025, 1, 2), -1.0, -1.0, -1.0)]
 
 
 def test_html_table(spark):
     rows = "".join(
         f"<tr><td>{n}</td><td>\n {s} </td><td>{d}</td><td><b>{v}</b></td></tr>"
         for n, (s, d, v) in enumerate(
-            [("Luuq", "19-11-2024", "2.5"), ("Nowhere", "19-11-2024", "9"), ("Dollow", "19-11-2024", "n/a"), ("Luuq", "18-11-2024", "7"),
-             ("A", "x", "1"), ("B", "x", "1"), ("C", "x", "1"), ("Jowhar", "19-11-2024", "4")]
+            [("Ford", "07-03-2023", "2.5"), ("Nowhere", "07-03-2023", "9"), ("Weir", "07-03-2023", "n/a"), ("Ford", "06-03-2023", "7"),
+             ("A", "x", "1"), ("B", "x", "1"), ("C", "x", "1"), ("Mill", "07-03-2023", "4")]
         )
     )
     head = "<thead><tr><th>#</th><th>Station</th><th>Date</th><th>Observed River Level (m)</th></tr></thead>"
-    page = f'<html><table id="other"><tr><td>Luuq</td></tr></table><table border=1 id="maps-data-grid">{head}{rows}</table></html>'
+    page = f'<html><table id="other"><tr><td>Ford</td></tr></table><table border=1 id="maps-data-grid">{head}{rows}</table></html>'
     pages = spark.createDataFrame([(1, page), (2, "<html></html>")], "page_id int, html string")
-    dim = spark.createDataFrame([("Luuq",), ("Dollow",), ("Jowhar",)], "station_name string")
+    dim = spark.createDataFrame([("Ford",), ("Weir",), ("Mill",)], "station_name string")
     got = sorted(((r["location_name"], r["date"], r["level_m"]) for r in payloads.gauge_table(pages, dim).collect()))
-    assert got == [("Dollow", dt.date(2024, 11, 19), None), ("Luuq", dt.date(2024, 11, 19), 2.5)]
+    assert got == [("Ford", dt.date(2023, 3, 7), 2.5), ("Weir", dt.date(2023, 3, 7), None)]
 
 
 def test_daily_payload_with_nan_and_empty_block(spark):
-    good = '{"latitude": 1, "longitude": 2, "daily": {"start": 1731963600, "end": 1732136400, "interval": 86400, "precipitation_sum": [0.2, NaN], "temperature_2m_max": [34.9]}}'
+    good = '{"latitude": 1, "longitude": 2, "daily": {"start": 1731963600, "end": 1732136400, "interval": 86400, "precipitation_sum": [0.4, NaN], "temperature_2m_max": [30.5]}}'
     empty = '{"latitude": 1, "longitude": 2, "daily": {"start": 0, "end": 0, "interval": 86400, "precipitation_sum": []}}'
     df = spark.createDataFrame([("a", good), ("b", empty)], "location_name string, payload string")
     got = [(r["location_name"], r["date"], r["precipitation_sum"], r["temperature_2m_max"]) for r in payloads.weather_daily(df).orderBy("date").collect()]
-    assert got == [("a", dt.date(2024, 11, 18), 0.2, 34.9), ("a", dt.date(2024, 11, 19), None, None)]
-    local = payloads.weather_daily(df, tz="Africa/Mogadishu").orderBy("date").first()
+    assert got == [("a", dt.date(2024, 11, 18), 0.4, 30.5), ("a", dt.date(2024, 11, 19), None, None)]
+    local = payloads.weather_daily(df, tz="Africa/Nairobi").orderBy("date").first()
     assert local["date"] == dt.date(2024, 11, 19)
 
 
@@ -237,10 +261,10 @@ def test_export_force(spark):
 
 
 def test_model_name_round_trip(spark):
-    names = ["Preprocessor_001-f7-XGBoost_001-Belet Weyne.joblib", "p-f1-t-a-b.json", "p-fx-t-a", "p-f1-t", ""]
+    names = ["Preprocessor_001-f7-XGBoost_001-Two Words.joblib", "p-f1-t-a-b.json", "p-fx-t-a", "p-f1-t", ""]
     parts = text.parse_model_name("n")
     got = spark.createDataFrame([(n,) for n in names], "n string").select(*[e.alias(k) for k, e in parts.items()]).collect()
-    assert tuple(got[0]) == ("Preprocessor_001", 7, "XGBoost_001", "Belet Weyne")
+    assert tuple(got[0]) == ("Preprocessor_001", 7, "XGBoost_001", "Two Words")
     assert tuple(got[1]) == ("p", 1, "t", "a-b")
     assert all(tuple(r) == (None,) * 4 for r in got[2:])
 

@@ -139,7 +139,7 @@ FROM lagged l JOIN usable u ON u.station = l.location AND u.as_of = l.as_of CROS
 def infer_batch(spark, sf):
     return inference.infer_batch(
         fx.station_mapping(spark, sf), days_grid(spark, sf), fx.levels(spark, sf), fx.rain(spark, sf), fx.rain_forecast(spark, sf),
-        {"XGBoost_001": STAND_IN}, XLAGS, XWX,
+        {"XGBoost_001": STAND_IN}, XLAGS, XWX, between=("2001-06-01", "2001-07-01"),
     )
 
 

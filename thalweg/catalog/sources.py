@@ -442,7 +442,7 @@ def utc_calendar_date(spark, sf):
     from thalweg.functions.dates import utc_calendar_date as day
 
     r = fx.readings(spark, sf)
-    return r.groupBy("location", day("ts").alias("day"), day("ts", "Africa/Mogadishu").alias("local_day")).agg(F.count("*").alias("n"))
+    return r.groupBy("location", day("ts").alias("day"), day("ts", "Africa/Nairobi").alias("local_day")).agg(F.count("*").alias("n"))
 
 
 @query(

@@ -33,13 +33,13 @@ UNION ALL SELECT location, date, precipitation_sum, precipitation_hours FROM rai
     ),
 )
 def upsert_weather(spark, sf):
-    """Through a snapshot table: the old rows are committed, then the merged ones, then read back."""
+    """Through a table by year: the history is merged into nothing, the forecast into its year."""
     old = fx.weather(spark, sf, end="2001-07-01")
     new = fx.rain_forecast(spark, sf).withColumnRenamed("location", "location_name")
     new = new.withColumns({"forecast_latitude": F.lit(0.0), "forecast_longitude": F.lit(0.0)})
-    store = state.SnapshotTable(spark, fresh_path(spark, "weather"), old.schema)
-    store.commit(old)
-    store.commit(state.upsert_weather(store.read(), new))
+    store = state.PeriodTable(spark, fresh_path(spark, "weather"), old.schema, unit="year", files=1)
+    store.merge(old, state.upsert_weather)
+    store.merge(new, state.upsert_weather)
     return store.read()
 
 
@@ -106,6 +106,19 @@ def insert_ignore(spark, sf):
     return state.insert_ignore(old, late.unionByName(late))
 
 
+@query(
+    "table_by_month_range",
+    oracle("rain", "SELECT location AS location_name, date, precipitation_sum, precipitation_hours FROM rain WHERE date BETWEEN DATE '1999-01-15' AND DATE '1999-03-10'"),
+)
+def table_by_month_range(spark, sf):
+    """Rows of some days from a table by month, after the same batch came twice."""
+    rows = fx.weather(spark, sf, "1998-12-01", "1999-05-31")
+    store = state.PeriodTable(spark, fresh_path(spark, "weather"), rows.schema, files=1)
+    for _ in range(2):
+        store.merge(rows, state.insert_if_absent)
+    return store.read("1999-01-15", "1999-03-10")
+
+
 @query("full_refresh", oracle("rain", "SELECT location AS location_name, date, precipitation_sum, precipitation_hours FROM rain WHERE year(date) = 2001"))
 def full_refresh(spark, sf):
     old, new = fx.weather(spark, sf, end="2000-12-31"), fx.weather(spark, sf, "2001-01-01", "2001-12-31")

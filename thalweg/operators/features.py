@@ -23,6 +23,7 @@ from thalweg.functions.numbers import pearson
 from thalweg.functions.text import normalise_name
 from thalweg.operators import series
 
+# The lags, in days, that models are trained on; zero and below look ahead.
 STATION_LAGS = (1, 3, 7, 14, 30)
 WEATHER_LAGS = (1, 3, 7, 14, 30, 0, -2, -6)
 DATE_FEATURES = ("month", "dayofyear", "month_sin", "month_cos", "dayofyear_sin", "dayofyear_cos")

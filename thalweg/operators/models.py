@@ -159,6 +159,7 @@ def _save_ml(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+# The names model files and stored predictions carry.
 REGISTRY: dict[str, ModelKind] = {
     "RandomForestRegressor_001": ModelKind(fit_forest, forest_predict, _save_ml, lambda spark, path: RandomForestRegressionModel.load(path), True),
     "XGBoost_001": ModelKind(fit_boosted, boosted_predict, _save_ml, lambda spark, path: GBTRegressionModel.load(path), True),

@@ -96,6 +96,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def require_unique(df: DataFrame, keys: Sequence[str] = ("location", "date")) -> DataFrame:
+    """The frame itself, or ValueError naming a key it holds twice: the check that it is a series."""
+    found = duplicate_keys(df, keys).limit(1).collect()
+    if found:
+        raise ValueError(f"{found[0]['n']} rows for {[str(found[0][k]) for k in keys]}: deduplicate first")
+    return df
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """(column, nulls) for columns that have any."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

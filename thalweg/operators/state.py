@@ -1,8 +1,9 @@
 """Keeping tables current: upserts, inserts of what is absent, refreshes, conflict reports.
 
-Plain files know no MERGE, so a change is a new snapshot: the operators below return the table as
-it is after the change, and ``SnapshotTable`` writes it under a new version, then points to it.
-Nothing overwrites the files a plan is reading, and a write that dies leaves the old version whole.
+Plain files know no MERGE, so the operators below return the table as it is after the change.  Two
+ways to store that: ``SnapshotTable`` writes a small table whole, under a new version, and points to
+it; ``PeriodTable`` keeps a large one by month or year and rewrites the periods a batch touches.  Neither
+overwrites files a plan is reading.
 
 All of them are aggregates or joins on the full key.  A third of all rows in one location is spread
 over its days; many copies of one key are combined before the shuffle.
@@ -10,13 +11,16 @@ over its days; many copies of one key are combined before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from thalweg.functions.dates import as_date
 from thalweg.operators.series import dedup_keep_last
+from thalweg.session import materialise
 
 WEATHER_KEY = ("location_name", "date")
 PREDICTION_KEY = ("location_name", "date", "ml_model_name")
@@ -144,3 +148,52 @@ class SnapshotTable:
         writer.parquet(f"{self.root}/v{following:012d}")
         self.spark.range(following, following + 1).select(F.col("id").alias("version")).coalesce(1).write.mode("append").parquet(self.pointers)
         return following
+
+
+class PeriodTable:
+    """A table kept in one folder per month (or year) of its date column.
+
+    A batch is merged with the periods it touches and with nothing else, so its cost follows the
+    batch and not the history.  The merged periods are written aside first, then replace their
+    folders; merging the same batch again, after a failure, gives the same table.
+    """
+
+    def __init__(self, spark, path: str, schema, date: str = "date", unit: str = "month", files: int = 4):
+        self.spark, self.path, self.schema, self.date = spark, path.rstrip("/"), schema, date
+        self.unit, self.files = unit, files
+
+    def _stored(self) -> DataFrame:
+        full = T.StructType([*self.schema.fields, T.StructField("period", T.DateType())])
+        try:
+            return self.spark.read.schema(full).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], full)
+
+    def read(self, begin=None, end=None) -> DataFrame:
+        """The table, or its rows of some days; periods outside are not opened."""
+        rows = self._stored()
+        if begin is not None:
+            rows = rows.filter((F.col("period") >= F.trunc(as_date(begin), self.unit)) & (F.col(self.date).cast("date") >= as_date(begin)))
+        if end is not None:
+            rows = rows.filter((F.col("period") <= as_date(end)) & (F.col(self.date).cast("date") <= as_date(end)))
+        return rows.drop("period")
+
+    def merge(self, new: DataFrame, rule: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """Replace the periods of ``new`` by ``rule(their old rows, new)``.
+
+        The rule must keep rows in their period, as all rules here do: the date is part of the key.
+        Returns the number of periods written.
+        """
+        batch = materialise(new, "batch")
+        touched = [r[0] for r in batch.select(F.trunc(self.date, self.unit)).distinct().collect()]  # periods, not rows
+        if not touched:
+            return 0
+        old = self._stored().filter(F.col("period").isin(touched)).drop("period")
+        merged = materialise(rule(old, batch).select(*self.schema.names), "merged")
+        # The rows of a period go to several tasks, not to one: a month of all locations may be large.
+        spread = merged.withColumn("period", F.trunc(self.date, self.unit))
+        spread = spread.repartition("period", F.pmod(F.hash(*merged.columns), F.lit(self.files)))
+        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(self.path)
+        return len(touched)

@@ -18,6 +18,7 @@ from thalweg.operators import evaluation, features, quality, series
 from thalweg.operators.features import STATION_LAGS, WEATHER_LAGS
 from thalweg.operators.series import LEVEL, RAIN
 
+# Fixed value: the first part of every model name.
 PREPROCESSOR = "Preprocessor_001"
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -125,9 +126,18 @@ def inference_features(
     station_lags: Sequence[int] = STATION_LAGS,
     weather_lags: Sequence[int] = WEATHER_LAGS,
     today=None,
+    between=None,
 ) -> DataFrame:
     """Feature rows for (station, as_of) pairs, as ``feature_matrix(infer=True)`` would give for the
-    filled inputs of each single day.  Pairs with an empty source give no row."""
+    filled inputs of each single day.  Pairs with an empty source give no row.
+
+    ``between``, the first and last ``as_of``, lets the scans of the series skip all other days.
+    """
+    if between is not None:
+        first, last = as_date(between[0]), as_date(between[1])
+        cut = lambda df, lags, end: df.filter(F.col("date").between(F.date_sub(first, max(lags)), end))
+        levels = cut(levels, station_lags, last)
+        history, forecast = (cut(df, weather_lags, F.date_sub(last, min(weather_lags))) for df in (history, forecast))
     pairs = wanted.select("station", "as_of").distinct()
     places = features.sources(mapping)
     level_spots = pairs.join(features.level_sources(places), "station")
@@ -154,6 +164,7 @@ def infer_batch(
     station_lags: Sequence[int] = STATION_LAGS,
     weather_lags: Sequence[int] = WEATHER_LAGS,
     today=None,
+    between=None,
 ) -> DataFrame:
     """Predictions for a grid of (station, as_of, forecast_days, model_type).
 
@@ -161,7 +172,7 @@ def infer_batch(
     A predictor takes feature rows with ``forecast_days`` and adds ``y``, the predicted difference.
     Grid rows whose inputs are incomplete give no prediction: ``failed_items`` lists them.
     """
-    rows = inference_features(mapping, grid, levels, history, forecast, station_lags, weather_lags, today)
+    rows = inference_features(mapping, grid, levels, history, forecast, station_lags, weather_lags, today, between)
     items = grid.withColumnsRenamed({"station": "location", "as_of": "date"})
     out = None
     for kind, predict in predictors.items():

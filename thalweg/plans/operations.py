@@ -77,7 +77,7 @@ def catchup_predictions(
     work = inference.missing_predictions(predictions, mapping.select("station"), begin, end)
     kinds = F.explode(F.array(*[F.lit(k) for k in predictors]))
     grid = work.select("station", "as_of", F.lit(forecast_days).alias("forecast_days"), kinds.alias("model_type"))
-    made = inference.infer_batch(mapping, grid, levels, history, forecast, predictors, station_lags, weather_lags, today)
+    made = inference.infer_batch(mapping, grid, levels, history, forecast, predictors, station_lags, weather_lags, today, (begin, end))
     return risk.classify(made.withColumn("risk_level", F.lit(None).cast("string")), thresholds)
 
 
@@ -110,7 +110,7 @@ def daily_pipeline(
     stations = mapping.select("station").withColumn("as_of", day)
     grid = inference.inference_grid(stations, horizons, list(predictors)).withColumn("as_of", day)
     made = materialise(
-        inference.infer_batch(mapping, grid, levels, history, forecast, predictors, station_lags, weather_lags), "predictions"
+        inference.infer_batch(mapping, grid, levels, history, forecast, predictors, station_lags, weather_lags, None, (as_of, as_of)), "predictions"
     )
     store.commit(state.upsert_predictions(store.read(), made, as_of))
     store.commit(risk.classify(store.read(), thresholds))

@@ -133,12 +133,14 @@ def build_models(
     matrix = materialise(training_matrix(mapping, levels, weather, config), "matrix")
     late = as_date(config.split_date)
     train = matrix.filter(F.col("date") < late)
-    have = [r[0] for r in train.select("location").distinct().collect()]
-    if not have:
+    if train.isEmpty():
         raise ValueError("no station has complete feature rows before the split date")
-    fitted = _fit(train, config, sorted(have))
+    known, have = matrix, []
+    if models.model_kind(config.model_type).per_station:
+        have = sorted(r[0] for r in train.select("location").distinct().collect())  # one model each: a list
+        known = matrix.filter(F.col("location").isin(have))
+    fitted = _fit(train, config, have)
     out = TrainedModels(config.model_type, fitted, matrix)
-    known = matrix.filter(F.col("location").isin(have)) if models.model_kind(config.model_type).per_station else matrix
     parts = []
     for h in config.horizons:
         _, test = evaluation.time_split(known.filter(F.col("forecast_days") == h), config.split_date, config.buffer)

@@ -58,6 +58,7 @@ def attach_attributes(rows: DataFrame, attributes: DataFrame, keys: Sequence[str
     return rows.join(attributes, list(keys), "left")
 
 
+# The field names of the chart answer.
 _READING = "struct<readingValue: string, longtermMean: string, dateOfReadingStr: string>"
 CHART_SCHEMA = (
     f"gaugeReadingList array<{_READING}>, "
@@ -107,7 +108,13 @@ def _cells(row: Column) -> Column:
     return F.transform(raw, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", ""), r"\s+", " ")))
 
 
-def gauge_table(pages: DataFrame, stations: DataFrame, keys: Sequence[str] = ("page_id",), column: str = "html", table_id: str = "maps-data-grid", rows: int = 7) -> DataFrame:
+# The table of the gauge page, the headings read from it, and how many stations it lists.
+GAUGE_TABLE_ID = "maps-data-grid"
+GAUGE_HEADINGS = {"location_name": "Station", "day": "Date", "level": "Observed River Level (m)"}
+GAUGE_ROWS = 7
+
+
+def gauge_table(pages: DataFrame, stations: DataFrame, keys: Sequence[str] = ("page_id",), column: str = "html", table_id: str = GAUGE_TABLE_ID, rows: int = GAUGE_ROWS) -> DataFrame:
     """Latest levels from a page's table: the first ``rows`` rows, the first row of each known station.
 
     Columns are found by their headings.  A level that is no number is NULL; a date has to be
@@ -117,12 +124,7 @@ def gauge_table(pages: DataFrame, stations: DataFrame, keys: Sequence[str] = ("p
     lines = pages.select(*keys, F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)).alias("tr"))
     split = lines.select(*keys, _cells(F.get("tr", F.lit(0))).alias("head"), F.transform(F.slice("tr", 2, rows), _cells).alias("body"))
     at = lambda row, name: F.get(row, F.array_position(F.col("head"), F.lit(name)).cast("int") - 1)
-    records = F.transform(
-        "body",
-        lambda r: F.struct(
-            at(r, "Station").alias("location_name"), at(r, "Date").alias("day"), at(r, "Observed River Level (m)").alias("level")
-        ),
-    )
+    records = F.transform("body", lambda r: F.struct(*[at(r, heading).alias(name) for name, heading in GAUGE_HEADINGS.items()]))
     listed = split.select(*keys, records.alias("r"))
     first = F.filter("r", lambda x, i: ~F.exists(F.slice("r", F.lit(1), i), lambda s: s["location_name"] == x["location_name"]))
     found = listed.select(*keys, F.inline(first))
