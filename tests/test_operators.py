@@ -260,6 +260,25 @@ def test_export_force(spark):
     assert spark.read.option("header", "true").csv(path).count() == 10
 
 
+def test_newest_chart_export_is_found(spark):
+    folder = fresh_path(spark, "charts")
+    for hour in (9, 11, 10):  # the file written last is the newest, whatever its name says
+        path = sinks.chart_export_path(folder, "Two Words", dt.datetime(2024, 3, 1, hour))
+        spark.range(1).coalesce(1).write.csv(path)
+    found = tables.latest_file_per_location(spark, folder, tables.portal_file_pattern("Two Words")).collect()
+    assert [r["location"] for r in found] == ["two_words"] and "_as_at_20240301_100000.csv" in found[0]["path"]
+
+
+def test_one_key_may_hold_most_rows(spark):
+    """Copies of one (location, day) are combined before the shuffle, so it moves few rows."""
+    hot = spark.range(200000).selectExpr("'hot' location", "date'2020-01-01' date", "cast(id as double) level__m", "id load_seq")
+    rest = spark.range(1000).selectExpr("concat('l', id % 10) location", "date_add(date'2020-01-01', cast(id as int)) date", "1.0D level__m", "id load_seq")
+    out = series.dedup_keep_last(hot.unionByName(rest))
+    assert out.count() == 1001
+    assert out.filter("location = 'hot'").first()["level__m"] == 199999.0
+    assert "partial_max" in plan_of(out)
+
+
 def test_model_name_round_trip(spark):
     names = ["Preprocessor_001-f7-XGBoost_001-Two Words.joblib", "p-f1-t-a-b.json", "p-fx-t-a", "p-f1-t", ""]
     parts = text.parse_model_name("n")

@@ -165,28 +165,49 @@ def feature_matrix_long(spark, sf):
     return features.lengthen(small_matrix(spark, sf, 2).filter(F.year("date") == 1999), index)
 
 
+CORR = """SELECT location, feature, round(CASE WHEN isnan(c) THEN NULL ELSE c END, 6) AS corr
+FROM (SELECT location, feature, corr(y, value) AS c FROM tall GROUP BY ALL)"""
+TALL = (
+    LONG.replace("f.value FROM", "f.value, k.y FROM")
+    + " UNION ALL SELECT station, date, 'month', CAST(month(date) AS DOUBLE), y FROM kept"
+    + " UNION ALL SELECT station, date, 'dayofyear', CAST(dayofyear(date) AS DOUBLE), y FROM kept"
+    + " UNION ALL SELECT station, date, 'level__m', target, y FROM kept"
+    + " UNION ALL SELECT station, date, 'month_sin', sin(2 * pi() * (month(date) - 1) / 12), y FROM kept"
+    + " UNION ALL SELECT station, date, 'month_cos', cos(2 * pi() * (month(date) - 1) / 12), y FROM kept"
+    + " UNION ALL SELECT station, date, 'dayofyear_sin', sin(2 * pi() * (dayofyear(date) - 1) / 365), y FROM kept"
+    + " UNION ALL SELECT station, date, 'dayofyear_cos', cos(2 * pi() * (dayofyear(date) - 1) / 365), y FROM kept"
+)
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+def correlations(spark, sf):
+    index = features.feature_index(fx.station_mapping(spark, sf), UP, WX)
+    corr = features.feature_target_corr(small_matrix(spark, sf, 1), index)
+    return corr.withColumn("corr", F.round("corr", 6))
+
+
 @query(
     "feature_target_corr",
+    oracle("levels rain_filled edges_up edges_wx", CORR, **lagged(rain="rain_filled"), **matrix_sql(1), tall=TALL),
+)
+def feature_target_corr(spark, sf):
+    return correlations(spark, sf)
+
+
+@query(
+    "feature_corr_table",
     oracle(
         "levels rain_filled edges_up edges_wx",
-        """SELECT location, feature, round(CASE WHEN isnan(c) THEN NULL ELSE c END, 6) AS corr
-FROM (SELECT location, feature, corr(y, value) AS c FROM tall GROUP BY ALL)""",
+        "SELECT feature, " + ", ".join(f"max(corr) FILTER (WHERE location = '{r}') AS \"{r}\"" for r in REGIONS) + " FROM corrs GROUP BY feature",
         **lagged(rain="rain_filled"),
         **matrix_sql(1),
-        tall=LONG.replace("f.value FROM", "f.value, k.y FROM")
-        + " UNION ALL SELECT station, date, 'month', CAST(month(date) AS DOUBLE), y FROM kept"
-        + " UNION ALL SELECT station, date, 'dayofyear', CAST(dayofyear(date) AS DOUBLE), y FROM kept"
-        + " UNION ALL SELECT station, date, 'level__m', target, y FROM kept"
-        + " UNION ALL SELECT station, date, 'month_sin', sin(2 * pi() * (month(date) - 1) / 12), y FROM kept"
-        + " UNION ALL SELECT station, date, 'month_cos', cos(2 * pi() * (month(date) - 1) / 12), y FROM kept"
-        + " UNION ALL SELECT station, date, 'dayofyear_sin', sin(2 * pi() * (dayofyear(date) - 1) / 365), y FROM kept"
-        + " UNION ALL SELECT station, date, 'dayofyear_cos', cos(2 * pi() * (dayofyear(date) - 1) / 365), y FROM kept",
+        tall=TALL,
+        corrs=CORR,
     ),
 )
-def feature_target_corr(spark, sf):
-    index = features.feature_index(fx.station_mapping(spark, sf), UP, WX)
-    corr = features.feature_target_corr(small_matrix(spark, sf, 1), index)
-    return corr.withColumn("corr", F.round("corr", 6))
+def feature_corr_table(spark, sf):
+    """Feature by station: what the correlation chart is drawn from."""
+    return features.corr_table(correlations(spark, sf), REGIONS)
 
 
 @query(

@@ -60,8 +60,6 @@ def workspace(spark: SparkSession) -> str:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
             _local_roots[app] = tempfile.mkdtemp(prefix="thalweg-")
         root = _local_roots[app]
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thalweg.functions.text import normalise_name
+
 
 def save_csv_dated(df: DataFrame, base: str, day: dt.date | str) -> str:
     """Write ``{base}_{YYYY-MM-DD}.csv`` and return its path."""
@@ -17,6 +19,11 @@ def save_csv_dated(df: DataFrame, base: str, day: dt.date | str) -> str:
     return path
 
 
+def chart_export_path(folder: str, location: str, moment: dt.datetime) -> str:
+    """Where a gauge chart export of a location goes; the newest is found by ``latest_file_per_location``."""
+    return f"{folder.rstrip('/')}/{normalise_name(location)}_river_levels_as_at_{moment:%Y%m%d_%H%M%S}.csv"
+
+
 def export_table(df: DataFrame, path: str, where: str | None = None, force_overwrite: bool = False, preview_rows: int = 20) -> DataFrame:
     """Write a table, or the rows a condition selects, as CSV and return a preview.
 
