@@ -357,6 +357,12 @@ def test_all_shifts_of_a_series_share_one_shuffle(spark):
     assert plan.count("Exchange") == 1 and plan.count("Window ") == 1
 
 
+def test_feature_matrix_windows(spark, sf):
+    """One window per series and one for the target, whatever the number of lags."""
+    m = features.feature_matrix(fx.station_mapping(spark, sf), fx.levels(spark, sf), fx.rain(spark, sf), forecast_days=7)
+    assert plan_of(m).count("Window [") == 3
+
+
 def test_fill_takes_one_shuffle(spark):
     df = spark.range(1000).selectExpr("cast(id % 7 as string) location", "date_add(date'2020-01-01', cast(id as int)) date", "rand() level__m")
     assert plan_of(series.fill_missing_levels(df, "2020-01-01", "2022-12-31")).count("Exchange") == 1

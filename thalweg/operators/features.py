@@ -66,10 +66,6 @@ def feature_index(mapping: DataFrame, station_lags=STATION_LAGS, weather_lags=WE
     return mapping.select(F.col("station").alias("location"), names.alias("names"))
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    return df.withColumn("_rn", F.row_number().over(series.by_day()))
-
-
 def sources(mapping: DataFrame, reference: bool = True, upstream: bool = True, weather: bool = True) -> DataFrame:
     """(station, location, role, pos, n_sources): one row per source of every station.
 
@@ -103,10 +99,12 @@ def level_rows(levels: DataFrame, places: DataFrame, lags: Sequence[int] = STATI
     Upstream series lose their first max(lag) rows, the station's own does not.  The level and lag
     1 are set on the station's own rows.
     """
-    names = level_names(lags)
-    lagged = _numbered(series.station_lags(levels, lags))
-    first = F.col(LAG1) if 1 in lags else F.lit(None).cast("double")
-    packed = lagged.select("location", "date", "_rn", series.LEVEL, first.alias(LAG1), F.array(*names).alias("values"))
+    lagged = series.shifted(levels, [series.LEVEL], lags)
+    first = lagged.get(LAG1, F.lit(None).cast("double"))
+    rank = F.row_number().over(series.by_day())
+    packed = levels.select(
+        "location", "date", rank.alias("_rn"), series.LEVEL, first.alias(LAG1), F.array(*[lagged[n] for n in level_names(lags)]).alias("values")
+    )
     joined = packed.join(places, "location").filter((F.col("role") == OWN) | (F.col("_rn") > max(lags)))
     mine = lambda c: F.when(F.col("role") == OWN, F.col(c)).alias(c)
     return joined.select("station", "date", "role", "pos", "n_sources", mine(series.LEVEL), mine(LAG1), "values")
@@ -115,8 +113,10 @@ def level_rows(levels: DataFrame, places: DataFrame, lags: Sequence[int] = STATI
 def weather_rows(weather: DataFrame, places: DataFrame, lags: Sequence[int] = WEATHER_LAGS) -> DataFrame:
     """(station, date, role, pos, n_sources, values) for weather.  The first location of a station is not cut,
     the others lose max(lag) rows; with no positive lag nothing is cut."""
-    moved = _numbered(series.weather_shifts(weather, lags))
-    packed = moved.select("location", "date", "_rn", F.array(*rain_names(lags)).alias("values"))
+    moved = series.shifted(weather, series.RAIN, lags)
+    rank = F.row_number().over(series.by_day())
+    values = F.array(*[moved[n].cast("double") for n in rain_names(lags)])
+    packed = weather.select("location", "date", rank.alias("_rn"), values.alias("values"))
     cut = max(max(lags), 0)
     joined = packed.join(places, "location").filter((F.col("pos") == 0) | (F.col("_rn") > cut))
     return joined.select("station", "date", "role", "pos", "n_sources", "values")

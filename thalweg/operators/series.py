@@ -184,13 +184,17 @@ def missing_dates(df: DataFrame, begin, end, key: str = "location", date: str =
     days of the range, so no spine is joined and hot locations cost no more than others.
     """
     begin, end = as_date(begin), as_date(end)
-    present = df.filter(F.col(date).between(begin, end))
+    counted = F.col(date).between(begin, end)
     if value:
-        present = present.filter(F.col(value).isNotNull())
-    seen = present.groupBy(key).agg(F.collect_set(date).alias("_seen"))
-    wanted = locations if locations is not None else df.select(key).distinct()
-    days = wanted.select(key).distinct().join(seen, key, "left")
-    gaps = F.array_except(day_range(begin, end), F.coalesce("_seen", F.array().cast("array<date>")))
+        counted = counted & F.col(value).isNotNull()
+    empty = F.array().cast("array<date>")
+    if locations is None:
+        # One pass: a location whose rows all lie outside the range is still asked about.
+        days = df.groupBy(key).agg(F.collect_set(F.when(counted, F.col(date))).alias("_seen"))
+    else:
+        seen = df.filter(counted).groupBy(key).agg(F.collect_set(date).alias("_seen"))
+        days = locations.select(key).distinct().join(seen, key, "left")
+    gaps = F.array_except(day_range(begin, end), F.coalesce("_seen", empty))
     return days.select(key, F.explode(gaps).alias(date))
 
 

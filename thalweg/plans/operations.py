@@ -17,11 +17,11 @@ def backfill_levels(levels: DataFrame, id_map: DataFrame, source: DataFrame, beg
     """Fill missing days of the level table from a second source.
 
     Returns the rows to insert and a report per location: days missing, filled and still missing.
+    Both are taken from the same written work list and rows.
     """
     named = levels.withColumnRenamed("location_name", "location")
-    lacking = series.missing_dates(named, begin, end, value="level_m")
-    found = state.gap_fill_rows(lacking, id_map, source)
-    rows = state.rows_to_insert(levels, found, distinct_batch=True)
+    lacking = materialise(series.missing_dates(named, begin, end, value="level_m"), "missing")
+    rows = materialise(state.gap_fill_rows(lacking, id_map, source), "found")
     missing = lacking.groupBy("location").agg(F.count("*").alias("missing_days"))
     filled = rows.groupBy(F.col("location_name").alias("location")).agg(F.count("*").alias("filled_days"))
     report = missing.join(filled, "location", "left").withColumn("filled_days", F.coalesce("filled_days", F.lit(0)))
