@@ -357,6 +357,26 @@ def test_all_shifts_of_a_series_share_one_shuffle(spark):
     assert plan.count("Exchange") == 1 and plan.count("Window ") == 1
 
 
+def test_a_location_that_feeds_most_stations(spark):
+    """Every station gets the rows of a shared location, and they come out of many tasks."""
+    stations = [(f"S{i}", f"S{i}", "r", [f"S{i}"], ["shared"] if i % 3 else ["shared", f"W{i}"]) for i in range(30)]
+    mapping = spark.createDataFrame(stations, "station string, location string, river string, upstream_stations array<string>, weather_locations array<string>")
+    days = [(at(i),) for i in range(40)]
+    own = spark.createDataFrame(days, "date date").crossJoin(mapping.select("location")).withColumn("level__m", F.dayofmonth("date").cast("double"))
+    rain = spark.createDataFrame(days, "date date").crossJoin(features.edges(mapping, "weather_locations").select("location").distinct())
+    rain = rain.withColumns({"precipitation_sum": F.lit(1.0), "precipitation_hours": F.lit(2.0)})
+    m = features.feature_matrix(mapping, own, rain, [1], [0])
+    per = {r["location"]: r["n"] for r in m.groupBy("location").agg(F.count("*").alias("n")).collect()}
+    assert per == {f"S{i}": 39 for i in range(30)}
+    rows = features.weather_rows(rain, features.weather_sources(features.sources(mapping)), [0])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shared = rows.filter("pos = 0").groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert shared > 1
+
+
 def test_feature_matrix_windows(spark, sf):
     """One window per series and one for the target, whatever the number of lags."""
     m = features.feature_matrix(fx.station_mapping(spark, sf), fx.levels(spark, sf), fx.rain(spark, sf), forecast_days=7)

@@ -93,6 +93,21 @@ def weather_sources(places: DataFrame) -> DataFrame:
     return places.filter(F.col("role") == WEATHER)
 
 
+SLOTS = 16
+
+
+def _at_sources(packed: DataFrame, places: DataFrame) -> DataFrame:
+    """Shifted rows, once for every station their location feeds.
+
+    A location may feed a third of all stations, and its series comes out of one window task.  So
+    the days of a series are dealt to slots before the rows multiply, and the short list of sources
+    is repeated for each slot; whether Catalyst merges or broadcasts, the work is spread.
+    """
+    dealt = packed.withColumn("_slot", F.pmod(F.unix_date("date"), F.lit(SLOTS))).repartition("location", "_slot")
+    listed = places.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    return dealt.join(listed, ["location", "_slot"]).drop("_slot")
+
+
 def level_rows(levels: DataFrame, places: DataFrame, lags: Sequence[int] = STATION_LAGS) -> DataFrame:
     """(station, date, role, pos, n_sources, level__m, lag01__level__m, values): lags by source.
 
@@ -105,7 +120,7 @@ def level_rows(levels: DataFrame, places: DataFrame, lags: Sequence[int] = STATI
     packed = levels.select(
         "location", "date", rank.alias("_rn"), series.LEVEL, first.alias(LAG1), F.array(*[lagged[n] for n in level_names(lags)]).alias("values")
     )
-    joined = packed.join(places, "location").filter((F.col("role") == OWN) | (F.col("_rn") > max(lags)))
+    joined = _at_sources(packed, places).filter((F.col("role") == OWN) | (F.col("_rn") > max(lags)))
     mine = lambda c: F.when(F.col("role") == OWN, F.col(c)).alias(c)
     return joined.select("station", "date", "role", "pos", "n_sources", mine(series.LEVEL), mine(LAG1), "values")
 
@@ -118,7 +133,7 @@ def weather_rows(weather: DataFrame, places: DataFrame, lags: Sequence[int] = WE
     values = F.array(*[moved[n].cast("double") for n in rain_names(lags)])
     packed = weather.select("location", "date", rank.alias("_rn"), values.alias("values"))
     cut = max(max(lags), 0)
-    joined = packed.join(places, "location").filter((F.col("pos") == 0) | (F.col("_rn") > cut))
+    joined = _at_sources(packed, places).filter((F.col("pos") == 0) | (F.col("_rn") > cut))
     return joined.select("station", "date", "role", "pos", "n_sources", "values")
 
 
