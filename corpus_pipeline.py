@@ -6,7 +6,7 @@ from importlib import import_module
 
 from thalweg.llm.registry import ORACLES, QUERIES
 
-MODULES = ("token_files", "chat_format", "mixing", "decontaminate", "chunk_dedup", "quality_ledger", "toxicity", "secret_ledger")
+MODULES = ("token_files", "chat_format", "mixing", "decontaminate", "chunk_dedup", "jaccard_join", "quality_ledger", "toxicity", "secret_ledger")
 
 for _module in MODULES:
     import_module(f"thalweg.llm.{_module}")
