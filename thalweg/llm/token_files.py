@@ -17,9 +17,11 @@ first), then text.  Repeated rows are repeated documents.  An empty table gives
 
 from __future__ import annotations
 
+import itertools
 import struct
 import uuid
 import zlib
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -34,7 +36,7 @@ from thalweg.session import fresh_path
 MAGIC, HEADER = b"TOKBITS1", struct.Struct("<8sIIQQQ")
 MANIFEST = "part int, seq int, file string, n_docs long, n_tokens long"
 #: Ids of so many words are kept per worker; words beyond that are encoded again when they come up.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 
 
 class Layout(NamedTuple):
@@ -139,6 +141,18 @@ class Shard:
         return np.concatenate(got)[begin - first * self.block : end - first * self.block]
 
 
+def _split(word: str) -> tuple[str, str]:
+    """A word as two parts that encode on their own, in a form that fewer words share.
+
+    Capitals and a mark behind a letter can be taken apart safely where every character is a precomposed one
+    below U+0130 and no special token can be in the word; all other words stay whole.
+    """
+    if "<" in word or not (word.isascii() or max(word) < "\u0130"):
+        return word, ""
+    low = word.lower()
+    return (low[:-1], low[-1]) if low[-1] in ".,;:!?" and low[-2:-1].isalpha() else (low, "")
+
+
 def encoder(tokenizer: str):
     """A function from a text column to (ids, end of each text's ids), equal to encoding the whole texts.
 
@@ -147,31 +161,56 @@ def encoder(tokenizer: str):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_str(tokenizer)
-    known: dict[str, bytes] = {}
+    known: dict[str, bytes] = {"": b""}
+
+    last = np.zeros(model.get_vocab_size(), bool)
+    last[[i for piece, i in model.get_vocab().items() if piece.endswith("</w>")]] = True
+
+    def letters(words: list[str]) -> list[bytes]:
+        """Ids of words of letters, a hundred to a text: each is one piece, which ends with the next word-final id."""
+        out: list[bytes] = []
+        for a in range(0, len(words), 6400):
+            lots = [words[k : k + 100] for k in range(a, min(a + 6400, len(words)), 100)]
+            for lot, e in zip(lots, model.encode_batch_fast([" ".join(lot) for lot in lots], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.uint32)
+                ends = (np.flatnonzero(last[ids]) + 1) * 4
+                if len(ends) == len(lot):
+                    raw = ids.tobytes()
+                    out += [raw[i:j] for i, j in itertools.pairwise([0, *ends.tolist()])]
+                else:
+                    out += [array("I", x.ids).tobytes() for x in model.encode_batch_fast(lot, add_special_tokens=False)]
+        return out
 
     def encode(text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         codes, words, offsets = tokenised(text, lower=False)
-        words = words.to_pylist()
-        new = [w for w in words if w not in known]
-        fresh: dict[str, bytes] = {}
-        for a in range(0, len(new), 4096):
-            part = new[a : a + 4096]
-            fresh.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True))
-        pieces = [fresh[w] if w in fresh else known[w] for w in words]
-        for w, b in fresh.items():
-            if len(known) >= CACHED_WORDS:
-                break
-            known[w] = b
+        split = [_split(w) for w in words.to_pylist()]
+        new = list({p for pair in split for p in pair if p not in known})
+        plain = [w for w in new if w.isalpha()]
+        fresh = dict(zip(plain, letters(plain), strict=True))
+        other = [w for w in new if w not in fresh]
+        for a in range(0, len(other), 4096):
+            part = other[a : a + 4096]
+            fresh.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True))
+        room = CACHED_WORDS - len(known)
+        known.update(itertools.islice(fresh.items(), max(0, room)))
+        look = known if len(fresh) <= room else {**fresh, **known}
         # The end id is one more distinct piece, put behind each text's words.
+        pieces = [look[a] + look[b] if b else look[a] for a, b in split]
         pieces.append(np.asarray([end_id], "<u4").tobytes())
-        sizes = np.fromiter((len(p) >> 2 for p in pieces), np.int64, len(pieces))
-        begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) >> 2
+        begins = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(pieces), "<u4")
         seq = np.insert(codes, offsets[1:], len(pieces) - 1)
         n = sizes[seq]
         upto = np.cumsum(n)
-        ids = flat[np.repeat(begins[seq] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)]
-        return ids, upto[offsets[1:] + np.arange(len(offsets) - 1)]
+        step = np.ones(int(upto[-1]) if len(upto) else 0, np.int32)
+        some = np.flatnonzero(n)
+        # Places in ``flat``: on by one within a piece, a jump where the next begins.
+        first = begins[seq[some]]
+        step[upto[some] - n[some]] = np.diff(first, prepend=1) - np.append(0, n[some][:-1] - 1)
+        if len(step):
+            step[0] = first[0]
+        return flat[np.cumsum(step)], upto[offsets[1:] + np.arange(len(offsets) - 1)]
 
     return encode
 
