@@ -18,9 +18,11 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # The minima are tables of their own, so the join can split a node with very many links.
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "links")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = stored(small.filter("u <> v").distinct(), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
