@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from thalweg.llm.common import texts
+from thalweg.llm.common import stored, texts
 from thalweg.llm.registry import query, table
 from thalweg.session import fresh_path
 
@@ -126,7 +126,8 @@ def report(paths: DataFrame, found: DataFrame, kinds) -> DataFrame:
     of = lambda kind: F.coalesce(F.size(F.filter("all", lambda x: x.kind == kind)), F.lit(0)).cast("long").alias(f"n_{kind}")
     base = F.filter("all", lambda x: x.kind.isin(*BASE))
     per_blob = spans.select("blob", *[of(k) for k in BASE], text(base).alias("base"), text(F.col("all")).alias("spans"))
-    out = paths.select("doc_id", "blob").join(per_blob, "blob", "left")
+    # A table of its own, so the join can split a blob that very many paths hold.
+    out = paths.select("doc_id", "blob").join(stored(per_blob, "secret-spans"), "blob", "left")
     return out.select(
         "doc_id",
         *[F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in BASE],
