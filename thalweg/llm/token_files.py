@@ -133,11 +133,11 @@ class Shard:
         first, last = begin // self.block, (end - 1) // self.block
         self.file.seek(self.payload + int(self.offsets[first]))
         data = self.file.read(int(self.offsets[last + 1] - self.offsets[first]))
-        # A full block takes whole bytes, so blocks that follow one another unpack as one run.
-        step = self.block * self.bits // 8
-        got = [unpack(data[(b - first) * step : (b - first + 1) * step], min(self.block, self.n_tokens - b * self.block), self.bits) for b in range(first, last + 1)] if self.block * self.bits % 8 else [
-            unpack(data, min((last + 1) * self.block, self.n_tokens) - first * self.block, self.bits)
-        ]
+        if self.block * self.bits % 8 == 0:  # blocks without padding between them unpack as one run
+            got = [unpack(data, min((last + 1) * self.block, self.n_tokens) - first * self.block, self.bits)]
+        else:
+            at = (self.offsets[first : last + 2] - self.offsets[first]).tolist()
+            got = [unpack(data[x:y], min(self.block, self.n_tokens - b * self.block), self.bits) for b, (x, y) in enumerate(itertools.pairwise(at), first)]
         return np.concatenate(got)[begin - first * self.block : end - first * self.block]
 
 
