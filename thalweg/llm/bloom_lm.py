@@ -38,7 +38,7 @@ class Model(NamedTuple):
     bits_per_key: int = 12
     probes: int = 5
     bucket_entries: int = 1 << 20
-    segment_bytes: int = 96 << 20
+    segment_bytes: int = 64 << 20
 
 
 END, BEGIN = (mix(np.array([k], np.uint64)) for k in (0xE4D, 0xBE61))
@@ -96,10 +96,14 @@ def _chunks(batches):
             yield Chunk(batch.slice(k, 1).to_pylist()[0])
 
 
+def _order(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return np.lexsort((keys, (keys >> np.uint64(20)) % np.uint64(buckets)))
+
+
 def _dealt(keys: np.ndarray, counts: np.ndarray, buckets: int):
     """(bucket, keys, counts) with keys sorted; no more parts than keys."""
     bucket = (keys >> np.uint64(20)) % np.uint64(buckets)
-    order = np.lexsort((keys, bucket))
+    order = _order(keys, buckets)
     keys, counts, bucket = keys[order], counts[order], bucket[order].astype(np.int64)
     cut = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in itertools.pairwise([*cut.tolist(), len(keys)]):
@@ -123,9 +127,13 @@ def _merged(rows: pa.Table):
     return distinct, place, total
 
 
+def word_buckets(entries: int, model: Model) -> int:
+    return max(1, -(-entries // model.bucket_entries))
+
+
 def word_totals(chunks: DataFrame, entries: int, model: Model) -> DataFrame:
-    """(chunk, keys, totals) answers to every chunk, and per bucket (null, …, distinct, tokens) of the training words."""
-    buckets = max(1, -(-entries // model.bucket_entries))
+    """(chunk, bucket, totals, …) answers to every chunk in the order it asked, and per bucket (null, …, distinct, tokens)."""
+    buckets = word_buckets(entries, model)
 
     def ask(batches):
         for c in _chunks(batches):
@@ -133,17 +141,17 @@ def word_totals(chunks: DataFrame, entries: int, model: Model) -> DataFrame:
             yield _requests(c, _dealt(c.words, counts, buckets))
 
     def answer(batches):
-        schema = pa.schema([("chunk", pa.int64()), ("keys", pa.binary()), ("totals", pa.binary()), ("seen", pa.int64()), ("tokens", pa.int64())])
-        for _, rows in groups(batches, "bucket"):
+        schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("totals", pa.binary()), ("seen", pa.int64()), ("tokens", pa.int64())])
+        for (bucket,), rows in groups(batches, "bucket"):
             _, place, total = _merged(rows)
             sizes = [len(x.as_buffer()) >> 3 for x in rows.column("keys")]
             at = np.cumsum([0, *sizes])
             for k, (a, b) in enumerate(itertools.pairwise(at.tolist())):
-                yield pa.RecordBatch.from_pylist([{"chunk": rows.column("chunk")[k].as_py(), "keys": rows.column("keys")[k].as_py(), "totals": total[place[a:b]].astype("<i8").tobytes(), "seen": None, "tokens": None}], schema=schema)
-            yield pa.RecordBatch.from_pylist([{"chunk": None, "keys": b"", "totals": b"", "seen": int((total > 0).sum()), "tokens": int(total.sum())}], schema=schema)
+                yield pa.RecordBatch.from_pylist([{"chunk": rows.column("chunk")[k].as_py(), "bucket": bucket, "totals": total[place[a:b]].astype("<i8").tobytes(), "seen": None, "tokens": None}], schema=schema)
+            yield pa.RecordBatch.from_pylist([{"chunk": None, "bucket": bucket, "totals": b"", "seen": int((total > 0).sum()), "tokens": int(total.sum())}], schema=schema)
 
     asked = chunks.mapInArrow(ask, "bucket long, chunk long, keys binary, counts binary")
-    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, "chunk long, keys binary, totals binary, seen long, tokens long")
+    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, "chunk long, bucket long, totals binary, seen long, tokens long")
 
 
 def levels(counts: np.ndarray, base: float) -> np.ndarray:
@@ -220,7 +228,7 @@ class Segment:
 SCORES = "chunk long, place int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(asked: DataFrame, shared, tokens: int, vocabulary: int, trained: int, model: Model) -> DataFrame:
+def _score(asked: DataFrame, shared, asked_buckets: int, tokens: int, vocabulary: int, trained: int, model: Model) -> DataFrame:
     """Exact unigram columns, and the part of the score that the segment's pairs contribute."""
     middle = middles(model.base)
 
@@ -230,11 +238,11 @@ def _score(asked: DataFrame, shared, tokens: int, vocabulary: int, trained: int,
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
                 c = Chunk(row)
-                order = np.argsort(c.words)
+                # The answers by bucket, each in the order of its keys, are the words in the order they were asked in.
                 count = np.zeros(c.end + 2)
-                for part in row["answers"]:
-                    keys = np.frombuffer(part["keys"], "<u8")
-                    count[order[np.searchsorted(c.words, keys, sorter=order)]] = np.frombuffer(part["totals"], "<i8")
+                told = [np.frombuffer(p["totals"], "<i8") for p in sorted(row["answers"], key=lambda p: p["bucket"])]
+                if told:
+                    count[_order(c.words, asked_buckets)] = np.concatenate(told)
                 count[c.end] = count[c.begin] = trained
                 chance = (count + 0.1) / (tokens + 0.1 * (vocabulary + 1))
                 keys, place = np.unique(c.pairs(), return_inverse=True)
@@ -267,9 +275,9 @@ def score_texts(docs: DataFrame, model: Model = Model()) -> DataFrame:
     seen, tokens = answers.filter("chunk IS NULL").agg(F.sum("seen"), F.sum("tokens")).first()
     trained = n_texts or 0
     vocabulary, tokens = (seen or 0) + (trained > 0), (tokens or 0) + trained
-    by_chunk = answers.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("keys", "totals")).alias("answers"))
+    by_chunk = answers.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "totals")).alias("answers"))
     # A chunk with no words has no request, hence the outer join.
-    asked = stored(chunks.join(by_chunk, "chunk", "left").withColumn("answers", F.coalesce("answers", F.array().cast("array<struct<keys:binary,totals:binary>>"))), "lm-asked")
+    asked = stored(chunks.join(by_chunk, "chunk", "left").withColumn("answers", F.coalesce("answers", F.array().cast("array<struct<bucket:bigint,totals:binary>>"))), "lm-asked")
     parts, buckets = filters(chunks, (n_words or 0) + trained, model)
     parts = stored(parts, "lm-filter")
     # Every bucket belongs to some segment; one that holds no pair needs no bits.
@@ -286,7 +294,7 @@ def score_texts(docs: DataFrame, model: Model = Model()) -> DataFrame:
         rows = parts.filter(F.col("bucket").between(lot[0], lot[-1])).collect()
         empty = [{"bucket": b, "size": 64, "bits": b"\0" * 8} for b in lot if b not in sizes]
         shared = spark.sparkContext.broadcast((Segment([*rows, *empty], buckets), buckets))
-        scored.append(stored(_score(asked, shared, tokens, vocabulary, trained, model), "lm-scores"))
+        scored.append(stored(_score(asked, shared, word_buckets(entries or 0, model), tokens, vocabulary, trained, model), "lm-scores"))
         shared.destroy()
     out = scored[0]
     if len(scored) > 1:
