@@ -13,6 +13,7 @@ counts of its distinct words.  Requests and pair counts travel as sorted arrays
 whose number grows with the input; a word that every text holds is one entry per chunk.  The filter
 grows with the pairs, so it is broadcast in segments of at most ``segment_bytes``: each segment
 scores the pairs it owns in one pass over the chunks, and the passes add up, as the score is a sum.
+A pass leaves one row per chunk, not one per text.
 
 Words are told apart by 64-bit hashes.  Null texts are empty ones (the end token alone); a null id is
 trained on.  Repeated rows are texts of their own.  Without training texts N = V = 0 and c = 0.
@@ -38,7 +39,7 @@ class Model(NamedTuple):
     bits_per_key: int = 12
     probes: int = 5
     bucket_entries: int = 1 << 20
-    segment_bytes: int = 64 << 20
+    segment_bytes: int = 32 << 20
 
 
 END, BEGIN = (mix(np.array([k], np.uint64)) for k in (0xE4D, 0xBE61))
@@ -225,11 +226,12 @@ class Segment:
         return out
 
 
-SCORES = "chunk long, place int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+SCORES = "chunk long, ids array<long>, held array<boolean>, sizes array<long>, known array<long>, base array<double>, score array<double>"
+SCORE_ROW = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("known", pa.list_(pa.int64())), ("base", pa.list_(pa.float64())), ("score", pa.list_(pa.float64()))])
 
 
-def _score(asked: DataFrame, shared, asked_buckets: int, tokens: int, vocabulary: int, trained: int, model: Model) -> DataFrame:
-    """Exact unigram columns, and the part of the score that the segment's pairs contribute."""
+def _score(asked: DataFrame, shared, asked_buckets: int, tokens: int, vocabulary: int, trained: int, model: Model, first: bool) -> DataFrame:
+    """One row per chunk: the part of its texts' scores that the segment's pairs contribute; in the first pass the exact unigram columns too."""
     middle = middles(model.base)
 
     def run(batches):
@@ -253,15 +255,35 @@ def _score(asked: DataFrame, shared, asked_buckets: int, tokens: int, vocabulary
                 mine[own] = True
                 term = np.log10((pair[place] + model.mu * chance[c.tokens]) / (count[c.before] + model.mu))
                 total = lambda x, c=c: np.add.reduceat(x, c.starts) if len(c.starts) else np.zeros(0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(c.ids), c.key)), pa.array(np.arange(len(c.ids)), pa.int32()), pa.array(c.ids, pa.int64()), pa.array(c.held), pa.array(c.sizes),
-                     pa.array(total((count[c.tokens] > 0).astype(np.int64)).astype(np.int64)), pa.array(total(np.log10(chance)[c.tokens])), pa.array(total(np.where(mine[place], term, 0.0)))],
-                    names=[x.split()[0] for x in SCORES.split(", ")],
-                )
+                out = dict.fromkeys(SCORE_ROW.names) | {"chunk": c.key, "score": total(np.where(mine[place], term, 0.0))}
+                if first:
+                    out |= {"ids": c.ids, "held": c.held, "sizes": c.sizes, "known": total((count[c.tokens] > 0).astype(np.int64)).astype(np.int64), "base": total(np.log10(chance)[c.tokens])}
+                yield pa.RecordBatch.from_pydict({k: [v] for k, v in out.items()}, schema=SCORE_ROW)
 
     return asked.mapInArrow(run, SCORES)
 
 
+def _added(passes: DataFrame) -> DataFrame:
+    """One row per chunk again: the parts of all passes added up, two rows of a chunk in memory at a time."""
+
+    def run(batches):
+        held = None
+        for row in itertools.chain.from_iterable(b.slice(k, 1).to_pylist() for b in batches for k in range(b.num_rows)):
+            if held and held["chunk"] != row["chunk"]:
+                yield pa.RecordBatch.from_pylist([held], schema=SCORE_ROW)
+                held = None
+            if held:
+                held["score"] = np.add(held["score"], row["score"])
+                row = row if row["ids"] is not None else held
+                held |= {c: row[c] for c in ("ids", "held", "sizes", "known", "base")}
+            else:
+                held = row
+        if held:
+            yield pa.RecordBatch.from_pylist([held], schema=SCORE_ROW)
+
+    return passes.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, SCORES)
+
+
 def score_texts(docs: DataFrame, model: Model = Model()) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
     spark = docs.sparkSession
@@ -294,14 +316,18 @@ def score_texts(docs: DataFrame, model: Model = Model()) -> DataFrame:
         rows = parts.filter(F.col("bucket").between(lot[0], lot[-1])).collect()
         empty = [{"bucket": b, "size": 64, "bits": b"\0" * 8} for b in lot if b not in sizes]
         shared = spark.sparkContext.broadcast((Segment([*rows, *empty], buckets), buckets))
-        scored.append(stored(_score(asked, shared, word_buckets(entries or 0, model), tokens, vocabulary, trained, model), "lm-scores"))
+        scored.append(stored(_score(asked, shared, word_buckets(entries or 0, model), tokens, vocabulary, trained, model, not scored), "lm-scores"))
         shared.destroy()
     out = scored[0]
     if len(scored) > 1:
         for more in scored[1:]:
             out = out.unionByName(more)
-        out = out.groupBy("chunk", "place").agg(*[F.first(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")], F.sum("score").alias("score"))
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
+        out = _added(out)
+    told = out.select(F.explode(F.arrays_zip("ids", "held", "sizes", "known", "base", "score")).alias("t"))
+    return told.select(
+        F.col("t.ids").alias("doc_id"), F.col("t.held").alias("held_out"), F.col("t.sizes").alias("n_tokens"), F.col("t.known").alias("n_known"),
+        F.lit(tokens).cast("long").alias("train_tokens"), F.col("t.base").alias("base_score"), F.col("t.score").alias("score"),
+    )
 
 
 @query("op4_bloom_lm")
