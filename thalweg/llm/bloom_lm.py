@@ -15,7 +15,7 @@ grows with the pairs, so it is broadcast in segments of at most ``segment_bytes`
 scores the pairs it owns in one pass over the chunks, and the passes add up, as the score is a sum.
 A pass leaves one row per chunk, not one per text.
 
-Words are told apart by 64-bit hashes.  Null texts are empty ones (the end token alone); a null id is
+Words are told apart by 64-bit hashes, pairs by ``KEY_BYTES`` within a bucket.  Null texts are empty ones (the end token alone); a null id is
 trained on.  Repeated rows are texts of their own.  Without training texts N = V = 0 and c = 0.
 """
 
@@ -42,6 +42,10 @@ class Model(NamedTuple):
     segment_bytes: int = 32 << 20
 
 
+#: A pair is told from the others of its bucket by this many bytes of its hash: with 2^20 pairs a bucket,
+#: at any size of the input, one in a million meets another, far below the filter's own errors.
+KEY_BYTES = 5
+LOW = np.uint64((1 << 8 * KEY_BYTES) - 1)
 END, BEGIN = (mix(np.array([k], np.uint64)) for k in (0xE4D, 0xBE61))
 CHUNK = "chunk long, ids array<long>, held array<boolean>, sizes array<int>, codes binary, words binary"
 
@@ -60,7 +64,7 @@ def coded(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "chunk": [int(seeds.integers(1 << 62))], "ids": [batch.column("doc_id").to_pylist()], "held": [batch.column("held").to_pylist()],
-                    "sizes": [np.diff(offsets).astype(np.int32)], "codes": [codes.astype("<i4").tobytes()], "words": [word_hashes(words).astype("<u8").tobytes()],
+                    "sizes": [np.diff(offsets).astype(np.int32)], "codes": [planes(codes, 4)], "words": [word_hashes(words).astype("<u8").tobytes()],
                 },
                 schema=pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())), ("codes", pa.binary()), ("words", pa.binary())]),
             )
@@ -68,6 +72,17 @@ def coded(docs: DataFrame) -> DataFrame:
     return texts(docs).withColumn("held", held_out()).mapInArrow(run, CHUNK)
 
 
+def planes(numbers: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each number: first all lowest bytes, then all second ones, so that empty ones compress."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unplaned(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
 class Chunk:
     """One row of ``coded``: words with their end tokens, and the word before each."""
 
@@ -77,7 +92,7 @@ class Chunk:
         sizes = np.array(row["sizes"], np.int64)
         self.words = np.frombuffer(row["words"], "<u8").astype(np.uint64)
         self.end, self.begin = len(self.words), len(self.words) + 1
-        codes = np.frombuffer(row["codes"], "<i4").astype(np.int64)
+        codes = unplaned(row["codes"], 4).astype(np.int64)
         ends = np.cumsum(sizes)
         self.tokens = np.insert(codes, ends, self.end)
         self.sizes = sizes + 1
@@ -97,15 +112,20 @@ def _chunks(batches):
             yield Chunk(batch.slice(k, 1).to_pylist()[0])
 
 
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Chosen by the high bits, so the ``KEY_BYTES`` low ones tell the keys of a bucket apart."""
+    return ((keys >> np.uint64(8 * KEY_BYTES)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _order(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return np.lexsort((keys, (keys >> np.uint64(20)) % np.uint64(buckets)))
+    return np.lexsort((keys, _bucket(keys, buckets)))
 
 
 def _dealt(keys: np.ndarray, counts: np.ndarray, buckets: int):
     """(bucket, keys, counts) with keys sorted; no more parts than keys."""
-    bucket = (keys >> np.uint64(20)) % np.uint64(buckets)
     order = _order(keys, buckets)
-    keys, counts, bucket = keys[order], counts[order], bucket[order].astype(np.int64)
+    keys, counts = keys[order], counts[order]
+    bucket = _bucket(keys, buckets)
     cut = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in itertools.pairwise([*cut.tolist(), len(keys)]):
         yield int(bucket[a]), keys[a:b], counts[a:b]
@@ -114,14 +134,14 @@ def _dealt(keys: np.ndarray, counts: np.ndarray, buckets: int):
 REQUEST = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
-def _requests(chunk: Chunk, parts) -> pa.RecordBatch:
-    rows = [{"bucket": b, "chunk": chunk.key, "keys": k.astype("<u8").tobytes(), "counts": c.astype("<i8").tobytes()} for b, k, c in parts]
+def _requests(chunk: Chunk, parts, width: int = 8) -> pa.RecordBatch:
+    rows = [{"bucket": b, "chunk": chunk.key, "keys": planes(k, width), "counts": planes(c, 8)} for b, k, c in parts]
     return pa.RecordBatch.from_pylist(rows, schema=REQUEST)
 
 
-def _merged(rows: pa.Table):
-    keys = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in rows.column("keys")])
-    counts = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in rows.column("counts")])
+def _merged(rows: pa.Table, width: int = 8):
+    keys = np.concatenate([unplaned(x.as_py(), width) for x in rows.column("keys")])
+    counts = np.concatenate([unplaned(x.as_py(), 8) for x in rows.column("counts")]).astype(np.int64)
     distinct, place = np.unique(keys, return_inverse=True)
     total = np.zeros(len(distinct), np.int64)
     np.add.at(total, place, counts)
@@ -148,7 +168,7 @@ def word_totals(chunks: DataFrame, entries: int, model: Model) -> DataFrame:
             sizes = [len(x.as_buffer()) >> 3 for x in rows.column("keys")]
             at = np.cumsum([0, *sizes])
             for k, (a, b) in enumerate(itertools.pairwise(at.tolist())):
-                yield pa.RecordBatch.from_pylist([{"chunk": rows.column("chunk")[k].as_py(), "bucket": bucket, "totals": total[place[a:b]].astype("<i8").tobytes(), "seen": None, "tokens": None}], schema=schema)
+                yield pa.RecordBatch.from_pylist([{"chunk": rows.column("chunk")[k].as_py(), "bucket": bucket, "totals": planes(total[place[a:b]], 8), "seen": None, "tokens": None}], schema=schema)
             yield pa.RecordBatch.from_pylist([{"chunk": None, "bucket": bucket, "totals": b"", "seen": int((total > 0).sum()), "tokens": int(total.sum())}], schema=schema)
 
     asked = chunks.mapInArrow(ask, "bucket long, chunk long, keys binary, counts binary")
@@ -178,11 +198,11 @@ def filters(chunks: DataFrame, tokens: int, model: Model) -> tuple[DataFrame, in
     def ask(batches):
         for c in _chunks(batches):
             keys, counts = np.unique(c.pairs(np.flatnonzero(c.trained)), return_counts=True)
-            yield _requests(c, _dealt(keys, counts, buckets))
+            yield _requests(c, _dealt(keys, counts, buckets), KEY_BYTES)
 
     def build(batches):
         for (bucket,), rows in groups(batches, "bucket"):
-            keys, _, total = _merged(rows)
+            keys, _, total = _merged(rows, KEY_BYTES)
             level = levels(total, model.base)
             size = np.uint64(max(64, -(-int(level.sum()) * model.bits_per_key // 64) * 64))
             bits = np.zeros(int(size), bool)
@@ -242,16 +262,16 @@ def _score(asked: DataFrame, shared, asked_buckets: int, tokens: int, vocabulary
                 c = Chunk(row)
                 # The answers by bucket, each in the order of its keys, are the words in the order they were asked in.
                 count = np.zeros(c.end + 2)
-                told = [np.frombuffer(p["totals"], "<i8") for p in sorted(row["answers"], key=lambda p: p["bucket"])]
+                told = [unplaned(p["totals"], 8).astype(np.int64) for p in sorted(row["answers"], key=lambda p: p["bucket"])]
                 if told:
                     count[_order(c.words, asked_buckets)] = np.concatenate(told)
                 count[c.end] = count[c.begin] = trained
                 chance = (count + 0.1) / (tokens + 0.1 * (vocabulary + 1))
                 keys, place = np.unique(c.pairs(), return_inverse=True)
-                bucket = ((keys >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+                bucket = _bucket(keys, buckets)
                 own = np.flatnonzero(seg.here[bucket])
                 pair, mine = np.zeros(len(keys)), np.zeros(len(keys), bool)
-                pair[own] = middle[np.minimum(seg.level(keys[own], bucket[own], model.probes), len(middle) - 1)]
+                pair[own] = middle[np.minimum(seg.level(keys[own] & LOW, bucket[own], model.probes), len(middle) - 1)]
                 mine[own] = True
                 term = np.log10((pair[place] + model.mu * chance[c.tokens]) / (count[c.before] + model.mu))
                 total = lambda x, c=c: np.add.reduceat(x, c.starts) if len(c.starts) else np.zeros(0)
