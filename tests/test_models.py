@@ -171,3 +171,21 @@ def test_rollup_of_a_day_that_arrives_in_parts(spark):
         streams.stream_daily_rollup(streams.read_landing(spark, folder, df.schema), path).awaitTermination()
     got = sorted(tuple(r) for r in streams.read_rollup(spark, path).collect())
     assert got == [("a", dt.date(2024, 1, 1), 2, 6.0, 5.0), ("b", dt.date(2024, 1, 1), 1, 2.0, 2.0)]
+
+
+def test_late_readings_are_kept(spark):
+    """Readings 18 days late, and one without a time stamp that lands twice, are in the table and in the rollup."""
+    folder, path, rolled = (fresh_path(spark, n) for n in ("in", "out", "rolled"))
+    parts = [("a", at(1, 1), 1, 1.0)], [("a", at(20, 1), 2, 2.0), ("a", None, 3, 3.0)], [("a", at(2, 1), 4, 4.0), ("a", at(1, 2), 5, 5.0), ("a", None, 3, 3.0)], [("a", at(1, 1), 1, 1.0)]
+    for part in parts:
+        df = readings(spark, part)
+        df.coalesce(1).write.mode("append").parquet(folder)
+        streams.ingest_readings(streams.read_landing(spark, folder, df.schema), path).awaitTermination()
+    got = streams.read_ingested(spark, path, df.schema)
+    assert sorted(r[0] for r in got.select("event_id").collect()) == [1, 2, 3, 4, 5]
+    kept = got.filter("ts IS NOT NULL")
+    for day in (20, 1, 2):
+        kept.filter(F.dayofmonth("ts") == day).coalesce(1).write.mode("append").parquet(f"{folder}-kept")
+        streams.stream_daily_rollup(streams.read_landing(spark, f"{folder}-kept", df.schema), rolled).awaitTermination()
+    days = sorted((r["date"].day, r["n"], r["total"]) for r in streams.read_rollup(spark, rolled).collect())
+    assert days == [(1, 2, 6.0), (2, 1, 4.0), (20, 1, 2.0)]

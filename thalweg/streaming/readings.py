@@ -2,7 +2,7 @@
 
 A micro-batch writes its own folder ``batch=N`` and overwrites it when it is run again, so a
 restarted query leaves every row once.  The checkpoint lies inside the output folder: batch numbers
-mean something only together with it.
+mean something only together with it.  No state and no watermark: a reading counts however late it comes.
 """
 
 from __future__ import annotations
@@ -43,31 +43,37 @@ def _start(writer, path: str) -> StreamingQuery:
     return writer.option("checkpointLocation", f"{path}/_checkpoint").trigger(availableNow=True).start()
 
 
-def ingest_readings(stream: DataFrame, path: str, keys: Sequence[str] = ("location", "ts"), ts: str = "ts", delay: str = "2 days") -> StreamingQuery:
-    """Append readings that are not in the table yet.
+#: The folder of a reading's day inside its batch.
+ON_DAY = T.StructField("on_day", T.DateType())
 
-    Repeats within the watermark are dropped in state.  What gets past it is checked against the
-    table; where the time stamp is part of the key, only rows as young as the batch's oldest are read.
+
+def ingest_readings(stream: DataFrame, path: str, keys: Sequence[str] = ("location", "ts"), ts: str = "ts") -> StreamingQuery:
+    """Append readings that are not in the table yet, however old they are.
+
+    The table is kept by day.  Where the time stamp is part of the key, a batch reads only the days
+    it holds, else the whole table.  Of a batch's rows with one key the latest stays, ties going to
+    the greatest rest.  Nulls in a key are equal to each other.
     """
     schema = stream.schema
-    fresh = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read twice: without this the state would be gone through twice
-        try:
-            known = _batches(batch.sparkSession, path, schema).filter(F.col("batch") != batch_id)
-            if ts in keys:
-                known = known.filter(F.col(ts) >= F.lit(batch.agg(F.min(ts)).first()[0]))
-            new = batch.join(known.select(*keys), list(keys), "left_anti").select(*schema.names)
-            new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        spark, day = batch.sparkSession, F.to_date(ts)
+        known = _batches(spark, path, T.StructType([*schema.fields, ON_DAY])).filter(F.col("batch") != batch_id)
+        if ts in keys:
+            days = [r[0] for r in batch.select(day).distinct().collect()]  # as many as calendar days at most
+            dated = F.col(ON_DAY.name).isin([d for d in days if d is not None])
+            known = known.filter(dated | F.col(ON_DAY.name).isNull() if None in days else dated)
+        known = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+        new = dedup_keep_last(batch, keys, [c for c in (ts,) if c not in keys]).join(known, same, "left_anti")
+        by_day = new.select(*schema.names, day.alias(ON_DAY.name)).hint("rebalance", ON_DAY.name)
+        by_day.write.mode("overwrite").partitionBy(ON_DAY.name).parquet(f"{path}/batch={batch_id}")
 
-    return _start(fresh.writeStream.foreachBatch(write), path)
+    return _start(stream.writeStream.foreachBatch(write), path)
 
 
 def read_ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _batches(spark, path, schema).drop("batch")
+    return _batches(spark, path, T.StructType([*schema.fields, ON_DAY])).drop("batch", ON_DAY.name)
 
 
 def stream_alerts(stream: DataFrame, stations: DataFrame, path: str, band: str = "full") -> StreamingQuery:
@@ -96,15 +102,20 @@ def daily_rollup(readings: DataFrame, ts: str = "ts", value: str = "value") -> D
     return grouped.select("location", F.col("w.start").cast("date").alias("date"), "n", "total", "highest")
 
 
-def stream_daily_rollup(stream: DataFrame, path: str, ts: str = "ts", delay: str = "2 days") -> StreamingQuery:
-    """Maintain the daily rollup: every batch writes the days it changed, the latest batch counts."""
-    rolled = daily_rollup(stream.withWatermark(ts, delay), ts)
+def stream_daily_rollup(stream: DataFrame, path: str, ts: str = "ts", value: str = "value") -> StreamingQuery:
+    """Maintain the daily rollup: every batch writes its own part of the days it holds.
+
+    Count, sum and maximum can be put together from parts, so a late reading needs neither state
+    nor another look at the readings of its day.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        daily_rollup(batch, ts, value).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return _start(rolled.writeStream.outputMode("update").foreachBatch(write), path)
+    return _start(stream.writeStream.foreachBatch(write), path)
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    return dedup_keep_last(_batches(spark, path, ROLLUP), ("location", "date"), ("batch",)).drop("batch")
+    """The parts of all batches put together."""
+    parts = _batches(spark, path, ROLLUP)
+    return parts.groupBy("location", "date").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("highest").alias("highest"))
