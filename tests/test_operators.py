@@ -377,6 +377,23 @@ def test_a_location_that_feeds_most_stations(spark):
     assert shared > 1
 
 
+def test_doubled_days_and_missing_sources(spark):
+    """A doubled day of one weather location neither stands in for the other's missing one nor drops the day."""
+    mapping = spark.createDataFrame([("S", "S", "r", ["U"], ["A", "B"])], "station string, location string, river string, upstream_stations array<string>, weather_locations array<string>")
+    levels = spark.createDataFrame([(k, at(i), float(i), 1) for k in "SU" for i in range(12)] + [("S", at(5), 99.0, 0)], "location string, date date, level__m double, load_seq int")
+    rows = [(k, at(i), float(i), 1.0, 1) for k in "AB" for i in range(12) if (k, i) != ("B", 8)]
+    rain = spark.createDataFrame([*rows, ("A", at(8), 99.0, 1.0, 2), ("A", at(3), 77.0, 1.0, 0)], "location string, date date, precipitation_sum double, precipitation_hours double, load_seq int")
+    m = features.feature_matrix(mapping, levels, rain, [1], [1], infer=True, recency=["load_seq"]).orderBy("date").collect()
+    # The first row of each upstream and further weather series falls away with lag 1; on day 8 location B has no row.
+    assert [r["date"] for r in m] == [at(i) for i in range(1, 12) if i != 8]
+    by_day = {r["date"]: list(r["features"]) for r in m}
+    assert by_day[at(4)] == [3, 3, 3, 1, 3, 1] and by_day[at(6)] == [5, 5, 5, 1, 5, 1]
+    assert by_day[at(9)] == [8, 8, 99, 1, 7, 1]
+    bad = features.join_on_date([features.weather_rows(rain.drop("load_seq"), features.sources(mapping, reference=False, upstream=False), [0])])
+    with pytest.raises(Exception, match="more than one row of a source"):
+        bad.collect()
+
+
 def test_feature_matrix_windows(spark, sf):
     """One window per series and one for the target, whatever the number of lags."""
     m = features.feature_matrix(fx.station_mapping(spark, sf), fx.levels(spark, sf), fx.rain(spark, sf), forecast_days=7)

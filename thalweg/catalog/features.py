@@ -59,7 +59,7 @@ def join_upstream_levels(spark, sf):
         "rain_filled edges_wx",
         f"""SELECT f.station, f.date, f.feature, f.value FROM ({lengthen_sql(WX_NAMES, 'wx')}) f
 JOIN (SELECT station, date, count(*) AS n FROM wx GROUP BY ALL) d ON f.station = d.station AND f.date = d.date
-WHERE year(f.date) = 2000 AND n = (SELECT count(*) FROM edges_wx e WHERE e.station = f.station)""",
+WHERE n = (SELECT count(*) FROM edges_wx e WHERE e.station = f.station)""",
         r=R.format(rain="rain_filled"),
         wx=WX_PARTS,
     ),
@@ -67,7 +67,7 @@ WHERE year(f.date) = 2000 AND n = (SELECT count(*) FROM edges_wx e WHERE e.stati
 def join_weather_locations(spark, sf):
     mapping = fx.station_mapping(spark, sf)
     rows = features.weather_rows(fx.rain_filled(spark, sf), features.sources(mapping, reference=False, upstream=False), WX)
-    joined = features.join_on_date([rows]).filter(F.year("date") == 2000)
+    joined = features.join_on_date([rows])
     names = features.feature_index(mapping.withColumn("upstream_stations", F.array().cast("array<string>")), UP, WX)
     only = names.withColumn("names", F.slice("names", len(UP) + 1, F.size("names")))
     return features.lengthen(joined.withColumnRenamed("station", "location"), only).withColumnRenamed("location", "station")
@@ -125,9 +125,16 @@ ENCODED = """CAST(month(k.date) AS INTEGER) AS month, CAST(dayofyear(k.date) AS
 N_FEATURES = "2 + 2 * 2 + 6 * (SELECT count(*) FROM edges_wx e WHERE e.station = k.station)"
 
 
+def with_older(rows, value):
+    """Every third day a second time, loaded earlier and with another value."""
+    older = rows.filter(F.dayofmonth("date") % 3 == 0).withColumn(value, F.col(value) + 1)
+    return rows.withColumn("load_seq", F.lit(2)).unionByName(older.withColumn("load_seq", F.lit(1)))
+
+
 def small_matrix(spark, sf, forecast_days):
-    mapping = fx.station_mapping(spark, sf)
-    return features.feature_matrix(mapping, fx.levels(spark, sf), fx.rain_filled(spark, sf), UP, WX, forecast_days)
+    """From inputs with doubled days; the levels have gaps."""
+    levels, rain = with_older(fx.levels(spark, sf), "level__m"), with_older(fx.rain_filled(spark, sf), "precipitation_sum")
+    return features.feature_matrix(fx.station_mapping(spark, sf), levels, rain, UP, WX, forecast_days, recency=["load_seq"])
 
 
 @query(
@@ -158,11 +165,11 @@ JOIN ({lengthen_sql(UP_NAMES, 'up')} UNION ALL {lengthen_sql(WX_NAMES, 'wx')}
 
 @query(
     "feature_matrix_long",
-    oracle("levels rain_filled edges_up edges_wx", LONG + " WHERE year(k.date) = 1999", **lagged(rain="rain_filled"), **matrix_sql(2)),
+    oracle("levels rain_filled edges_up edges_wx", LONG, **lagged(rain="rain_filled"), **matrix_sql(2)),
 )
 def feature_matrix_long(spark, sf):
     index = features.feature_index(fx.station_mapping(spark, sf), UP, WX)
-    return features.lengthen(small_matrix(spark, sf, 2).filter(F.year("date") == 1999), index)
+    return features.lengthen(small_matrix(spark, sf, 2), index)
 
 
 CORR = """SELECT location, feature, round(CASE WHEN isnan(c) THEN NULL ELSE c END, 6) AS corr

@@ -140,8 +140,10 @@ def weather_rows(weather: DataFrame, places: DataFrame, lags: Sequence[int] = WE
 def join_on_date(frames: Sequence[DataFrame]) -> DataFrame:
     """Inner join of any number of sources on (station, date) as one grouping.
 
-    Days with fewer than ``n_sources`` rows are dropped, which is what a chain of inner joins would
-    leave.  A group holds one row per source of the station, a number fixed by the mapping.
+    Days on which one of the ``n_sources`` sources has no row are dropped, which is what a chain of
+    inner joins would leave.  Sources are told apart by (role, pos), so a doubled row never stands
+    in for a missing one; it raises an error.  A group holds one row per source of the station, a
+    number fixed by the mapping.
     """
     tall = None
     for frame in frames:
@@ -155,7 +157,9 @@ def join_on_date(frames: Sequence[DataFrame]) -> DataFrame:
         F.max(LAG1).alias(LAG1),
         F.sort_array(F.collect_list("part")).alias("parts"),
     )
-    complete = grouped.filter(F.size("parts") == F.col("n_sources"))
+    present = F.size(F.array_distinct(F.transform("parts", lambda p: F.struct(p.role, p.pos))))
+    doubled = F.raise_error(F.concat(F.lit("more than one row of a source for "), F.col("station"), F.lit(" on "), F.col("date").cast("string")))
+    complete = grouped.filter(F.when(F.size("parts") > present, doubled.cast("boolean")).otherwise(present == F.col("n_sources")))
     return complete.select("station", "date", series.LEVEL, LAG1, F.flatten("parts.values").alias("features"))
 
 
@@ -164,10 +168,23 @@ def complete_features() -> Column:
 
 
 def joined_rows(
-    mapping: DataFrame, levels: DataFrame, weather: DataFrame, station_lags: Sequence[int] = STATION_LAGS, weather_lags: Sequence[int] = WEATHER_LAGS
+    mapping: DataFrame,
+    levels: DataFrame,
+    weather: DataFrame,
+    station_lags: Sequence[int] = STATION_LAGS,
+    weather_lags: Sequence[int] = WEATHER_LAGS,
+    recency: Sequence[str] = (),
 ) -> DataFrame:
-    """(station, date, level__m, lag01__level__m, features): days on which all sources are present."""
+    """(station, date, level__m, lag01__level__m, features): days on which all sources are present.
+
+    Levels and weather may hold several rows for a location and day: the one with the greatest
+    ``recency`` columns counts, ties go to the greatest values.
+    """
     places = sources(mapping)
+    levels, weather = (
+        series.dedup_keep_last(frame.select("location", "date", *recency, *values), recency=recency)
+        for frame, values in ((levels, [series.LEVEL]), (weather, series.RAIN))
+    )
     return join_on_date(
         [level_rows(levels, level_sources(places), station_lags), weather_rows(weather, weather_sources(places), weather_lags)]
     )
@@ -181,19 +198,21 @@ def feature_matrix(
     weather_lags: Sequence[int] = WEATHER_LAGS,
     forecast_days: int = 1,
     infer: bool = False,
+    recency: Sequence[str] = (),
 ) -> DataFrame:
     """(location, date, level__m, lag01__level__m, features, date features[, y]) for all stations.
 
     For training, ``level__m`` is the level ``forecast_days - 1`` joined rows ahead and ``y`` its
     difference to ``lag01__level__m``, so lag 1 has to be among the station lags.  Rows with a
-    missing value are dropped; for inference the level may be missing.  Levels and weather must be
-    series.  Stations for which a source is empty give no rows: ``empty_sources`` names them.
+    missing value are dropped; for inference the level may be missing.  Of several rows for a location
+    and day the one with the greatest ``recency`` columns counts.  Stations for which a source is
+    empty give no rows: ``empty_sources`` names them, ``require_sources`` raises.
     """
     if infer:
-        joined = joined_rows(mapping, levels, weather, station_lags, weather_lags)
+        joined = joined_rows(mapping, levels, weather, station_lags, weather_lags, recency)
         return with_dates(joined.filter(complete_features()))
     _require_lag1(station_lags)
-    joined = joined_rows(mapping, levels, weather, station_lags, weather_lags)
+    joined = joined_rows(mapping, levels, weather, station_lags, weather_lags, recency)
     aimed = series.target_difference(joined, forecast_days, key="station")
     return with_dates(aimed.filter(complete_features() & F.col("y").isNotNull()))
 
@@ -205,13 +224,14 @@ def training_matrix(
     horizons: Sequence[int],
     station_lags: Sequence[int] = STATION_LAGS,
     weather_lags: Sequence[int] = WEATHER_LAGS,
+    recency: Sequence[str] = (),
 ) -> DataFrame:
     """``feature_matrix`` for several horizons, marked with ``forecast_days``.
 
     The sources are joined once; one window finds the targets of all horizons.
     """
     _require_lag1(station_lags)
-    joined = joined_rows(mapping, levels, weather, station_lags, weather_lags)
+    joined = joined_rows(mapping, levels, weather, station_lags, weather_lags, recency)
     aimed = series.target_differences(joined, horizons, key="station")
     return with_dates(aimed.filter(complete_features() & F.col("y").isNotNull()))
 
