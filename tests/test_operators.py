@@ -195,8 +195,10 @@ def test_html_table(spark):
     page = f'<html><table id="other"><tr><td>Ford</td></tr></table><table border=1 id="maps-data-grid">{head}{rows}</table></html>'
     pages = spark.createDataFrame([(1, page), (2, "<html></html>")], "page_id int, html string")
     dim = spark.createDataFrame([("Ford",), ("Weir",), ("Mill",)], "station_name string")
-    got = sorted(((r["location_name"], r["date"], r["level_m"]) for r in payloads.gauge_table(pages, dim).collect()))
-    assert got == [("Ford", dt.date(2023, 3, 7), 2.5), ("Weir", dt.date(2023, 3, 7), None)]
+    day = dt.date(2023, 3, 7)
+    read = lambda **o: sorted(((r["location_name"], r["date"], r["level_m"]) for r in payloads.gauge_table(pages, dim, **o).collect()))
+    assert read(rows=7) == [("Ford", day, 2.5), ("Weir", day, None)]
+    assert read() == [("Ford", day, 2.5), ("Mill", day, 4.0), ("Weir", day, None)]
 
 
 def test_daily_payload_with_nan_and_empty_block(spark):

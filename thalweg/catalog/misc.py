@@ -47,16 +47,16 @@ def ordered_listing(spark, sf):
     return rows.distinct().orderBy("location_name", "forecast_days", "model_type")
 
 
-@query("union_frames", oracle("levels", "SELECT location, date, level__m FROM levels WHERE year(date) < 1997 UNION ALL SELECT location, date, level__m FROM levels WHERE year(date) > 1999"))
+@query("union_frames", oracle("levels", "SELECT location, date, level__m FROM levels WHERE year(date) <= 1999 UNION ALL SELECT location, date, level__m FROM levels WHERE year(date) > 1999"))
 def union_frames(spark, sf):
     levels = fx.levels(spark, sf)
     late = levels.filter(F.year("date") > 1999).select("level__m", "date", "location")
-    return levels.filter(F.year("date") < 1997).unionByName(late)
+    return levels.filter(F.year("date") <= 1999).unionByName(late)
 
 
-@query("set_difference", oracle("rain levels", "SELECT DISTINCT date FROM rain EXCEPT SELECT date FROM levels WHERE location = 'ASIA'"))
+@query("set_difference", oracle("rain levels", "SELECT DISTINCT date FROM rain EXCEPT SELECT date FROM levels"))
 def set_difference(spark, sf):
-    present = fx.levels(spark, sf).filter("location = 'ASIA'").select("date").distinct()
+    present = fx.levels(spark, sf).select("date").distinct()
     return fx.rain(spark, sf).select("date").distinct().join(present, "date", "left_anti")
 
 

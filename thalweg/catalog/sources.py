@@ -243,8 +243,7 @@ def year_over_year_join(spark, sf):
     oracle(
         "river",
         """SELECT strftime(date, '%Y%m%d') AS page_id, location_name, date, CASE WHEN day(date) <> 13 THEN level_m END AS level_m
-FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY location_name) AS rn FROM river)
-WHERE rn <= 7 - CASE WHEN day(date) % 10 = 0 THEN 5 ELSE 1 END""",
+FROM river""",
     ),
 )
 def gauge_html_table(spark, sf):

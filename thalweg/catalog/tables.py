@@ -40,7 +40,7 @@ FROM region""",
         (),
         """
 SELECT a.r_name AS station, b.r_name AS location, CASE WHEN a.r_regionkey = b.r_regionkey THEN 0 ELSE 1 END AS pos
-FROM region a JOIN region b ON b.r_regionkey = a.r_regionkey OR b.r_regionkey = (a.r_regionkey + 1) % 5""",
+FROM region a JOIN region b ON b.r_regionkey = a.r_regionkey OR b.r_regionkey = (a.r_regionkey + 1) % (SELECT count(*) FROM region)""",
     ),
     "edges_wx": (
         (),
@@ -102,7 +102,7 @@ SELECT CAST(substr(station_number, 3) AS BIGINT) * 100000 + datediff('day', {BEG
   7 AS forecast_days,
   CASE WHEN day(date) % 2 = 0 THEN NULL WHEN day(date) % 3 = 0 THEN upper(band) ELSE band END AS risk_level,
   DATE '2001-01-01' AS created_at, DATE '2001-01-01' AS updated_at
-FROM banded WHERE year(date) = 2001""",
+FROM banded""",
     ),
     "river_gappy": (("river",), "SELECT * FROM river WHERE dayofyear(date) % 3 <> 0"),
     "secondary": (

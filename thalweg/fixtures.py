@@ -112,7 +112,7 @@ def station_mapping(spark, sf_dir) -> DataFrame:
     that have a supplier.
     """
     region = table(spark, sf_dir, "region")
-    n = 5  # the regions of the schema
+    n = region.count()
     upstream = region.select(((F.col("r_regionkey") + n - 1) % n).alias("k"), F.col("r_name").alias("next_name"))
     supplied = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey"))
     nation = table(spark, sf_dir, "nation").join(supplied, "n_nationkey", "left_semi")
@@ -156,15 +156,15 @@ def rain_forecast(spark, sf_dir) -> DataFrame:
 
 
 def predictions(spark, sf_dir) -> DataFrame:
-    """Predictions of 2001 by two model types, horizon 7; risk known on odd days, partly in capitals."""
-    year = river(spark, sf_dir, begin="2001-01-01", end="2001-12-31")
+    """Predictions for every day by two model types, horizon 7; risk known on odd days, partly in capitals."""
+    days = river(spark, sf_dir)
     dim = stations(spark, sf_dir)
     day = F.dayofmonth("date")
     kind = F.when(F.dayofyear("date") % 2 == 0, "XGBoost_001").otherwise("Prophet_001")
     band = risk.risk_band("level_m")
     known = F.when(day % 2 == 0, F.lit(None)).when(day % 3 == 0, F.upper(band)).otherwise(band)
     offset = F.substring("station_number", 3, 9).cast("long") * 100000
-    return year.join(dim, F.col("location_name") == F.col("station_name")).select(
+    return days.join(dim, F.col("location_name") == F.col("station_name")).select(
         (offset + F.datediff("date", F.lit(BEGIN))).alias("id"),
         "location_name",
         "date",

@@ -128,8 +128,9 @@ def build_models(
 
     The matrix is written once and read by fit and scoring.  Tree ensembles are fitted one by one,
     each as a distributed job, for the stations of the mapping that have training rows; the additive
-    model fits all at once.
+    model fits all at once.  A station without rows for one of its sources is an error.
     """
+    features.require_sources(mapping, levels, weather)
     matrix = materialise(training_matrix(mapping, levels, weather, config), "matrix")
     late = as_date(config.split_date)
     train = matrix.filter(F.col("date") < late)
@@ -141,15 +142,17 @@ def build_models(
         known = matrix.filter(F.col("location").isin(have))
     fitted = _fit(train, config, have)
     out = TrainedModels(config.model_type, fitted, matrix)
-    parts = []
+    parts, tests = [], []
     for h in config.horizons:
         _, test = evaluation.time_split(known.filter(F.col("forecast_days") == h), config.split_date, config.buffer)
+        tests.append(test)
         scored = out.predictor(test.withColumnRenamed("y", "test_y")).withColumnsRenamed({"y": "pred_y", "test_y": "y"})
         parts.append(evaluation.score_report(evaluation.eval_frame(scored), thresholds).withColumn("forecast_days", F.lit(h)))
     out.scores = reduce(DataFrame.unionByName, parts)
     if artifacts:
         staged = matrix.withColumnRenamed("location", "station")
         sinks.stage_artifact(staged.filter(F.col("date") < late), artifacts, "train")
-        sinks.stage_artifact(staged.filter(F.col("date") >= late), artifacts, "eval")
+        held = reduce(DataFrame.unionByName, tests)  # without the buffer, as it was scored
+        sinks.stage_artifact(held.withColumnRenamed("location", "station"), artifacts, "eval")
         out.save(f"{artifacts.rstrip('/')}/models")
     return out

@@ -108,21 +108,20 @@ def _cells(row: Column) -> Column:
     return F.transform(raw, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", ""), r"\s+", " ")))
 
 
-# The table of the gauge page, the headings read from it, and how many stations it lists.
+# The table of the gauge page and the headings read from it.
 GAUGE_TABLE_ID = "maps-data-grid"
 GAUGE_HEADINGS = {"location_name": "Station", "day": "Date", "level": "Observed River Level (m)"}
-GAUGE_ROWS = 7
 
 
-def gauge_table(pages: DataFrame, stations: DataFrame, keys: Sequence[str] = ("page_id",), column: str = "html", table_id: str = GAUGE_TABLE_ID, rows: int = GAUGE_ROWS) -> DataFrame:
-    """Latest levels from a page's table: the first ``rows`` rows, the first row of each known station.
+def gauge_table(pages: DataFrame, stations: DataFrame, keys: Sequence[str] = ("page_id",), column: str = "html", table_id: str = GAUGE_TABLE_ID, rows: int | None = None) -> DataFrame:
+    """Latest levels from a page's table: the first row of each known station, among all rows or the first ``rows``.
 
     Columns are found by their headings.  A level that is no number is NULL; a date has to be
     written dd-MM-yyyy.
     """
     table = F.regexp_extract(column, rf'(?is)<table[^>]*id="{table_id}"[^>]*>(.*?)</table>', 1)
     lines = pages.select(*keys, F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)).alias("tr"))
-    split = lines.select(*keys, _cells(F.get("tr", F.lit(0))).alias("head"), F.transform(F.slice("tr", 2, rows), _cells).alias("body"))
+    split = lines.select(*keys, _cells(F.get("tr", F.lit(0))).alias("head"), F.transform(F.slice("tr", F.lit(2), F.size("tr") if rows is None else F.lit(rows)), _cells).alias("body"))
     at = lambda row, name: F.get(row, F.array_position(F.col("head"), F.lit(name)).cast("int") - 1)
     records = F.transform("body", lambda r: F.struct(*[at(r, heading).alias(name) for name, heading in GAUGE_HEADINGS.items()]))
     listed = split.select(*keys, records.alias("r"))
