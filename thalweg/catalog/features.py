@@ -73,26 +73,6 @@ def join_weather_locations(spark, sf):
     return features.lengthen(joined.withColumnRenamed("station", "location"), only).withColumnRenamed("location", "station")
 
 
-@query(
-    "join_station_weather",
-    oracle(
-        "levels rain edges_wx",
-        """SELECT l.location, l.date, level__m, count(*) AS weather_locations, sum(precipitation_sum) AS area_rain
-FROM levels l JOIN edges_wx e ON e.station = l.location JOIN rain r ON r.location = e.location AND r.date = l.date GROUP BY ALL""",
-    ),
-)
-def join_station_weather(spark, sf):
-    """A station's level beside the summed weather of its area, on station and date."""
-    mapping = fx.station_mapping(spark, sf)
-    area = (
-        fx.rain(spark, sf)
-        .join(features.edges(mapping, "weather_locations"), "location")
-        .groupBy(F.col("station").alias("location"), "date")
-        .agg(F.count("*").alias("weather_locations"), F.sum("precipitation_sum").alias("area_rain"))
-    )
-    return fx.levels(spark, sf).join(area, ["location", "date"])
-
-
 def matrix_sql(forecast_days: int, infer: bool = False) -> dict[str, str]:
     """The joined rows, the target and the complete rows as DuckDB tables."""
     wx = f"SELECT station, date, {', '.join(WX_NAMES)}, location FROM wx"
@@ -172,6 +152,17 @@ def feature_matrix_long(spark, sf):
     return features.lengthen(small_matrix(spark, sf, 2), index)
 
 
+@query(
+    "join_station_weather",
+    oracle("levels rain_filled edges_up edges_wx", LONG.replace("FROM kept k", "FROM whole k"), **lagged(rain="rain_filled"), **matrix_sql(1)),
+)
+def join_station_weather(spark, sf):
+    """Station and weather features of the days on which both are there, incomplete lags included."""
+    mapping = fx.station_mapping(spark, sf)
+    joined = features.joined_rows(mapping, fx.levels(spark, sf), fx.rain_filled(spark, sf), UP, WX)
+    return features.lengthen(joined.withColumnRenamed("station", "location"), features.feature_index(mapping, UP, WX))
+
+
 CORR = """SELECT location, feature, round(CASE WHEN isnan(c) THEN NULL ELSE c END, 6) AS corr
 FROM (SELECT location, feature, corr(y, value) AS c FROM tall GROUP BY ALL)"""
 TALL = (

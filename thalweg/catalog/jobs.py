@@ -199,16 +199,15 @@ def backfill_levels(spark, sf):
 @query(
     "availability_report",
     oracle(
-        "river_dirty",
-        f"""SELECT a.*, CAST(date_range + 1 AS BIGINT) AS expected_days, date_range + 1 - distinct_days AS gap_days, date_range < 30 AS limited,
-  {AS_OF} - last_date > 7 AS stale, (SELECT max(first_date) FROM a) AS safe_start, (SELECT min(last_date) FROM a) AS safe_end FROM a""",
-        a="""SELECT location_name, min(date) AS first_date, max(date) AS last_date, count(*) AS records, count(DISTINCT date) AS distinct_days,
-  CAST(max(date) - min(date) AS INTEGER) AS date_range FROM river_dirty WHERE date <= CASE WHEN location_name = 'ASIA' THEN DATE '2001-05-01' ELSE DATE '2002-01-01' END GROUP BY ALL""",
+        "fleet",
+        """SELECT a.*, CAST(date_range + 1 AS BIGINT) AS expected_days, date_range + 1 - distinct_days AS gap_days, date_range < 30 AS limited,
+  DATE '2001-10-30' - last_date > 7 AS stale, (SELECT max(first_date) FROM a) AS safe_start, (SELECT min(last_date) FROM a) AS safe_end FROM a""",
+        a="""SELECT location AS location_name, min(date) AS first_date, max(date) AS last_date, count(*) AS records, count(DISTINCT date) AS distinct_days,
+  CAST(max(date) - min(date) AS INTEGER) AS date_range FROM fleet GROUP BY ALL""",
     ),
 )
 def availability_report(spark, sf):
-    rows = fx.river_dirty(spark, sf).filter((F.col("location_name") != "ASIA") | (F.col("date") <= "2001-05-01"))
-    return operations.availability_report(rows, fx.AS_OF)
+    return operations.availability_report(fx.fleet(spark, sf), "2001-10-30")
 
 
 @query(
@@ -217,11 +216,11 @@ def availability_report(spark, sf):
         "edges_wx rain_forecast",
         f"""SELECT w.location, count(r.date) AS n, min(r.date) AS first_date, max(r.date) AS last_date, count(r.date) FILTER (WHERE r.date >= {AS_OF} - 7) AS recent,
   count(r.date) FILTER (WHERE r.date > {AS_OF}) AS future, CASE WHEN count(r.date) > 0 THEN 'OK' ELSE 'MISSING' END AS status
-FROM (SELECT DISTINCT location FROM edges_wx) w LEFT JOIN (SELECT * FROM rain_forecast WHERE location <> 'NATION_5') r ON r.location = w.location GROUP BY ALL""",
+FROM (SELECT DISTINCT location FROM edges_wx) w LEFT JOIN rain_forecast r ON r.location = w.location GROUP BY ALL""",
     ),
 )
 def forecast_diagnostics(spark, sf):
-    return operations.forecast_diagnostics(fx.station_mapping(spark, sf), fx.rain_forecast(spark, sf).filter("location <> 'NATION_5'"), fx.AS_OF)
+    return operations.forecast_diagnostics(fx.station_mapping(spark, sf), fx.rain_forecast(spark, sf), fx.AS_OF)
 
 
 @query("input_sizes", oracle("levels rain", """SELECT 'levels' AS input, count(*) AS "rows", 30 AS needed, count(*) >= 30 AS enough FROM levels UNION ALL SELECT 'weather', count(*), 30, count(*) >= 30 FROM rain"""))

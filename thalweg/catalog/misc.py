@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from thalweg import fixtures as fx
@@ -214,11 +216,14 @@ def sigmoid_weight(spark, sf):
 MONTHLY = """SELECT r_name AS region, location AS district, CAST(date_trunc('month', date) AS DATE) AS month, sum(precipitation_sum) AS value
 FROM rain JOIN nation ON n_name = location JOIN region ON n_regionkey = r_regionkey GROUP BY ALL"""
 
-EARLY = ["Jul-2000", "Aug-2000", "Sep-2000", "Oct-2000", "Nov-2000", "Dec-2000", "Jan-2001"]
-LATE = ["Jan-2001", "Feb-2001", "Mar-2001", "Apr-2001", "May-2001", "Jun-2001"]
+
+def month_labels(first, last):
+    """The names of all months from one day's to another's, in order."""
+    count = (last.year - first.year) * 12 + last.month - first.month + 1
+    return [dt.date(first.year + (first.month - 1 + i) // 12, (first.month - 1 + i) % 12 + 1, 1).strftime("%b-%Y") for i in range(count)]
 
 
-def monthly(spark, sf, begin, end):
+def monthly(spark, sf, begin=None, end=None):
     nation = fx.table(spark, sf, "nation").join(fx.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = fx.rain(spark, sf, begin, end).join(nation, F.col("location") == F.col("n_name"))
     return rows.groupBy(F.col("r_name").alias("region"), F.col("location").alias("district"), F.trunc("date", "month").alias("month")).agg(
@@ -226,20 +231,31 @@ def monthly(spark, sf, begin, end):
     )
 
 
+TURN = dt.date(2001, 1, 1)
+
+
+def month_span(spark, sf):
+    """The first and the last day on record, the turn of 2001 among them."""
+    span = fx.rain(spark, sf).agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+    return min(span["first"] or TURN, TURN), max(span["last"] or TURN, TURN)
+
+
 def period_tables(spark, sf):
-    """Two half-year tables that overlap in one month, the newer one first; its copy differs."""
-    late = indicators.pivot_months(monthly(spark, sf, "2001-01-01", "2001-06-30"), LATE)
-    early = monthly(spark, sf, "2000-07-01", "2001-01-31")
+    """All months in two tables that overlap in one, the newer one first; its copy differs."""
+    first, last = month_span(spark, sf)
+    late = indicators.pivot_months(monthly(spark, sf, TURN), month_labels(TURN, last))
+    early = monthly(spark, sf, end="2001-01-31")
     early = early.withColumn("value", F.when(F.col("month") < "2001-01-01", F.col("value")).otherwise(F.lit(-1.0)))
-    return late, indicators.pivot_months(early, EARLY)
+    return late, indicators.pivot_months(early, month_labels(first, TURN))
 
 
-INDICATOR = """SELECT region, district, value, month, 'rainfall' AS indicator FROM monthly WHERE month BETWEEN DATE '2000-07-01' AND DATE '2001-06-01'"""
+INDICATOR = """SELECT region, district, value, month, 'rainfall' AS indicator FROM monthly"""
 
 
-@query("unpivot_months", oracle("rain", INDICATOR + " AND month >= DATE '2001-01-01'", monthly=MONTHLY))
+@query("unpivot_months", oracle("rain", INDICATOR, monthly=MONTHLY))
 def unpivot_months(spark, sf):
-    return indicators.unpivot_months(period_tables(spark, sf)[0], "rainfall")
+    wide = indicators.pivot_months(monthly(spark, sf), month_labels(*month_span(spark, sf)))
+    return indicators.unpivot_months(wide, "rainfall")
 
 
 @query("outer_merge_periods", oracle("rain", INDICATOR, monthly=MONTHLY))
@@ -247,7 +263,7 @@ def outer_merge_periods(spark, sf):
     return indicators.merge_periods(period_tables(spark, sf), "rainfall")
 
 
-@query("region_filter", oracle("rain", INDICATOR + " AND region IN ('ASIA', 'EUROPE', 'AFRICA')", monthly=MONTHLY))
+@query("region_filter", oracle("rain", INDICATOR + " WHERE region IN ('ASIA', 'EUROPE', 'AFRICA')", monthly=MONTHLY))
 def region_filter(spark, sf):
     return indicators.keep_regions(indicators.merge_periods(period_tables(spark, sf), "rainfall"), ["ASIA", "EUROPE", "AFRICA"])
 
@@ -256,7 +272,7 @@ def region_filter(spark, sf):
     "column_select_by_pattern",
     oracle(
         "rain",
-        "SELECT region, district, sum(value) FILTER (WHERE month = DATE '2001-01-01') AS \"Jan-2001\", sum(value) FILTER (WHERE month = DATE '2001-02-01') AS \"Feb-2001\" FROM monthly WHERE month BETWEEN DATE '2001-01-01' AND DATE '2001-06-01' GROUP BY ALL",
+        "SELECT region, district, sum(value) FILTER (WHERE month = DATE '2001-01-01') AS \"Jan-2001\", sum(value) FILTER (WHERE month = DATE '2001-02-01') AS \"Feb-2001\" FROM monthly WHERE month >= DATE '2001-01-01' GROUP BY ALL",
         monthly=MONTHLY,
     ),
 )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from thalweg import fixtures as fx
 from thalweg.catalog.registry import query
 from thalweg.catalog.tables import AS_OF, oracle
-from thalweg.operators import features, quality
+from thalweg.operators import quality
 
 AVAIL = """SELECT location_name, min(date) AS first_date, max(date) AS last_date, count(*) AS records,
   count(DISTINCT date) AS distinct_days, CAST(max(date) - min(date) AS INTEGER) AS date_range FROM river_dirty GROUP BY ALL"""
@@ -140,23 +140,23 @@ def year_coverage(spark, sf):
 
 @query(
     "missing_locations",
-    oracle("edges_wx rain", "SELECT DISTINCT location FROM edges_wx WHERE location NOT IN (SELECT location FROM rain WHERE date = DATE '2000-02-02')"),
+    "SELECT CAST(c_custkey AS VARCHAR) AS location FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
 )
 def missing_locations(spark, sf):
-    wanted = features.edges(fx.station_mapping(spark, sf), "weather_locations")
-    return quality.missing_locations(wanted, fx.rain(spark, sf, "2000-02-02", "2000-02-02"))
+    """Customers without an event."""
+    keys = lambda name, key: fx.table(spark, sf, name).select(F.col(key).cast("string").alias("location"))
+    return quality.missing_locations(keys("customer", "c_custkey"), keys("events", "user_id"))
 
 
-COVERAGE = f"""SELECT w.location, count(r.date) AS n, max(r.date) AS last_date, CASE WHEN count(r.date) > 0 THEN 'OK' ELSE 'MISSING' END AS status
-FROM (SELECT DISTINCT location FROM edges_wx) w LEFT JOIN (SELECT * FROM rain_forecast WHERE date >= DATE '2001-10-20' AND precipitation_sum > 80) r
+COVERAGE = """SELECT w.location, count(r.date) AS n, max(r.date) AS last_date, CASE WHEN count(r.date) > 0 THEN 'OK' ELSE 'MISSING' END AS status
+FROM (SELECT n_name AS location FROM nation) w LEFT JOIN rain_forecast r
   ON r.location = w.location GROUP BY ALL"""
 
 
-@query("coverage_status", oracle("edges_wx rain_forecast", COVERAGE))
+@query("coverage_status", oracle("rain_forecast", COVERAGE))
 def coverage_status(spark, sf):
-    wanted = features.edges(fx.station_mapping(spark, sf), "weather_locations")
-    recent = fx.rain_forecast(spark, sf).filter((F.col("date") >= "2001-10-20") & (F.col("precipitation_sum") > 80))
-    return quality.coverage_status(wanted, recent)
+    wanted = fx.table(spark, sf, "nation").select(F.col("n_name").alias("location"))
+    return quality.coverage_status(wanted, fx.rain_forecast(spark, sf))
 
 
 @query("recent_window", oracle("rain_forecast", f"SELECT location, count(*) AS n FROM rain_forecast WHERE date >= {AS_OF} - 7 GROUP BY ALL"))

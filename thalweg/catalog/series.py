@@ -72,11 +72,12 @@ def weather_lags_leads_fleet(spark, sf):
         """SELECT location_name, date, coalesce(
     last_value(level_m IGNORE NULLS) OVER (PARTITION BY location_name ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
     first_value(level_m IGNORE NULLS) OVER (PARTITION BY location_name ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS level_m
-FROM river_dirty WHERE load_seq = 1""",
+FROM (SELECT location_name, date, arg_max(level_m, load_seq) FILTER (WHERE level_m IS NOT NULL OR load_seq = 2) AS level_m FROM river_dirty GROUP BY ALL)""",
     ),
 )
 def ffill_bfill_levels(spark, sf):
-    dirty = fx.river_dirty(spark, sf).filter("load_seq = 1").drop("load_seq")
+    """The correction of a day counts, then holes are filled."""
+    dirty = series.dedup_keep_last(fx.river_dirty(spark, sf), ("location_name", "date"), ("load_seq",)).drop("load_seq")
     return series.fill_values(dirty, ["level_m"], key="location_name")
 
 
@@ -176,11 +177,10 @@ def missing_dates(spark, sf):
 
 @query(
     "missing_dates_overall",
-    oracle("levels", "SELECT date FROM days WHERE date NOT IN (SELECT date FROM levels WHERE dayofyear(date) % 3 <> 0)", days="SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE) AS date"),
+    oracle("levels", "SELECT date FROM days WHERE date NOT IN (SELECT date FROM levels)", days="SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE) AS date"),
 )
 def missing_dates_overall(spark, sf):
-    rows = fx.levels(spark, sf).filter(F.dayofyear("date") % 3 != 0)
-    return series.missing_dates_overall(rows, fx.BEGIN, fx.END)
+    return series.missing_dates_overall(fx.levels(spark, sf), fx.BEGIN, fx.END)
 
 
 ISLANDS = """SELECT location, min(date) AS gap_start, max(date) AS gap_end, count(*) AS days

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from thalweg import fixtures as fx
 from thalweg.catalog.registry import query
-from thalweg.catalog.tables import END, oracle
+from thalweg.catalog.tables import oracle
 from thalweg.operators import series, state
 from thalweg.schema import DAILY_MEASURES, FORECAST_MEASURES, HOURLY_MEASURES, STATION_SERIES, WEATHER_SERIES, conform
 from thalweg.session import fresh_path
@@ -126,8 +126,7 @@ def daily_payloads(spark, sf, forecast: bool):
     measures = FORECAST_MEASURES if forecast else DAILY_MEASURES
     values = {m: F.col("precipitation_sum") + i for i, m in enumerate(measures)}
     values["precipitation_hours"] = F.col("precipitation_hours")
-    filled = fx.rain_filled(spark, sf).filter(F.col("date") <= F.lit(fx.END))  # without holes up to there
-    rows = filled.select(F.col("location").alias("location_name"), "date", *[values[m].alias(m) for m in measures])
+    rows = fx.rain_daily(spark, sf).select(F.col("location").alias("location_name"), "date", *[values[m].alias(m) for m in measures])
     years = rows.groupBy("location_name", F.year("date")).agg(F.sort_array(F.collect_list(F.struct("date", *measures))).alias("d"))
     block = F.struct(
         _epoch(F.element_at("d", 1)["date"]).alias("start"),
@@ -141,15 +140,15 @@ def daily_payloads(spark, sf, forecast: bool):
 
 def daily_sql(measures) -> str:
     exprs = [("precipitation_hours" if m == "precipitation_hours" else f"precipitation_sum + {i}") + f" AS {m}" for i, m in enumerate(measures)]
-    return f"SELECT location AS location_name, date, 1.5::DOUBLE AS forecast_latitude, 42.5::DOUBLE AS forecast_longitude, {', '.join(exprs)} FROM rain_filled WHERE date <= {END}"
+    return f"SELECT location AS location_name, date, 1.5::DOUBLE AS forecast_latitude, 42.5::DOUBLE AS forecast_longitude, {', '.join(exprs)} FROM rain_daily"
 
 
-@query("weather_payload_daily", oracle("rain_filled", daily_sql(DAILY_MEASURES)))
+@query("weather_payload_daily", oracle("rain_daily", daily_sql(DAILY_MEASURES)))
 def weather_payload_daily(spark, sf):
     return payloads.weather_daily(daily_payloads(spark, sf, False))
 
 
-@query("weather_payload_daily_forecast", oracle("rain_filled", daily_sql(FORECAST_MEASURES)))
+@query("weather_payload_daily_forecast", oracle("rain_daily", daily_sql(FORECAST_MEASURES)))
 def weather_payload_daily_forecast(spark, sf):
     return payloads.weather_daily(daily_payloads(spark, sf, True), forecast=True)
 
@@ -192,21 +191,25 @@ def weather_payload_hourly(spark, sf):
     return rows.withColumn("epoch", F.unix_timestamp("ts")).drop("ts")
 
 
-CHART_SQL = """SELECT p.location, CAST(make_date(2001, CAST(month(p.date) AS INTEGER), CAST(day(p.date) AS INTEGER)) AS DATE) AS date, full_level AS bankfull, high AS highfloodrisk,
+CHART_SQL = """SELECT p.location, p.shown, moved AS date, full_level AS bankfull, high AS highfloodrisk,
   moderate AS moderatefloodrisk, NULL::DOUBLE AS longtermmean, p.level__m AS previousreadingvalue, c.level__m AS readingvalue
-FROM (SELECT * FROM levels WHERE year(date) = 2000 AND NOT (month(date) = 2 AND day(date) = 29)) p
+FROM (SELECT *, CAST(year(date) + 1 AS INTEGER) AS shown, try_cast(concat(year(date) + 1, strftime(date, '-%m-%d')) AS DATE) AS moved FROM levels) p
 JOIN stations ON p.location = station_name
-LEFT JOIN (SELECT * FROM levels WHERE year(date) = 2001) c ON c.location = p.location AND month(c.date) = month(p.date) AND day(c.date) = day(p.date)"""
+LEFT JOIN levels c ON c.location = p.location AND c.date = moved
+WHERE moved IS NOT NULL AND EXISTS (SELECT 1 FROM levels k WHERE k.location = p.location AND year(k.date) = p.shown)"""
 
 
 def chart_payloads(spark, sf):
-    """One chart answer per station: 2001 as a list, 2000 as a map by date text."""
+    """One chart answer per station and year: the year as a list, the one before as a map by date text."""
     text = F.col("level__m").cast("string")
     entry = F.struct(text.alias("readingValue"), F.lit(None).cast("string").alias("longtermMean"), F.date_format("date", "dd-MM-yyyy").alias("dateOfReadingStr"))
-    rows = fx.levels(spark, sf, "2000-01-01", "2001-12-31").select("location", F.year("date").alias("y"), "date", entry.alias("e"))
-    lists = rows.groupBy("location").agg(
-        F.collect_list(F.when(F.col("y") == 2001, F.col("e"))).alias("gaugeReadingList"),
-        F.map_from_entries(F.collect_list(F.when(F.col("y") == 2000, F.struct(F.col("e.dateOfReadingStr"), F.col("e"))))).alias("before"),
+    year = F.year("date")
+    rows = fx.levels(spark, sf).select("location", entry.alias("e"), year.alias("y"))
+    rows = rows.withColumn("shown", F.explode(F.array("y", F.col("y") + 1)))
+    now = F.col("y") == F.col("shown")
+    lists = rows.groupBy("location", "shown").agg(
+        F.collect_list(F.when(now, F.col("e"))).alias("gaugeReadingList"),
+        F.map_from_entries(F.collect_list(F.when(~now, F.struct(F.col("e.dateOfReadingStr"), F.col("e"))))).alias("before"),
     )
     dim = fx.stations(spark, sf).select(
         F.col("station_name").alias("location"),
@@ -217,12 +220,12 @@ def chart_payloads(spark, sf):
         ).alias("indicator"),
     )
     doc = F.to_json(F.struct("gaugeReadingList", "indicator", F.struct(F.col("before").alias("gaugeReadingList")).alias("previous_year")))
-    return lists.join(dim, "location").select("location", doc.alias("payload"))
+    return lists.join(dim, "location").select("location", "shown", doc.alias("payload"))
 
 
 @query("gauge_chart_json", oracle("levels stations", CHART_SQL))
 def gauge_chart_json(spark, sf):
-    return payloads.gauge_chart(chart_payloads(spark, sf))
+    return payloads.gauge_chart(chart_payloads(spark, sf), ("location", "shown"))
 
 
 @query(
@@ -281,10 +284,14 @@ def json_records(spark, sf):
 
 @query(
     "map_array_json",
-    oracle("levels", "SELECT location, CASE WHEN year(date) = 2001 THEN 'current' ELSE 'previous' END AS list, date, level__m AS reading FROM levels WHERE year(date) >= 2000"),
+    oracle(
+        "levels",
+        """SELECT location, CAST(year(date) AS INTEGER) AS shown, 'current' AS list, date, level__m AS reading FROM levels
+UNION ALL SELECT location, CAST(year(date) + 1 AS INTEGER), 'previous', date, level__m FROM levels""",
+    ),
 )
 def map_array_json(spark, sf):
-    return payloads.chart_entries(chart_payloads(spark, sf))
+    return payloads.chart_entries(chart_payloads(spark, sf), ("location", "shown"))
 
 
 @query(
@@ -336,11 +343,11 @@ RECONCILED = """SELECT location, date, level__m FROM (SELECT *, row_number() OVE
 
 def two_sources(spark, sf):
     archive = fx.levels(spark, sf).filter(F.dayofmonth("date") <= 20).withColumn("level__m", F.col("level__m") + 1)
-    portal = fx.portal(spark, sf).filter(F.year("date") >= 2000).withColumnRenamed("location_name", "location")
+    portal = fx.portal(spark, sf).withColumnRenamed("location_name", "location")
     return archive, tables.unpivot_portal(portal)
 
 
-@query("reconcile_sources", oracle("river portal", RECONCILED, archive=ARCHIVE_PART, tall=f"SELECT * FROM ({UNPIVOT.replace('FROM portal', 'FROM (SELECT * FROM portal WHERE year(date) >= 2000)')})"))
+@query("reconcile_sources", oracle("river portal", RECONCILED, archive=ARCHIVE_PART, tall=UNPIVOT))
 def reconcile_sources(spark, sf):
     return tables.reconcile(*two_sources(spark, sf))
 
@@ -383,10 +390,9 @@ def location_dim(spark, sf):
     return tables.location_dim(spark, land_csv(rows, "locations"))
 
 
-@query("sink_csv_dated", oracle("levels", "SELECT location, date, level__m FROM levels WHERE year(date) = 2001"))
+@query("sink_csv_dated", oracle("levels", "SELECT location, date, level__m FROM levels"))
 def sink_csv_dated(spark, sf):
-    rows = fx.levels(spark, sf, "2001-01-01", "2001-12-31")
-    path = sinks.save_csv_dated(rows, fresh_path(spark, "levels"), fx.AS_OF)
+    path = sinks.save_csv_dated(fx.levels(spark, sf), fresh_path(spark, "levels"), fx.AS_OF)
     return tables.read_source(spark, "csv", path, STATION_SERIES)
 
 
@@ -399,13 +405,12 @@ def table_export(spark, sf):
     return tables.read_source(spark, "csv", path, STATION_SERIES)
 
 
-@query("stage_artifacts", oracle("levels", "SELECT location AS station, 7 AS forecast_days, date, level__m FROM levels WHERE location = 'EUROPE'"))
+@query("stage_artifacts", oracle("levels", "SELECT location AS station, 7 AS forecast_days, date, level__m FROM levels"))
 def stage_artifacts(spark, sf):
     root = fresh_path(spark, "artifacts")
     rows = fx.levels(spark, sf).select(F.col("location").alias("station"), F.lit(7).alias("forecast_days"), "date", "level__m")
     sinks.stage_artifact(rows, root, "preprocessed")
-    staged = sinks.read_artifact(spark, root, "preprocessed", "station string, forecast_days int, date date, level__m double")
-    return staged.filter("station = 'EUROPE'")
+    return sinks.read_artifact(spark, root, "preprocessed", "station string, forecast_days int, date date, level__m double")
 
 
 @query("conform_schema", oracle("rain", "SELECT location, CAST(date AS DATE) AS date, precipitation_sum, precipitation_hours FROM rain"))
@@ -447,11 +452,11 @@ def utc_calendar_date(spark, sf):
 @query(
     "reconcile_archive",
     oracle(
-        "river portal",
-        """SELECT location AS location_name, date, level__m AS level_m FROM merged m WHERE NOT EXISTS (SELECT 1 FROM river r WHERE month(r.date) = 3 AND r.location_name = m.location AND r.date = m.date)
-UNION ALL SELECT location_name, date, level_m FROM river WHERE month(date) = 3""",
+        "river portal river_gappy",
+        """SELECT location AS location_name, date, level__m AS level_m FROM merged m WHERE NOT EXISTS (SELECT 1 FROM river_gappy r WHERE r.location_name = m.location AND r.date = m.date)
+UNION ALL SELECT location_name, date, level_m FROM river_gappy""",
         archive=ARCHIVE_PART,
-        tall=f"SELECT * FROM ({UNPIVOT.replace('FROM portal', 'FROM (SELECT * FROM portal WHERE year(date) >= 2000)')})",
+        tall=UNPIVOT,
         merged=RECONCILED,
     ),
 )
@@ -460,6 +465,6 @@ def reconcile_archive(spark, sf):
     archive, _ = two_sources(spark, sf)
     text = archive.select(F.lit(1).alias("id"), F.date_format("date", "yyyy-MM-dd").alias("date"), F.lit("S").alias("station_number"), F.col("level__m").alias("level(m)"), "location")
     a = tables.scan_archive_csv(spark, land_csv(text, "archive"))
-    p = tables.scan_portal_csv(spark, land_csv(portal_csv(spark, sf).filter("date >= '2000'"), "portal"))
+    p = tables.scan_portal_csv(spark, land_csv(portal_csv(spark, sf), "portal"))
     merged = tables.reconcile(a, p).select(F.col("location").alias("location_name"), "date", F.col("level__m").alias("level_m"))
-    return state.insert_if_absent(fx.river(spark, sf).filter(F.month("date") == 3), merged)
+    return state.insert_if_absent(fx.river_gappy(spark, sf), merged)

@@ -14,6 +14,18 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey
 GROUP BY {place}, CAST(l_shipdate AS DATE)"""
 
 
+def _rain_filled(days: str) -> str:
+    return f"""
+SELECT location, date,
+  coalesce(last_value(precipitation_sum IGNORE NULLS) OVER w, 0.0) AS precipitation_sum,
+  coalesce(last_value(precipitation_hours IGNORE NULLS) OVER w, 0.0) AS precipitation_hours
+FROM (SELECT location, date, max(precipitation_sum) AS precipitation_sum, max(precipitation_hours) AS precipitation_hours FROM (
+        SELECT location, date, precipitation_sum, precipitation_hours FROM rain
+        UNION ALL SELECT l.location, d.date, NULL, NULL FROM (SELECT DISTINCT location FROM rain) l CROSS JOIN {days} d)
+      GROUP BY location, date)
+WINDOW w AS (PARTITION BY location ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "river": (
         (),
@@ -69,18 +81,12 @@ FROM (SELECT location, date, max(level__m) AS level__m FROM (
         UNION ALL SELECT l.location, d.date, NULL FROM (SELECT DISTINCT location FROM levels) l CROSS JOIN days d)
       GROUP BY location, date)""",
     ),
-    "rain_filled": (
-        ("rain", "days"),
-        """
-SELECT location, date,
-  coalesce(last_value(precipitation_sum IGNORE NULLS) OVER w, 0.0) AS precipitation_sum,
-  coalesce(last_value(precipitation_hours IGNORE NULLS) OVER w, 0.0) AS precipitation_hours
-FROM (SELECT location, date, max(precipitation_sum) AS precipitation_sum, max(precipitation_hours) AS precipitation_hours FROM (
-        SELECT location, date, precipitation_sum, precipitation_hours FROM rain
-        UNION ALL SELECT l.location, d.date, NULL, NULL FROM (SELECT DISTINCT location FROM rain) l CROSS JOIN days d)
-      GROUP BY location, date)
-WINDOW w AS (PARTITION BY location ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "rain_filled": (("rain", "days"), _rain_filled("days")),
+    "weather_days": (
+        ("rain",),
+        f"SELECT CAST(d AS DATE) AS date FROM (SELECT max(date) AS last FROM rain), unnest(generate_series({BEGIN}, last, INTERVAL 1 DAY)) AS t(d)",
     ),
+    "rain_daily": (("rain", "weather_days"), _rain_filled("weather_days")),
     "rain_forecast": (
         ("rain",),
         """

@@ -149,6 +149,13 @@ def rain_filled(spark, sf_dir) -> DataFrame:
     return series.fill_missing_weather(rain(spark, sf_dir), BEGIN, END)
 
 
+def rain_daily(spark, sf_dir) -> DataFrame:
+    """The weather without holes up to the last day on record."""
+    rows = rain(spark, sf_dir)
+    last = rows.agg(F.max("date")).first()[0]
+    return series.fill_missing_weather(rows, BEGIN, last or END)
+
+
 def rain_forecast(spark, sf_dir) -> DataFrame:
     """Weather from 2001-06-01 on with sums one higher, as a forecast."""
     rows = rain(spark, sf_dir, begin="2001-06-01")
