@@ -14,7 +14,8 @@ from thalweg.catalog.tables import AS_OF, oracle
 from thalweg.operators import features, models, state
 from thalweg.plans import inference, operations, training
 from thalweg.schema import PREDICTED_LEVEL
-from thalweg.session import fresh_path, materialise
+from thalweg.session import fresh_path
+from thalweg.sources import sinks
 from thalweg.streaming import readings as streams
 
 PLACES = "(SELECT DISTINCT location FROM levels)"
@@ -228,7 +229,37 @@ def input_sizes(spark, sf):
     return training.input_sizes(fx.levels(spark, sf), fx.rain(spark, sf), training.ForecastConfig())
 
 
-# --- models: no SQL counterpart
+# --- models
+# A prediction has no SQL counterpart.  Checked are the rows a model is fitted on and the rows it scores,
+# scores that do not depend on the model, and what must hold of any fit.
+
+
+SPLIT = "DATE '2000-01-01'"
+
+
+def kept_sql(horizons, station_lags=XLAGS, weather_lags=XWX):
+    """The rows of the training matrix, and those scored after the split, as DuckDB tables."""
+    top, first, ahead = max(station_lags), max(weather_lags), -min(min(weather_lags), 0)
+    aimed = """SELECT station AS location, date, {h} AS forecast_days, lag1, target - lag1 AS y
+FROM (SELECT *, lead(level__m, {h} - 1) OVER (PARTITION BY station ORDER BY date) AS target FROM joined) WHERE whole AND target IS NOT NULL"""
+    return {
+        "lv": "SELECT *, lag(level__m, 1) OVER w AS lag1, row_number() OVER w AS rn FROM levels_filled WINDOW w AS (PARTITION BY location ORDER BY date)",
+        "wv": "SELECT location, date, row_number() OVER (PARTITION BY location ORDER BY date) AS rn, count(*) OVER (PARTITION BY location) AS n FROM rain_filled",
+        "us": f"SELECT station, date FROM lv JOIN edges_up USING (location) GROUP BY ALL HAVING bool_and(rn > {top}) AND count(*) = 2",
+        "ws": f"""SELECT station, date, bool_and(rn > {first} AND rn + {ahead} <= n) AS whole FROM wv JOIN edges_wx USING (location)
+JOIN (SELECT station, count(*) AS parts FROM edges_wx GROUP BY ALL) USING (station) GROUP BY station, date, parts HAVING bool_and(pos = 0 OR rn > {first}) AND count(*) = parts""",
+        "joined": "SELECT station, date, level__m, lag1, whole FROM us JOIN ws USING (station, date) JOIN lv ON lv.location = station AND lv.date = us.date",
+        "kept": " UNION ALL ".join(aimed.format(h=h) for h in horizons),
+        "train": f"SELECT * FROM kept WHERE date < {SPLIT}",
+        "test": f"SELECT * FROM kept WHERE date >= {SPLIT}",
+        "scored": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY location, forecast_days ORDER BY date) AS late FROM test) WHERE late > {max(top, first)}""",
+        "bases": """SELECT location, forecast_days, count(*) AS n, round(sqrt(avg(d * d)), 6) AS baseline_rmse
+FROM (SELECT *, lag(y, 1) OVER (PARTITION BY location, forecast_days ORDER BY date) - y AS d FROM scored) GROUP BY ALL""",
+    }
+
+
+def model_oracle(body, horizons=(1,)):
+    return oracle("levels_filled rain_filled edges_up edges_wx", body, **kept_sql(horizons))
 
 
 def training_inputs(spark, sf):
@@ -236,99 +267,163 @@ def training_inputs(spark, sf):
 
 
 def config(kind, horizons=(1,), **options):
-    return training.ForecastConfig((1, 3, 7), (1, 3, 0, -2), horizons, "2000-01-01", kind, options)
+    return training.ForecastConfig(tuple(XLAGS), tuple(XWX), horizons, "2000-01-01", kind, options)
 
 
-def one_station(spark, sf, station="ASIA"):
+def fit_all(spark, sf, config):
+    """(models, rows they were fitted on, rows after the split) for all stations."""
     mapping, levels, weather, _ = training_inputs(spark, sf)
-    m = training.training_matrix(mapping.filter(F.col("station") == station), levels, weather, config("Prophet_001"))
-    m = materialise(m, "matrix")  # the fit reads it several times
-    return m.filter("date < '2000-01-01'"), m.filter("date >= '2000-01-01'")
+    m = training.stored_matrix(mapping, levels, weather, config)
+    train, test = m.filter("date < '2000-01-01'"), m.filter("date >= '2000-01-01'")
+    have = sorted(r[0] for r in train.select("location").distinct().collect())  # stations of the mapping
+    return training.fit_models(train, config, have), train, test
+
 
+#: Rounds of the boosted queries.  The operator's default is 1,000; see README for what a round costs.
+ROUNDS = 20
+TREES = """SELECT location, count(*) AS "rows", CAST({n} AS BIGINT) AS trees, true AS within_depth, true AS binary FROM train GROUP BY ALL"""
+SCORED = "SELECT location, date, lag1 AS lag01__level__m, true AS agrees{more} FROM test"
 
-def tree_sizes(spark, model, rows):
-    """(tree, depth, nodes) of an ensemble beside the number of rows it was fitted on."""
-    sizes = F.array(*[F.struct(F.lit(i).alias("tree"), F.lit(t.depth).alias("depth"), F.lit(t.numNodes).alias("nodes")) for i, t in enumerate(model.trees)])
-    return rows.groupBy("location").agg(F.count("*").alias("rows")).select("location", "rows", F.inline(sizes))
+
+def tree_sizes(spark, fitted, rows, depth):
+    """Rows fitted on and trees grown per station; a binary tree has an odd number of nodes."""
+    sizes = [(key[0], t.depth, t.numNodes) for key, model in fitted.items() for t in model.trees]
+    grown = spark.createDataFrame(sizes, "location string, depth int, nodes int").groupBy("location").agg(
+        F.count("*").alias("trees"), F.bool_and(F.col("depth") <= depth).alias("within_depth"), F.bool_and(F.col("nodes") % 2 == 1).alias("binary")
+    )
+    return rows.groupBy("location").agg(F.count("*").alias("rows")).join(grown, "location")
+
+
+def beside_own_prediction(fitted, test, predict, *more):
+    """Scored rows, each compared with what the fitted model says by itself."""
+    out = None
+    for (station, _), model in fitted.items():
+        mine = test.filter(F.col("location") == station)
+        own = model.transform(models.with_vector(mine)).select("location", "date", "pred")
+        part = predict(model, mine).join(own, ["location", "date"])
+        part = part.select("location", "date", features.LAG1, (F.abs(F.col("y") - F.col("pred")) < 1e-9).alias("agrees"), *more)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@query("rf_train")
+@query("rf_train", model_oracle(TREES.format(n=100)))
 def rf_train(spark, sf):
-    """A forest on one station's history: the size of its trees."""
-    train, _ = one_station(spark, sf)
-    return tree_sizes(spark, models.fit_forest(train, trees=10), train)
+    """The whole forest of every station."""
+    fitted, train, _ = fit_all(spark, sf, config("RandomForestRegressor_001"))
+    return tree_sizes(spark, fitted, train, 30)
 
 
-@query("rf_infer")
+@query("rf_infer", model_oracle(SCORED.format(more=", true AS spread")))
 def rf_infer(spark, sf):
-    """A forest's predictions, with the spread of its trees, for the days after the split."""
-    train, test = one_station(spark, sf)
-    model = models.fit_forest(train, trees=10)
-    return models.forest_predict(model, test).select("location", "date", F.round("y", 6).alias("y"), F.round("y_var", 6).alias("y_var"))
+    """The mean of the single trees is the forest's prediction, their spread no less than 0, for all days after the split."""
+    fitted, _, test = fit_all(spark, sf, config("RandomForestRegressor_001"))
+    return beside_own_prediction(fitted, test, models.forest_predict, (F.col("y_var") >= 0).alias("spread"))
 
 
-@query("gbt_train")
+@query("gbt_train", model_oracle(TREES.format(n=ROUNDS)))
 def gbt_train(spark, sf):
-    train, _ = one_station(spark, sf, "EUROPE")
-    return tree_sizes(spark, models.fit_boosted(train, rounds=10), train)
+    fitted, train, _ = fit_all(spark, sf, config("XGBoost_001", rounds=ROUNDS))
+    return tree_sizes(spark, fitted, train, 7)
 
 
-@query("gbt_infer")
+@query("gbt_infer", model_oracle(SCORED.format(more="")))
 def gbt_infer(spark, sf):
-    train, test = one_station(spark, sf, "EUROPE")
-    model = models.fit_boosted(train, rounds=10)
-    return models.boosted_predict(model, test).select("location", "date", F.round("y", 6).alias("y"))
+    fitted, _, test = fit_all(spark, sf, config("XGBoost_001", rounds=ROUNDS))
+    return beside_own_prediction(fitted, test, models.boosted_predict)
 
 
-@query("seasonal_regression")
-def seasonal_regression(spark, sf):
-    """Every station and horizon fitted in one job; the predictions for the days after the split."""
+def additive_matrix(spark, sf, horizons):
     mapping, levels, weather, _ = training_inputs(spark, sf)
-    m = materialise(training.training_matrix(mapping, levels, weather, config("Prophet_001", (1, 7))), "matrix")
-    fitted = models.fit_additive(m.filter("date < '2000-01-01'"))
-    scored = models.additive_predict(fitted, m.filter("date >= '2000-01-01'"))
-    return scored.select("location", "date", "forecast_days", F.round("y", 6).alias("y"))
+    m = training.stored_matrix(mapping, levels, weather, config("Prophet_001", horizons))
+    return m.filter("date < '2000-01-01'"), m.filter("date >= '2000-01-01'")
 
 
-@query("model_registry")
-def model_registry(spark, sf):
-    """Each registered kind by the station rows it would be fitted on."""
-    train, _ = one_station(spark, sf)
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(e.per_station).alias("per_station")) for k, e in models.REGISTRY.items()])
-    return train.groupBy("location").agg(F.count("*").alias("rows")).select("location", "rows", F.inline(kinds))
+@query(
+    "seasonal_regression",
+    model_oracle(
+        """SELECT location, forecast_days, count(*) FILTER (WHERE date < DATE '2000-01-01') AS train_rows, count(*) FILTER (WHERE date >= DATE '2000-01-01') AS test_rows,
+  count(*) AS predicted, true AS unbiased, true AS no_worse_than_mean FROM kept GROUP BY ALL""",
+        (1, 7),
+    ),
+)
+def seasonal_regression(spark, sf):
+    """Every station and horizon fitted in one job; a fit with an intercept leaves no mean error and no more than the mean does."""
+    train, test = additive_matrix(spark, sf, (1, 7))
+    truth = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))).withColumn("truth", F.col("y"))
+    scored = models.additive_predict(models.fit_additive(train), truth)
+    old, e = F.col("part") == "train", F.col("truth") - F.col("y")
+    return scored.groupBy("location", "forecast_days").agg(
+        F.count_if(old).alias("train_rows"),
+        F.count_if(~old).alias("test_rows"),
+        F.count("y").alias("predicted"),
+        (F.abs(F.avg(F.when(old, e))) < 1e-6).alias("unbiased"),
+        (F.avg(F.when(old, e * e)) <= F.var_pop(F.when(old, F.col("truth"))) + 1e-9).alias("no_worse_than_mean"),
+    )
 
 
-@query("persist_load_model")
-def persist_load_model(spark, sf):
-    """A stored model predicts what the one in memory does: (predictions, differing predictions)."""
-    mapping, levels, weather, _ = training_inputs(spark, sf)
-    m = materialise(training.training_matrix(mapping, levels, weather, config("Prophet_001")), "matrix")
-    fitted = models.fit_additive(m.filter("date < '2000-01-01'"))
-    path = models.model_path(fresh_path(spark, "models"), "all", 0, "Prophet_001")
-    models.save_additive(fitted, path)
-    test = m.filter("date >= '2000-01-01'")
-    score = lambda f, name: models.additive_predict(f, test).select("location", "date", F.round("y", 9).alias(name))
-    both = score(fitted, "a").join(score(models.load_additive(spark, path), "b"), ["location", "date"])
-    return both.groupBy("location").agg(F.count("*").alias("n"), F.count_if(F.col("a") != F.col("b")).alias("differing"))
+#: Small models where not the fit but the way through registry and store is looked at.
+SMALL = {"RandomForestRegressor_001": {"trees": 5, "depth": 8}, "XGBoost_001": {"rounds": 3, "depth": 4}, "Prophet_001": {}}
+KINDS = ", ".join(f"'{kind}'" for kind in SMALL)
 
 
-@query("build_model")
+@query("model_registry", model_oracle(f"SELECT kind, location, n, baseline_rmse, true AS scored FROM bases, (SELECT unnest([{KINDS}]) AS kind)"))
+def model_registry(spark, sf):
+    """Every registered kind fitted on all stations and scored through the registry."""
+    out = None
+    for kind in models.REGISTRY:
+        run = training.build_models(*training_inputs(spark, sf), config(kind, **SMALL[kind]))
+        part = run.scores.select(F.lit(kind).alias("kind"), "location", "n", F.round("baseline_rmse", 6).alias("baseline_rmse"), (F.col("rmse") > 0).alias("scored"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("persist_load_model", model_oracle(f"SELECT kind, location, count(*) AS n, 0 AS differing FROM test, (SELECT unnest([{KINDS}]) AS kind) GROUP BY ALL"))
+def persist_load_model(spark, sf):
+    """A stored model of any kind predicts what the one in memory does: (predictions, differing predictions)."""
+    out, root = None, fresh_path(spark, "models")
+    for kind, options in SMALL.items():
+        cfg = config(kind, **options)
+        fitted, _, test = fit_all(spark, sf, cfg)
+        one = training.TrainedModels(kind, fitted, test)
+        one.save(root)
+        keys = list(fitted) if models.model_kind(kind).per_station else ()
+        two = training.TrainedModels(kind, training.load_models(spark, root, kind, keys), test)
+        score = lambda run, name: run.predictor(test).select("location", "date", F.round("y", 9).alias(name))
+        both = score(one, "a").join(score(two, "b"), ["location", "date"])
+        part = both.groupBy(F.lit(kind).alias("kind"), "location").agg(F.count("*").alias("n"), F.count_if(F.col("a") != F.col("b")).alias("differing"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("build_model", model_oracle("SELECT location, forecast_days, n, baseline_rmse, true AS scored, n AS staged, 1 AS configs FROM bases", (1, 7)))
 def build_model(spark, sf):
-    mapping, levels, weather, dim = training_inputs(spark, sf)
-    run = training.build_models(mapping, levels, weather, dim, config("Prophet_001", (1, 7)), fresh_path(spark, "run"))
-    return run.scores.select("location", "forecast_days", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "baseline_rmse", "weighted_rmse")])
+    """A whole run: its scores, the eval stage as it was scored, and the configuration beside it."""
+    root = fresh_path(spark, "run")
+    run = training.build_models(*training_inputs(spark, sf), config("Prophet_001", (1, 7)), root)
+    held = sinks.read_artifact(spark, root, "eval").groupBy(F.col("station").alias("location"), "forecast_days").agg(F.count("*").alias("staged"))
+    ok = (F.col("rmse") > 0) & (F.col("weighted_rmse") > 0)
+    scores = run.scores.select("location", "forecast_days", "n", F.round("baseline_rmse", 6).alias("baseline_rmse"), ok.alias("scored"))
+    configs = spark.read.text(f"{root}/config").agg(F.count("*")).scalar()
+    return scores.join(held, ["location", "forecast_days"]).withColumn("configs", configs)
 
 
-@query("infer_batch_models")
+@query(
+    "infer_batch_models",
+    oracle(
+        "levels edges_up edges_wx rain rain_forecast",
+        f"SELECT location_name, date, ml_model_name, forecast_days, true AS finite FROM ({INFERRED.replace('XGBoost_001', 'Prophet_001')})",
+        **windowed("DATE '2001-06-01'", "DATE '2001-07-01'"),
+    ),
+)
 def infer_batch_models(spark, sf):
     """Models fitted on history, then a month of predictions for all stations and two horizons."""
     mapping, levels, weather, dim = training_inputs(spark, sf)
     run = training.build_models(mapping, levels, weather, dim, config("Prophet_001", (1, 7)))
     grid = days_grid(spark, sf).withColumn("model_type", F.lit("Prophet_001"))
     made = inference.infer_batch(
-        mapping, grid, fx.levels(spark, sf), fx.rain(spark, sf), fx.rain_forecast(spark, sf), {"Prophet_001": run.predictor}, (1, 3, 7), (1, 3, 0, -2)
+        mapping, grid, fx.levels(spark, sf), fx.rain(spark, sf), fx.rain_forecast(spark, sf), {"Prophet_001": run.predictor}, XLAGS, XWX
     )
-    return made.withColumn("level_m", F.round("level_m", 6))
+    return made.withColumn("finite", F.abs("level_m") < 100.0).drop("level_m")
 
 
 @query(

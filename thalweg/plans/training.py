@@ -31,6 +31,8 @@ class ForecastConfig:
     model_type: str = "XGBoost_001"
     fit_options: dict = field(default_factory=dict)
     parallel_fits: int = 4
+    #: Tasks of a single fit.  A station has one row a day, and a fit is hundreds of passes over them.
+    fit_partitions: int = 2
 
     @property
     def buffer(self) -> int:
@@ -66,6 +68,12 @@ def training_matrix(mapping: DataFrame, levels: DataFrame, weather: DataFrame, c
     return features.training_matrix(mapping, levels, weather, config.horizons, config.station_lags, config.weather_lags)
 
 
+def stored_matrix(mapping: DataFrame, levels: DataFrame, weather: DataFrame, config: ForecastConfig) -> DataFrame:
+    """The training matrix, written once; for single fits by station and horizon, so each opens its own rows only."""
+    by = ("location", "forecast_days") if models.model_kind(config.model_type).per_station else ()
+    return materialise(training_matrix(mapping, levels, weather, config), "matrix", by)
+
+
 def analyze_features(matrix: DataFrame, index: DataFrame) -> dict[str, DataFrame]:
     """Days no station has a row for, and the correlation of every feature with the target."""
     days = matrix.agg(F.array_sort(F.collect_set("date")).alias("d"))
@@ -105,7 +113,7 @@ def load_models(spark, root: str, kind: str, keys: Sequence[tuple[str, int]] = (
     return entry.load(spark, models.model_path(root, "all", 0, kind))
 
 
-def _fit(train: DataFrame, config: ForecastConfig, stations: Sequence[str]):
+def fit_models(train: DataFrame, config: ForecastConfig, stations: Sequence[str]):
     """One model for all, or one per station and horizon, a few of them fitted at a time."""
     entry = models.model_kind(config.model_type)
     if not entry.per_station:
@@ -115,7 +123,7 @@ def _fit(train: DataFrame, config: ForecastConfig, stations: Sequence[str]):
 
     def one(key):
         mine = train.filter((F.col("location") == key[0]) & (F.col("forecast_days") == key[1]))
-        return entry.fit(mine, **config.fit_options)
+        return entry.fit(mine.coalesce(config.fit_partitions), **config.fit_options)
 
     with ThreadPool(min(config.parallel_fits, len(keys))) as pool:
         return dict(zip(keys, pool.map(inheritable_thread_target(train.sparkSession)(one), keys), strict=True))
@@ -131,7 +139,7 @@ def build_models(
     model fits all at once.  A station without rows for one of its sources is an error.
     """
     features.require_sources(mapping, levels, weather)
-    matrix = materialise(training_matrix(mapping, levels, weather, config), "matrix")
+    matrix = stored_matrix(mapping, levels, weather, config)
     late = as_date(config.split_date)
     train = matrix.filter(F.col("date") < late)
     if train.isEmpty():
@@ -140,7 +148,7 @@ def build_models(
     if models.model_kind(config.model_type).per_station:
         have = sorted(r[0] for r in train.select("location").distinct().collect())  # one model each: a list
         known = matrix.filter(F.col("location").isin(have))
-    fitted = _fit(train, config, have)
+    fitted = fit_models(train, config, have)
     out = TrainedModels(config.model_type, fitted, matrix)
     parts, tests = [], []
     for h in config.horizons:
@@ -155,4 +163,5 @@ def build_models(
         held = reduce(DataFrame.unionByName, tests)  # without the buffer, as it was scored
         sinks.stage_artifact(held.withColumnRenamed("location", "station"), artifacts, "eval")
         out.save(f"{artifacts.rstrip('/')}/models")
+        sinks.stage_config(matrix.sparkSession, config, artifacts)
     return out

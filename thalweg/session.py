@@ -68,12 +68,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{workspace(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df, name: str):
-    """Write ``df`` to the workspace and read it back.
+def materialise(df, name: str, by=()):
+    """Write ``df`` to the workspace, in one folder per value of ``by``, and read it back.
 
     Cuts the lineage, so an input used several times is computed once and a lost executor costs
     a re-read and not a re-run.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

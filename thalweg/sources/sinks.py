@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -41,6 +43,14 @@ def stage_artifact(df: DataFrame, root: str, stage: str, keys: Sequence[str] = (
     return path
 
 
+def stage_config(spark, config, root: str) -> str:
+    """Write a run's configuration as one JSON line beside its stages."""
+    path = f"{root.rstrip('/')}/config"
+    line = json.dumps(dataclasses.asdict(config), sort_keys=True)
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
 def read_artifact(spark, root: str, stage: str, schema=None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(f"{root.rstrip('/')}/{stage}")
