@@ -10,7 +10,7 @@ from thalweg import fixtures as fx
 from thalweg.catalog import evaluation as ev
 from thalweg.catalog.features import UP, WX, lagged, matrix_sql
 from thalweg.catalog.registry import query
-from thalweg.catalog.tables import AS_OF, oracle
+from thalweg.catalog.tables import AS_OF, BEGIN, END, oracle
 from thalweg.operators import features, models, state
 from thalweg.plans import inference, operations, training
 from thalweg.schema import PREDICTED_LEVEL
@@ -190,13 +190,30 @@ FROM (SELECT l.location, d.date FROM (SELECT DISTINCT location_name AS location
 JOIN region ON r_name = g.location LEFT JOIN secondary s ON s.station_id = r_regionkey AND s.reading_date = g.date GROUP BY ALL"""
 
 
+def station_ids(spark, sf):
+    return fx.stations(spark, sf).select(F.col("station_name").alias("location"), F.substring("station_number", 3, 9).cast("int").alias("station_id"))
+
+
 @query("backfill_levels", oracle("river_gappy secondary days", BACKFILL))
 def backfill_levels(spark, sf):
-    ids = fx.stations(spark, sf).select(F.col("station_name").alias("location"), F.substring("station_number", 3, 9).cast("int").alias("station_id"))
-    _, report = operations.backfill_levels(fx.river_gappy(spark, sf), ids, fx.secondary(spark, sf), fx.BEGIN, fx.END)
+    _, report = operations.backfill_levels(fx.river_gappy(spark, sf), station_ids(spark, sf), fx.secondary(spark, sf), fx.BEGIN, fx.END)
     return report
 
 
+@query(
+    "backfill_inserted",
+    oracle(
+        "river_gappy secondary",
+        f"""SELECT location_name, date, level_m FROM river_gappy UNION ALL SELECT r_name, reading_date, reading FROM secondary JOIN region ON r_regionkey = station_id
+WHERE reading IS NOT NULL AND reading_date BETWEEN {BEGIN} AND {END} AND NOT EXISTS (SELECT 1 FROM river_gappy g WHERE g.location_name = r_name AND g.date = reading_date)""",
+    ),
+)
+def backfill_inserted(spark, sf):
+    """The level table after the backfill."""
+    table, _ = operations.backfill_table(fx.river_gappy(spark, sf), station_ids(spark, sf), fx.secondary(spark, sf), fx.BEGIN, fx.END)
+    return table
+
+
 @query(
     "availability_report",
     oracle(

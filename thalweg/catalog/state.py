@@ -37,7 +37,7 @@ def upsert_weather(spark, sf):
     old = fx.weather(spark, sf, end="2001-07-01")
     new = fx.rain_forecast(spark, sf).withColumnRenamed("location", "location_name")
     new = new.withColumns({"forecast_latitude": F.lit(0.0), "forecast_longitude": F.lit(0.0)})
-    store = state.PeriodTable(spark, fresh_path(spark, "weather"), old.schema, unit="year", files=1)
+    store = state.PeriodTable(spark, fresh_path(spark, "weather"), old.schema, unit="year")
     store.merge(old, state.upsert_weather)
     store.merge(new, state.upsert_weather)
     return store.read()
@@ -113,7 +113,7 @@ def insert_ignore(spark, sf):
 def table_by_month_range(spark, sf):
     """Rows of some days from a table by month, after the same batch came twice."""
     rows = fx.weather(spark, sf, "1998-12-01", "1999-05-31")
-    store = state.PeriodTable(spark, fresh_path(spark, "weather"), rows.schema, files=1)
+    store = state.PeriodTable(spark, fresh_path(spark, "weather"), rows.schema)
     for _ in range(2):
         store.merge(rows, state.insert_if_absent)
     return store.read("1999-01-15", "1999-03-10")

@@ -158,9 +158,9 @@ class PeriodTable:
     folders; merging the same batch again, after a failure, gives the same table.
     """
 
-    def __init__(self, spark, path: str, schema, date: str = "date", unit: str = "month", files: int = 4):
+    def __init__(self, spark, path: str, schema, date: str = "date", unit: str = "month"):
         self.spark, self.path, self.schema, self.date = spark, path.rstrip("/"), schema, date
-        self.unit, self.files = unit, files
+        self.unit = unit
 
     def _stored(self) -> DataFrame:
         full = T.StructType([*self.schema.fields, T.StructField("period", T.DateType())])
@@ -192,8 +192,7 @@ class PeriodTable:
             return 0
         old = self._stored().filter(F.col("period").isin(touched)).drop("period")
         merged = materialise(rule(old, batch).select(*self.schema.names), "merged")
-        # The rows of a period go to several tasks, not to one: a month of all locations may be large.
-        spread = merged.withColumn("period", F.trunc(self.date, self.unit))
-        spread = spread.repartition("period", F.pmod(F.hash(*merged.columns), F.lit(self.files)))
+        # Rows of a period go to as many tasks as their size asks for: adaptive execution splits and joins them.
+        spread = merged.withColumn("period", F.trunc(self.date, self.unit)).hint("rebalance", "period")
         spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(self.path)
         return len(touched)

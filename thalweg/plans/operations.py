@@ -28,6 +28,15 @@ def backfill_levels(levels: DataFrame, id_map: DataFrame, source: DataFrame, beg
     return rows, report.withColumn("still_missing", F.col("missing_days") - F.col("filled_days"))
 
 
+def backfill_table(levels: DataFrame, id_map: DataFrame, source: DataFrame, begin, end) -> tuple[DataFrame, DataFrame]:
+    """The level table with the found rows inserted, and the report of ``backfill_levels``.
+
+    A (location, date) the table holds without a level keeps its row.
+    """
+    rows, report = backfill_levels(levels, id_map, source, begin, end)
+    return state.insert_if_absent(levels, rows, distinct_batch=True), report
+
+
 def availability_report(levels: DataFrame, as_of) -> DataFrame:
     """Everything known about each location's record, beside the range all locations share."""
     avail = quality.availability(levels)
