@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -218,6 +219,34 @@ def test_chunks_find_shifted_passages(spark, none):
     assert chunk_dedup.repeated_passages(none).count() == 0
 
 
+def repeated_runs(rows, n):
+    """By brute force: (row, first byte, last byte) of all runs of ``n`` words that come up more than once."""
+    seen = collections.defaultdict(list)
+    for k, text in enumerate(rows):
+        raw = (text or "").encode()
+        spans = [x.span() for x in re.finditer(rb"[^ \t\n\x0b\x0c\r]+", raw)]
+        for a in range(len(spans) - n + 1):
+            begin, end = spans[a][0], spans[a + n - 1][1]
+            seen[raw[begin:end]].append((k, begin, end))
+    return {run: places for run, places in seen.items() if len(places) > 1}
+
+
+def test_passages_are_brute_force(spark):
+    """Passages of 49 to 60 words, each in two texts, beside odd texts: every one is found, to the byte."""
+    rows = [None, "", " \n ", "a b " * 200, "c\td  " * 100, "a b " * 90, words(48, 5000), words(48, 5000)]
+    for k in range(240):
+        passage, glue = words(49 + k % 12, 1000 + k), "x" * (k % 12 > 1)
+        rows += [f"{words(k % 7, 2000 + k)} {glue}{passage}{glue} {words(9, 3000 + k)}", f"{words(30, 4000 + k)} {passage}"]
+    made = collections.defaultdict(set)
+    for k, begin, end in (x for places in repeated_runs(rows, 49).values() for x in places):
+        made[k].update(range(begin, end))
+    docs = prepared(spark).createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = collections.defaultdict(set)
+    for r in chunk_dedup.repeated_passages(docs).collect():
+        got[r.doc_id].update(range(r.begin, r.end))
+    assert len(made) == 482 + 1 and got == made
+
+
 def test_secret_ledger_scans_only_unseen(spark, odd, none):
     book = secret_ledger.BlobLedger(spark, fresh_path(spark, "ledger"))
     first = secret_ledger.scan_documents(odd[0].limit(5), book).count()

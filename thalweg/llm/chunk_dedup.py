@@ -1,16 +1,19 @@
-"""Substring deduplication by content-defined chunks.
-
-A gear hash rolls over the bytes of each text (16 bytes back, in four doubling steps) and cuts where
-five of its bits are zero, every 32 bytes or so.  Cuts depend on the bytes before them only, so an
-insertion shifts no chunk but its own.  A cut closer than ``least`` bytes to the candidate before it
-is left out, a stretch without cuts is divided every ``most`` bytes.  Chunks are counted by their
-128-bit digest; runs of repeated chunks in a row that hold at least ``words`` whole words are repeated
-passages.  A passage loses at most the chunks at its two ends, so ``words`` is well below the length
-of the passages looked for: runs of 20 words inside find passages of over 50.
-
-Counting is combined on the map side; chunks meet their counts in a join whose other side has one row
-per digest, so a chunk that a third of all texts hold can be split.  Each row is a text of its own, also
-if it repeats another.  Null and empty texts have no chunks, an empty table no passages.
+"""Substring deduplication by sampled word runs, exact to the word.
+
+A passage is a stretch of bytes that begins and ends with whole words and comes up more than once; it
+counts from ``words`` words on.  A passage of over 50 words whose first and last word are glued to others
+still has 49 whole ones.  All that matters is settled by runs of exactly ``words`` words with the blanks
+between them: a run that comes up twice is repeated, neighbouring repeated runs make up a passage.
+
+Hashing every run would take one row per word, so runs of ``gram`` words are sampled first: of every
+``words`` words in a row the runs with the least hash.  Which these are depends on those words alone, so
+copies of a passage share one wherever it lies, and none is missed.  Samples are counted; only runs of
+``words`` words around a repeated sample get a row, with a 128-bit digest, and are counted again.
+
+Counting is combined on the map side; rows meet their counts in a join whose other side has one row
+per digest, so a run that a third of all texts hold can be split.  Texts meet their repeated samples by
+a hash of the text; should it be shared by chance, too many runs are looked at, none too few.  Each row
+is a text of its own, also if it repeats another.  Null, empty and short texts hold no passages.
 """
 
 from __future__ import annotations
@@ -23,23 +26,30 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thalweg.llm.common import mix, stored, texts
+from thalweg.llm.common import SPACES, mix, stored, texts
 from thalweg.llm.registry import query, table
 
 
+class Passages(NamedTuple):
+    words: int = 49
+    gram: int = 25
+
+
 class Cuts(NamedTuple):
     least: int = 8
     most: int = 256
     words: int = 20
 
 
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+BLANK = np.isin(np.arange(256), list(SPACES.encode()))
+
 GEAR = mix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 MASK = np.uint32(0b11111 << 20)
-CHUNKS = "row_id long, doc_id long, seq int, begin long, size int, words int, hi long, lo long"
 
 
 def cuts(data: np.ndarray, options: Cuts) -> np.ndarray:
-    """Ends of the chunks of a byte array, the last one its length."""
+    """Ends of content-defined chunks of a byte array, the last one its length.  Passages don't rest on them: a chunk cut into at a passage's end is lost."""
     n = len(data)
     h = GEAR[data]
     for k in (1, 2, 4, 8):
@@ -56,56 +66,132 @@ def cuts(data: np.ndarray, options: Cuts) -> np.ndarray:
     return ends
 
 
-def chunks(docs: DataFrame, options: Cuts = Cuts(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per chunk, in place order by ``seq``; ``begin`` in bytes; ``words`` counts words that begin in it."""
-    blank = np.zeros(256, bool)
-    blank[list(b" \t\n\x0b\f\r")] = True
+def split(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a text column: (begins, ends) in bytes of their text, (digests of the words with the blanks behind
+    them, digests without), two rows of 64 bits each, and where each text's words begin, one more at the end."""
+    text = text.cast(pa.large_string())
+    at = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[at[0] : at[-1]] if len(text) else np.zeros(0, np.uint8)
+    at = at - at[0]
+    dark = ~BLANK[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = True
+    begins = np.flatnonzero(dark & (edge[:-1] | ~np.append(False, dark[:-1])))
+    ends = np.flatnonzero(dark & (edge[1:] | ~np.append(dark[1:], False))) + 1
+    # The blanks behind a text's last word may be the next text's; no run goes on from there.
+    units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(np.append(begins, len(data))), pa.py_buffer(data)])
+    coded = units.dictionary_encode()
+    codes, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+    digest = lambda made: np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, made)), ">u8").astype(np.uint64).reshape(-1, 2).T[:, codes]
+    offsets = np.searchsorted(begins, at)
+    start = np.repeat(at[:-1], np.diff(offsets))
+    return begins - start, ends - start, digest(distinct), digest([u.rstrip(SPACES.encode()) for u in distinct]), offsets
+
+
+def runs(units: np.ndarray, last: np.ndarray, n: int, base: int) -> np.ndarray:
+    """Hash of every ``n`` words in a row: ``n - 1`` of ``units`` and one of ``last``, put together by doubling."""
+    size = max(0, len(units) - n + 1)
+    out, done = np.zeros(size, np.uint64), 0
+    power, step = units, 1
+    while size and step <= n - 1:
+        if (n - 1) & step:
+            out = out * np.uint64(pow(base, step, 1 << 64)) + power[done : done + size]
+            done += step
+        power = power[: max(0, len(power) - step)] * np.uint64(pow(base, step, 1 << 64)) + power[step:]
+        step *= 2
+    return mix(out * np.uint64(base) + last[n - 1 : n - 1 + size])
+
+
+def extremes(values: np.ndarray, n: int, pick) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) over every ``n`` values in a row."""
+    step = 1
+    while 2 * step <= n:
+        values = pick(values[: max(0, len(values) - step)], values[step:])
+        step *= 2
+    rest = n - step
+    return pick(values[: max(0, len(values) - rest)], values[rest:])
+
+
+def whole(offsets: np.ndarray, n: int) -> np.ndarray:
+    """For every place that ``n`` words can follow: whether they are one text's."""
+    left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(offsets[-1])
+    return left[: max(0, len(left) - n + 1)] >= n
+
+
+def sampled(units: np.ndarray, last: np.ndarray, offsets: np.ndarray, options: Passages) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the sampled runs of ``gram`` words, and their hashes."""
+    ok = whole(offsets, options.words)
+    if not ok.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    span = options.words - options.gram + 1
+    grams = runs(units, last, options.gram, BASES[0])
+    least = np.where(ok, extremes(grams, span, np.minimum), np.uint64(0))
+    pad = np.zeros(span - 1, np.uint64)
+    picked = np.flatnonzero(extremes(np.concatenate([pad, least, pad]), span, np.maximum) == grams)
+    return picked, grams[picked]
+
+
+def samples(docs: DataFrame, options: Passages) -> DataFrame:
+    """(t, place, h): the sampled runs of each text; ``t`` is the text's hash, ``place`` counts words."""
 
     def run(batches):
         for batch in batches:
-            buffer = batch.column("text")
-            rows = {"row_id": [], "doc_id": [], "seq": [], "begin": [], "size": [], "words": []}
-            digests: list[bytes] = []
-            for row_id, doc_id, text in zip(batch.column("row_id").to_pylist(), batch.column("doc_id").to_pylist(), buffer, strict=True):
-                raw = text.as_buffer()
-                if not raw.size:
-                    continue
-                data = np.frombuffer(raw, np.uint8)
-                ends = cuts(data, options)
-                begins = np.append(0, ends[:-1])
-                dark = ~blank[data]
-                starts = dark.copy()
-                starts[1:] &= ~dark[:-1]
-                upto = np.append(0, np.cumsum(starts))
-                whole = raw.to_pybytes()
-                digests += [xxhash.xxh3_128_digest(whole[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-                for name, values in zip(rows, (np.full(len(ends), row_id), [doc_id] * len(ends) if doc_id is None else np.full(len(ends), doc_id), np.arange(len(ends)), begins, ends - begins, upto[ends] - upto[begins]), strict=True):
-                    rows[name].append(values)
-            two = np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2).astype(np.int64)
-            flat = {k: (pa.concat_arrays([pa.array(v, pa.int64()) for v in vs]) if k == "doc_id" else pa.array(np.concatenate(vs))) if vs else pa.array([], pa.int64()) for k, vs in rows.items()}
-            kinds = dict(row_id=pa.int64(), doc_id=pa.int64(), seq=pa.int32(), begin=pa.int64(), size=pa.int32(), words=pa.int32())
-            yield pa.RecordBatch.from_arrays([*[flat[k].cast(t) for k, t in kinds.items()], pa.array(two[:, 0]), pa.array(two[:, 1])], names=[*kinds, "hi", "lo"])
-
-    rows = texts(docs, id_col, text_col).withColumn("row_id", F.monotonically_increasing_id())
-    return rows.mapInArrow(run, CHUNKS)
-
-
-def repeated_passages(docs: DataFrame, options: Cuts = Cuts()) -> DataFrame:
+            _, _, units, last, offsets = split(batch.column("text"))
+            at, h = sampled(units[0], last[0], offsets, options)
+            doc = np.searchsorted(offsets, at, "right") - 1
+            yield pa.RecordBatch.from_arrays([batch.column("t").take(pa.array(doc)), pa.array((at - offsets[doc]).astype(np.int32)), pa.array(h.view(np.int64))], names=["t", "place", "h"])
+
+    return docs.select("t", "text").mapInArrow(run, "t long, place int, h long")
+
+
+def windows(docs: DataFrame, options: Passages) -> DataFrame:
+    """(row_id, doc_id, place, begin, end, hi, lo): the runs of ``words`` words that hold one of the samples at ``marks``."""
+    span = options.words - options.gram + 1
+
+    def run(batches):
+        for batch in batches:
+            begins, ends, units, last, offsets = split(batch.column("text"))
+            ok = whole(offsets, options.words)
+            marks = batch.column("marks")
+            doc = np.repeat(np.arange(len(marks)), np.diff(np.asarray(marks.offsets)))
+            at = marks.flatten().to_numpy(zero_copy_only=False) + offsets[doc]
+            doc, at = doc[at < offsets[doc + 1]], at[at < offsets[doc + 1]]
+            size = int(offsets[-1]) + 1
+            near = np.cumsum(np.bincount(np.maximum(at - span + 1, offsets[doc]), minlength=size) - np.bincount(at + 1, minlength=size))
+            place = np.flatnonzero(ok & (near[: len(ok)] > 0))
+            two = [runs(units[k], last[k], options.words, BASES[k])[place].view(np.int64) for k in (0, 1)]
+            doc = np.searchsorted(offsets, place, "right") - 1
+            made = [(place - offsets[doc]).astype(np.int32), begins[place], ends[place + options.words - 1], *two]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(doc)) for c in ("row_id", "doc_id")], *map(pa.array, made)], names=["row_id", "doc_id", "place", "begin", "end", "hi", "lo"])
+
+    return docs.select("row_id", "doc_id", "text", "marks").mapInArrow(run, "row_id long, doc_id long, place int, begin long, end long, hi long, lo long")
+
+
+def repeated_windows(docs: DataFrame, options: Passages) -> DataFrame:
+    """Every run of ``words`` words that comes up more than once: its place, ``n`` and the first ``keeper``."""
+    rows = texts(docs).withColumn("row_id", F.monotonically_increasing_id()).withColumn("t", F.xxhash64("text"))
+    found = stored(samples(rows, options), "samples")
+    again = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    marks = found.join(again, "h").groupBy("t").agg(F.collect_set("place").alias("marks"))
+    made = stored(windows(rows.join(marks, "t"), options), "windows")
+    counts = made.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("row_id").alias("keeper")).filter("n > 1")
+    return made.join(counts, ["hi", "lo"])
+
+
+def repeated_passages(docs: DataFrame, options: Passages = Passages()) -> DataFrame:
     """(doc_id, begin, end, n_words, n_copies, first): passages found more than once, whose offsets are UTF-8 bytes.
 
-    ``n_copies``: the fewest occurrences among its chunks.  ``first``: the passage is where these chunks
+    ``n_copies``: the fewest occurrences among its runs.  ``first``: the passage is where these runs
     come up first, so the one to keep.
     """
-    made = stored(chunks(docs, options), "chunks")
-    counts = made.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("row_id").alias("keeper")).filter("n > 1")
-    hit = made.join(counts, ["hi", "lo"])
-    # Runs of neighbours within one text.
-    island = hit.withColumn("island", F.col("seq") - F.row_number().over(Window.partitionBy("row_id").orderBy("seq")))
-    runs = island.groupBy("row_id", "doc_id", "island").agg(
-        F.min("begin").alias("begin"), F.max(F.col("begin") + F.col("size")).alias("end"), F.sum("words").cast("long").alias("n_words"),
+    hit = repeated_windows(docs, options)
+    # Passages: repeated runs at neighbouring places of one text.
+    island = hit.withColumn("island", F.col("place") - F.row_number().over(Window.partitionBy("row_id").orderBy("place")))
+    made = island.groupBy("row_id", "doc_id", "island").agg(
+        F.min("begin").alias("begin"), F.max("end").alias("end"), (F.count("*") + options.words - 1).alias("n_words"),
         F.min("n").alias("n_copies"), F.min((F.col("keeper") == F.col("row_id")).cast("int")).alias("first"),
     )
-    return runs.filter(F.col("n_words") >= options.words).select("doc_id", "begin", "end", "n_words", "n_copies", (F.col("first") == 1).alias("first"))
+    return made.select("doc_id", "begin", "end", "n_words", "n_copies", (F.col("first") == 1).alias("first"))
 
 
 @query("op6_substring_dedup")
