@@ -242,9 +242,28 @@ def test_passages_are_brute_force(spark):
         made[k].update(range(begin, end))
     docs = prepared(spark).createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = collections.defaultdict(set)
-    for r in chunk_dedup.repeated_passages(docs).collect():
+    for r in chunk_dedup.repeated_windows(docs, chunk_dedup.Passages()).collect():
         got[r.doc_id].update(range(r.begin, r.end))
     assert len(made) == 482 + 1 and got == made
+    assert {r.doc_id for r in chunk_dedup.repeated_passages(docs).collect()} == set(made)
+
+
+def test_what_is_first_is_kept_once(spark):
+    """Neighbouring passages of other texts, copies within one text, passages with a word more in some texts."""
+    p, q, s, t = words(60, 31), words(55, 32), words(70, 33), words(64, 36)
+    rows = [p, f"{p} {q}", q, f"{s} {words(20, 34)} {s}", f"{words(12, 35)} {s} {p}", f"{q} {s}", t, f"{t} more", f"{t} more", "a b " * 200]
+    docs = prepared(spark).createDataFrame(list(enumerate(rows)), "doc_id long, text string").coalesce(1)
+    got = chunk_dedup.repeated_passages(docs).collect()
+    assert sorted((r.doc_id, r.n_words) for r in got if r.first) == [(0, 60), (1, 55), (3, 70), (6, 64)]
+    left = [bytearray(text.encode()) for text in rows]
+    for r in got:
+        if not r.first:
+            left[r.doc_id][r.begin : r.end] = b"\0" * (r.end - r.begin)
+    for run, places in repeated_runs(rows, 49).items():
+        assert sum(left[k][begin:end] == run for k, begin, end in places) <= 1
+    left = [x.replace(b"\0", b"").decode() for x in left]
+    assert all(sum(x.count(passage) for x in left) == 1 for passage in (p, q, s, t))
+    assert [x.split() for x in left[6:]] == [t.split(), ["more"], [], ["a", "b"]]
 
 
 def test_secret_ledger_scans_only_unseen(spark, odd, none):

@@ -168,30 +168,41 @@ def windows(docs: DataFrame, options: Passages) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, options: Passages) -> DataFrame:
-    """Every run of ``words`` words that comes up more than once: its place, ``n`` and the first ``keeper``."""
+    """Every run of ``words`` words that comes up more than once: its place, ``n`` and whether it is the ``first``, in order of row and place."""
     rows = texts(docs).withColumn("row_id", F.monotonically_increasing_id()).withColumn("t", F.xxhash64("text"))
     found = stored(samples(rows, options), "samples")
     again = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     marks = found.join(again, "h").groupBy("t").agg(F.collect_set("place").alias("marks"))
     made = stored(windows(rows.join(marks, "t"), options), "windows")
-    counts = made.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("row_id").alias("keeper")).filter("n > 1")
-    return made.join(counts, ["hi", "lo"])
+    counts = made.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "place")).alias("keeper")).filter("n > 1")
+    return made.join(counts, ["hi", "lo"]).withColumn("first", F.col("keeper") == F.struct("row_id", "place")).drop("keeper", "hi", "lo")
 
 
 def repeated_passages(docs: DataFrame, options: Passages = Passages()) -> DataFrame:
     """(doc_id, begin, end, n_words, n_copies, first): passages found more than once, whose offsets are UTF-8 bytes.
 
-    ``n_copies``: the fewest occurrences among its runs.  ``first``: the passage is where these runs
-    come up first, so the one to keep.
+    ``n_copies``: the fewest occurrences among its runs.  ``first``: its runs come up here first, so it is
+    the one to keep.  A passage is split where that changes; words that a run covers which isn't first belong
+    to the part that isn't.  Each of those has an equal word at the run's first place, further to the front,
+    so when all that isn't first is removed, every word of a repeated run stays in one place, and of each
+    run at most one copy.  Of what is first, a rest below ``words`` words is kept without a row of its own.
     """
     hit = repeated_windows(docs, options)
-    # Passages: repeated runs at neighbouring places of one text.
-    island = hit.withColumn("island", F.col("place") - F.row_number().over(Window.partitionBy("row_id").orderBy("place")))
-    made = island.groupBy("row_id", "doc_id", "island").agg(
-        F.min("begin").alias("begin"), F.max("end").alias("end"), (F.count("*") + options.words - 1).alias("n_words"),
-        F.min("n").alias("n_copies"), F.min((F.col("keeper") == F.col("row_id")).cast("int")).alias("first"),
+    # Repeated runs at neighbouring places of one text, as far as all or none of them are first.
+    island = hit.withColumn("island", F.col("place") - F.row_number().over(Window.partitionBy("row_id", "first").orderBy("place")))
+    made = island.groupBy("row_id", "doc_id", "first", "island").agg(
+        F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("place").alias("a"), (F.max("place") + options.words).alias("z"), F.min("n").alias("n_copies")
+    )
+    # The copies before and behind, as words and bytes.
+    copy = lambda *x: F.when(~F.col("first"), F.struct(*x))
+    side = lambda order: Window.partitionBy("row_id").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    beside = made.withColumn("before", F.last(copy("z", "end"), True).over(side(F.col("a")))).withColumn("behind", F.last(copy("a", "begin"), True).over(side(F.col("a").desc())))
+    cut = lambda own, other, pick: F.when(F.col("first"), pick(own, other)).otherwise(F.col(own))
+    parts = beside.select(
+        "doc_id", cut("begin", "before.end", F.greatest).alias("begin"), cut("end", "behind.begin", F.least).alias("end"),
+        (cut("z", "behind.a", F.least) - cut("a", "before.z", F.greatest)).cast("long").alias("n_words"), "n_copies", "first",
     )
-    return made.select("doc_id", "begin", "end", "n_words", "n_copies", (F.col("first") == 1).alias("first"))
+    return parts.filter(F.col("n_words") >= options.words)
 
 
 @query("op6_substring_dedup")
