@@ -323,6 +323,22 @@ def test_mixing_meets_its_target(spark, sf, odd, none):
     assert mixing.draw(none).count() == 0 and set(mixing.draw(odd[0]).columns) >= set(odd[0].columns)
 
 
+def test_mixing_orders_small_ranges_only(spark, sf):
+    """The draw doesn't depend on the ranges, and with them no sorted group grows with the block."""
+    docs = prepared(spark).read.parquet(f"{sf}/documents.parquet")
+    mix = mixing.Mix("repeats", 3.0, budget=20_000, blocks=2)
+    draws = [mixing.draw(docs, mix, range_docs=n) for n in (1 << 40, 4)]
+    one, many = (sorted(map(tuple, d.select("doc_id", "_pass", "_place", "_tokens").collect())) for d in draws)
+    assert one == many and len(one) > 20
+    # By brute force: of each source's edge block, the documents in the hash's order while they fit.
+    weighed = mixing.weighed(docs, mix).collect()
+    drawn = {i for i, *_ in one}
+    for source in {r._source for r in weighed}:
+        for block in (0, 1):
+            taken = [r.doc_id in drawn for r in sorted((r for r in weighed if (r._source, r._block) == (source, block)), key=lambda r: (r._order, r.doc_id))]
+            assert taken == sorted(taken, reverse=True)
+
+
 def test_toxicity_held_out(spark, odd, none):
     base = "/root/testdata/sf0.01"
     docs, labels = prepared(spark).read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")

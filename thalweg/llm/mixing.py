@@ -8,7 +8,8 @@ blocks; the part takes blocks in that order while they fit and, of the block tha
 documents in a hashed order while they fit.  DataFrame functions only.
 
 Documents are dealt to a fixed number of blocks by a hash, so sums are combined on the map side and no
-task ever holds a source; only the block at the edge of the budget is ordered.
+task ever holds a source.  The block at the edge of the budget is cut into ranges of the hash by its
+number of documents; their sums find the range at the edge, some thousand documents, and only that is ordered.
 
 Tokens are words.  A null source is a source of its own.  A text without words weighs nothing and comes
 with every whole pass.  Repeated rows are documents of their own.  Without any tokens nothing is drawn.
@@ -39,6 +40,8 @@ class Mix(NamedTuple):
 
 #: The interval is cut in this many parts per pass over the sources, this many times: 2**-40 at the end.
 CUTS, PASSES = 32, 8
+#: A range of a block holds about so many documents.
+RANGE_DOCS = 4096
 
 
 def weighed(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
@@ -98,7 +101,7 @@ def plan(sources: DataFrame, mix: Mix) -> DataFrame:
     return want.select("source", "tokens", "weight", "want", passes.alias("passes"), (F.col("want") - passes * F.col("tokens")).alias("rest"))
 
 
-def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
+def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", source_col="source", range_docs: int = RANGE_DOCS) -> DataFrame:
     """The mixture: rows of ``docs``, all columns, with ``_pass``, ``_place`` (0 to 1 within the source's pass), ``_tokens``.
 
     Ordering by (_pass, _place) blends the sources; every stretch then holds them near their weights.
@@ -114,15 +117,27 @@ def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", so
         blocks.withColumnRenamed("tokens", "held").join(planned, F.col("_source").eqNullSafe(F.col("source")))
         .withColumn("_shuffled", shuffled).withColumn("_upto", F.sum("held").over(w))
         .select(
-            F.col("_source").alias("_s"), F.col("_block").alias("_b"), "passes",
+            F.col("_source").alias("_s"), F.col("_block").alias("_b"), "passes", F.col("docs").alias("_docs"),
             (F.col("rest") - F.col("_upto") + F.col("held")).alias("_left"),
             F.when(F.col("_upto") <= F.col("rest"), 1).when(F.col("_upto") - F.col("held") < F.col("rest"), 0).otherwise(-1).alias("_fit"),
         )
     )
+    edges = stored(edges, "mix-edges")
     joined = rows.join(edges, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
-    inside = F.sum("_tokens").over(Window.partitionBy("_s", "_b").orderBy("_order", F.col(id_col)).rowsBetween(Window.unboundedPreceding, 0))
-    edge = joined.filter("_fit = 0").withColumn("_more", (inside <= F.col("_left")).cast("long"))
-    sure = joined.filter("_fit <> 0").withColumn("_more", (F.col("_fit") == 1).cast("long"))
+    # The edge block's documents come in the hash's order; ranges of the hash are summed first.
+    largest = edges.filter("_fit = 0").agg(F.max("_docs")).first()[0] or 0
+    n_ranges = -(-largest // range_docs) or 1
+    high = F.shiftright("_order", 32) + F.lit(1 << 31)
+    joined = joined.withColumn("_range", F.when(F.col("_fit") == 0, F.shiftright(high * F.lit(n_ranges), 32)))
+    held = joined.filter("_fit = 0").groupBy("_s", "_b", "_left", "_range").agg(F.sum("_tokens").alias("_held"))
+    upto = held.withColumn("_upto", F.sum("_held").over(Window.partitionBy("_s", "_b").orderBy("_range")))
+    state = F.when(F.col("_upto") <= F.col("_left"), 1).when(F.col("_upto") - F.col("_held") <= F.col("_left"), 0).otherwise(-1)
+    ranges = stored(upto.select(F.col("_s").alias("_rs"), F.col("_b").alias("_rb"), F.col("_range").alias("_r"), state.alias("_inside"), (F.col("_left") - F.col("_upto") + F.col("_held")).alias("_over")), "mix-ranges")
+    same = F.col("_s").eqNullSafe(F.col("_rs")) & (F.col("_b") == F.col("_rb")) & (F.col("_range") == F.col("_r"))
+    joined = joined.join(ranges, same, "left").withColumn("_state", F.coalesce("_inside", "_fit"))
+    inside = F.sum("_tokens").over(Window.partitionBy("_s", "_b", "_range").orderBy("_order", F.col(id_col)).rowsBetween(Window.unboundedPreceding, 0))
+    edge = joined.filter("_state = 0").withColumn("_more", (inside <= F.col("_over")).cast("long"))
+    sure = joined.filter("_state <> 0").withColumn("_more", (F.col("_state") == 1).cast("long"))
     copies = sure.unionByName(edge).withColumn("_copies", F.col("passes") + F.col("_more")).filter("_copies > 0")
     drawn = copies.withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
     # Blocks are permuted anew in each pass, documents within their block.
