@@ -339,6 +339,15 @@ def test_mixing_orders_small_ranges_only(spark, sf):
             assert taken == sorted(taken, reverse=True)
 
 
+def test_mixing_keeps_sources_without_words(spark):
+    """Such a source, also the null one, comes once; the others are drawn as without it."""
+    some = [(k, words(20 + k, k), "ab"[k % 2]) for k in range(12)]
+    bare = [(50, "", "blank"), (51, " \n", "blank"), (52, None, "blank"), (53, "", None), (54, None, None)]
+    drawn = lambda rows: sorted((r.doc_id, r._pass) for r in mixing.draw(prepared(spark).createDataFrame(rows, "doc_id long, text string, source string")).collect())
+    assert drawn(some + bare) == sorted(drawn(some) + [(k, 0) for k in range(50, 55)])
+    assert drawn(bare) == [(k, 0) for k in range(50, 55)]
+
+
 def test_toxicity_held_out(spark, odd, none):
     base = "/root/testdata/sf0.01"
     docs, labels = prepared(spark).read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")

@@ -12,7 +12,7 @@ task ever holds a source.  The block at the edge of the budget is cut into range
 number of documents; their sums find the range at the edge, some thousand documents, and only that is ordered.
 
 Tokens are words.  A null source is a source of its own.  A text without words weighs nothing and comes
-with every whole pass.  Repeated rows are documents of their own.  Without any tokens nothing is drawn.
+with every whole pass; a source without any comes once.  Repeated rows are documents of their own.
 The draw is fixed by ``seed``, the rows and their ids.
 """
 
@@ -89,7 +89,10 @@ def exponent(sources: DataFrame, mix: Mix) -> float:
 
 
 def plan(sources: DataFrame, mix: Mix) -> DataFrame:
-    """(source, tokens, weight, want, passes, rest): the budget's tokens of each source and how they are made up."""
+    """(source, tokens, weight, want, passes, rest): the budget's tokens of each source and how they are made up.
+
+    A source without tokens takes nothing of the budget: it has one pass.
+    """
     alpha = exponent(sources, mix)
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     share = F.pow(F.col("tokens") / F.lit(float(max(total, 1))), F.lit(alpha))
@@ -98,7 +101,9 @@ def plan(sources: DataFrame, mix: Mix) -> DataFrame:
     budget = float(total if mix.budget is None else mix.budget)
     want = with_tokens.withColumn("weight", F.col("_p") / F.lit(z)).withColumn("want", F.floor(F.col("weight") * F.lit(budget)))
     passes = F.floor(F.col("want") / F.col("tokens"))
-    return want.select("source", "tokens", "weight", "want", passes.alias("passes"), (F.col("want") - passes * F.col("tokens")).alias("rest"))
+    made = want.select("source", "tokens", "weight", "want", passes.alias("passes"), (F.col("want") - passes * F.col("tokens")).alias("rest"))
+    none = F.lit(0).cast("long")
+    return made.unionByName(sources.filter("tokens = 0").select("source", "tokens", F.lit(0.0).alias("weight"), none.alias("want"), F.lit(1).cast("long").alias("passes"), none.alias("rest")))
 
 
 def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", source_col="source", range_docs: int = RANGE_DOCS) -> DataFrame:
@@ -119,7 +124,7 @@ def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", so
         .select(
             F.col("_source").alias("_s"), F.col("_block").alias("_b"), "passes", F.col("docs").alias("_docs"),
             (F.col("rest") - F.col("_upto") + F.col("held")).alias("_left"),
-            F.when(F.col("_upto") <= F.col("rest"), 1).when(F.col("_upto") - F.col("held") < F.col("rest"), 0).otherwise(-1).alias("_fit"),
+            F.when(F.col("tokens") == 0, -1).when(F.col("_upto") <= F.col("rest"), 1).when(F.col("_upto") - F.col("held") < F.col("rest"), 0).otherwise(-1).alias("_fit"),
         )
     )
     edges = stored(edges, "mix-edges")
