@@ -290,6 +290,19 @@ def test_quality_ledger(odd, none):
     assert quality_ledger.ledger(none).count() == 0 and {r.kept for r in quality_ledger.ablations(quality_ledger.ledger(none)).collect()} == {0}
 
 
+def test_quality_verdicts_and_ablations_come_from_the_stored_ledger(spark, sf):
+    made = corpus_pipeline.QUERIES["op8_quality_rules"](spark, sf)
+    assert made.inputFiles() and all("quality-ledger" in f for f in made.inputFiles())
+    bits = [r.fail_bits for r in made.collect()]
+    book = quality_ledger.stored_ledger(spark.read.parquet(f"{sf}/documents.parquet"))
+    cells = quality_ledger.ablations(book).collect()
+    assert len(cells) == 8
+    for r in cells:
+        mask, bit = quality_ledger.POLICIES[r.policy], 1 << [name for name, _ in quality_ledger.RULES].index(r.rule)
+        hit = [b & mask for b in bits]
+        assert (r.failed, r.only_rule, r.kept, r.kept_without) == (sum(b & bit != 0 for b in hit), hit.count(bit), hit.count(0), sum(b & ~bit == 0 for b in hit))
+
+
 def test_chats_with_odd_rows(spark):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, None, None), (3, 0, "user", "a"), (3, 1, None, None), (None, 0, "user", "x"), (4, None, "user", "q"), (4, 3, "user", None)]
     rows += [(5, k, "user", f"t{k}") for k in range(10)] + [(6, k, "user", f"t{k}") for k in range(7)]

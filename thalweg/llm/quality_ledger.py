@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.common import sql_words, texts
+from thalweg.llm.common import sql_words, stored, texts
 from thalweg.llm.registry import query, table
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -75,6 +75,11 @@ def ledger(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str =
     return measured(docs, id_col, text_col).withColumn("fail_bits", bits)
 
 
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger as a table: policies and ablations read it, and no text again."""
+    return stored(ledger(docs), "quality-ledger")
+
+
 def apply_policy(book: DataFrame, version: int = CURRENT, policies=POLICIES) -> DataFrame:
     """The ledger with ``policy`` and ``kept`` for one policy."""
     hit = F.col("fail_bits").bitwiseAND(F.lit(policies[version]).cast("long"))
@@ -121,6 +126,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 @query("op8_quality_rules", ORACLE)
 def quality_rules(spark, sf):
     """Measurements, failure bits and the verdict of the current policy for every document."""
-    book = apply_policy(ledger(table(spark, sf, "documents")))
+    book = apply_policy(stored_ledger(table(spark, sf, "documents")))
     base = F.col("fail_bits").bitwiseAND(F.lit(BASE_MASK).cast("long")) != 0
     return book.select("doc_id", *MEASURES, base.alias("base_failed"), "kept", "fail_bits")
