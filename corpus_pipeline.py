@@ -12,7 +12,7 @@ from thalweg.llm import decontaminate, jaccard_join, mixing, token_files, toxici
 from thalweg.llm.common import prepared, stored
 from thalweg.llm.registry import ORACLES, QUERIES, table
 
-MODULES = ("token_files", "chat_format", "mixing", "bloom_lm", "decontaminate", "chunk_dedup", "jaccard_join", "quality_ledger", "toxicity", "secret_ledger")
+MODULES = ("token_files", "chat_format", "mixing", "bloom_lm", "decontaminate", "chunk_dedup", "jaccard_join", "quality_ledger", "toxicity", "secret_ledger", "whitening", "language_id", "importance")
 
 for _module in MODULES:
     import_module(f"thalweg.llm.{_module}")
