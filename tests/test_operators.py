@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from thalweg import fixtures as fx
 from thalweg.functions import dates, numbers, text
-from thalweg.operators import evaluation, features, indicators, models, quality, risk, series, state
+from thalweg.operators import asof, daymaps, evaluation, features, indicators, models, quality, risk, series, state
 from thalweg.schema import MODELLING_FIXED, MODELLING_PATTERNS, STATION_SERIES, conform
 from thalweg.session import fresh_path
 from thalweg.sources import payloads, sinks, tables
@@ -139,6 +139,46 @@ def test_period_table_touches_only_the_months_of_a_batch(spark):
     assert store.merge(make([]), state.upsert_latest) == 0
 
 
+def test_readers_survive_a_merge(spark):
+    """A frame planned before a merge gives the table as it was; so do rows without a date, and a rule that empties a month."""
+    schema = spark.createDataFrame([], "location_name string, date date, level_m double").schema
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    store = state.PeriodTable(spark, fresh_path(spark, "kept"), schema)
+    store.merge(make([("a", at(0), 1.0), ("a", at(40), 2.0), ("b", None, 5.0)]), state.upsert_latest)
+    before = store.read()
+    store.merge(make([("a", at(0), 7.0), ("b", None, 6.0)]), state.upsert_latest)
+    assert sorted(map(str, before.collect())) == sorted(map(str, make([("a", at(0), 1.0), ("a", at(40), 2.0), ("b", None, 5.0)]).collect()))
+    assert sorted(map(str, store.read().collect())) == sorted(map(str, make([("a", at(0), 7.0), ("a", at(40), 2.0), ("b", None, 6.0)]).collect()))
+    store.merge(make([("a", at(40), 0.0)]), lambda old, new: old.limit(0))
+    assert rows_of(store.read(at(0), at(99))) == [("a", at(0), 7.0)]
+    with pytest.raises(ValueError, match="other periods"):
+        store.merge(make([("a", at(40), 0.0)]), lambda old, new: new.withColumn("date", F.date_add("date", 90)))
+    assert rows_of(store.read(at(0), at(99))) == [("a", at(0), 7.0)]
+
+
+def as_of_by_hand(points, rows, since, upto, newest):
+    out = {}
+    for place, day in points:
+        hits = [(d, v) for p, d, v in rows if p == place and v is not None and since <= (d - day).days <= upto]
+        out[place, day] = (max if newest else min)(hits, key=lambda x: x[0], default=None)
+    return out
+
+
+@pytest.mark.parametrize("since, upto, newest", [(-5, -1, True), (-5, -5, True), (-3, 4, True), (0, 3, True), (-5, -1, False), (-2, 6, False), (1, 1, False)])
+def test_as_of_looks(spark, since, upto, newest):
+    import random
+
+    r = random.Random(since * 7 + upto)
+    days = {p: sorted(r.sample(range(60), 25)) for p in "ab"}
+    rows = [(p, at(d), None if r.random() < 0.3 else float(d)) for p, ds in days.items() for d in ds]
+    points = [(p, at(d)) for p in "abc" for d in range(-3, 64, 2)]
+    df = spark.createDataFrame(rows, "location string, date date, v double")
+    asked = spark.createDataFrame(points + points, "location string, as_of date")
+    got = asof.look(asked, df, {"x": asof.Look(F.col("v"), since, upto, newest)}).collect()
+    assert {(g["location"], g["as_of"]): tuple(g["x"]) if g["x"] else None for g in got} == as_of_by_hand(points, rows, since, upto, newest)
+    assert len(got) == len(points)
+
+
 def test_series_check(spark):
     df = spark.createDataFrame([("a", at(0)), ("a", at(1))], "location string, date date")
     assert quality.require_unique(df) is df
@@ -359,6 +399,81 @@ def test_all_shifts_of_a_series_share_one_shuffle(spark):
     assert plan.count("Exchange") == 1 and plan.count("Window ") == 1
 
 
+def test_stored_series_need_no_shuffle(spark):
+    """Lags, fills, gaps, deduplication and joins by location over tables stored by location."""
+    df = spark.range(1000).selectExpr("cast(id % 7 as string) location", "date_add(date'2020-01-01', cast(id as int)) date", "cast(id % 5 as double) level__m")
+    kept, other = sinks.store_series(df, 4), sinks.store_series(df.withColumnRenamed("level__m", "b"), 4)
+    plans = [
+        series.station_lags(kept, features.STATION_LAGS),
+        series.fill_missing_levels(kept, "2020-01-01", "2022-12-31"),
+        series.gaps_between(kept, "2020-01-01", "2022-12-31"),
+        series.station_lags(series.dedup_keep_last(kept, recency=()), [1]),
+        quality.last_date_per_location(kept, "level__m", key="location"),
+        kept.hint("merge").join(other, "location").groupBy("location").agg(F.count("*")),
+    ]
+    for plan in plans:
+        assert "Exchange" not in plan_of(plan), plan_of(plan)
+    assert sorted(map(str, plans[0].collect())) == sorted(map(str, series.station_lags(df, features.STATION_LAGS).collect()))
+
+
+def test_quantiles_of_a_hot_group(spark):
+    """Equal to the engine's own, where one location holds most rows, with ties, one value, nulls and a huge range."""
+    import random
+
+    r = random.Random(8)
+    rows = [("hot", r.choice([0.1, 0.2, r.gauss(0, 1e6), r.gauss(0, 1e-6)])) for _ in range(3000)]
+    rows += [("few", 2.0), ("two", 1.0), ("two", 4.0), ("same", 3.0), ("same", 3.0), ("null", None), ("nan", float("nan"))] + [("mid", float(k % 13)) for k in range(101)]
+    df = spark.createDataFrame(rows, "location string, e double").cache()
+    shares = (0.0, 0.25, 0.5, 0.75, 0.99, 1.0)
+    known = df.filter("e IS NOT NULL AND NOT isnan(e)")
+    want = {x["location"]: x["q"] for x in known.groupBy("location").agg(F.percentile("e", F.array(*[F.lit(p) for p in shares])).alias("q")).collect()}
+    for bins in (1024, 3):
+        assert {x["location"]: x["q"] for x in evaluation.quantiles(df, "location", "e", shares, bins).collect()} == want
+    assert evaluation.quantiles(df.limit(0), "location", "e", shares).count() == 0
+
+
+def test_day_maps(spark):
+    """Copies, days outside and nulls change nothing; a century takes two bitmaps, a longer range is refused."""
+    rows = [("a", at(0)), ("a", at(0)), ("a", at(9)), ("a", at(40_000)), ("a", at(-1)), ("a", None), ("b", at(50_000))]
+    df = spark.createDataFrame(rows, "location string, date date")
+    for last in (9, 40_000):
+        got = {r["location"]: r for r in df.groupBy("location").agg(daymaps.day_map("date", at(0), at(last)).alias("m")).select("location", daymaps.count_days("m").alias("n"), daymaps.missing_days(F.col("m"), at(0), at(last)).alias("gone")).collect()}
+        held = {0, 9} | ({40_000} if last == 40_000 else set())
+        assert got["a"]["n"] == len(held) and got["b"]["n"] == 0
+        assert got["a"]["gone"] == [at(k) for k in range(last + 1) if k not in held] and len(got["b"]["gone"]) == last + 1
+    with pytest.raises(Exception, match="too long"):
+        df.agg(daymaps.day_map("date", at(0), at(70_000))).collect()
+    plan = plan_of(series.missing_dates(df, at(0), at(9)))
+    assert "collect_set" not in plan and "bitmap" in plan
+
+
+BROKEN = [
+    ("cut", '{"latitude": 1, "daily": {"start": 0', "no JSON"),
+    ("blank", "  ", "empty"),
+    ("null", None, "empty"),
+    ("error", '{"error": true, "reason": "limit"}', "no daily block"),
+    ("axis", '{"daily": {"start": 0, "end": 172800}}', "no time axis"),
+    ("still", '{"daily": {"start": 0, "end": 172800, "interval": 0}}', "no time axis"),
+    ("endless", '{"daily": {"start": 0, "end": 99999999999, "interval": 1}}', "time axis too long"),
+    ("uneven", '{"daily": {"start": 0, "end": 172800, "interval": 86400, "precipitation_sum": [1.0, 2.0, 3.0]}}', "more values than times"),
+    ("text", '["daily"]', "no daily block"),
+]
+
+
+def test_broken_answers_stop_no_other(spark):
+    good = '{"latitude": 1.5, "longitude": 2, "daily": {"start": 0, "end": 172800, "interval": 86400, "precipitation_sum": [1.5, null], "precipitation_hours": ["2", "x"]}}'
+    df = spark.createDataFrame([(n, t) for n, t, _ in BROKEN] + [("good", good)], "location_name string, payload string")
+    rows = payloads.weather_daily(df).orderBy("date").collect()
+    assert [(r["location_name"], r["forecast_longitude"], r["precipitation_sum"], r["precipitation_hours"], r["rain_sum"]) for r in rows] == [("good", 2.0, 1.5, 2.0, None), ("good", 2.0, None, None, None)]
+    assert {tuple(r) for r in payloads.rejected_weather(df).collect()} == {(n, why) for n, _, why in BROKEN}
+    charts = df.withColumnRenamed("location_name", "location")
+    assert payloads.gauge_chart(charts).count() == 0
+    assert {r["reason"] for r in payloads.rejected_charts(charts).collect()} == {"no JSON", "empty", "no readings"}
+    lists = spark.createDataFrame([(1, '{"x": [{"a": "1"}, {"b": 2}]}'), (2, '{"y": []}'), (3, "no"), (4, None)], "k int, payload string")
+    assert [tuple(r) for r in payloads.json_records(lists, "x", {"a": "number"}, ["k"]).collect()] == [(1, 1.0), (1, None)]
+    assert {tuple(r) for r in payloads.rejected_records(lists, "x", ["k"]).collect()} == {(2, "no list x"), (3, "no JSON"), (4, "empty")}
+
+
 def test_a_location_that_feeds_most_stations(spark):
     """Every station gets the rows of a shared location, and they come out of many tasks."""
     stations = [(f"S{i}", f"S{i}", "r", [f"S{i}"], ["shared"] if i % 3 else ["shared", f"W{i}"]) for i in range(30)]

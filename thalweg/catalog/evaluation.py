@@ -124,10 +124,9 @@ def error_describe(spark, sf):
     return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
-@query("predict_level", with_eval("SELECT location, date, lag01 + pred_y AS level_m FROM feats WHERE date = DATE '2001-06-30'"))
+@query("predict_level", with_eval("SELECT location, date, lag01 + pred_y AS level_m FROM feats"))
 def predict_level(spark, sf):
-    rows = feats(spark, sf).filter(F.col("date") == "2001-06-30")
-    scored = models.linear_predictor(NAMES, WEIGHTS, INTERCEPT)(rows)
+    scored = models.linear_predictor(NAMES, WEIGHTS, INTERCEPT)(feats(spark, sf))
     return evaluation.predict_level(scored).select("location", "date", "level_m")
 
 

@@ -10,7 +10,7 @@ from thalweg.catalog.series import lag_sql, rain_lag_sql
 from thalweg.catalog.tables import oracle
 from thalweg.operators import features, series
 
-UP, WX = [1, 3], [1, 0, -2]
+UP, WX = list(features.STATION_LAGS), list(features.WEATHER_LAGS)
 LEVEL_LAGS = lag_sql("level__m", UP)
 WX_NAMES = [series.shift_name(n, c) for n in WX for c in series.RAIN]
 PREFIX = "replace(lower(location), ' ', '_') || '__"
@@ -82,6 +82,7 @@ def matrix_sql(forecast_days: int, infer: bool = False) -> dict[str, str]:
         f"row_number() OVER (PARTITION BY station ORDER BY date DESC) AS back"
     )
     nulls = " OR ".join(f"{n} IS NULL" for n in UP_NAMES)
+    own = " AND ".join(f"{n} IS NOT NULL" for n in UP_NAMES)
     wx_nulls = " OR ".join(f"{n} IS NULL" for n in WX_NAMES)
     return {
         "up": UP_PARTS,
@@ -92,7 +93,7 @@ JOIN (SELECT station, date, count(*) AS n, count(*) FILTER (WHERE {wx_nulls}) AS
 WHERE u.n = 2 AND x.n = (SELECT count(*) FROM edges_wx e WHERE e.station = l.location)""",
         "aimed": f"SELECT *, {target} FROM whole",
         "kept": f"""SELECT a.*, target - lag01__level__m AS y FROM aimed a
-WHERE back > {forecast_days - 1} AND target IS NOT NULL AND lag01__level__m IS NOT NULL AND lag03__level__m IS NOT NULL
+WHERE back > {forecast_days - 1} AND target IS NOT NULL AND {own}
   AND NOT EXISTS (SELECT 1 FROM up WHERE up.station = a.station AND up.date = a.date AND ({nulls}))
   AND NOT EXISTS (SELECT 1 FROM wx WHERE wx.station = a.station AND wx.date = a.date AND ({wx_nulls}))""",
     }
@@ -102,7 +103,7 @@ ENCODED = """CAST(month(k.date) AS INTEGER) AS month, CAST(dayofyear(k.date) AS
   round(sin(2 * pi() * (month(k.date) - 1) / 12), 9) AS month_sin, round(cos(2 * pi() * (month(k.date) - 1) / 12), 9) AS month_cos,
   round(sin(2 * pi() * (dayofyear(k.date) - 1) / 365), 9) AS dayofyear_sin, round(cos(2 * pi() * (dayofyear(k.date) - 1) / 365), 9) AS dayofyear_cos"""
 
-N_FEATURES = "2 + 2 * 2 + 6 * (SELECT count(*) FROM edges_wx e WHERE e.station = k.station)"
+N_FEATURES = f"{3 * len(UP)} + {2 * len(WX)} * (SELECT count(*) FROM edges_wx e WHERE e.station = k.station)"
 
 
 def with_older(rows, value):
@@ -139,8 +140,7 @@ def feature_matrix(spark, sf):
 
 LONG = f"""SELECT k.station AS location, k.date, f.feature, f.value FROM kept k
 JOIN ({lengthen_sql(UP_NAMES, 'up')} UNION ALL {lengthen_sql(WX_NAMES, 'wx')}
-  UNION ALL SELECT location, date, 'lag01__level__m', lag01__level__m FROM l
-  UNION ALL SELECT location, date, 'lag03__level__m', lag03__level__m FROM l) f ON f.station = k.station AND f.date = k.date"""
+  UNION ALL {" UNION ALL ".join(f"SELECT location, date, '{n}', {n} FROM l" for n in UP_NAMES)}) f ON f.station = k.station AND f.date = k.date"""
 
 
 @query(

@@ -9,6 +9,7 @@ from thalweg.catalog.registry import query
 from thalweg.catalog.tables import oracle
 from thalweg.functions.dates import date_spine
 from thalweg.operators import series
+from thalweg.sources import sinks
 
 STATION_LAGS = [1, 3, 7, 14, 30]
 WEATHER_LAGS = [1, 3, 7, 14, 30, 0, -2, -6]
@@ -65,6 +66,13 @@ def weather_lags_leads_fleet(spark, sf):
     return series.weather_shifts(rain, [7, 1, 0, -2])
 
 
+@query("weather_lags_stored_series", oracle("fleet", f"SELECT location, date, {rain_lag_sql(WEATHER_LAGS)} FROM fleet {W}"))
+def weather_lags_stored_series(spark, sf):
+    """All lags of the fleet over a table stored by location: one shuffle to store it, none to shift it."""
+    rain = fx.fleet(spark, sf).withColumnRenamed("location_name", "location")
+    return series.weather_shifts(sinks.store_series(rain, 8), WEATHER_LAGS)
+
+
 @query(
     "ffill_bfill_levels",
     oracle(

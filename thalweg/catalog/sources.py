@@ -153,6 +153,32 @@ def weather_payload_daily_forecast(spark, sf):
     return payloads.weather_daily(daily_payloads(spark, sf, True), forecast=True)
 
 
+def landed_answers(spark, sf):
+    """The daily answers of all years, those of three years in five broken in one way each."""
+    rows = daily_payloads(spark, sf, False).withColumn("y", F.year(F.timestamp_seconds(F.get_json_object("payload", "$.daily.start").cast("long"))))
+    nth = F.col("y") % 5
+    broken = F.when(nth == 0, F.substring("payload", 1, 200)).when(nth == 1, F.lit('{"error": true}')).when(nth == 2, F.replace("payload", F.lit('"interval":86400'), F.lit('"interval":0')))
+    return rows.withColumn("payload", F.coalesce(broken, F.col("payload")))
+
+
+@query("weather_payload_kept", oracle("rain_daily", f"SELECT * FROM ({daily_sql(DAILY_MEASURES)}) WHERE year(date) % 5 > 2"))
+def weather_payload_kept(spark, sf):
+    """The rows of the answers that can be read, beside ones that can't."""
+    return payloads.weather_daily(landed_answers(spark, sf))
+
+
+@query(
+    "weather_payload_rejected",
+    oracle(
+        "rain_daily",
+        """SELECT DISTINCT location AS location_name, CAST(year(date) AS INTEGER) AS y, CASE year(date) % 5 WHEN 0 THEN 'no JSON' WHEN 1 THEN 'no daily block' ELSE 'no time axis' END AS reason
+FROM rain_daily WHERE year(date) % 5 < 3""",
+    ),
+)
+def weather_payload_rejected(spark, sf):
+    return payloads.rejected_weather(landed_answers(spark, sf), ("location_name", "y"))
+
+
 HOURS = """SELECT location, CAST(ts AS DATE) AS day, CAST(hour(ts) AS INTEGER) AS h, max(value) AS temperature_2m, min(value) AS precipitation_probability,
   CAST(count(*) AS DOUBLE) AS precipitation FROM readings GROUP BY ALL"""
 

@@ -1,18 +1,19 @@
 """Splitting, scoring and error metrics, by location.
 
-An evaluation covers one location's series, so exact percentiles see at most one value per day.
+Quantiles are found by counting in ever finer bins, so a location may have any number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thalweg.functions.dates import as_date
 from thalweg.functions.numbers import level_weight
 from thalweg.operators import series
+from thalweg.session import materialise
 
 LAG1 = series.shift_name(1, series.LEVEL)
 
@@ -109,12 +110,51 @@ def weighted_rmse(evaluated: DataFrame, stations: DataFrame) -> DataFrame:
 def error_describe(evaluated: DataFrame) -> DataFrame:
     """Count, mean, deviation, bounds and exact quartiles of the error."""
     rows = evaluated.select("location", error().alias("e"))
-    quartiles = F.percentile("e", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = rows.groupBy("location").agg(
-        F.count("e").alias("n"), F.avg("e").alias("mean"), F.stddev_samp("e").alias("std"), F.min("e").alias("lowest"),
-        quartiles.alias("q"), F.max("e").alias("highest"),
-    )
-    return out.select("location", "n", "mean", "std", "lowest", *[F.col("q")[i].alias(f"q{25 * (i + 1)}") for i in range(3)], "highest")
+    out = rows.groupBy("location").agg(F.count("e").alias("n"), F.avg("e").alias("mean"), F.stddev_samp("e").alias("std"), F.min("e").alias("lowest"), F.max("e").alias("highest"))
+    quartiles = quantiles(rows, "location", "e", (0.25, 0.5, 0.75))
+    joined = out.join(quartiles, "location", "left")
+    return joined.select("location", "n", "mean", "std", "lowest", *[F.get("q", F.lit(i)).alias(f"q{25 * (i + 1)}") for i in range(3)], "highest")
+
+
+def quantiles(rows: DataFrame, key: str, value: str, shares: Sequence[float], bins: int = 1024) -> DataFrame:
+    """(key, q): exact quantiles of each group, between two values in proportion, as ``percentile`` gives them.
+
+    A rank is looked for in an interval of values: these are counted in bins, on the map side, and the
+    bin that holds the rank is the next interval.  An interval is as wide as its least and greatest
+    value, so each round narrows it, and it is found when the two are one.  No task ever holds a
+    group's values.  NULLs and NaNs are left out; a group without any other value has no row.
+    """
+    data = rows.select(F.col(key).alias("k"), F.col(value).alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
+    place = lambda p: F.lit(float(p)) * (F.col("n") - 1)
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(place(p)), F.ceil(place(p))) for p in shares])))
+    bounds = data.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    state = bounds.select("k", "n", "lo", "hi", F.transform(ranks, lambda r: F.struct(r.alias("rank"), r.alias("left"))).alias("ranks"))
+    state, found = materialise(state, "ranks"), None
+    while True:
+        done = state.filter("lo = hi").select("k", "n", F.col("lo").alias("v"), F.explode("ranks.rank").alias("rank"))
+        found = done if found is None else found.unionByName(done)
+        still = state.filter("lo < hi")
+        if still.isEmpty():
+            break
+        # Intervals of a group are apart from each other: a value falls into one at most.
+        held = data.join(still, "k").filter(F.col("v").between(F.col("lo"), F.col("hi")))
+        at = F.least(F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * bins), F.lit(bins - 1)).alias("bin")
+        cells = held.groupBy("k", "lo", "hi", at).agg(F.count("*").alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+        before = F.sum("c").over(Window.partitionBy("k", "lo").orderBy("bin")) - F.col("c")
+        within = cells.withColumn("before", before).join(still, ["k", "lo", "hi"])
+        hits = F.filter("ranks", lambda r: (r["left"] >= F.col("before")) & (r["left"] < F.col("before") + F.col("c")))
+        next_ranks = F.transform(hits, lambda r: F.struct(r["rank"].alias("rank"), (r["left"] - F.col("before")).alias("left")))
+        narrowed = within.select("k", "n", F.col("least").alias("lo"), F.col("most").alias("hi"), next_ranks.alias("ranks"))
+        state = materialise(narrowed.filter(F.size("ranks") > 0), "ranks")
+    of = F.map_from_entries(F.collect_list(F.struct("rank", "v")))
+    known = found.groupBy("k", "n").agg(of.alias("of"))
+
+    def between(p):
+        low, high = F.floor(place(p)), F.ceil(place(p))
+        a, b = F.element_at("of", low), F.element_at("of", high)
+        return F.when(a == b, a).otherwise((high - place(p)) * a + (place(p) - low) * b)
+
+    return known.select(F.col("k").alias(key), F.array(*[between(p) for p in shares]).alias("q"))
 
 
 def score_report(evaluated: DataFrame, stations: DataFrame) -> DataFrame:

@@ -15,13 +15,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from thalweg.functions.dates import as_date, circular_encoding, day_range
-from thalweg.functions.numbers import pearson
+from thalweg.functions.dates import as_date, circular_encoding
 from thalweg.functions.text import normalise_name
 from thalweg.operators import series
+from thalweg.operators.daymaps import count_days, day_map, missing_days
 
 # The lags, in days, that models are trained on; zero and below look ahead.
 STATION_LAGS = (1, 3, 7, 14, 30)
@@ -93,19 +95,14 @@ def weather_sources(places: DataFrame) -> DataFrame:
     return places.filter(F.col("role") == WEATHER)
 
 
-SLOTS = 16
-
-
 def _at_sources(packed: DataFrame, places: DataFrame) -> DataFrame:
     """Shifted rows, once for every station their location feeds.
 
-    A location may feed a third of all stations, and its series comes out of one window task.  So
-    the days of a series are dealt to slots before the rows multiply, and the short list of sources
-    is repeated for each slot; whether Catalyst merges or broadcasts, the work is spread.
+    A location may feed a third of all stations, and its series comes out of one window task.  So the
+    days are spread before the rows multiply.  The mapping is small and Catalyst broadcasts it; beyond
+    its limit the join merges, and adaptive execution splits the hot location's rows.
     """
-    dealt = packed.withColumn("_slot", F.pmod(F.unix_date("date"), F.lit(SLOTS))).repartition("location", "_slot")
-    listed = places.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
-    return dealt.join(listed, ["location", "_slot"]).drop("_slot")
+    return packed.repartition("location", "date").join(places, "location")
 
 
 def level_rows(levels: DataFrame, places: DataFrame, lags: Sequence[int] = STATION_LAGS) -> DataFrame:
@@ -225,15 +222,20 @@ def training_matrix(
     station_lags: Sequence[int] = STATION_LAGS,
     weather_lags: Sequence[int] = WEATHER_LAGS,
     recency: Sequence[str] = (),
+    seen: Observation | None = None,
 ) -> DataFrame:
     """``feature_matrix`` for several horizons, marked with ``forecast_days``.
 
-    The sources are joined once; one window finds the targets of all horizons.
+    The sources are joined once; one window finds the targets of all horizons.  ``seen`` takes the
+    number of joined rows ("rows") and of those left out as incomplete ("dropped").
     """
     _require_lag1(station_lags)
     joined = joined_rows(mapping, levels, weather, station_lags, weather_lags, recency)
     aimed = series.target_differences(joined, horizons, key="station")
-    return with_dates(aimed.filter(complete_features() & F.col("y").isNotNull()))
+    whole = complete_features() & F.col("y").isNotNull()
+    if seen is not None:
+        aimed = aimed.observe(seen, F.count("*").alias("rows"), F.count_if(~whole).alias("dropped"))
+    return with_dates(aimed.filter(whole))
 
 
 def _require_lag1(station_lags: Sequence[int]) -> None:
@@ -297,20 +299,17 @@ def feature_vector(include_dates: bool = True) -> Column:
 def completeness(mapping: DataFrame, column: str, data: DataFrame, begin, end) -> DataFrame:
     """Per station and source location: days expected, found, and which are missing.
 
-    Days are counted as a set (bounded by the range), so duplicates cannot hide a gap.
+    Days are counted in a bitmap of fixed size, so duplicates cannot hide a gap.
     """
     begin, end = as_date(begin), as_date(end)
-    seen = data.filter(F.col("date").between(begin, end)).groupBy("location").agg(F.collect_set("date").alias("_seen"))
+    seen = data.filter(F.col("date").between(begin, end)).groupBy("location").agg(day_map("date", begin, end).alias("_seen"))
     wanted = edges(mapping, column).select("station", "location").distinct()
-    empty = F.array().cast("array<date>")
-    joined = wanted.join(seen, "location", "left").withColumn("_seen", F.coalesce("_seen", empty))
-    missing = F.array_sort(F.array_except(day_range(begin, end), F.col("_seen")))
-    counted = joined.select(
+    counted = wanted.join(seen, "location", "left").select(
         "station",
         "location",
         (F.datediff(end, begin) + 1).alias("expected"),
-        F.size("_seen").alias("found"),
-        missing.alias("missing_dates"),
+        count_days("_seen").cast("int").alias("found"),
+        missing_days(F.col("_seen"), begin, end).alias("missing_dates"),
     )
     return counted.withColumn("complete", F.col("found") >= F.col("expected"))
 
@@ -318,14 +317,23 @@ def completeness(mapping: DataFrame, column: str, data: DataFrame, begin, end) -
 def feature_target_corr(matrix: DataFrame, index: DataFrame) -> DataFrame:
     """(location, feature, corr) of every feature, date feature and the level with ``y``.
 
-    Rows are spread by position and reduced on the map side; names join the few results.
+    A row goes into its location's sums as it is: the variances of x, y, x + y and x - y for all
+    features at once give the correlation, and are combined on the map side.  A feature or target that
+    doesn't vary has no correlation.
     """
     extra = [*DATE_FEATURES, series.LEVEL]
-    values = F.concat("features", F.array(*[F.col(c).cast("double") for c in extra]))
-    tall = matrix.select("location", "y", F.posexplode(values).alias("pos", "value"))
-    corr = tall.groupBy("location", "pos").agg(pearson("y", "value").alias("corr"))
+    x = F.concat("features", F.array(*[F.col(c).cast("double") for c in extra]))
+    y = F.col("y").cast("double")
+    both = F.concat(x, F.transform(x, lambda v: v + y), F.transform(x, lambda v: v - y), F.array(y))
+    sums = matrix.groupBy("location").agg(Summarizer.variance(array_to_vector(both)).alias("v"))
+    n = ((F.size("v") - 1) / 3).cast("int")
+    var = sums.select("location", vector_to_array("v").alias("v")).withColumn("n", n)
+    at = lambda k, i: F.get("v", k * F.col("n") + i)
+    spread = F.col("x") * F.get("v", 3 * F.col("n"))
+    corr = F.when(spread > 0, (F.col("plus") - F.col("minus")) / (4 * F.sqrt(spread))).alias("corr")
     names = index.select("location", F.concat("names", F.array(*[F.lit(c) for c in extra])).alias("names"))
-    return corr.join(names, "location").select("location", F.col("names")[F.col("pos")].alias("feature"), "corr")
+    each = F.transform("names", lambda f, i: F.struct(f.alias("feature"), at(0, i).alias("x"), at(1, i).alias("plus"), at(2, i).alias("minus")))
+    return var.join(names, "location").select("location", "v", "n", F.inline(each)).select("location", "feature", corr)
 
 
 def corr_table(corr: DataFrame, locations: Sequence[str]) -> DataFrame:

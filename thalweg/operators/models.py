@@ -1,9 +1,9 @@
-"""Regressors for level differences.
+"""Regressors for level differences; each kind fits all stations and horizons in one job.
 
-``RandomForestRegressor_001`` and ``XGBoost_001`` fit one tree ensemble of ``pyspark.ml`` per station
-and horizon.  ``Prophet_001`` is an additive model, flat in trend, with yearly seasonality and all
-features as linear regressors; it fits all stations and horizons in one job, by summing each
-group's cross products on the map side and solving one small system per group.
+``RandomForestRegressor_001`` and ``XGBoost_001`` are ensembles of trees (``operators.trees``), a row
+per tree.  ``Prophet_001`` is an additive model, flat in trend, with yearly seasonality and all
+features as linear regressors: each group's cross products are summed on the map side and one small
+system is solved per group.  A fitted model of any kind is a table.
 """
 
 from __future__ import annotations
@@ -13,12 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thalweg.functions.dates import fourier_terms
+from thalweg.operators import trees as tree_tables
 from thalweg.operators.evaluation import linear_score
 from thalweg.operators.features import feature_vector
 
@@ -26,50 +25,36 @@ KEYS = ("location", "forecast_days")
 COEFFICIENTS = "location string, forecast_days int, rows long, intercept double, weights array<double>"
 
 
-def with_vector(rows: DataFrame) -> DataFrame:
-    """Features and date features as one ML vector."""
-    return rows.withColumn("x", array_to_vector(feature_vector()))
-
-
 # --- tree ensembles
 
 
-def fit_forest(train: DataFrame, trees: int = 100, depth: int = 30, min_leaf: int = 5, seed: int = 0) -> RandomForestRegressionModel:
-    """A random forest in which every split may use every feature."""
-    forest = RandomForestRegressor(
-        featuresCol="x", labelCol="y", predictionCol="pred", numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
-        featureSubsetStrategy="all", seed=seed, maxMemoryInMB=512,
-    )
-    return forest.fit(with_vector(train).select("x", "y"))
+def fit_forest(train: DataFrame, trees: int = 100, depth: int = 30, min_leaf: int = 5, seed: int = 0) -> DataFrame:
+    """A random forest per station and horizon, as a table of trees."""
+    return tree_tables.fit(train, feature_vector(), tree_tables.forest, seed, trees=trees, depth=depth, min_leaf=min_leaf)
 
 
-def forest_predict(model: RandomForestRegressionModel, rows: DataFrame) -> DataFrame:
+def forest_predict(trees: DataFrame, rows: DataFrame) -> DataFrame:
     """``y`` and ``y_var``, the mean squared distance of the single trees from it."""
-    scored = with_vector(rows.drop("y"))
-    names = []
-    for i, tree in enumerate(model.trees):
-        names.append(f"_t{i}")
-        scored = tree.copy().setPredictionCol(names[-1]).setFeaturesCol("x").transform(scored)
-    votes = F.array(*names)
-    scored = scored.withColumn("_votes", votes).drop(*names)
-    mean = F.aggregate("_votes", F.lit(0.0), lambda a, v: a + v) / len(names)
-    scored = scored.withColumn("y", mean)
-    var = F.aggregate("_votes", F.lit(0.0), lambda a, v: a + (v - F.col("y")) * (v - F.col("y"))) / len(names)
-    return scored.withColumn("y_var", var).drop("_votes", "x")
+    return tree_tables.predict(trees, rows, feature_vector(), mean=True)
+
+
+def fit_boosted(train: DataFrame, rounds: int = 1000, depth: int = 7, step: float = 0.1, rows: float = 0.7, columns: float = 0.8, seed: int = 0) -> DataFrame:
+    """Boosted trees per station and horizon, on samples of rows and columns, as a table of trees."""
+    return tree_tables.fit(train, feature_vector(), tree_tables.boosted, seed, rounds=rounds, depth=depth, step=step, rows=rows, columns=columns)
+
+
+def boosted_predict(trees: DataFrame, rows: DataFrame) -> DataFrame:
+    return tree_tables.predict(trees, rows, feature_vector(), mean=False)
 
 
-def fit_boosted(train: DataFrame, rounds: int = 1000, depth: int = 7, step: float = 0.1, rows: float = 0.7, columns: float = 0.8, seed: int = 0) -> GBTRegressionModel:
-    """Boosted trees on samples of rows and columns."""
-    boosted = GBTRegressor(
-        featuresCol="x", labelCol="y", predictionCol="pred", maxIter=rounds, maxDepth=depth, stepSize=step,
-        subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed, maxMemoryInMB=512,
-    )
-    return boosted.fit(with_vector(train).select("x", "y"))
+def save_trees(trees: DataFrame, path: str) -> None:
+    """One folder per station, so that a station's trees can be read alone."""
+    trees.write.mode("overwrite").partitionBy("location").parquet(path)
 
 
-def boosted_predict(model: GBTRegressionModel, rows: DataFrame) -> DataFrame:
-    scored = model.transform(with_vector(rows.drop("y")))
-    return scored.withColumnRenamed("pred", "y").drop("x")
+def load_trees(spark: SparkSession, path: str) -> DataFrame:
+    names = [f.split()[0] for f in tree_tables.TREES.split(", ")]
+    return spark.read.schema(tree_tables.TREES).parquet(path).select(*names)
 
 
 # --- additive model
@@ -146,24 +131,19 @@ def load_additive(spark: SparkSession, path: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class ModelKind:
-    """How one kind of model is fitted, applied, stored and read back."""
+    """How one kind of model is fitted, applied, stored and read back; models are tables by (location, forecast_days)."""
 
-    fit: Callable
-    predict: Callable
-    save: Callable
-    load: Callable
-    per_station: bool
-
-
-def _save_ml(model, path: str) -> None:
-    model.write().overwrite().save(path)
+    fit: Callable[..., DataFrame]
+    predict: Callable[[DataFrame, DataFrame], DataFrame]
+    save: Callable[[DataFrame, str], None]
+    load: Callable[[SparkSession, str], DataFrame]
 
 
 # The names model files and stored predictions carry.
 REGISTRY: dict[str, ModelKind] = {
-    "RandomForestRegressor_001": ModelKind(fit_forest, forest_predict, _save_ml, lambda spark, path: RandomForestRegressionModel.load(path), True),
-    "XGBoost_001": ModelKind(fit_boosted, boosted_predict, _save_ml, lambda spark, path: GBTRegressionModel.load(path), True),
-    "Prophet_001": ModelKind(fit_additive, additive_predict, save_additive, load_additive, False),
+    "RandomForestRegressor_001": ModelKind(fit_forest, forest_predict, save_trees, load_trees),
+    "XGBoost_001": ModelKind(fit_boosted, boosted_predict, save_trees, load_trees),
+    "Prophet_001": ModelKind(fit_additive, additive_predict, save_additive, load_additive),
 }
 
 
@@ -173,29 +153,13 @@ def model_kind(name: str) -> ModelKind:
     return REGISTRY[name]
 
 
-def model_path(root: str, station: str, forecast_days: int, kind: str) -> str:
-    return f"{root.rstrip('/')}/station={station}/horizon={forecast_days}/type={kind}"
-
-
-def station_predictor(kind: str, models: dict[tuple[str, int], object]) -> Callable[[DataFrame], DataFrame]:
-    """A predictor over rows of several stations and horizons from one model for each."""
-    entry = model_kind(kind)
-
-    def predict(rows: DataFrame) -> DataFrame:
-        out = None
-        for (station, horizon), model in models.items():
-            mine = rows.filter((F.col("location") == station) & (F.col("forecast_days") == horizon))
-            part = entry.predict(model, mine)
-            out = part if out is None else out.unionByName(part)
-        if out is None:
-            raise ValueError(f"no {kind} model given")
-        return out
-
-    return predict
+def model_path(root: str, kind: str) -> str:
+    return f"{root.rstrip('/')}/type={kind}"
 
 
-def additive_predictor(coefficients: DataFrame, order: int = 10) -> Callable[[DataFrame], DataFrame]:
-    return lambda rows: additive_predict(coefficients, rows, order)
+def predictor(kind: str, fitted: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A predictor over rows of any number of stations and horizons."""
+    return lambda rows: model_kind(kind).predict(fitted, rows)
 
 
 def linear_predictor(names: Sequence[str], coefficients: dict[str, float], intercept: float = 0.0) -> Callable[[DataFrame], DataFrame]:

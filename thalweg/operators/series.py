@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thalweg.functions.dates import as_date, day_range
+from thalweg.operators.daymaps import day_map, missing_days
 
 LEVEL = "level__m"
 RAIN = ("precipitation_sum", "precipitation_hours")
@@ -180,29 +181,22 @@ def fill_missing_weather(df: DataFrame, begin, end, locations: DataFrame | None
 def missing_dates(df: DataFrame, begin, end, key: str = "location", date: str = "date", value: str | None = None, locations: DataFrame | None = None) -> DataFrame:
     """(location, date) for every day in the range without a row (without a value, given ``value``).
 
-    Each location's days are collected as a set: it combines on the map side and is bounded by the
-    days of the range, so no spine is joined and hot locations cost no more than others.
+    Each location's days are a bitmap: it merges on the map side and has a fixed size, so no spine is
+    joined and hot locations cost no more than others.
     """
     begin, end = as_date(begin), as_date(end)
-    counted = F.col(date).between(begin, end)
-    if value:
-        counted = counted & F.col(value).isNotNull()
-    empty = F.array().cast("array<date>")
-    if locations is None:
-        # One pass: a location whose rows all lie outside the range is still asked about.
-        days = df.groupBy(key).agg(F.collect_set(F.when(counted, F.col(date))).alias("_seen"))
-    else:
-        seen = df.filter(counted).groupBy(key).agg(F.collect_set(date).alias("_seen"))
-        days = locations.select(key).distinct().join(seen, key, "left")
-    gaps = F.array_except(day_range(begin, end), F.coalesce("_seen", empty))
-    return days.select(key, F.explode(gaps).alias(date))
+    day = F.when(F.col(value).isNotNull(), F.col(date)) if value else F.col(date)
+    # One pass: a location whose rows all lie outside the range is still asked about.
+    days = df.groupBy(key).agg(day_map(day, begin, end).alias("_seen"))
+    if locations is not None:
+        days = locations.select(key).distinct().join(days, key, "left")
+    return days.select(key, F.explode(missing_days(F.col("_seen"), begin, end)).alias(date))
 
 
 def missing_dates_overall(df: DataFrame, begin, end, date: str = "date") -> DataFrame:
     """Days of the range on which no location at all has a row."""
-    begin, end = as_date(begin), as_date(end)
-    days = df.filter(F.col(date).between(begin, end)).agg(F.collect_set(date).alias("_seen"))
-    return days.select(F.explode(F.array_except(day_range(begin, end), F.col("_seen"))).alias(date))
+    days = df.agg(day_map(date, begin, end).alias("_seen"))
+    return days.select(F.explode(missing_days(F.col("_seen"), begin, end)).alias(date))
 
 
 def gap_islands(missing: DataFrame, key: str = "location", date: str = "date") -> DataFrame:

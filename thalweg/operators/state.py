@@ -2,8 +2,8 @@
 
 Plain files know no MERGE, so the operators below return the table as it is after the change.  Two
 ways to store that: ``SnapshotTable`` writes a small table whole, under a new version, and points to
-it; ``PeriodTable`` keeps a large one by month or year and rewrites the periods a batch touches.  Neither
-overwrites files a plan is reading.
+it; ``PeriodTable`` keeps a large one by day, month or year and rewrites the periods a batch touches.
+Neither overwrites files a plan is reading.
 
 All of them are aggregates or joins on the full key.  A third of all rows in one location is spread
 over its days; many copies of one key are combined before the shuffle.
@@ -11,7 +11,11 @@ over its days; many copies of one key are combined before the shuffle.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+import uuid
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -20,7 +24,6 @@ from pyspark.sql import types as T
 
 from thalweg.functions.dates import as_date
 from thalweg.operators.series import dedup_keep_last
-from thalweg.session import materialise
 
 WEATHER_KEY = ("location_name", "date")
 PREDICTION_KEY = ("location_name", "date", "ml_model_name")
@@ -133,15 +136,15 @@ class SnapshotTable:
                 raise
             return self.spark.createDataFrame([], "version long")
 
-    def read(self) -> DataFrame:
-        current = self.version()
+    def read(self, version: int | None = None) -> DataFrame:
+        current = self.version() if version is None else version
         if current == 0:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/v{current:012d}")
 
-    def commit(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Write ``df`` as the next version and make it current."""
-        following = self.version() + 1
+    def commit(self, df: DataFrame, partition_by: Sequence[str] = (), after: int | None = None) -> int:
+        """Write ``df`` as the next version and make it current; ``after`` is the current one, where it is known."""
+        following = (self.version() if after is None else after) + 1
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -150,49 +153,89 @@ class SnapshotTable:
         return following
 
 
+class Folders(NamedTuple):
+    """The folder of each period, and the version of that map."""
+
+    version: int
+    named: dict
+
+
 class PeriodTable:
-    """A table kept in one folder per month (or year) of its date column.
+    """A table kept in one folder per month (or day, year) of its date column.
 
     A batch is merged with the periods it touches and with nothing else, so its cost follows the
-    batch and not the history.  The merged periods are written aside first, then replace their
-    folders; merging the same batch again, after a failure, gives the same table.
+    batch and not the history.  The merged periods are written once, to folders of their own; a small
+    map of (period, folder) then names the current ones.  Files are never overwritten or removed: a
+    reader planned before a merge still gets the table as it was, and a merge that fails before the
+    map changes has done nothing.  Merging the same batch again gives the same table.  One writer at
+    a time.  Rows without a date are a period of their own.
     """
 
     def __init__(self, spark, path: str, schema, date: str = "date", unit: str = "month"):
-        self.spark, self.path, self.schema, self.date = spark, path.rstrip("/"), schema, date
-        self.unit = unit
+        self.spark, self.path, self.schema, self.date, self.unit = spark, path.rstrip("/"), schema, date, unit
+        self.map = SnapshotTable(spark, f"{self.path}/map", T.StructType.fromDDL("period date, folder string"))
 
-    def _stored(self) -> DataFrame:
-        full = T.StructType([*self.schema.fields, T.StructField("period", T.DateType())])
-        try:
-            return self.spark.read.schema(full).parquet(self.path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], full)
+    def _period(self, day):
+        return F.date_trunc(self.unit, day).cast("date")
+
+    def _opened(self, folders: Sequence[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in folders])
 
     def read(self, begin=None, end=None) -> DataFrame:
         """The table, or its rows of some days; periods outside are not opened."""
-        rows = self._stored()
+        current = self.map.read()
         if begin is not None:
-            rows = rows.filter((F.col("period") >= F.trunc(as_date(begin), self.unit)) & (F.col(self.date).cast("date") >= as_date(begin)))
+            current = current.filter(F.col("period") >= self._period(as_date(begin)))
         if end is not None:
-            rows = rows.filter((F.col("period") <= as_date(end)) & (F.col(self.date).cast("date") <= as_date(end)))
-        return rows.drop("period")
+            current = current.filter(F.col("period") <= as_date(end))
+        rows = self._opened(sorted(r["folder"] for r in current.collect()))  # periods, not rows
+        day = F.col(self.date).cast("date")
+        if begin is not None:
+            rows = rows.filter(day >= as_date(begin))
+        return rows if end is None else rows.filter(day <= as_date(end))
+
+    def periods(self, rows: DataFrame) -> list:
+        """The periods of some rows, None for those without a date."""
+        return [r[0] for r in rows.select(self._period(self.date)).distinct().collect()]
+
+    def folders(self) -> Folders:
+        """The map as it is now; a step that reads and replaces looks it up once."""
+        version = self.map.version()
+        return Folders(version, {r["period"]: r["folder"] for r in self.map.read(version).collect()})
+
+    def read_periods(self, periods: Sequence, current: Folders | None = None) -> DataFrame:
+        named = (current or self.folders()).named
+        return self._opened(sorted(named[p] for p in periods if p in named))
+
+    def replace(self, periods: Sequence, rows: DataFrame, current: Folders | None = None) -> Folders:
+        """Make ``rows``, which belong to ``periods``, all that these periods hold; returns the new map."""
+        version, named = current or self.folders()
+        data = f"data/{uuid.uuid4().hex}"
+        name = F.coalesce(self._period(self.date).cast("string"), F.lit("none"))
+        # Rows of a period go to as many tasks as their size asks for: adaptive execution splits and joins them.
+        spread = rows.select(*self.schema.names, name.alias("_period")).hint("rebalance", "_period")
+        spread.write.partitionBy("_period").parquet(f"{self.path}/{data}")
+        held = self.spark.read.schema(self.schema).parquet(f"{self.path}/{data}").inputFiles()
+        found = {m[1] for f in held if (m := re.search(r"/_period=([^/]+)/", f))}
+        day = lambda p: None if p == "none" else dt.date.fromisoformat(p)
+        strange = {day(p) for p in found} - set(periods)
+        if strange:
+            raise ValueError(f"rows of other periods: {sorted(map(str, strange))}")
+        now = {p: f for p, f in named.items() if p not in set(periods)} | {day(p): f"{data}/_period={p}" for p in found}
+        self.map.commit(self.spark.createDataFrame(list(now.items()), self.map.schema).coalesce(1), after=version)
+        return Folders(version + 1, now)
 
     def merge(self, new: DataFrame, rule: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
         """Replace the periods of ``new`` by ``rule(their old rows, new)``.
 
         The rule must keep rows in their period, as all rules here do: the date is part of the key.
+        ``new`` is read twice, for its periods and for its rows; store it first where it is costly.
         Returns the number of periods written.
         """
-        batch = materialise(new, "batch")
-        touched = [r[0] for r in batch.select(F.trunc(self.date, self.unit)).distinct().collect()]  # periods, not rows
-        if not touched:
-            return 0
-        old = self._stored().filter(F.col("period").isin(touched)).drop("period")
-        merged = materialise(rule(old, batch).select(*self.schema.names), "merged")
-        # Rows of a period go to as many tasks as their size asks for: adaptive execution splits and joins them.
-        spread = merged.withColumn("period", F.trunc(self.date, self.unit)).hint("rebalance", "period")
-        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(self.path)
+        touched = self.periods(new)
+        if touched:
+            current = self.folders()
+            self.replace(touched, rule(self.read_periods(touched, current), new), current)
         return len(touched)

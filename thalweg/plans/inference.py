@@ -1,20 +1,22 @@
 """Predicting levels in bulk: any number of stations, days, horizons and models in one plan.
 
-Each (station, reference day) looks at a window of days around it.  The windows are laid out as
-(location, day, offset) cells and joined with the series on (location, date), so the work is
-proportional to the number of predictions and the series are shuffled once.
+Each (station, reference day) looks at a window of days around it.  The requests are put among the
+rows of the series and values are carried to them with their day (``operators.asof``), so a series is
+shuffled once and no row is laid out for the single days of a window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thalweg.functions.dates import as_date
+from thalweg.functions.numbers import nan_to_null
 from thalweg.functions.text import model_name
 from thalweg.operators import evaluation, features, quality, series
+from thalweg.operators.asof import Look, look
 from thalweg.operators.features import STATION_LAGS, WEATHER_LAGS
 from thalweg.operators.series import LEVEL, RAIN
 
@@ -63,58 +65,59 @@ def inference_weather(
     return series.fill_missing_weather(both, begin, end)
 
 
-def _cells(pairs: DataFrame, first: int, last: int) -> DataFrame:
-    """(location, as_of, date) for every day as_of+first .. as_of+last."""
-    return pairs.select(
-        "location", "as_of", F.explode(F.sequence(F.date_add("as_of", first), F.date_add("as_of", last))).alias("date")
-    )
-
-
-def _carried(cells: Column, field: str, position: int, leading: Column) -> Column:
-    """The last value at or before a position of a short array of cells, or ``leading``."""
-    known = F.filter(F.slice(cells, 1, position + 1), lambda c: c[field].isNotNull())
-    return F.coalesce(F.try_element_at(known, F.lit(-1))[field], leading)
-
-
 def _level_parts(pairs: DataFrame, levels: DataFrame, lags: Sequence[int]) -> DataFrame:
-    """(location, as_of, lag01__level__m, values): the filled window's values at the lags.
-
-    A window has max(lag) cells, so a group's array is as short as the longest lag.
-    """
+    """(location, as_of, lag01__level__m, values): the levels at the lags, filled within the window
+    of the longest one: the last level before, else the first of the window."""
     span = max(lags)
-    cells = _cells(pairs, -span, -1).join(levels.select("location", "date", LEVEL), ["location", "date"], "left")
-    grouped = cells.groupBy("location", "as_of").agg(F.sort_array(F.collect_list(F.struct("date", LEVEL))).alias("c"))
-    first = F.try_element_at(F.filter("c", lambda x: x[LEVEL].isNotNull()), F.lit(1))[LEVEL]
-    at = lambda n: _carried(F.col("c"), LEVEL, span - n, first)
-    return grouped.select("location", "as_of", at(1).alias(features.LAG1), F.array(*[at(n) for n in lags]).alias("values"))
+    looks = {f"_l{n}": Look(F.col(LEVEL), -span, -n) for n in {1, *lags}}
+    looks["_first"] = Look(F.col(LEVEL), -span, -1, newest=False)
+    found = look(pairs, levels.select("location", "date", LEVEL), looks)
+    level = lambda n: F.coalesce(F.col(f"_l{n}.value"), F.col("_first.value"))
+    return found.select("location", "as_of", level(1).alias(features.LAG1), F.array(*[level(n) for n in lags]).alias("values"))
 
 
 def _weather_parts(pairs: DataFrame, history: DataFrame, forecast: DataFrame, lags: Sequence[int], today) -> DataFrame:
     """(location, as_of, values): the shifted precipitation.
 
-    History serves the days up to yesterday, the forecast those from the reference day.  A location
-    without a single row in one of the two, where it is needed, gives NULLs.
+    History serves the days up to yesterday, the forecast those from the reference day; on a day both
+    serve, the forecast's row wins.  A location without a single row in one of the two, where it is
+    needed, gives NULLs.
     """
     top, low = max(lags), min(lags)
     now = F.col("as_of") if today is None else as_date(today)
     ahead = F.date_sub("as_of", low) >= now
+    if today is not None:
+        # Requests that reach today take history up to yesterday, and others end before today anyway.
+        history = history.filter(F.col("date") < now)
     past = history.select("location", "date", F.struct(*[F.coalesce(c, F.lit(0.0)).alias(c) for c in RAIN]).alias("_h"))
     coming = forecast.select("location", "date", F.struct(*RAIN).alias("_f"))
-    cells = _cells(pairs, -top, -low).join(past, ["location", "date"], "left").join(coming, ["location", "date"], "left")
-    cells = cells.withColumns(
-        {
-            "_h": F.when(~ahead | (F.col("date") < now), F.col("_h")),
-            "_f": F.when(ahead & (F.col("date") >= F.col("as_of")), F.col("_f")),
-        }
-    ).withColumn("_v", F.coalesce("_f", "_h"))
-    grouped = cells.groupBy("location", "as_of").agg(
-        F.sort_array(F.collect_list(F.struct("date", *[F.col(f"_v.{c}").alias(c) for c in RAIN]))).alias("c"),
-        F.count("_h").alias("past"),
-        F.count("_f").alias("coming"),
-    )
-    served = ((F.col("past") > 0) | (F.date_sub("as_of", top) >= now)) & ((F.col("coming") > 0) | ~ahead)
-    values = [F.when(served, _carried(F.col("c"), c, top - n, F.lit(0.0))) for n in lags for c in RAIN]
-    return grouped.select("location", "as_of", F.array(*values).alias("values"))
+    rows = past.unionByName(coming, allowMissingColumns=True)
+    # The last day of history that a look may reach: without a run day that is the one before the request.
+    upto = lambda n: -n if today is not None else min(-n, -1)
+    h, bare = F.col("_h"), F.when(~F.col("_forecast_too"), F.col("_h"))
+    looks = {f"_h{i}": Look(h, -top, upto(n)) for i, n in enumerate(lags)}
+    looks |= {"_before": Look(h, -top, -1), "_past": Look(h, -top, upto(low)), "_coming": Look(F.col("_f"), 0, -low)}
+    for i, n in enumerate(lags):
+        if n <= 0:
+            looks |= {f"_f{i}_{c}": Look(F.col("_f")[c], 0, -n) for c in RAIN}
+            looks[f"_b{i}"] = Look(bare, 0, -n)
+    found = look(pairs, rows, looks, same_day={"_forecast_too": F.max(F.col("_f").isNotNull())})
+
+    def value(i, n, c):
+        history_only = F.coalesce(F.col(f"_h{i}.value.{c}"), F.lit(0.0))
+        if n > 0:
+            return history_only
+        f, b = F.col(f"_f{i}_{c}"), F.col(f"_b{i}")
+        merged = F.when(b["day"].isNull() | (f["day"] > b["day"]), f["value"])
+        if today is None:
+            merged = f["value"]
+        else:
+            merged = F.coalesce(merged, b["value"][c])
+        return F.when(ahead, F.coalesce(merged, F.col(f"_before.value.{c}"), F.lit(0.0))).otherwise(history_only)
+
+    served = (F.col("_past").isNotNull() | (F.date_sub("as_of", top) >= now)) & (F.col("_coming").isNotNull() | ~ahead)
+    values = [F.when(served, value(i, n, c)) for i, n in enumerate(lags) for c in RAIN]
+    return found.select("location", "as_of", F.array(*values).alias("values"))
 
 
 def inference_features(
@@ -165,12 +168,14 @@ def infer_batch(
     weather_lags: Sequence[int] = WEATHER_LAGS,
     today=None,
     between=None,
+    keep_missing: bool = False,
 ) -> DataFrame:
     """Predictions for a grid of (station, as_of, forecast_days, model_type).
 
     Features depend on station and day only, so they are computed once for all horizons and models.
     A predictor takes feature rows with ``forecast_days`` and adds ``y``, the predicted difference.
-    Grid rows whose inputs are incomplete give no prediction: ``failed_items`` lists them.
+    Grid rows whose inputs are incomplete, or whose level is no number, give no prediction:
+    ``failed_items`` lists them.  ``keep_missing`` keeps the latter, with a NULL level.
     """
     rows = inference_features(mapping, grid, levels, history, forecast, station_lags, weather_lags, today, between)
     items = grid.withColumnsRenamed({"station": "location", "as_of": "date"})
@@ -178,7 +183,8 @@ def infer_batch(
     for kind, predict in predictors.items():
         mine = items.filter(F.col("model_type") == kind).select("location", "date", "forecast_days")
         scored = evaluation.predict_level(predict(rows.join(mine, ["location", "date"])))
-        part = scored.filter(F.col("level_m").isNotNull()).select(
+        scored = scored.withColumn("level_m", nan_to_null("level_m"))
+        part = (scored if keep_missing else scored.filter(F.col("level_m").isNotNull())).select(
             F.col("location").alias("location_name"),
             "date",
             model_name(F.lit(PREPROCESSOR), F.col("forecast_days"), F.lit(kind), F.col("location")).alias("ml_model_name"),
@@ -191,6 +197,21 @@ def infer_batch(
     return out
 
 
+def window_days(mapping: DataFrame, levels: DataFrame, history: DataFrame, forecast: DataFrame, as_of, station_lags: Sequence[int] = STATION_LAGS, weather_lags: Sequence[int] = WEATHER_LAGS) -> DataFrame:
+    """(station, location, source, expected, found): days each source has in the windows of a reference day.
+
+    Missing days are filled as long as there is one: ``found = 0`` is what stops a prediction.
+    """
+    day = as_date(as_of)
+    spans = (
+        ("level", "upstream_stations", levels, F.date_sub(day, max(station_lags)), F.date_sub(day, 1)),
+        ("history", "weather_locations", history, F.date_sub(day, max(weather_lags)), F.date_sub(day, max(1, min(weather_lags)))),
+        ("forecast", "weather_locations", forecast, day, F.date_sub(day, min(*weather_lags, 0))),
+    )
+    parts = [features.completeness(mapping, *span).select("station", "location", F.lit(source).alias("source"), "expected", "found") for source, *span in spans]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def failed_items(grid: DataFrame, predictions: DataFrame) -> DataFrame:
     """Grid rows without a prediction."""
     name = model_name(F.lit(PREPROCESSOR), F.col("forecast_days"), F.col("model_type"), F.col("station"))

@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from thalweg.functions.dates import as_date
-from thalweg.operators import features, quality, risk, series, state
+from thalweg.operators import evaluation, features, quality, risk, series, state
 from thalweg.plans import inference
+from thalweg.schema import PREDICTED_LEVEL, STATION_SERIES, WEATHER_SERIES, conform
 from thalweg.session import materialise
 
+#: Days after which the newest prediction is too old for an alert.
+ALERT_AGE = 2
+
 
 def backfill_levels(levels: DataFrame, id_map: DataFrame, source: DataFrame, begin, end) -> tuple[DataFrame, DataFrame]:
     """Fill missing days of the level table from a second source.
@@ -90,10 +97,8 @@ def catchup_predictions(
     return risk.classify(made.withColumn("risk_level", F.lit(None).cast("string")), thresholds)
 
 
-def daily_pipeline(
-    store: state.SnapshotTable,
+def predict_day(
     mapping: DataFrame,
-    thresholds: DataFrame,
     levels: DataFrame,
     history: DataFrame,
     forecast: DataFrame,
@@ -102,33 +107,113 @@ def daily_pipeline(
     as_of,
     station_lags: Sequence[int] = inference.STATION_LAGS,
     weather_lags: Sequence[int] = inference.WEATHER_LAGS,
+) -> DataFrame:
+    """Predictions of all stations of a mapping for one day, or an error: ValueError where a source has no
+    row at all in its window, RuntimeError where nothing came out or a level is missing."""
+    day = as_date(as_of)
+    windows = inference.window_days(mapping, levels, history, forecast, day, station_lags, weather_lags)
+    empty = windows.filter("found = 0").orderBy("station", "source", "location").limit(1).collect()
+    if empty:
+        row = empty[0]
+        raise ValueError(f"station {row['station']}: no {row['source']} data of {row['location']} around {as_of}")
+    grid = inference.inference_grid(mapping.select("station"), horizons, list(predictors)).withColumn("as_of", day)
+    made = inference.infer_batch(mapping, grid, levels, history, forecast, predictors, station_lags, weather_lags, None, (as_of, as_of), keep_missing=True)
+    return evaluation.require_predictions(quality.require_unique(materialise(made, "predictions"), state.PREDICTION_KEY))
+
+
+class DailyTables(NamedTuple):
+    """What the daily job reads and keeps; each by month, so a run costs its days and not the history."""
+
+    levels: state.PeriodTable  # location, date, level__m
+    history: state.PeriodTable  # location, date, precipitation_sum, precipitation_hours
+    forecast: state.PeriodTable
+    predictions: state.PeriodTable  # as PREDICTED_LEVEL
+
+
+def daily_tables(spark, root: str) -> DailyTables:
+    kept = {"levels": STATION_SERIES, "history": WEATHER_SERIES, "forecast": WEATHER_SERIES, "predictions": PREDICTED_LEVEL}
+    return DailyTables(*[state.PeriodTable(spark, f"{root}/{name}", schema) for name, schema in kept.items()])
+
+
+def _ingest(tables: DailyTables, landed: Mapping[str, DataFrame]) -> list[tuple]:
+    """Merge what has landed; a source that is absent or can't be read leaves its table as it was."""
+    key = ("location", "date")
+    rules = {
+        "history": lambda old, new: state.upsert_latest(old, new, key),
+        "forecast": lambda old, new: state.upsert_latest(old, new, key),
+        "levels": lambda old, new: state.insert_if_absent(old, new, key, distinct_batch=True),
+    }
+    lines = []
+    for name, rule in rules.items():
+        if name not in landed:
+            lines.append(("ingest", name, "absent", 0))
+            continue
+        table, seen = getattr(tables, name), Observation(f"landed-{name}")
+        keyed = F.col("location").isNotNull() & F.col("date").isNotNull()
+        try:
+            rows = conform(landed[name], table.schema, strict=False, check_nulls=False).select(*table.schema.names)
+            # Counted while the batch is written: no pass of its own.
+            rows = rows.observe(seen, F.count("*").alias("n"), F.count_if(~keyed).alias("dropped"))
+            table.merge(materialise(rows.filter(keyed), f"landed-{name}"), rule)
+            counts = seen.get
+            lines.append(("ingest", name, "ok", counts["n"] - counts["dropped"]))
+            if counts["dropped"]:
+                lines.append(("ingest", name, "dropped", counts["dropped"]))
+        except (PySparkException, ValueError):
+            lines.append(("ingest", name, "failed", 0))
+    return lines
+
+
+def daily_pipeline(
+    tables: DailyTables,
+    landed: Mapping[str, DataFrame],
+    mapping: DataFrame,
+    thresholds: DataFrame,
+    predictors: Mapping[str, inference.Predictor],
+    horizons: Sequence[int],
+    as_of,
+    station_lags: Sequence[int] = inference.STATION_LAGS,
+    weather_lags: Sequence[int] = inference.WEATHER_LAGS,
     ahead: int = 5,
+    alert: str = "full",
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Check the forecast, predict, store, assess, and select the alerts.
+    """Ingest, check the forecast, predict, assess and store, and select the alerts.
 
+    ``landed`` holds the day's rows for "levels", "history" and "forecast", as far as they came.
     Returns a status frame (phase, item, outcome, n) and the alerts.  A station whose inputs are
     incomplete is reported as failed and does not stop the others.  Without a fresh forecast nothing
-    is predicted and there are no alerts.
+    is predicted and there are no alerts.  New predictions are classified on their way into the
+    table, so every row is written once, and only the months of the run are opened.
     """
-    spark = mapping.sparkSession
+    spark, day = mapping.sparkSession, as_date(as_of)
     status = "phase string, item string, outcome string, n long"
-    day = as_date(as_of)
-    gate = forecast.agg(F.max("date").alias("last")).select((F.col("last") >= F.date_add(day, ahead)).alias("fresh")).first()
+    lines = _ingest(tables, landed)
+    forecast = tables.forecast.read(begin=day)
+    gate = forecast.agg((F.max("date") >= F.date_add(day, ahead)).alias("fresh")).first()
     if not gate["fresh"]:
-        return spark.createDataFrame([("forecast", "all", "stale", 0)], status), None
+        return spark.createDataFrame([*lines, ("forecast", "all", "stale", 0)], status), None
+    levels = tables.levels.read(F.date_sub(day, max(station_lags)), day)
+    history = tables.history.read(F.date_sub(day, max(weather_lags)), day)
     stations = mapping.select("station").withColumn("as_of", day)
     grid = inference.inference_grid(stations, horizons, list(predictors)).withColumn("as_of", day)
-    made = materialise(
-        inference.infer_batch(mapping, grid, levels, history, forecast, predictors, station_lags, weather_lags, None, (as_of, as_of)), "predictions"
-    )
-    store.commit(state.upsert_predictions(store.read(), made, as_of))
-    store.commit(risk.classify(store.read(), thresholds))
-    alerts = risk.flood_alerts(store.read(), as_of)
+    seen = Observation("predictions")
+    made = inference.infer_batch(mapping, grid, levels, history, forecast, predictors, station_lags, weather_lags, None, (as_of, as_of))
+    made = quality.require_unique(materialise(made.observe(seen, F.count("*").alias("n")), "predictions"), state.PREDICTION_KEY)
+    if seen.get["n"] == 0:
+        lines.append(("predict", "all", "nothing", 0))
+    tables.predictions.merge(made, lambda old, new: risk.classify(state.upsert_predictions(old, new, as_of), thresholds))
+    alerts = risk.flood_alerts(tables.predictions.read(F.date_sub(day, ALERT_AGE)), as_of, ALERT_AGE, alert)
     failed = inference.failed_items(grid, made).groupBy("location_name").agg(F.count("*").alias("n"))
     done = made.groupBy("location_name").agg(F.count("*").alias("n"))
-    line = lambda df, phase, outcome: df.select(
-        F.lit(phase).alias("phase"), F.col("location_name").alias("item"), F.lit(outcome).alias("outcome"), "n"
-    )
-    bands = store.read().filter(F.col("date") == day).groupBy(F.col("risk_level").alias("location_name")).agg(F.count("*").alias("n"))
-    report = line(done, "predict", "ok").unionByName(line(failed, "predict", "failed")).unionByName(line(bands, "risk", "assessed"))
-    return report, alerts
+    bands = tables.predictions.read(day, day).groupBy("risk_level").agg(F.count("*").alias("n"))
+    windows = inference.window_days(mapping, levels, history, forecast, day, station_lags, weather_lags)
+    line = lambda df, phase, item, outcome: df.select(F.lit(phase).alias("phase"), F.col(item).alias("item"), F.lit(outcome).alias("outcome"), "n")
+    parts = [
+        spark.createDataFrame(lines, status),
+        line(windows.groupBy("station").agg(F.sum(F.col("expected") - F.col("found")).alias("n")).filter("n > 0"), "inputs", "station", "days missing"),
+        line(windows.filter("found = 0").groupBy("location").agg(F.countDistinct("station").alias("n")), "inputs", "location", "no rows"),
+        line(done, "predict", "location_name", "ok"),
+        line(failed, "predict", "location_name", "failed"),
+        line(bands, "risk", "risk_level", "assessed"),
+    ]
+    return reduce(DataFrame.unionByName, parts), alerts

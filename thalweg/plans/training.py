@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from thalweg.functions.dates import as_date
@@ -30,9 +27,6 @@ class ForecastConfig:
     split_date: str = "2023-10-01"
     model_type: str = "XGBoost_001"
     fit_options: dict = field(default_factory=dict)
-    parallel_fits: int = 4
-    #: Tasks of a single fit.  A station has one row a day, and a fit is hundreds of passes over them.
-    fit_partitions: int = 2
 
     @property
     def buffer(self) -> int:
@@ -57,76 +51,77 @@ def input_sizes(levels: DataFrame, weather: DataFrame, config: ForecastConfig) -
     return size(levels, "levels", max(config.station_lags)).unionByName(size(weather, "weather", max(config.weather_lags)))
 
 
-def require_sizes(levels: DataFrame, weather: DataFrame, config: ForecastConfig) -> None:
-    short = input_sizes(levels, weather, config).filter(~F.col("enough")).collect()
+def station_sizes(mapping: DataFrame, levels: DataFrame, weather: DataFrame, config: ForecastConfig) -> DataFrame:
+    """Per station and input: the rows of all its sources together against the least a lag needs.
+
+    Series are counted by location first, so a source that feeds many stations is counted once.
+    """
+
+    def size(column, frame, name, least):
+        counts = frame.groupBy("location").agg(F.count("*").alias("rows"))
+        wanted = features.edges(mapping, column).select("station", "location").distinct()
+        total = wanted.join(counts, "location", "left").groupBy("station").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+        return total.select("station", F.lit(name).alias("input"), "rows", F.lit(least).alias("needed"), (F.col("rows") >= least).alias("enough"))
+
+    first = size("upstream_stations", levels, "levels", max(config.station_lags))
+    return first.unionByName(size("weather_locations", weather, "weather", max(config.weather_lags)))
+
+
+def require_sizes(mapping: DataFrame, levels: DataFrame, weather: DataFrame, config: ForecastConfig) -> None:
+    """Raise where a station has less than its longest lag needs.  Brings back one line, not the table."""
+    short = station_sizes(mapping, levels, weather, config).filter(~F.col("enough")).orderBy("station", "input").limit(1).collect()
     if short:
-        raise ValueError("; ".join(f"{r['input']}: {r['rows']} rows, at least {r['needed']} needed" for r in short))
+        r = short[0]
+        raise ValueError(f"station {r['station']}: {r['rows']} rows of {r['input']}, at least {r['needed']} needed")
 
 
-def training_matrix(mapping: DataFrame, levels: DataFrame, weather: DataFrame, config: ForecastConfig) -> DataFrame:
+def training_matrix(mapping: DataFrame, levels: DataFrame, weather: DataFrame, config: ForecastConfig, seen: Observation | None = None) -> DataFrame:
     """Feature rows of all stations for every horizon, marked with ``forecast_days``."""
-    return features.training_matrix(mapping, levels, weather, config.horizons, config.station_lags, config.weather_lags)
+    return features.training_matrix(mapping, levels, weather, config.horizons, config.station_lags, config.weather_lags, seen=seen)
 
 
-def stored_matrix(mapping: DataFrame, levels: DataFrame, weather: DataFrame, config: ForecastConfig) -> DataFrame:
-    """The training matrix, written once; for single fits by station and horizon, so each opens its own rows only."""
-    by = ("location", "forecast_days") if models.model_kind(config.model_type).per_station else ()
-    return materialise(training_matrix(mapping, levels, weather, config), "matrix", by)
+def stored_matrix(mapping: DataFrame, levels: DataFrame, weather: DataFrame, config: ForecastConfig, seen: Observation | None = None) -> DataFrame:
+    """The training matrix, written once; ``seen`` counts its rows and those dropped as it is written."""
+    return materialise(training_matrix(mapping, levels, weather, config, seen), "matrix")
 
 
 def analyze_features(matrix: DataFrame, index: DataFrame) -> dict[str, DataFrame]:
     """Days no station has a row for, and the correlation of every feature with the target."""
-    days = matrix.agg(F.array_sort(F.collect_set("date")).alias("d"))
-    span = F.sequence(F.element_at("d", 1), F.element_at("d", -1))
-    gaps = days.filter(F.size("d") > 0).select(F.explode(F.array_except(span, F.col("d"))).alias("date"))
+    # The bounds come first, as the days of a map count from one of them: two days, not the table.
+    first, last = matrix.agg(F.min("date"), F.max("date")).first()
+    gaps = series.missing_dates_overall(matrix, first, last) if first else matrix.select("date").limit(0)
     return {"missing_dates": gaps, "corr": features.feature_target_corr(matrix, index)}
 
 
 @dataclass
 class TrainedModels:
-    """Models of a run with a predictor over their stations, and their scores."""
+    """Models of a run with a predictor over their stations, and their scores.
+
+    ``counts`` tells how many joined rows the run had ("rows"), and how many were left out as
+    incomplete ("dropped").
+    """
 
     kind: str
-    models: object
+    models: DataFrame
     scores: DataFrame
+    counts: dict = field(default_factory=dict)
 
     @property
     def predictor(self):
-        if models.model_kind(self.kind).per_station:
-            return models.station_predictor(self.kind, self.models)
-        return models.additive_predictor(self.models)
+        return models.predictor(self.kind, self.models)
 
     def save(self, root: str) -> None:
-        entry = models.model_kind(self.kind)
-        if entry.per_station:
-            for (station, horizon), model in self.models.items():
-                entry.save(model, models.model_path(root, station, horizon, self.kind))
-        else:
-            entry.save(self.models, models.model_path(root, "all", 0, self.kind))
-
-
-def load_models(spark, root: str, kind: str, keys: Sequence[tuple[str, int]] = ()):
-    """Stored models as ``TrainedModels`` holds them; ``keys`` are (station, horizon) pairs."""
-    entry = models.model_kind(kind)
-    if entry.per_station:
-        return {k: entry.load(spark, models.model_path(root, k[0], k[1], kind)) for k in keys}
-    return entry.load(spark, models.model_path(root, "all", 0, kind))
+        models.model_kind(self.kind).save(self.models, models.model_path(root, self.kind))
 
 
-def fit_models(train: DataFrame, config: ForecastConfig, stations: Sequence[str]):
-    """One model for all, or one per station and horizon, a few of them fitted at a time."""
-    entry = models.model_kind(config.model_type)
-    if not entry.per_station:
-        fitted = entry.fit(train, **config.fit_options)
-        return materialise(fitted, "coefficients")
-    keys = [(s, h) for s in stations for h in config.horizons]
+def load_models(spark, root: str, kind: str) -> DataFrame:
+    """Stored models as ``TrainedModels`` holds them."""
+    return models.model_kind(kind).load(spark, models.model_path(root, kind))
 
-    def one(key):
-        mine = train.filter((F.col("location") == key[0]) & (F.col("forecast_days") == key[1]))
-        return entry.fit(mine.coalesce(config.fit_partitions), **config.fit_options)
 
-    with ThreadPool(min(config.parallel_fits, len(keys))) as pool:
-        return dict(zip(keys, pool.map(inheritable_thread_target(train.sparkSession)(one), keys), strict=True))
+def fit_models(train: DataFrame, config: ForecastConfig) -> DataFrame:
+    """The models of all stations and horizons, stored: a fit is read more than once and not repeated."""
+    return materialise(models.model_kind(config.model_type).fit(train, **config.fit_options), "models")
 
 
 def build_models(
@@ -134,25 +129,23 @@ def build_models(
 ) -> TrainedModels:
     """Features, split, fit and scores for all stations and horizons.
 
-    The matrix is written once and read by fit and scoring.  Tree ensembles are fitted one by one,
-    each as a distributed job, for the stations of the mapping that have training rows; the additive
-    model fits all at once.  A station without rows for one of its sources is an error.
+    The matrix is written once and read by fit and scoring; all stations and horizons that have
+    training rows are fitted in one job.  A station without rows for one of its sources, or with fewer
+    than its longest lag needs, is an error.
     """
     features.require_sources(mapping, levels, weather)
-    matrix = stored_matrix(mapping, levels, weather, config)
+    require_sizes(mapping, levels, weather, config)
+    seen = Observation("matrix")
+    matrix = stored_matrix(mapping, levels, weather, config, seen)
     late = as_date(config.split_date)
     train = matrix.filter(F.col("date") < late)
     if train.isEmpty():
         raise ValueError("no station has complete feature rows before the split date")
-    known, have = matrix, []
-    if models.model_kind(config.model_type).per_station:
-        have = sorted(r[0] for r in train.select("location").distinct().collect())  # one model each: a list
-        known = matrix.filter(F.col("location").isin(have))
-    fitted = fit_models(train, config, have)
-    out = TrainedModels(config.model_type, fitted, matrix)
+    fitted = fit_models(train, config)
+    out = TrainedModels(config.model_type, fitted, matrix, seen.get)
     parts, tests = [], []
     for h in config.horizons:
-        _, test = evaluation.time_split(known.filter(F.col("forecast_days") == h), config.split_date, config.buffer)
+        _, test = evaluation.time_split(matrix.filter(F.col("forecast_days") == h), config.split_date, config.buffer)
         tests.append(test)
         scored = out.predictor(test.withColumnRenamed("y", "test_y")).withColumnsRenamed({"y": "pred_y", "test_y": "y"})
         parts.append(evaluation.score_report(evaluation.eval_frame(scored), thresholds).withColumn("forecast_days", F.lit(h)))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thalweg.functions.text import normalise_name
+from thalweg.session import fresh_path
 
 
 def save_csv_dated(df: DataFrame, base: str, day: dt.date | str) -> str:
@@ -54,3 +55,16 @@ def stage_config(spark, config, root: str) -> str:
 def read_artifact(spark, root: str, stage: str, schema=None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(f"{root.rstrip('/')}/{stage}")
+
+
+def store_series(df: DataFrame, buckets: int, key: str = "location", date: str = "date") -> DataFrame:
+    """Write series bucketed by location and sorted by day, and read them back.
+
+    Whatever is done by location on such a table (lags, fills, gaps, joins of two with as many
+    buckets) needs no shuffle.  A bucket is one file; as many as tasks that later work side by side.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, "series")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key, date).option("path", path).saveAsTable(name)
+    return spark.table(name)

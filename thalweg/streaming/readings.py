@@ -1,15 +1,15 @@
 """The incremental steps as Structured Streaming jobs.
 
-A micro-batch writes its own folder ``batch=N`` and overwrites it when it is run again, so a
-restarted query leaves every row once.  The checkpoint lies inside the output folder: batch numbers
-mean something only together with it.  No state and no watermark: a reading counts however late it comes.
+Tables that streams keep are ``PeriodTable``s by day: a micro-batch merges its rows into the days it
+touches, and running it again changes nothing, so a restarted query leaves every row once.  The
+checkpoint lies inside the output folder: batch numbers mean something only together with it.  No
+state and no watermark: a reading counts however late it comes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from thalweg.operators.risk import risk_band
 from thalweg.operators.series import dedup_keep_last
+from thalweg.operators.state import Folders, PeriodTable
+from thalweg.session import materialise
 
 
 def read_landing(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -27,53 +29,46 @@ def read_landing(spark: SparkSession, folder: str, schema: T.StructType, files_p
     return reader.parquet(folder)
 
 
-def _batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches written so far; empty before the first."""
-    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
-
-
 def _start(writer, path: str) -> StreamingQuery:
     """Work through what has landed, then stop."""
     return writer.option("checkpointLocation", f"{path}/_checkpoint").trigger(availableNow=True).start()
 
 
-#: The folder of a reading's day inside its batch.
-ON_DAY = T.StructField("on_day", T.DateType())
+def readings_table(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts") -> PeriodTable:
+    """The ingested readings: one folder a day, whatever the number of batches."""
+    return PeriodTable(spark, path, schema, date=ts, unit="day")
 
 
-def ingest_readings(stream: DataFrame, path: str, keys: Sequence[str] = ("location", "ts"), ts: str = "ts") -> StreamingQuery:
-    """Append readings that are not in the table yet, however old they are.
+def _land(table: PeriodTable, batch: DataFrame, days: list, keys: Sequence[str], ts: str) -> Folders:
+    """Add the readings of a batch, of ``days``, that the table does not have yet.
 
-    The table is kept by day.  Where the time stamp is part of the key, a batch reads only the days
-    it holds, else the whole table.  Of a batch's rows with one key the latest stays, ties going to
-    the greatest rest.  Nulls in a key are equal to each other.
+    Of a batch's rows with one key the latest stays, ties going to the greatest rest.  Nulls in a key
+    are equal to each other.  Where the time stamp is part of the key only the batch's days are read,
+    else the keys of the whole table.
     """
+    current = table.folders()
+    new = dedup_keep_last(batch, keys, [c for c in (ts,) if c not in keys])
+    known = table.read_periods(days if ts in keys else list(current.named), current)
+    known = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+    fresh = materialise(new.join(known, same, "left_anti").select(*table.schema.names), "fresh")
+    changed = table.periods(fresh)
+    return table.replace(changed, table.read_periods(changed, current).unionByName(fresh), current) if changed else current
+
+
+def ingest_readings(stream: DataFrame, path: str, keys: Sequence[str] = ("location", "ts"), ts: str = "ts") -> StreamingQuery:
+    """Append readings that are not in the table yet, however old they are."""
     schema = stream.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, day = batch.sparkSession, F.to_date(ts)
-        known = _batches(spark, path, T.StructType([*schema.fields, ON_DAY])).filter(F.col("batch") != batch_id)
-        if ts in keys:
-            days = [r[0] for r in batch.select(day).distinct().collect()]  # as many as calendar days at most
-            dated = F.col(ON_DAY.name).isin([d for d in days if d is not None])
-            known = known.filter(dated | F.col(ON_DAY.name).isNull() if None in days else dated)
-        known = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-        same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
-        new = dedup_keep_last(batch, keys, [c for c in (ts,) if c not in keys]).join(known, same, "left_anti")
-        by_day = new.select(*schema.names, day.alias(ON_DAY.name)).hint("rebalance", ON_DAY.name)
-        by_day.write.mode("overwrite").partitionBy(ON_DAY.name).parquet(f"{path}/batch={batch_id}")
+        table = readings_table(batch.sparkSession, path, schema, ts)
+        _land(table, batch, table.periods(batch), keys, ts)
 
     return _start(stream.writeStream.foreachBatch(write), path)
 
 
-def read_ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _batches(spark, path, T.StructType([*schema.fields, ON_DAY])).drop("batch", ON_DAY.name)
+def read_ingested(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts") -> DataFrame:
+    return readings_table(spark, path, schema, ts).read()
 
 
 def stream_alerts(stream: DataFrame, stations: DataFrame, path: str, band: str = "full") -> StreamingQuery:
@@ -97,25 +92,32 @@ ROLLUP = T.StructType(
 
 def daily_rollup(readings: DataFrame, ts: str = "ts", value: str = "value") -> DataFrame:
     """Count, sum and maximum per location and day; the same text for batch and stream."""
-    day = F.window(ts, "1 day").alias("w")
-    grouped = readings.groupBy("location", day).agg(F.count("*").alias("n"), F.sum(value).alias("total"), F.max(value).alias("highest"))
-    return grouped.select("location", F.col("w.start").cast("date").alias("date"), "n", "total", "highest")
+    day = F.to_date(ts).alias("date")
+    return readings.groupBy("location", day).agg(F.count("*").alias("n"), F.sum(value).alias("total"), F.max(value).alias("highest"))
+
 
+def rollup_table(spark: SparkSession, path: str) -> PeriodTable:
+    return PeriodTable(spark, f"{path}/rollup", ROLLUP, unit="day")
 
-def stream_daily_rollup(stream: DataFrame, path: str, ts: str = "ts", value: str = "value") -> StreamingQuery:
-    """Maintain the daily rollup: every batch writes its own part of the days it holds.
 
-    Count, sum and maximum can be put together from parts, so a late reading needs neither state
-    nor another look at the readings of its day.
+def stream_daily_rollup(stream: DataFrame, path: str, keys: Sequence[str] = ("location", "ts"), ts: str = "ts", value: str = "value") -> StreamingQuery:
+    """Ingest readings and keep their daily rollup beside them.
+
+    The days of a batch are rolled up anew from the deduplicated table, so a reading that lands twice
+    counts once, and a late one changes its day.  All days of a batch are done, also where none of its
+    readings was new: a batch that broke off between table and rollup is made good when it runs again.
     """
+    schema = stream.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        daily_rollup(batch, ts, value).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        table, rolled = readings_table(batch.sparkSession, f"{path}/readings", schema, ts), rollup_table(batch.sparkSession, path)
+        days = table.periods(batch)
+        if days:
+            current = _land(table, batch, days, keys, ts)
+            rolled.replace(days, daily_rollup(table.read_periods(days, current), ts, value))
 
     return _start(stream.writeStream.foreachBatch(write), path)
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """The parts of all batches put together."""
-    parts = _batches(spark, path, ROLLUP)
-    return parts.groupBy("location", "date").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("highest").alias("highest"))
+    return rollup_table(spark, path).read()
