@@ -136,15 +136,15 @@ class SnapshotTable:
                 raise
             return self.spark.createDataFrame([], "version long")
 
-    def read(self, version: int | None = None) -> DataFrame:
-        current = self.version() if version is None else version
+    def read(self) -> DataFrame:
+        current = self.version()
         if current == 0:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/v{current:012d}")
 
-    def commit(self, df: DataFrame, partition_by: Sequence[str] = (), after: int | None = None) -> int:
-        """Write ``df`` as the next version and make it current; ``after`` is the current one, where it is known."""
-        following = (self.version() if after is None else after) + 1
+    def commit(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
+        """Write ``df`` as the next version and make it current."""
+        following = self.version() + 1
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -171,9 +171,10 @@ class PeriodTable:
     a time.  Rows without a date are a period of their own.
     """
 
+    MAP = "period date, folder string"
+
     def __init__(self, spark, path: str, schema, date: str = "date", unit: str = "month"):
         self.spark, self.path, self.schema, self.date, self.unit = spark, path.rstrip("/"), schema, date, unit
-        self.map = SnapshotTable(spark, f"{self.path}/map", T.StructType.fromDDL("period date, folder string"))
 
     def _period(self, day):
         return F.date_trunc(self.unit, day).cast("date")
@@ -185,12 +186,12 @@ class PeriodTable:
 
     def read(self, begin=None, end=None) -> DataFrame:
         """The table, or its rows of some days; periods outside are not opened."""
-        current = self.map.read()
-        if begin is not None:
-            current = current.filter(F.col("period") >= self._period(as_date(begin)))
-        if end is not None:
-            current = current.filter(F.col("period") <= as_date(end))
-        rows = self._opened(sorted(r["folder"] for r in current.collect()))  # periods, not rows
+        named = self.folders().named
+        if begin is not None or end is not None:
+            low, high = (self._period(as_date(day)) if day is not None else F.lit(None).cast("date") for day in (begin, end))
+            low, high = self.spark.range(1).select(low, high).first()
+            named = {p: f for p, f in named.items() if p is not None and (low is None or p >= low) and (high is None or p <= high)}
+        rows = self._opened(sorted(named.values()))
         day = F.col(self.date).cast("date")
         if begin is not None:
             rows = rows.filter(day >= as_date(begin))
@@ -202,15 +203,27 @@ class PeriodTable:
 
     def folders(self) -> Folders:
         """The map as it is now; a step that reads and replaces looks it up once."""
-        version = self.map.version()
-        return Folders(version, {r["period"]: r["folder"] for r in self.map.read(version).collect()})
+        try:
+            files = self.spark.read.schema(self.MAP).parquet(f"{self.path}/map").inputFiles()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            files = []
+        version = max((int(m[1]) for f in files if (m := re.search(r"/version=([0-9]+)/", f))), default=0)
+        if not version:
+            return Folders(0, {})
+        return Folders(version, {r["period"]: r["folder"] for r in self.spark.read.schema(self.MAP).parquet(f"{self.path}/map/version={version}").collect()})
 
     def read_periods(self, periods: Sequence, current: Folders | None = None) -> DataFrame:
         named = (current or self.folders()).named
         return self._opened(sorted(named[p] for p in periods if p in named))
 
-    def replace(self, periods: Sequence, rows: DataFrame, current: Folders | None = None) -> Folders:
-        """Make ``rows``, which belong to ``periods``, all that these periods hold; returns the new map."""
+    def replace(self, periods: Sequence | None, rows: DataFrame, current: Folders | None = None) -> Folders:
+        """Make ``rows`` all that their periods hold; returns the new map.
+
+        ``periods`` are those that the rows may belong to: one without a row is emptied.  With None
+        the periods of the rows are replaced, whichever they are.
+        """
         version, named = current or self.folders()
         data = f"data/{uuid.uuid4().hex}"
         name = F.coalesce(self._period(self.date).cast("string"), F.lit("none"))
@@ -220,11 +233,13 @@ class PeriodTable:
         held = self.spark.read.schema(self.schema).parquet(f"{self.path}/{data}").inputFiles()
         found = {m[1] for f in held if (m := re.search(r"/_period=([^/]+)/", f))}
         day = lambda p: None if p == "none" else dt.date.fromisoformat(p)
-        strange = {day(p) for p in found} - set(periods)
+        periods = {day(p) for p in found} if periods is None else set(periods)
+        strange = {day(p) for p in found} - periods
         if strange:
             raise ValueError(f"rows of other periods: {sorted(map(str, strange))}")
-        now = {p: f for p, f in named.items() if p not in set(periods)} | {day(p): f"{data}/_period={p}" for p in found}
-        self.map.commit(self.spark.createDataFrame(list(now.items()), self.map.schema).coalesce(1), after=version)
+        now = {p: f for p, f in named.items() if p not in periods} | {day(p): f"{data}/_period={p}" for p in found}
+        # A whole map each time, under the next number: the greatest is the current one.
+        self.spark.createDataFrame(list(now.items()), self.MAP).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/map/version={version + 1}")
         return Folders(version + 1, now)
 
     def merge(self, new: DataFrame, rule: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
@@ -234,8 +249,11 @@ class PeriodTable:
         ``new`` is read twice, for its periods and for its rows; store it first where it is costly.
         Returns the number of periods written.
         """
+        current = self.folders()
+        if not current.named:
+            # Nothing is stored yet, so no old rows have to be found first.
+            return len(self.replace(None, rule(self._opened([]), new), current).named)
         touched = self.periods(new)
         if touched:
-            current = self.folders()
             self.replace(touched, rule(self.read_periods(touched, current), new), current)
         return len(touched)

@@ -58,15 +58,15 @@ def rejected_weather(payloads: DataFrame, keys: Sequence[str] = ("location_name"
 
 def _unfold(payloads: DataFrame, keys: Sequence[str], block: str, measures: Sequence[str], column: str) -> DataFrame:
     """Parallel arrays over a time axis start..end, end left out, as rows; answers that can't be read give none."""
-    good = _answers(payloads, keys, block, measures, column).filter("reason IS NULL")
-    axis = F.sequence("_start", F.col("_end") - 1, F.col("_interval"))
+    # Not a filter: pushed below, it would read each answer again for every part of its reason.
+    axis = F.when(F.col("reason").isNull(), F.sequence("_start", F.col("_end") - 1, F.col("_interval")))
     # A measure the answer lacks is NULL throughout.
     values = [F.coalesce(F.col(m), F.array().cast("array<double>")).alias(m) for m in measures]
-    rows = good.select(
+    rows = _answers(payloads, keys, block, measures, column).select(
         *keys,
         F.col("latitude").alias("forecast_latitude"),
         F.col("longitude").alias("forecast_longitude"),
-        F.inline(F.arrays_zip(axis.alias("at"), *values)),
+        F.inline(F.when(axis.isNotNull(), F.arrays_zip(axis.alias("at"), *values))),
     )
     stamped = rows.withColumn("ts", F.timestamp_seconds("at"))
     return stamped.select(*keys, "ts", "forecast_latitude", "forecast_longitude", *[nan_to_null(F.col(m)).alias(m) for m in measures])

@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from thalweg.operators.risk import risk_band
 from thalweg.operators.series import dedup_keep_last
 from thalweg.operators.state import Folders, PeriodTable
-from thalweg.session import materialise
 
 
 def read_landing(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -39,30 +38,32 @@ def readings_table(spark: SparkSession, path: str, schema: T.StructType, ts: str
     return PeriodTable(spark, path, schema, date=ts, unit="day")
 
 
-def _land(table: PeriodTable, batch: DataFrame, days: list, keys: Sequence[str], ts: str) -> Folders:
-    """Add the readings of a batch, of ``days``, that the table does not have yet.
+def _land(table: PeriodTable, batch: DataFrame, keys: Sequence[str], ts: str, current: Folders | None) -> tuple[list, Folders]:
+    """Add the readings of a batch that the table does not have yet; returns the batch's days and the new map.
 
     Of a batch's rows with one key the latest stays, ties going to the greatest rest.  Nulls in a key
-    are equal to each other.  Where the time stamp is part of the key only the batch's days are read,
-    else the keys of the whole table.
+    are equal to each other.  The days of the batch are written anew.  Where the time stamp is part of
+    the key only they are read, else the keys of the whole table too.
     """
-    current = table.folders()
+    current = current or table.folders()
+    days = table.periods(batch)
+    if not days:
+        return days, current
+    old = table.read_periods(days, current)
     new = dedup_keep_last(batch, keys, [c for c in (ts,) if c not in keys])
-    known = table.read_periods(days if ts in keys else list(current.named), current)
-    known = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    known = (old if ts in keys else table.read_periods(list(current.named), current)).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
-    fresh = materialise(new.join(known, same, "left_anti").select(*table.schema.names), "fresh")
-    changed = table.periods(fresh)
-    return table.replace(changed, table.read_periods(changed, current).unionByName(fresh), current) if changed else current
+    fresh = new.join(known, same, "left_anti").select(*table.schema.names)
+    return days, table.replace(days, old.unionByName(fresh), current)
 
 
 def ingest_readings(stream: DataFrame, path: str, keys: Sequence[str] = ("location", "ts"), ts: str = "ts") -> StreamingQuery:
     """Append readings that are not in the table yet, however old they are."""
-    schema = stream.schema
+    schema, held = stream.schema, [None]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = readings_table(batch.sparkSession, path, schema, ts)
-        _land(table, batch, table.periods(batch), keys, ts)
+        # The stream is the table's writer, so the map it left is the current one.
+        _, held[0] = _land(readings_table(batch.sparkSession, path, schema, ts), batch, keys, ts, held[0])
 
     return _start(stream.writeStream.foreachBatch(write), path)
 
@@ -107,14 +108,13 @@ def stream_daily_rollup(stream: DataFrame, path: str, keys: Sequence[str] = ("lo
     counts once, and a late one changes its day.  All days of a batch are done, also where none of its
     readings was new: a batch that broke off between table and rollup is made good when it runs again.
     """
-    schema = stream.schema
+    schema, held = stream.schema, [None, None]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table, rolled = readings_table(batch.sparkSession, f"{path}/readings", schema, ts), rollup_table(batch.sparkSession, path)
-        days = table.periods(batch)
+        days, held[0] = _land(table, batch, keys, ts, held[0])
         if days:
-            current = _land(table, batch, days, keys, ts)
-            rolled.replace(days, daily_rollup(table.read_periods(days, current), ts, value))
+            held[1] = rolled.replace(days, daily_rollup(table.read_periods(days, held[0]), ts, value), held[1])
 
     return _start(stream.writeStream.foreachBatch(write), path)
 
