@@ -37,7 +37,7 @@ EDGE, INNER = 32, 1
 
 
 class Fit(NamedTuple):
-    sample: int = 1_500
+    sample: int = 800
     buckets: int = 1 << 17
     longest: int = 4
     shards: int = 4
@@ -49,7 +49,7 @@ class Fit(NamedTuple):
 
 
 #: Words a piece: a quarter of the texts is cut into pieces of each of these lengths, the rest stays whole.
-PIECES = (3, 12, 50)
+PIECES = (6, 25, 100)
 
 
 def held_out(id_col="doc_id", folds: int = 4, held: int = 2):
