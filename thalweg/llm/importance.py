@@ -43,8 +43,8 @@ class Draw(NamedTuple):
 
 
 class Sort(NamedTuple):
-    digit_bits: int = 10
-    block_rows: int = 8_192
+    digit_bits: int = 9
+    block_rows: int = 2_048  # a power of two
 
 
 POLY = 0xEDB88320
@@ -190,15 +190,19 @@ def _part(rows: DataFrame, value, low: int | None, high: int | None, falling: bo
     return F.bitwise_not(flipped) if falling else flipped, 64
 
 
+def _block(position, how: Sort):
+    return F.shiftright(position, how.block_rows.bit_length() - 1).alias("block")
+
+
 def radix_ranks(rows: DataFrame, how: Sort = Sort()) -> DataFrame:
     """(place, rank) for (place, score, doc_id): ranks from 1 by falling score, then rising id.
 
-    ``place`` identifies a row and is its first position; what lies above bit 33 is its first block.
+    ``place`` identifies a row and is its first position; positions needn't be without gaps at first.
     """
     s0, s1, d0, d1 = rows.agg(F.min("score"), F.max("score"), F.min("doc_id"), F.max("doc_id")).first()
     low, low_bits = _part(rows, F.col("doc_id"), d0, d1, falling=False)
     high, high_bits = _part(rows, F.col("score"), s0, s1, falling=True)
-    held = rows.select("place", F.col("place").alias("position"), F.shiftright("place", 33).alias("block"), low.alias("low"), high.alias("high"))
+    held = rows.select("place", F.col("place").alias("position"), _block(F.col("place"), how), low.alias("low"), high.alias("high"))
     for part, bits in (("low", low_bits), ("high", high_bits)):
         passes = -(-bits // how.digit_bits)
         width = -(-bits // passes) if passes else 0
@@ -218,7 +222,7 @@ def _counting_pass(rows: DataFrame, how: Sort) -> DataFrame:
     offsets = cells.select("block", "digit", before.alias("before")).join(first, "digit").select("block", "digit", (F.col("first") + F.col("before")).alias("offset"))
     local = F.row_number().over(Window.partitionBy("block", "digit").orderBy("position")) - 1
     placed = rows.withColumn("local", local).join(offsets, ["block", "digit"]).withColumn("position", (F.col("offset") + F.col("local")).cast("long"))
-    return placed.select("place", "position", F.floor(F.col("position") / how.block_rows).cast("long").alias("block"), "low", "high")
+    return placed.select("place", "position", _block(F.col("position"), how), "low", "high")
 
 
 def resampled(rows: DataFrame, target: DataFrame, options: Draw = Draw(), how: Sort = Sort()) -> DataFrame:
