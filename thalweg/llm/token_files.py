@@ -18,25 +18,28 @@ first), then text.  Repeated rows are repeated documents.  An empty table gives
 from __future__ import annotations
 
 import itertools
+import json
 import struct
 import uuid
 import zlib
 from array import array
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thalweg.llm.common import stored, texts, tokenised
+from thalweg.llm.common import SPACES, stored, texts, tokenised
 from thalweg.llm.registry import query, table
 from thalweg.session import fresh_path
 
 MAGIC, HEADER = b"TOKBITS1", struct.Struct("<8sIIQQQ")
 MANIFEST = "part int, seq int, file string, n_docs long, n_tokens long"
-#: Ids of so many words are kept per worker; words beyond that are encoded again when they come up.
-CACHED_WORDS = 800_000
+#: Ids of so many words, and of so many parts of words, are kept per worker; those beyond are encoded again when they come up.
+CACHED_WORDS = 500_000
 
 
 class Layout(NamedTuple):
@@ -141,6 +144,36 @@ class Shard:
         return np.concatenate(got)[begin - first * self.block : end - first * self.block]
 
 
+#: Normaliser and pre-tokeniser for which words may be taken apart and put together in a form that more of them share.
+SHARED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: Kinds that part a text at white space and look at nothing beyond it, and normalisers that see one character or a word.
+PARTING, LOCAL = ("WhitespaceSplit", "Whitespace", "BertPreTokenizer"), ("NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents", "BertNormalizer")
+
+
+def sharing(tokenizer: str) -> str:
+    """What of a text is encoded on its own so that the ids are those of the whole text: "parts" of words, "words", or "texts"."""
+    made = json.loads(tokenizer)
+    kind = lambda part: (made.get(part) or {}).get("type")
+    added = [t for t in made.get("added_tokens") or [] if t.get("lstrip") or t.get("rstrip") or t.get("single_word") or set(t["content"]) & set(SPACES)]
+    if added or made.get("truncation") or made.get("padding"):
+        return "texts"
+    ends = made["model"].get("type") == "BPE" and made["model"].get("end_of_word_suffix") == "</w>" and not made["model"].get("dropout")
+    if ends and all(made.get(k) == v for k, v in SHARED.items()) and all("<" in t["content"] for t in made.get("added_tokens") or []):
+        return "parts"
+    steps = (made.get("normalizer") or {}).get("normalizers") or [made.get("normalizer")]
+    local = all(step is None or step.get("type") in LOCAL for step in steps)
+    return "words" if ends and all(made.get(k) == v for k, v in SHARED.items()) or local and kind("pre_tokenizer") in PARTING else "texts"
+
+
 def _split(word: str) -> tuple[str, str]:
     """A word as two parts that encode on their own, in a form that fewer words share.
 
@@ -153,19 +186,36 @@ def _split(word: str) -> tuple[str, str]:
     return (low[:-1], low[-1]) if low[-1] in ".,;:!?" and low[-2:-1].isalpha() else (low, "")
 
 
+_encoders: dict[str, Callable] = {}
+
+
 def encoder(tokenizer: str):
+    """``new_encoder``, kept by a worker from one task to the next with the words it knows."""
+    key = xxhash.xxh3_128_hexdigest(tokenizer)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = new_encoder(tokenizer)
+    return _encoders[key]
+
+
+def new_encoder(tokenizer: str):
     """A function from a text column to (ids, end of each text's ids), equal to encoding the whole texts.
 
-    White space separates the pieces of this kind of tokenizer, so distinct words are encoded once and put together.
+    Where the tokenizer parts texts at white space, distinct words are encoded once and put together; else whole texts are.
     """
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_str(tokenizer)
+    model, way = Tokenizer.from_str(tokenizer), sharing(tokenizer)
     known: dict[str, bytes] = {"": b""}
+    whole: dict[str, bytes] = {}
 
-    last = np.zeros(model.get_vocab_size(), bool)
+    last = np.zeros(max(model.get_vocab().values(), default=0) + 1, bool)
     last[[i for piece, i in model.get_vocab().items() if piece.endswith("</w>")]] = True
 
+    def singly(words: list[str]):
+        for a in range(0, len(words), 4096):
+            yield from (array("I", e.ids).tobytes() for e in model.encode_batch_fast(words[a : a + 4096], add_special_tokens=False))
+
     def letters(words: list[str]) -> list[bytes]:
         """Ids of words of letters, a hundred to a text: each is one piece, which ends with the next word-final id."""
         out: list[bytes] = []
@@ -178,24 +228,39 @@ def encoder(tokenizer: str):
                     raw = ids.tobytes()
                     out += [raw[i:j] for i, j in itertools.pairwise([0, *ends.tolist()])]
                 else:
-                    out += [array("I", x.ids).tobytes() for x in model.encode_batch_fast(lot, add_special_tokens=False)]
+                    out += singly(lot)
         return out
 
-    def encode(text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        codes, words, offsets = tokenised(text, lower=False)
-        split = [_split(w) for w in words.to_pylist()]
+    def by_parts(words: list[str]) -> list[bytes]:
+        split = [_split(w) for w in words]
         new = list({p for pair in split for p in pair if p not in known})
         plain = [w for w in new if w.isalpha()]
         fresh = dict(zip(plain, letters(plain), strict=True))
         other = [w for w in new if w not in fresh]
-        for a in range(0, len(other), 4096):
-            part = other[a : a + 4096]
-            fresh.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True))
+        fresh.update(zip(other, singly(other), strict=True))
         room = CACHED_WORDS - len(known)
         known.update(itertools.islice(fresh.items(), max(0, room)))
         look = known if len(fresh) <= room else {**fresh, **known}
+        return [look[a] + look[b] if b else look[a] for a, b in split]
+
+    def pieces_of(words: list[str]) -> list[bytes]:
+        out = [whole.get(w) for w in words]
+        new = [k for k, piece in enumerate(out) if piece is None]
+        fresh = [words[k] for k in new]
+        for k, w, piece in zip(new, fresh, by_parts(fresh) if way == "parts" else singly(fresh), strict=True):
+            out[k] = piece
+            if len(whole) < CACHED_WORDS:
+                whole[w] = piece
+        return out
+
+    def by_texts(text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        made = [np.append(np.frombuffer(x, np.uint32), np.uint32(end_id)) for x in singly(text.to_pylist())]
+        return np.concatenate(made) if made else np.zeros(0, np.uint32), np.cumsum([len(m) for m in made]).astype(np.int64)
+
+    def by_words(text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        codes, words, offsets = tokenised(text, lower=False)
         # The end id is one more distinct piece, put behind each text's words.
-        pieces = [look[a] + look[b] if b else look[a] for a, b in split]
+        pieces = pieces_of(words.to_pylist())
         pieces.append(np.asarray([end_id], "<u4").tobytes())
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) >> 2
         begins = np.cumsum(sizes) - sizes
@@ -212,7 +277,7 @@ def encoder(tokenizer: str):
             step[0] = first[0]
         return flat[np.cumsum(step)], upto[offsets[1:] + np.arange(len(offsets) - 1)]
 
-    return encode
+    return by_texts if way == "texts" else by_words
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, vocabulary: int | None = None, **layout) -> DataFrame:
@@ -238,9 +303,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, vo
             seq, shard = seq + 1, ShardWriter(shape)
 
         for batch in batches:
-            # A few hundred thousand words at a time, whatever the batch holds.
-            for a in range(0, batch.num_rows, 1024):
-                piece = batch.slice(a, 1024)
+            # About a million words at a time, whatever the batch holds.
+            for a in range(0, batch.num_rows, 2048):
+                piece = batch.slice(a, 2048)
                 ids, ends = encode(piece.column("text"), end_id)
                 shard.add(piece.column("doc_id").to_pylist(), ids, ends)
                 if shard.n_tokens >= shape.shard_ids:
@@ -250,8 +315,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, vo
         yield pa.RecordBatch.from_pylist([dict(zip(("part", "seq", "file", "n_docs", "n_tokens"), m, strict=True)) for m in made], schema=pa.schema(
             [("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    rows = texts(docs).withColumn("_tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text").drop("_tie")
+    # Equal rows are told apart by their place, so that very many of them are dealt to many ranges.
+    rows = texts(docs).withColumns({"_tie": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    ordered = rows.repartitionByRange("doc_id", "_tie", "_row").sortWithinPartitions("doc_id", "_tie", "text", "_row").drop("_tie", "_row")
     return stored(ordered.mapInArrow(run, MANIFEST), "token-manifest")
 
 
