@@ -34,6 +34,7 @@ from thalweg.llm.common import mix, stored, texts, tokenised
 from thalweg.llm.registry import query, table
 
 EDGE, INNER = 32, 1
+SLICE = 512
 
 
 class Fit(NamedTuple):
@@ -57,41 +58,43 @@ def held_out(id_col="doc_id", folds: int = 4, held: int = 2):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == held, F.lit(False))
 
 
-def grams(words: pa.Array, options: Fit) -> tuple[np.ndarray, np.ndarray]:
-    """(word, bucket) of every n-gram of letters, by word; words without a letter have none."""
+def sliced(batches):
+    """Batches of at most ``SLICE`` rows, so that a worker holds the n-grams of so many texts' words."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, SLICE):
+            yield batch.slice(a, SLICE)
+
+
+def grams(words: pa.Array, options: Fit):
+    """(word, bucket) of the n-grams of letters, a pair of arrays per length; words without a letter have none."""
     clean = pc.replace_substring_regex(pc.utf8_lower(words), r"\PL+", chr(INNER)).to_pylist()
-    points = np.frombuffer((" " + " ".join(clean) + " ").encode("utf-32-le"), np.uint32).astype(np.uint64)
-    edge, new = points <= EDGE, points == EDGE
-    word = np.cumsum(new) - 1
+    points = np.frombuffer((" " + " ".join(clean) + " ").encode("utf-32-le"), np.uint32)
+    edge = points <= EDGE
+    word = np.cumsum(points == EDGE, dtype=np.int32) - 1
     # All edges are alike, whether a word ends there or its letters are broken off.
-    points = np.where(edge, np.uint64(EDGE), points)
-    owners, buckets = [], []
-    size = len(points)
-    run = np.zeros(size, np.uint64)
-    inner = np.ones(size, bool)
+    points = np.where(edge, EDGE, points).astype(np.uint64)
+    run = np.zeros(len(points), np.uint64)
+    inner = np.ones(len(points), bool)
     for n in range(1, options.longest + 1):
-        stop = size - n + 1
+        stop = len(points) - n + 1
         if stop <= 0:
             break
         run = run[:stop] * np.uint64(0x9E3779B97F4A7C15) + points[n - 1 :]
         # Edges may come first or last only, and not alone.
         inner = inner[:stop] & ~edge[n - 2 : n - 2 + stop] if n > 2 else inner[:stop]
-        fine = ~edge if n == 1 else ~(edge[:stop] & edge[1:]) if n == 2 else inner
-        at = np.flatnonzero(fine)
-        owners.append(word[at])
-        buckets.append((mix(run[at] + np.uint64(n)) & np.uint64(options.buckets - 1)).astype(np.int64))
-    owner, bucket = np.concatenate(owners), np.concatenate(buckets)
-    order = np.argsort(owner, kind="stable")
-    return owner[order], bucket[order]
+        at = np.flatnonzero(~edge if n == 1 else ~(edge[:stop] & edge[1:]) if n == 2 else inner)
+        yield word[at], (mix(run[at] + np.uint64(n)) & np.uint64(options.buckets - 1)).astype(np.int32)
 
 
 def _examples(sample: DataFrame, options: Fit) -> DataFrame:
     """(shard, aside, lang, part, bucket, share): every sampled text, whole or in pieces, as shares of its n-grams."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             codes, words, offsets = tokenised(batch.column("text"), lower=False)
-            owner, bucket = grams(words, options)
+            owner, bucket = (np.concatenate(x) for x in zip(*grams(words, options), strict=True))
+            order = np.argsort(owner, kind="stable")
+            owner, bucket = owner[order], bucket[order]
             first = np.searchsorted(owner, np.arange(len(words) + 1))
             key = batch.column("h").to_numpy(zero_copy_only=False)
             made: dict[str, list] = {k: [] for k in ("shard", "aside", "lang", "key", "bucket", "share")}
@@ -225,19 +228,19 @@ def identified(rows: DataFrame, model: Model, options: Fit = Fit()) -> DataFrame
     def run(batches):
         m = shared.value
         names = np.array([*m.languages, "und"], object)
-        for batch in batches:
+        for batch in sliced(batches):
             codes, words, offsets = tokenised(batch.column("text"), lower=False)
-            owner, bucket = grams(words, options)
-            size = np.bincount(owner, minlength=len(words)).astype(float)
+            # A word's n-grams and margins are summed over its lengths of n-gram, a text's over its words.
+            size, each = np.zeros(len(words)), np.zeros((len(m.languages), len(words)))
+            for owner, bucket in grams(words, options):
+                size += np.bincount(owner, minlength=len(words))
+                for k in range(len(each) if m.weights is not None else 0):
+                    each[k] += np.bincount(owner, m.weights[bucket, k], len(words))
             doc = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             total = np.bincount(doc, size[codes], batch.num_rows)
-            score = np.ones(batch.num_rows)
-            pick = np.zeros(batch.num_rows, np.int64)
+            score, pick = np.ones(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             if m.weights is not None:
-                margins = np.empty((batch.num_rows, len(m.languages)))
-                for k in range(len(m.languages)):
-                    each = np.bincount(owner, m.weights[bucket, k], len(words))
-                    margins[:, k] = np.bincount(doc, each[codes], batch.num_rows)
+                margins = np.column_stack([np.bincount(doc, e[codes], batch.num_rows) for e in each])
                 chance = _softmax(margins / np.maximum(total, 1)[:, None] / m.temperature)
                 pick = chance.argmax(1)
                 score = chance[np.arange(len(pick)), pick]
