@@ -1,15 +1,22 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are compared in lower case without punctuation.  A seed is the shortest run of at least three
-words, starting at a place of a test item, that chance would hardly put into the corpus: the product
-of its words' shares times the corpus' words is at most ``rare``.  A run that reaches the item's end or
-eight words is taken as it is, so every item with a word has seeds.  Texts that hold a seed are aligned
-with the item around it, word by word (match 2, mismatch -1, gap -1).  An item counts as present
-where the best alignment reaches ``similarity`` of a perfect one.
-
-Items are the query set and go against all texts in blocks of bounded size; each task aligns the texts
-it reads, so nothing is shuffled but counts of the items' words.  Null and empty texts and items match
-nothing.  Repeated rows are reported each.  An empty table gives an empty result.
+Words are compared in lower case without punctuation.  There are two kinds of seeds.  A run is the
+shortest one of at least three words, starting at a place of a test item, that chance would hardly put
+into the corpus: the product of its words' shares times the corpus' words is at most ``rare``.  A run
+that reaches the item's end or eight words is taken as it is.  Runs grow with the corpus and miss copies
+with an edit every few words, so two words next to each other, or with one between them, are seeds as
+well: the rarest pairs of all items, as many as chance makes up to ``noise`` hits a word of text.  A text
+needs two of an item's pairs within ``band`` diagonals; their choice follows the words' shares alone, so
+what is found doesn't depend on the size of the corpus.  Texts with a seed are aligned with the item
+around it, word by word (match 2, mismatch -1, gap -1).  An item counts as present where the best
+alignment reaches ``similarity`` of a perfect one.
+
+An item without a rare pair left is found by its runs alone.  Items are the query set and go against all
+texts in blocks of bounded size (an item longer than a block is a block of its own); each task aligns the
+texts it reads, so nothing is shuffled but counts of the items' words.  Null and empty texts and items
+match nothing.  Very long texts are searched whole, aligned around their seeds only.  Repeated rows are
+reported each.  An empty table gives an empty result.  Further columns, whatever their names, stay as
+they are.
 """
 
 from __future__ import annotations
@@ -21,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.common import mix, stored, texts, tokenised, word_hashes
+from thalweg.llm.common import mix, packed, stored, texts, tokenised, unpacked, word_hashes
 from thalweg.llm.registry import query, table
 
 
@@ -30,6 +37,8 @@ class Search(NamedTuple):
     rare: float = 0.01
     shortest: int = 3
     longest: int = 8
+    noise: float = 0.01
+    band: int = 8
     block_words: int = 400_000
 
 
@@ -102,6 +111,30 @@ def seeds(items: list[np.ndarray], total: int, counts: dict[int, int], options:
     return out
 
 
+def pair_hashes(words: np.ndarray, gap: int) -> np.ndarray:
+    """Hashes of every word with the one ``gap`` places on."""
+    stop = max(0, len(words) - gap)
+    return mix(words[:stop] * np.uint64(0x9E3779B97F4A7C15) + words[gap : gap + stop] + np.uint64(gap))
+
+
+def rare_pairs(items: list[np.ndarray], total: int, counts: dict[int, int], options: Search) -> dict[int, list[tuple[int, int, int]]]:
+    """By gap: (hash, item, place) of the rarest pairs, whose chances add up to ``noise`` at most."""
+    made, chance = [], []
+    for i, words in enumerate(items):
+        share = np.array([max(counts.get(int(w), 0), 1) / max(total, 1) for w in words])
+        for gap in (1, 2):
+            for p, h in enumerate(pair_hashes(words, gap).tolist()):
+                made.append((gap, h, i, p))
+                chance.append(share[p] * share[p + gap])
+    order = np.argsort(chance, kind="stable")
+    kept = order[np.cumsum(np.array(chance)[order]) <= options.noise] if len(order) else []
+    out: dict[int, list] = {1: [], 2: []}
+    for k in sorted(int(k) for k in kept):
+        gap, *rest = made[k]
+        out[gap].append(tuple(rest))
+    return out
+
+
 def contaminated(docs: DataFrame, items: DataFrame, options: Search = Search()) -> DataFrame:
     """(row, item_id, score, similarity, first_word, last_word): texts that hold an item, one row per pair.
 
@@ -120,38 +153,57 @@ def contaminated(docs: DataFrame, items: DataFrame, options: Search = Search())
         hashes = word_hashes(distinct)
         sequences = [hashes[codes[offsets[k] : offsets[k + 1]]] for k in range(len(rows))]
         total, counts = word_counts(docs, np.sort(hashes))
-        found = _search(docs, spark.sparkContext.broadcast((seeds(sequences, total, counts, options), sequences, [r["item_id"] for r in rows])), options.similarity, schema)
+        found = _search(docs, spark.sparkContext.broadcast((seeds(sequences, total, counts, options), rare_pairs(sequences, total, counts, options), sequences, [r["item_id"] for r in rows])), options, schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _search(docs: DataFrame, shared, similarity: float, schema: str) -> DataFrame:
+class _Table:
+    """Seeds of one kind by hash, with a small table in front that most words of a text don't pass."""
+
+    def __init__(self, found):
+        h = np.array([f[0] for f in found], np.uint64)
+        order = np.argsort(h, kind="stable")
+        self.h, self.where = h[order], np.array([f[1:] for f in found], np.int64).reshape(-1, 2)[order]
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[(h & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+
+    def hits(self, hashes: np.ndarray, span: int, offsets: np.ndarray) -> np.ndarray:
+        """(text, item, diagonal, place in the item) of every hit of ``span`` words within one text."""
+        at = np.flatnonzero(self.maybe[(hashes & np.uint64((1 << 22) - 1)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.h, hashes[at]), np.searchsorted(self.h, hashes[at], "right")
+        keep = hi > lo
+        at, lo, hi = at[keep], lo[keep], hi[keep]
+        doc = np.searchsorted(offsets, at, "right") - 1
+        inside = at + span <= offsets[doc + 1]  # a seed mustn't cross into the next text
+        at, lo, hi, doc = at[inside], lo[inside], hi[inside], doc[inside]
+        times = hi - lo
+        pick = np.repeat(lo - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        place = self.where[pick, 1]
+        return np.stack([np.repeat(doc, times), self.where[pick, 0], np.repeat(at, times) - place, place], 1)
+
+
+def twice_hit(hits: np.ndarray, band: int) -> np.ndarray:
+    """Of (text, item, diagonal, place) those with another place's hit within ``band`` diagonals."""
+    hits = hits[np.lexsort(hits.T[::-1])]
+    near = (hits[1:, :2] == hits[:-1, :2]).all(1) & (hits[1:, 2] - hits[:-1, 2] <= band) & (hits[1:, 3] != hits[:-1, 3])
+    return hits[np.append(near, False) | np.insert(near, 0, False)] if len(hits) else hits
+
+
+def _search(docs: DataFrame, shared, options: Search, schema: str) -> DataFrame:
+    similarity = options.similarity
+
     def run(batches):
-        by_length, items, ids = shared.value
-        tables = []
-        for n, found in sorted(by_length.items()):
-            h = np.array([f[0] for f in found], np.uint64)
-            order = np.argsort(h, kind="stable")
-            maybe = np.zeros(1 << 22, bool)
-            maybe[(h & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-            tables.append((n, h[order], np.array([f[1:] for f in found], np.int64)[order], maybe))
+        by_length, by_gap, items, ids = shared.value
+        runs = [(n, _Table(found)) for n, found in sorted(by_length.items())]
+        pairs = [(gap, _Table(found)) for gap, found in by_gap.items() if found]
         for batch in batches:
             codes, words, offsets = tokenised(batch.column("text"), lower=False)
             own = word_hashes(words)[codes]
             made = {"at": [], "item_id": [], "score": [], "similarity": [], "first_word": [], "last_word": []}
-            hits = []
-            for n, h, where, maybe in tables:
-                runs = run_hashes(own, n)
-                at = np.flatnonzero(maybe[(runs & np.uint64((1 << 22) - 1)).astype(np.int64)])
-                lo, hi = np.searchsorted(h, runs[at]), np.searchsorted(h, runs[at], "right")
-                keep = hi > lo
-                at, lo, hi = at[keep], lo[keep], hi[keep]
-                doc = np.searchsorted(offsets, at, "right") - 1
-                inside = at + n <= offsets[doc + 1]  # a run mustn't cross into the next text
-                at, lo, hi, doc = at[inside], lo[inside], hi[inside], doc[inside]
-                times = hi - lo
-                pick = np.repeat(lo - (np.cumsum(times) - times), times) + np.arange(times.sum())
-                hits.append(np.stack([np.repeat(doc, times), where[pick, 0], np.repeat(at, times) - where[pick, 1]], 1) if len(pick) else np.zeros((0, 3), np.int64))
+            hits = [t.hits(run_hashes(own, n), n, offsets)[:, :3] for n, t in runs]
+            if pairs:
+                hits.append(twice_hit(np.concatenate([t.hits(pair_hashes(own, gap), gap + 1, offsets) for gap, t in pairs]), options.band)[:, :3])
             seen = np.unique(np.concatenate(hits), axis=0) if hits else np.zeros((0, 3), np.int64)
             best: dict[tuple[int, int], tuple] = {}
             k = 0
@@ -190,10 +242,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, options: Search = Search()) ->
 def drop_leaks(docs: DataFrame, items: DataFrame, options: Search = Search()) -> DataFrame:
     """``docs`` without the rows whose text holds an item; all columns stay."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("_h", F.xxhash64(text))
-    rows = keyed.select(F.struct(F.col("doc_id").cast("long").alias("d"), "_h").alias("row"), text.alias("text"))
-    bad = stored(contaminated(rows, items, options).select("row.*").distinct().withColumnRenamed("_h", "_g"), "leaks")
-    return keyed.join(bad, F.col("_h").eqNullSafe(F.col("_g")) & F.col("doc_id").cast("long").eqNullSafe(F.col("d")), "left_anti").drop("_h")
+    keyed = docs.select(packed(docs).alias("packed"), F.struct(F.col("doc_id").cast("long").alias("d"), F.xxhash64(text).alias("h")).alias("row"), text.alias("text"))
+    bad = stored(contaminated(keyed.select("row", "text"), items, options).select("row.d", "row.h").distinct(), "leaks")
+    clean = keyed.join(bad, keyed["row.h"].eqNullSafe(bad["h"]) & keyed["row.d"].eqNullSafe(bad["d"]), "left_anti")
+    return clean.select(*unpacked(docs.columns, "packed"))
 
 
 @query("op5_decontaminate")
