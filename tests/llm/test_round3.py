@@ -13,8 +13,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from thalweg.llm import importance, language_id, whitening
+from thalweg.llm import decontaminate, importance, jaccard_join, language_id, mixing, secret_ledger, token_files, toxicity, whitening
 from thalweg.llm.common import prepared, texts
+from thalweg.session import fresh_path
 
 CLASHING = "row string, x long, n int, copies int, weight string, score string, rank int, place long, block int, digit int, c0 string, position long"
 
@@ -182,9 +183,10 @@ def test_whitening_of_odd_rows(spark):
 
 def test_grams_are_runs_of_letters():
     options = language_id.Fit(longest=3)
-    owner, bucket = language_id.grams(pa.array(["Ab", "12", "a-b", "été"]), options)
+    both = lambda w: (np.concatenate(x) for x in zip(*language_id.grams(pa.array(w), options)))
+    owner, bucket = both(["Ab", "12", "a-b", "été"])
     assert np.bincount(owner, minlength=4).tolist() == [2 + 3 + 2, 0, 2 + 4 + 2, 3 + 4 + 3]
-    same, other = language_id.grams(pa.array(["ab", "AB"]), options)
+    same, other = both(["ab", "AB"])
     assert other[same == 0].tolist() == other[same == 1].tolist() == bucket[owner == 0].tolist()
 
 
@@ -233,3 +235,113 @@ def test_language_of_odd_rows(spark):
     one = {x["doc_id"]: x for x in language_id.identify(df.filter("lang = 'en' OR doc_id = 2003")).collect()}
     assert one[1]["lang_pred"] == "en" and one[1]["score"] == 1 and one[2003]["lang_pred"] == "und"
     assert {x["lang_pred"] for x in language_id.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_other_tokenizers_give_the_ids_of_whole_texts(odd):
+    """A cased tokenizer, one that keeps white space, and one whose shape is unknown, beside the given one."""
+    import public_tokenizers
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+
+    rows = [x or "" for x in (r["text"] for r in odd[0].collect())] if isinstance(odd, tuple) else [r["text"] or "" for r in odd.collect()]
+    rows = [*rows[:8], "The cat, THE Cat. the  cat", "a\tB\n\nA b.", " x ", "", "Zoë zoë! été", "don't <|endoftext|> <unk>"]
+    vocabulary = {w: k for k, w in enumerate(["<unk>", "the", "The", "THE", "cat", "cat,", "Cat.", "a", "A", "B", "b.", "x"])}
+    cased = Tokenizer(models.WordLevel(vocabulary, unk_token="<unk>"))
+    cased.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    lower = Tokenizer(models.WordLevel(vocabulary, unk_token="<unk>"))
+    lower.normalizer, lower.pre_tokenizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]), pre_tokenizers.Whitespace()
+    meta = Tokenizer(models.WordLevel(vocabulary, unk_token="<unk>"))
+    meta.pre_tokenizer = pre_tokenizers.Metaspace()
+    given = [open(public_tokenizers.path(f), encoding="utf-8").read() for f in ("word_bpe_49k.json", "byte_bpe_50k.json")]
+    ways = []
+    for body in [cased.to_str(), lower.to_str(), meta.to_str(), *given]:
+        ways.append(token_files.sharing(body))
+        model, encode = Tokenizer.from_str(body), token_files.encoder(body)
+        for _ in range(2):  # the second time from what the worker knows
+            ids, ends = encode(pa.array(rows, pa.string()), 7)
+            parts = [ids[a:z].tolist() for a, z in zip([0, *ends.tolist()], ends.tolist())]
+            assert parts == [[*model.encode(x, add_special_tokens=False).ids, 7] for x in rows]
+    assert ways == ["words", "words", "texts", "parts", "texts"]
+
+
+def test_names_of_columns_meet_none_of_the_operators(spark):
+    """Extra columns named like the operators' own ones come back as they were."""
+    prepared(spark)
+    names = "_g _h _d _t _id d h row packed _fit _s _b _source _block _order _tokens _pass _place passes tokens rest source_ state _range c0 c1 key bucket n doc text_hash".split()
+    rows = [(k, " ".join(f"w{(k * 977 + j * 31) % 1013}x{k % 3 if j % 2 else 7}" for j in range(60)), "s%d" % (k % 2)) for k in range(12)] + [(None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select("*", *[F.lit(f"v{k}").alias(c) for k, c in enumerate(names)])
+    items = spark.createDataFrame([(1, rows[3][1])], "item_id long, text string")
+    labels = spark.createDataFrame([(k, 0) for k in range(12)], "doc_id long, toxic int")
+    for made in (jaccard_join.keep_one(docs), decontaminate.drop_leaks(docs, items), mixing.draw(docs, marks=False), toxicity.reject_toxic(docs, labels)):
+        assert made.columns == docs.columns
+        kept = made.collect()
+        assert kept and all(r[c] == f"v{k}" for r in kept for k, c in enumerate(names))
+    marked = mixing.draw(docs)
+    assert marked.columns == [c for c in docs.columns if c not in ("_pass", "_place", "_tokens")] + ["_pass", "_place", "_tokens"]
+    for stage in corpus_pipeline.STAGES[1:4]:
+        assert stage[1](spark, docs, "/root/testdata/sf0.001").columns == docs.columns
+
+
+def test_a_changed_rule_scans_itself_only(spark):
+    """A set of rules may keep its name: what counts is each rule's own digest."""
+    prepared(spark)
+    rules = secret_ledger.RULES
+    rows = [(1, "xoxb-1234567890 password=abcdef12"), (2, "AKIA" + "A" * 16), (3, None), (4, "nothing")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = secret_ledger.BlobLedger(spark, fresh_path(spark, "ledger"))
+    assert {r.doc_id: r.spans for r in secret_ledger.scan_documents(docs, one, rules[:1]).collect()}[1] == "assign:16:33"
+    got = sorted(map(tuple, secret_ledger.scan_documents(docs, one, rules).collect()), key=str)
+    new = secret_ledger.BlobLedger(spark, fresh_path(spark, "ledger"))
+    assert got == sorted(map(tuple, secret_ledger.scan_documents(docs, new, rules).collect()), key=str)
+    assert got[0][-1] == "slack:0:15,assign:16:33"
+    other = [*rules[:-1], rules[-1]._replace(least=20)]
+    assert {r.doc_id: r.spans for r in secret_ledger.scan_documents(docs, one, other).collect()}[1] == "assign:16:33"
+    tried = sorted(len(r.scanned) for r in one.rows().collect())
+    assert tried == [1] * 8 + [6] * 4
+    secret_ledger.scan_documents(docs, one, other).count()
+    assert one.rows().count() == 12
+    few = secret_ledger.scan_documents(docs.filter("doc_id = 2"), one, rules).collect()
+    assert [(r.doc_id, r.n_access) for r in few] == [(2, 1)]
+
+
+def edited(r, item, share, how):
+    """An item with a share of its words replaced, dropped or followed by another one."""
+    out = []
+    for k, w in enumerate(item):
+        hit = k % 3 == 2 if share == "third" else r.random() < share
+        new = "new%d" % r.randrange(10**6)
+        out += [w] if not hit else [new] if how == "replaced" else [] if how == "dropped" else [w, new]
+    return out
+
+
+def test_recall_of_edited_items(spark):
+    """Edited copies against the full alignment of every text with its item, also with counts of a corpus 1,000 times as large."""
+    prepared(spark)
+    r = random.Random(6)
+    # Words as unevenly frequent as in real texts.
+    draw = lambda n: ["w%d" % int(4000 ** r.random()) for _ in range(n)]
+    items = [draw(r.choice([15, 30, 60])) for _ in range(60)]
+    rows, truth = [], {}
+    for share in (0.1, 0.2, 0.3, "third"):
+        for how in ("replaced", "dropped", "added"):
+            for i, item in enumerate(items):
+                text = [*draw(r.randint(0, 80)), *edited(r, item, share, how), *draw(r.randint(0, 80))]
+                code = {w: k for k, w in enumerate({*item, *text})}
+                score, _ = decontaminate.align(np.array([code[w] for w in item]), np.array([code[w] for w in text]))
+                if score >= 0.5 * 2 * len(item):
+                    truth.setdefault((share, how), set()).add((len(rows), i))
+                rows.append((len(rows), " ".join(text)))
+    clean = [(len(rows) + k, " ".join(draw(150))) for k in range(400)]
+    docs = spark.createDataFrame(rows + clean, "doc_id long, text string")
+    known = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    counted = decontaminate.word_counts
+    for times in (1, 1000):
+        decontaminate.word_counts = lambda d, v, times=times: (lambda total, counts: (total * times, {w: n * times for w, n in counts.items()}))(*counted(d, v))
+        try:
+            found = {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(docs, known).collect()}
+        finally:
+            decontaminate.word_counts = counted
+        recall = {k: round(len(v & found) / len(v), 3) for k, v in truth.items()}
+        print(times, recall)
+        assert sum(len(v & found) for v in truth.values()) >= 0.95 * sum(map(len, truth.values())) and min(recall.values()) >= 0.9
+        assert not {d for d, _ in found} & {d for d, _ in clean}
+    assert sum(map(len, truth.values())) > 500

@@ -39,6 +39,16 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 
+def packed(docs: DataFrame):
+    """All columns of a row as one struct, so that no name of theirs meets one of an operator's."""
+    return F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+
+
+def unpacked(names, row: str = "row") -> list:
+    """The columns of a packed row under their own names."""
+    return [F.col(f"{row}.c{k}").alias(c) for k, c in enumerate(names)]
+
+
 def sql_words(text):
     """The words of a text as an array, without UDFs."""
     trimmed = F.btrim(text, F.lit(SPACES))

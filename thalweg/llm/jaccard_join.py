@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thalweg.llm.common import groups, mix, shingle_hashes, stored, texts, tokenised, word_hashes
+from thalweg.llm.common import groups, mix, packed, shingle_hashes, stored, texts, tokenised, unpacked, word_hashes
 from thalweg.llm.components import components
 from thalweg.llm.registry import query, table
 
@@ -299,8 +299,9 @@ def classes(docs: DataFrame, options: Join = Join()) -> DataFrame:
 def keep_one(docs: DataFrame, options: Join = Join()) -> DataFrame:
     """The first row, by id, of each class; all columns stay.  Of rows equal in id and text one stays."""
     heads = stored(classes(docs, options).filter(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_t")).distinct(), "near-heads")
-    keyed = docs.withColumn("_d", F.col("doc_id").cast("long")).withColumn("_h", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return keyed.join(heads, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_t")), "left_semi").dropDuplicates(["_d", "_h"]).drop("_d", "_h")
+    keyed = docs.select(packed(docs).alias("row"), F.col("doc_id").cast("long").alias("_d"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_h"))
+    first = keyed.join(heads, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_t")), "left_semi").dropDuplicates(["_d", "_h"])
+    return first.select(*unpacked(docs.columns))
 
 
 @query("op7_jaccard_join")

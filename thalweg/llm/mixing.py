@@ -24,7 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thalweg.llm.common import sql_words, stored
+from thalweg.llm.common import packed, sql_words, stored, unpacked
 from thalweg.llm.registry import query, table
 
 
@@ -45,7 +45,7 @@ RANGE_DOCS = 4096
 
 
 def weighed(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
-    """``docs`` with its tokens, source and block under names that no input column has."""
+    """``docs`` with its tokens, source and block, under names that ``docs`` must not have; ``draw`` packs its rows first."""
     tokens = F.size(sql_words(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).cast("long")
     order = F.xxhash64(F.lit(mix.seed), F.col(id_col), F.col(text_col))
     return docs.withColumns({"_tokens": tokens, "_source": F.col(source_col).cast("string"), "_order": order}).withColumn("_block", F.pmod("_order", F.lit(mix.blocks)).cast("int"))
@@ -106,12 +106,14 @@ def plan(sources: DataFrame, mix: Mix) -> DataFrame:
     return made.unionByName(sources.filter("tokens = 0").select("source", "tokens", F.lit(0.0).alias("weight"), none.alias("want"), F.lit(1).cast("long").alias("passes"), none.alias("rest")))
 
 
-def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", source_col="source", range_docs: int = RANGE_DOCS) -> DataFrame:
+def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", source_col="source", range_docs: int = RANGE_DOCS, marks: bool = True) -> DataFrame:
     """The mixture: rows of ``docs``, all columns, with ``_pass``, ``_place`` (0 to 1 within the source's pass), ``_tokens``.
 
+    A column of ``docs`` of one of these three names gives way to it; without ``marks`` there are the columns of ``docs`` alone.
     Ordering by (_pass, _place) blends the sources; every stretch then holds them near their weights.
     """
-    rows = weighed(docs, mix, id_col, text_col, source_col)
+    slim = docs.select(packed(docs).alias("row"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    rows = weighed(slim, mix, "_id").drop("text", "source")
     blocks = stored(rows.groupBy("_source", "_block").agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("docs")), "mix-blocks")
     sources = stored(blocks.groupBy(F.col("_source").alias("source")).agg(F.sum("tokens").alias("tokens")), "mix-sources")
     planned = stored(plan(sources, mix), "mix-plan")
@@ -140,7 +142,7 @@ def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", so
     ranges = stored(upto.select(F.col("_s").alias("_rs"), F.col("_b").alias("_rb"), F.col("_range").alias("_r"), state.alias("_inside"), (F.col("_left") - F.col("_upto") + F.col("_held")).alias("_over")), "mix-ranges")
     same = F.col("_s").eqNullSafe(F.col("_rs")) & (F.col("_b") == F.col("_rb")) & (F.col("_range") == F.col("_r"))
     joined = joined.join(ranges, same, "left").withColumn("_state", F.coalesce("_inside", "_fit"))
-    inside = F.sum("_tokens").over(Window.partitionBy("_s", "_b", "_range").orderBy("_order", F.col(id_col)).rowsBetween(Window.unboundedPreceding, 0))
+    inside = F.sum("_tokens").over(Window.partitionBy("_s", "_b", "_range").orderBy("_order", "_id").rowsBetween(Window.unboundedPreceding, 0))
     edge = joined.filter("_state = 0").withColumn("_more", (inside <= F.col("_over")).cast("long"))
     sure = joined.filter("_state <> 0").withColumn("_more", (F.col("_state") == 1).cast("long"))
     copies = sure.unionByName(edge).withColumn("_copies", F.col("passes") + F.col("_more")).filter("_copies > 0")
@@ -148,7 +150,11 @@ def draw(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text_col="text", so
     # Blocks are permuted anew in each pass, documents within their block.
     spot = lambda *x: F.pmod(F.xxhash64(F.lit(mix.seed), *x), F.lit(1 << 20)) / F.lit(float(1 << 20))
     place = (F.floor(spot(F.col("_s"), F.col("_b"), F.col("_pass")) * mix.blocks) + spot(F.col("_order"), F.col("_pass"))) / F.lit(float(mix.blocks))
-    return drawn.withColumn("_place", place).select(*docs.columns, "_pass", "_place", "_tokens")
+    if not marks:
+        return drawn.select(*unpacked(docs.columns))
+    own = ("_pass", "_place", "_tokens")
+    kept = [c for name, c in zip(docs.columns, unpacked(docs.columns), strict=True) if name not in own]
+    return drawn.withColumn("_place", place).select(*kept, *own)
 
 
 @query("op3_mixing")
