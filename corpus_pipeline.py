@@ -37,7 +37,7 @@ def drop_leaked(spark, docs, sf_dir):
 def mix_sources(spark, docs, sf_dir):
     """As many tokens as there are, no source drawn more than twice over; a document may come twice."""
     prepared(spark)
-    return mixing.draw(docs, mixing.Mix()).select(*docs.columns)
+    return mixing.draw(docs, mixing.Mix(), marks=False)
 
 
 def to_tokens(spark, docs, sf_dir):
