@@ -129,3 +129,19 @@ def quality_rules(spark, sf):
     book = apply_policy(stored_ledger(table(spark, sf, "documents")))
     base = F.col("fail_bits").bitwiseAND(F.lit(BASE_MASK).cast("long")) != 0
     return book.select("doc_id", *MEASURES, base.alias("base_failed"), "kept", "fail_bits")
+
+
+ABLATIONS = ORACLE[: ORACLE.rindex("SELECT doc_id, n_words, word_chars")] + "\nUNION ALL ".join(
+    f"""SELECT {version} AS policy, '{name}' AS rule, count(*) FILTER ((fail_bits & {mask & 1 << k}) <> 0) AS failed,
+  count(*) FILTER ((fail_bits & {mask}) = {1 << k}) AS only_rule, count(*) FILTER ((fail_bits & {mask}) = 0) AS kept,
+  count(*) FILTER ((fail_bits & {mask & ~(1 << k)}) = 0) AS kept_without FROM b"""
+    for version, mask in POLICIES.items()
+    for k, (name, _) in enumerate(RULES)
+    if mask >> k & 1
+)
+
+
+@query("quality_ablations", ABLATIONS)
+def quality_ablations(spark, sf):
+    """What each rule of each policy rejects, and what would be kept without it, from the stored ledger."""
+    return ablations(stored_ledger(table(spark, sf, "documents")))
