@@ -11,7 +11,7 @@ from thalweg.catalog import evaluation as ev
 from thalweg.catalog.features import PREFIX, UP, WX, lagged, matrix_sql
 from thalweg.catalog.registry import query
 from thalweg.catalog.tables import AS_OF, BEGIN, END, oracle
-from thalweg.operators import features, models, risk, series, state, trees
+from thalweg.operators import features, models, series, trees
 from thalweg.plans import inference, operations, training
 from thalweg.session import fresh_path
 from thalweg.sources import sinks

@@ -20,7 +20,6 @@ from typing import NamedTuple
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from thalweg.functions.dates import as_date
 from thalweg.operators.series import dedup_keep_last
