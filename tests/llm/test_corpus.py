@@ -248,6 +248,33 @@ def test_passages_are_brute_force(spark):
     assert {r.doc_id for r in chunk_dedup.repeated_passages(docs).collect()} == set(made)
 
 
+def test_passages_take_a_row_per_chunk_not_per_word(spark):
+    """Copies, edited copies and texts of few words, against brute force: places, counts and which is first; long copies take few rows."""
+    r = np.random.default_rng(8)
+    base = [words(int(r.integers(40, 400)), 700 + k).split() for k in range(12)] + [list(r.choice(["a", "b"], 300)), ["c", "d", "e"] * 80]
+    rows = [None, "", " \n "]
+    for _ in range(160):
+        x = [w for k in r.integers(0, len(base), r.integers(1, 4)) for w in base[k][int(r.integers(0, 30)) :]]
+        for at in r.integers(0, len(x), r.integers(0, 4)):
+            x[at] = f"edit{r.integers(3)}"
+        rows.append(" ".join(x) if r.random() < 0.8 else "\t ".join(x) + "\n")
+    rows += [words(3000, 90)] * 20
+    docs = prepared(spark).createDataFrame([(k % 50, text) for k, text in enumerate(rows)], "doc_id long, text string").coalesce(1)
+    found = chunk_dedup.repeated_windows(docs, chunk_dedup.Passages())
+    got = {}
+    for x in found.collect():
+        spans = [m.span() for m in re.finditer(rb"[^ \t\n\x0b\x0c\r]+", rows[x.row_id].encode())]
+        assert x.doc_id == x.row_id % 50 and (x.begin, x.end) == (spans[x.place][0], spans[x.last + 48][1])
+        for place in range(x.place, x.last + 1):
+            assert (x.row_id, spans[place][0], spans[place + 48][1]) not in got
+            got[x.row_id, spans[place][0], spans[place + 48][1]] = (x.n, x.first)
+    want = {}
+    for places in repeated_runs(rows, 49).values():
+        want |= {at: (len(places), at == min(places)) for at in places}
+    assert got == want and len(want) > 60_000
+    assert found.filter(f"row_id >= {len(rows) - 20}").count() < 20 * 2952 / 5
+
+
 def test_what_is_first_is_kept_once(spark):
     """Neighbouring passages of other texts, copies within one text, passages with a word more in some texts."""
     p, q, s, t = words(60, 31), words(55, 32), words(70, 33), words(64, 36)

@@ -1,19 +1,26 @@
-"""Substring deduplication by sampled word runs, exact to the word.
+"""Substring deduplication by content-defined chunks of word runs, exact to the word.
 
 A passage is a stretch of bytes that begins and ends with whole words and comes up more than once; it
 counts from ``words`` words on.  A passage of over 50 words whose first and last word are glued to others
 still has 49 whole ones.  All that matters is settled by runs of exactly ``words`` words with the blanks
 between them: a run that comes up twice is repeated, neighbouring repeated runs make up a passage.
 
-Hashing every run would take one row per word, so runs of ``gram`` words are sampled first: of every
-``words`` words in a row the runs with the least hash.  Which these are depends on those words alone, so
-copies of a passage share one wherever it lies, and none is missed.  Samples are counted; only runs of
-``words`` words around a repeated sample get a row, with a 128-bit digest, and are counted again.
-
-Counting is combined on the map side; rows meet their counts in a join whose other side has one row
-per digest, so a run that a third of all texts hold can be split.  Texts meet their repeated samples by
-a hash of the text; should it be shared by chance, too many runs are looked at, none too few.  Each row
-is a text of its own, also if it repeats another.  Null, empty and short texts hold no passages.
+Runs aren't listed; they are taken by the chunk.  Of the ends of every ``gram`` words within a run, the
+one with the least gear hash is the run's cut.  It depends on the run's words alone, so copies of a run
+have it at the same word wherever they lie.  Neighbouring runs with one cut are a chunk, so each run is in
+one chunk and none is missed.  A chunk's name is the digest of the ``gram`` words that end at the cut, and
+its class is the digest of all its words.
+
+Names that come up twice are counted first; only their chunks go on.  Where all chunks of a name are of one
+class, that class settles all their runs at once.  Other names lie at the end of a passage or by an edited
+word: there one chunk of each class gets a row per run, with a 128-bit digest, and runs are counted over
+the classes.  So the rows follow the chunks (some ten runs each) and the different texts, not the words
+or the copies.
+
+Counting is combined on the map side; rows meet their counts, which are stored first, in a join whose other
+side has few rows per digest, so a run that a third of all texts hold can be split.  Texts are read for the names, the chunks
+and the single runs; should the table give other rows in between, the job stops.  Each row is a text of its
+own, also if it repeats another.  Null, empty and short texts hold no passages.
 """
 
 from __future__ import annotations
@@ -48,13 +55,18 @@ GEAR = mix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 MASK = np.uint32(0b11111 << 20)
 
 
-def cuts(data: np.ndarray, options: Cuts) -> np.ndarray:
-    """Ends of content-defined chunks of a byte array, the last one its length.  Passages don't rest on them: a chunk cut into at a passage's end is lost."""
-    n = len(data)
+def gear(data: np.ndarray) -> np.ndarray:
+    """The gear hash of the 16 bytes up to each byte."""
     h = GEAR[data]
     for k in (1, 2, 4, 8):
         h[k:] = h[k:] + (h[:-k] << np.uint32(k))
-    found = np.flatnonzero((h & MASK) == 0) + 1
+    return h
+
+
+def cuts(data: np.ndarray, options: Cuts) -> np.ndarray:
+    """Ends of content-defined chunks of a byte array, the last one its length.  Passages don't rest on them: a chunk cut into at a passage's end is lost."""
+    n = len(data)
+    found = np.flatnonzero((gear(data) & MASK) == 0) + 1
     if len(found):
         found = found[np.diff(found, prepend=-options.least) >= options.least]
     ends = np.append(found[found < n], n)
@@ -66,13 +78,18 @@ def cuts(data: np.ndarray, options: Cuts) -> np.ndarray:
     return ends
 
 
+def spread(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text column, and where each text's begin, one more at the end."""
+    text = text.cast(pa.large_string())
+    at = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[at[0] : at[-1]] if len(text) else np.zeros(0, np.uint8)
+    return data, at - at[0]
+
+
 def split(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of a text column: (begins, ends) in bytes of their text, (digests of the words with the blanks behind
     them, digests without), two rows of 64 bits each, and where each text's words begin, one more at the end."""
-    text = text.cast(pa.large_string())
-    at = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[at[0] : at[-1]] if len(text) else np.zeros(0, np.uint8)
-    at = at - at[0]
+    data, at = spread(text)
     dark = ~BLANK[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
@@ -118,64 +135,131 @@ def whole(offsets: np.ndarray, n: int) -> np.ndarray:
     return left[: max(0, len(left) - n + 1)] >= n
 
 
-def sampled(units: np.ndarray, last: np.ndarray, offsets: np.ndarray, options: Passages) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the sampled runs of ``gram`` words, and their hashes."""
+class Chunks(NamedTuple):
+    """Chunks of a batch: their text, first run and number of runs, bytes from the first run's begin to the last
+    one's end, name and class; and of all words where they begin and end and where each text's begin, and two
+    digests of the run that begins there."""
+
+    doc: np.ndarray
+    place: np.ndarray
+    size: np.ndarray
+    length: np.ndarray
+    name: np.ndarray
+    kind: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    offsets: np.ndarray
+    runs: list[np.ndarray]
+
+
+def chunked(text: pa.Array, options: Passages) -> Chunks:
+    """The chunks of a text column; ``place`` counts words of the batch."""
+    begins, ends, units, last, offsets = split(text)
     ok = whole(offsets, options.words)
+    two = [runs(units[k], last[k], options.words, BASES[k]) for k in (0, 1)]
     if not ok.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    span = options.words - options.gram + 1
-    grams = runs(units, last, options.gram, BASES[0])
-    least = np.where(ok, extremes(grams, span, np.minimum), np.uint64(0))
-    pad = np.zeros(span - 1, np.uint64)
-    picked = np.flatnonzero(extremes(np.concatenate([pad, least, pad]), span, np.maximum) == grams)
-    return picked, grams[picked]
+        none = np.zeros(0, np.int64)
+        return Chunks(none, none, none, none, none.view(np.uint64), none.view(np.uint64), begins, ends, offsets, two)
+    data, at = spread(text)
+    closes = (ends + np.repeat(at[:-1], np.diff(offsets)))[options.gram - 1 :] - 1
+    # The place below the hash: of equal hashes the first counts.
+    keys = (gear(data)[closes].astype(np.uint64) << np.uint64(32)) | np.arange(len(closes), dtype=np.uint64)
+    least = extremes(keys, options.words - options.gram + 1, np.minimum) & np.uint64(0xFFFFFFFF)
+    cut = np.where(ok, least.astype(np.int64), -1)
+    edge = cut[1:] != cut[:-1]
+    first, final = np.flatnonzero(np.append(True, edge) & ok), np.flatnonzero(np.append(edge, True) & ok)
+    size = final - first + 1
+    name = runs(units[0], last[0], options.gram, BASES[0])[cut[first]]
+    kind = mix(mix(two[0][first] + size.astype(np.uint64)) + two[1][final])
+    doc = np.searchsorted(offsets, first, "right") - 1
+    return Chunks(doc, first, size, ends[final + options.words - 1] - begins[first], name, kind, begins, ends, offsets, two)
+
+
+def names(docs: DataFrame, options: Passages) -> DataFrame:
+    """(h): the name of every chunk."""
 
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(chunked(batch.column("text"), options).name.view(np.int64))], names=["h"])
 
-def samples(docs: DataFrame, options: Passages) -> DataFrame:
-    """(t, place, h): the sampled runs of each text; ``t`` is the text's hash, ``place`` counts words."""
+    return docs.select("text").mapInArrow(run, "h long")
+
+
+def chunks(docs: DataFrame, options: Passages) -> DataFrame:
+    """(row_id, doc_id, at, extent, h, d): all chunks with name and class.  ``at``: the first run's place and byte,
+    ``extent``: the number of runs and bytes, two numbers of 32 bits each, as all of these rows are shuffled."""
 
     def run(batches):
         for batch in batches:
-            _, _, units, last, offsets = split(batch.column("text"))
-            at, h = sampled(units[0], last[0], offsets, options)
-            doc = np.searchsorted(offsets, at, "right") - 1
-            yield pa.RecordBatch.from_arrays([batch.column("t").take(pa.array(doc)), pa.array((at - offsets[doc]).astype(np.int32)), pa.array(h.view(np.int64))], names=["t", "place", "h"])
+            c = chunked(batch.column("text"), options)
+            place = c.place - c.offsets[c.doc]
+            own = [batch.column(k).take(pa.array(c.doc)) for k in ("row_id", "doc_id")]
+            made = [place << 32 | c.begins[c.place], c.size << 32 | c.length, c.name.view(np.int64), c.kind.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([*own, *map(pa.array, made)], names=["row_id", "doc_id", "at", "extent", "h", "d"])
 
-    return docs.select("t", "text").mapInArrow(run, "t long, place int, h long")
+    return docs.select("row_id", "doc_id", "text").mapInArrow(run, "row_id long, doc_id long, at long, extent long, h long, d long")
 
 
 def windows(docs: DataFrame, options: Passages) -> DataFrame:
-    """(row_id, doc_id, place, begin, end, hi, lo): the runs of ``words`` words that hold one of the samples at ``marks``."""
-    span = options.words - options.gram + 1
+    """(row_id, place, k, from, to, n, hi, lo): every run of the chunks in ``marks``, the ``k``-th of the chunk at
+    ``place``, with its bytes counted from the chunk's begin."""
 
     def run(batches):
         for batch in batches:
-            begins, ends, units, last, offsets = split(batch.column("text"))
-            ok = whole(offsets, options.words)
-            marks = batch.column("marks")
+            c, marks = chunked(batch.column("text"), options), batch.column("marks")
             doc = np.repeat(np.arange(len(marks)), np.diff(np.asarray(marks.offsets)))
-            at = marks.flatten().to_numpy(zero_copy_only=False) + offsets[doc]
-            doc, at = doc[at < offsets[doc + 1]], at[at < offsets[doc + 1]]
-            size = int(offsets[-1]) + 1
-            near = np.cumsum(np.bincount(np.maximum(at - span + 1, offsets[doc]), minlength=size) - np.bincount(at + 1, minlength=size))
-            place = np.flatnonzero(ok & (near[: len(ok)] > 0))
-            two = [runs(units[k], last[k], options.words, BASES[k])[place].view(np.int64) for k in (0, 1)]
-            doc = np.searchsorted(offsets, place, "right") - 1
-            made = [(place - offsets[doc]).astype(np.int32), begins[place], ends[place + options.words - 1], *two]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(doc)) for c in ("row_id", "doc_id")], *map(pa.array, made)], names=["row_id", "doc_id", "place", "begin", "end", "hi", "lo"])
-
-    return docs.select("row_id", "doc_id", "text", "marks").mapInArrow(run, "row_id long, doc_id long, place int, begin long, end long, hi long, lo long")
+            place, n, h, d = (x.to_numpy(zero_copy_only=False) for x in marks.flatten().flatten())
+            which = np.searchsorted(c.place, place + c.offsets[doc])
+            known = which < len(c.place)
+            if not known.all() or (c.name.view(np.int64)[which] != h).any() or (c.kind.view(np.int64)[which] != d).any():
+                raise RuntimeError("the documents were read twice and gave other rows the second time")
+            size = c.size[which]
+            k = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            first = np.repeat(c.place[which], size)
+            bytes_ = [c.begins[first + k] - c.begins[first], c.ends[first + k + options.words - 1] - c.begins[first]]
+            made = [np.repeat(place, size), k.astype(np.int32), *bytes_, np.repeat(n, size), *(x[first + k].view(np.int64) for x in c.runs)]
+            rows = batch.column("row_id").take(pa.array(np.repeat(doc, size)))
+            yield pa.RecordBatch.from_arrays([rows, *map(pa.array, made)], names=["row_id", "place", "k", "from", "to", "n", "hi", "lo"])
+
+    return docs.select("row_id", "text", "marks").mapInArrow(run, "row_id long, place int, k int, from long, to long, n long, hi long, lo long")
+
+
+def settled(classes: DataFrame, rows: DataFrame, options: Passages) -> DataFrame:
+    """(h, d, k, z, from, to, n, keeper, shift): the repeated runs ``k`` up to ``z`` of each class, as far as they
+    come up equally often and first in one stretch of a row, whose place is ``k + shift``."""
+    mixed = classes.filter("kinds > 1")
+    marks = mixed.groupBy("row_id").agg(F.collect_list(F.struct("place", "n", "h", "d")).alias("marks"))
+    made = stored(windows(rows.join(marks, "row_id"), options), "windows")
+    counts = made.groupBy("hi", "lo").agg(F.sum("n").alias("total"), F.min(F.struct("row_id", (F.col("place") + F.col("k")).alias("place"))).alias("keeper")).filter("total > 1")
+    hit = made.drop("n").join(stored(counts, "counts"), ["hi", "lo"]).select(
+        "row_id", "place", "k", "from", "to", F.col("total").alias("n"), F.col("keeper.row_id").alias("keeper"), (F.col("keeper.place") - F.col("k")).alias("shift")
+    )
+    alike = ["row_id", "place", "n", "keeper", "shift"]
+    island = hit.withColumn("island", F.col("k") - F.row_number().over(Window.partitionBy("row_id", "place").orderBy("n", "keeper", "shift", "k")))
+    parts = island.groupBy(*alike, "island").agg(F.min("k").alias("k"), F.max("k").alias("z"), F.min("from").alias("from"), F.max("to").alias("to"))
+    columns = ["h", "d", "k", "z", "from", "to", "n", "keeper", "shift"]
+    single = classes.filter("kinds = 1").select(
+        "h", "d", F.lit(0).alias("k"), (F.col("size") - 1).alias("z"), F.lit(0).cast("long").alias("from"), F.col("length").alias("to"), "n", F.col("row_id").alias("keeper"), F.col("place").alias("shift")
+    )
+    return mixed.select("row_id", "place", "h", "d").join(parts, ["row_id", "place"]).select(*columns).unionByName(single)
 
 
 def repeated_windows(docs: DataFrame, options: Passages) -> DataFrame:
-    """Every run of ``words`` words that comes up more than once: its place, ``n`` and whether it is the ``first``, in order of row and place."""
-    rows = texts(docs).withColumn("row_id", F.monotonically_increasing_id()).withColumn("t", F.xxhash64("text"))
-    found = stored(samples(rows, options), "samples")
-    again = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    marks = found.join(again, "h").groupBy("t").agg(F.collect_set("place").alias("marks"))
-    made = stored(windows(rows.join(marks, "t"), options), "windows")
-    counts = made.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "place")).alias("keeper")).filter("n > 1")
-    return made.join(counts, ["hi", "lo"]).withColumn("first", F.col("keeper") == F.struct("row_id", "place")).drop("keeper", "hi", "lo")
+    """(row_id, doc_id, place, last, begin, end, n, first): every run of ``words`` words that comes up more than once,
+    as stretches of runs that begin at the words ``place`` up to ``last`` and share ``n`` and whether they are the ``first``."""
+    rows = texts(docs).withColumn("row_id", F.monotonically_increasing_id())
+    again = stored(names(rows, options).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "again")
+    found = stored(chunks(rows, options).join(again, "h"), "chunks")
+    high, low = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: F.col(c).bitwiseAND(F.lit((1 << 32) - 1)))
+    # Chunks of one class and row differ in their places, which are the upper bits.
+    classes = found.groupBy("h", "d").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "at")).alias("keeper"), F.min("extent").alias("extent"))
+    kinds = stored(found.select("h", "d").distinct().groupBy("h").agg(F.count("*").alias("kinds")), "kinds")
+    known = stored(classes.join(kinds, "h").select("h", "d", "n", "kinds", "keeper.row_id", high("keeper.at").alias("place"), high("extent").alias("size"), low("extent").alias("length")), "classes")
+    at, begin = high("at"), low("at")
+    return found.drop("extent").join(settled(known, rows, options), ["h", "d"]).select(
+        "row_id", "doc_id", (at + F.col("k")).alias("place"), (at + F.col("z")).alias("last"), (begin + F.col("from")).alias("begin"), (begin + F.col("to")).alias("end"),
+        "n", ((F.col("row_id") == F.col("keeper")) & (at == F.col("shift"))).alias("first"),
+    )
 
 
 def repeated_passages(docs: DataFrame, options: Passages = Passages()) -> DataFrame:
@@ -188,10 +272,12 @@ def repeated_passages(docs: DataFrame, options: Passages = Passages()) -> DataFr
     run at most one copy.  Of what is first, a rest below ``words`` words is kept without a row of its own.
     """
     hit = repeated_windows(docs, options)
-    # Repeated runs at neighbouring places of one text, as far as all or none of them are first.
-    island = hit.withColumn("island", F.col("place") - F.row_number().over(Window.partitionBy("row_id", "first").orderBy("place")))
+    # Repeated runs at neighbouring places of one text, as far as all or none of them are first: less all runs up to
+    # its own, a stretch's last place is the same along them.
+    size = F.sum(F.col("last") - F.col("place") + 1).over(Window.partitionBy("row_id", "first").orderBy("place"))
+    island = hit.withColumn("island", F.col("last") - size)
     made = island.groupBy("row_id", "doc_id", "first", "island").agg(
-        F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("place").alias("a"), (F.max("place") + options.words).alias("z"), F.min("n").alias("n_copies")
+        F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("place").alias("a"), (F.max("last") + options.words).alias("z"), F.min("n").alias("n_copies")
     )
     # The copies before and behind, as words and bytes.
     copy = lambda *x: F.when(~F.col("first"), F.struct(*x))
