@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from thalweg import fixtures as fx
+from thalweg.catalog import jobs
 from thalweg.operators import evaluation, features, models, trees
 from thalweg.plans import training
 from thalweg.session import fresh_path
@@ -275,3 +276,14 @@ def test_late_readings_are_kept(spark):
         streams.stream_daily_rollup(streams.read_landing(spark, f"{folder}-kept", df.schema), rolled).awaitTermination()
     days = sorted((r["date"].day if r["date"] else 0, r["n"], r["total"]) for r in streams.read_rollup(spark, rolled).collect())
     assert days == [(0, 1, 3.0), (1, 2, 6.0), (2, 1, 4.0), (20, 1, 2.0)]
+
+
+def test_kinds_share_one_matrix_and_raw_tables_are_read_once(spark, sf, monkeypatch):
+    """The model queries store mapping and daily series; all kinds of models are fitted on one matrix."""
+    raw = lambda df: [f for f in df.inputFiles() if f.endswith(("/orders.parquet", "/lineitem.parquet", "/supplier.parquet"))]
+    assert raw(fx.rain_filled(spark, sf)) and not any(raw(df) for df in jobs.training_inputs(spark, sf))
+    made, store = [], training.stored_matrix
+    monkeypatch.setattr(training, "stored_matrix", lambda *a: made.append(a) or store(*a))
+    monkeypatch.setattr(models, "REGISTRY", {name: models.REGISTRY["Prophet_001"] for name in ("Prophet_001", "Prophet_002")})
+    rows = jobs.persist_load_model(spark, sf).collect()
+    assert len(made) == 1 and {r.kind for r in rows} == set(models.REGISTRY) and all(r.n and not r.differing for r in rows)
